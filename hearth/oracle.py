@@ -104,9 +104,10 @@ def expand_zip_sql(c: str = "zipcode") -> str:
     return f"CASE WHEN length({c}) = 2 THEN {c} || '000' ELSE {c} END"
 
 
-def dedup_order_sql() -> str:
-    rest = [c for c in TIE_BREAK_FIRST]
-    rest += [c for c in FRAME_COLUMNS if c not in rest and c not in ("listing_id", "change_date")]
+def dedup_order_sql(keys=("listing_id",)) -> str:
+    """The keep-latest order over the frame columns (same rule as the Spark side)."""
+    rest = [c for c in TIE_BREAK_FIRST if c not in keys]
+    rest += [c for c in FRAME_COLUMNS if c not in rest and c not in keys and c != "change_date"]
     return "change_date DESC NULLS LAST, " + ", ".join(f"{c} ASC NULLS LAST" for c in rest)
 
 

@@ -48,28 +48,46 @@ def prepare(raw: DataFrame, policy: TransformPolicy = TransformPolicy()) -> Data
     )
 
 
-def clean_frame(
-    raw: DataFrame,
-    policy: TransformPolicy = TransformPolicy(),
-    max_year: Column | int | None = None,
-) -> DataFrame:
-    """The cleaned (and, by policy, deduplicated) frame before the split."""
-    df = prepare(raw, policy)
-    adjust_year = policy.adjust_build_year_policy == "adjust" and {"build_year", "start_date"} <= set(df.columns)
+def dedup_stage(pre: DataFrame, policy: TransformPolicy = TransformPolicy()) -> DataFrame:
+    """F3 or (nothing) -> P8/F4 -> P9 (all but build_year) -> keep latest.
+
+    The build year is still unadjusted here; keep-latest reads it as a
+    tie-break only.
+    """
+    df = pre
     if policy.adjust_build_year_policy == "drop":
         df = C.adjust_build_year(df, "drop")
-    elif adjust_year and max_year is None:
-        max_year = C.max_start_year(df)
     df = C.adjust_change_date(df, policy.adjust_change_date_policy)
     df = C.finalize_types(df, smallint_cols=[c for c in SMALLINT_COLUMNS if c != "build_year"])
     df = df.select(*[c for c in df.columns if c in KEEP_COLUMNS])
-    if policy.deduplicate:
-        df = C.keep_latest(df)
-    if adjust_year:
+    return C.keep_latest(df) if policy.deduplicate else df
+
+
+def finish_stage(df: DataFrame, policy: TransformPolicy = TransformPolicy(), max_year: Column | int | None = None) -> DataFrame:
+    """P7 'adjust' with the given maximum start year, then build_year -> smallint."""
+    if policy.adjust_build_year_policy == "adjust" and {"build_year", "start_date"} <= set(df.columns):
+        if max_year is None:
+            raise ValueError("finish_stage needs the maximum start year of the prepared frame")
         df = C.adjust_build_year(df, "adjust", max_year=max_year)
     return C.finalize_types(df, smallint_cols=("build_year",), float_cols=())
 
 
+def clean_frame(
+    raw: DataFrame,
+    policy: TransformPolicy = TransformPolicy(),
+    max_year: Column | int | None = None,
+) -> DataFrame:
+    """The cleaned (and, by policy, deduplicated) frame before the split.
+
+    Without ``max_year`` the maximum start year is a scalar subquery over the
+    prepared frame.
+    """
+    pre = prepare(raw, policy)
+    if max_year is None and policy.adjust_build_year_policy == "adjust" and "start_date" in pre.columns:
+        max_year = C.max_start_year(pre)
+    return finish_stage(dedup_stage(pre, policy), policy, max_year)
+
+
 def clean_listings(
     raw: DataFrame,
     policy: TransformPolicy = TransformPolicy(),
