@@ -265,7 +265,7 @@ SEARCHES = {
     "f6_subcategory_equals": ({"subcategory": "VILLA"}, "l.item_subcategory = 'VILLA'", None),
     "f7_category_join": ({"category": "HOUSE"}, "", "HOUSE"),
     "f8_transaction_type_equals": ({"transaction_type": "RENT"}, "l.transaction_type = 'RENT'", None),
-    "f9_city_contains_ci": ({"city": "aN"}, "contains(lower(l.city), 'an')", None),
+    "f9_city_contains_ci": ({"city": "nAtIoN_1"}, "contains(lower(l.city), 'nation_1')", None),
     "f10_zipcode_contains": ({"zipcode": "75"}, "contains(l.zipcode, '75')", None),
     "f11_price_range": ({"min_price": 1000.0, "max_price": 20000.0}, "l.price >= 1000.0 AND l.price <= 20000.0", None),
     "f12_area_range": ({"min_area": 20.0, "max_area": 100.0}, "l.area >= 20.0 AND l.area <= 100.0", None),
@@ -756,23 +756,33 @@ IQR_SQL = W(
 query("a18_iqr_stats", IQR_SQL)(lambda spark, sf: PR.iqr_stats(cleaned(spark, sf), INTEGER_COLUMNS))
 
 Z_COLUMNS = INTEGER_COLUMNS + MEASURE_COLUMNS
-query(
-    "a19_zscore_outliers",
-    W(
+def zscore_sql(src: str, cols) -> tuple[str, str]:
+    body = (
         f"SELECT {q('column')}, listing_id, value, round(z, 6) AS z FROM (SELECT l.{q('column')}, l.listing_id, l.value, "
-        f"(l.value - s.m) / nullif(s.sd, 0) AS z FROM lng l JOIN st s ON l.{q('column')} = s.{q('column')}) WHERE abs(z) >= 3",
-        f"lng AS (SELECT * FROM {long_sql('cleaned', Z_COLUMNS, ids=('listing_id',))}),\n"
-        f"st AS (SELECT {q('column')}, avg(value) AS m, stddev_pop(value) AS sd FROM lng GROUP BY {q('column')})",
-    ),
-)(lambda spark, sf: PR.zscore_outliers(cleaned(spark, sf), Z_COLUMNS))
+        f"(l.value - s.m) / nullif(s.sd, 0) AS z FROM lng l JOIN st s ON l.{q('column')} = s.{q('column')}) WHERE abs(z) >= 3"
+    )
+    extra = (
+        f"lng AS (SELECT * FROM {long_sql(src, cols, ids=('listing_id',))}),\n"
+        f"st AS (SELECT {q('column')}, avg(value) AS m, stddev_pop(value) AS sd FROM lng GROUP BY {q('column')})"
+    )
+    return body, extra
 
 
-def complete_case_sql(cols) -> str:
-    d = f"SELECT listing_id, {', '.join(cols)} FROM cleaned WHERE " + " AND ".join(f"{c} IS NOT NULL" for c in cols)
+query("a19_zscore_outliers_raw", WT(*zscore_sql("typed_eda", Z_COLUMNS)))(
+    lambda spark, sf: PR.zscore_outliers(typed(spark, sf), Z_COLUMNS)
+)
+query("a19_zscore_outliers_clean", W(*zscore_sql("cleaned", Z_COLUMNS)))(
+    lambda spark, sf: PR.zscore_outliers(cleaned(spark, sf), Z_COLUMNS)
+)
+
+
+def complete_case_sql(cols, src: str = "cleaned") -> str:
+    d = f"SELECT listing_id, {', '.join(cols)} FROM {src} WHERE " + " AND ".join(f"{c} IS NOT NULL" for c in cols)
     stats = ", ".join(f"avg(CAST({c} AS DOUBLE)) AS m_{c}, stddev_pop(CAST({c} AS DOUBLE)) AS s_{c}" for c in cols)
     cond = " OR ".join(f"coalesce(abs((CAST({c} AS DOUBLE) - m_{c}) / nullif(s_{c}, 0)) >= 3, false)" for c in cols)
-    return W(f"SELECT listing_id, {', '.join(cols)} FROM cc, ccs WHERE {cond}",
-             f"cc AS ({d}),\nccs AS (SELECT {stats} FROM cc)")
+    extra = f"cc AS ({d}),\nccs AS (SELECT {stats} FROM cc)"
+    body = f"SELECT listing_id, {', '.join(cols)} FROM cc, ccs WHERE {cond}"
+    return WT(body, extra) if src == "typed_eda" else W(body, extra)
 
 
 CC_FLOAT = ("price", "area", "site_area")
@@ -782,6 +792,12 @@ query("a20_zscore_complete_case_int", complete_case_sql(INTEGER_COLUMNS))(
 query("a20_zscore_complete_case_float", complete_case_sql(CC_FLOAT))(
     lambda spark, sf: PR.zscore_complete_case(cleaned(spark, sf), CC_FLOAT)
 )
+query("a20_zscore_complete_case_int_raw", complete_case_sql(INTEGER_COLUMNS, "typed_eda"))(
+    lambda spark, sf: PR.zscore_complete_case(typed(spark, sf), INTEGER_COLUMNS)
+)
+query("a20_zscore_complete_case_float_raw", complete_case_sql(CC_FLOAT, "typed_eda"))(
+    lambda spark, sf: PR.zscore_complete_case(typed(spark, sf), CC_FLOAT)
+)
 query(
     "a21_integer_distribution",
     W(f"SELECT v.{q('column')}, v.value, v.count, t.n_levels FROM vc v JOIN (SELECT {q('column')}, count(*) AS n_levels "

@@ -8,8 +8,10 @@ follow from key arithmetic. The DuckDB text of the same projection lives in
 
 Join order is chosen for scale: orders are first narrowed to
 ``(o_orderkey, city)`` through customer and nation (the nation side is tiny
-and is broadcast by Spark's size check), so the line-item side is shuffled
-once on the order key and once on the part key.
+and is broadcast by Spark's size check). Line items meet ``part`` first and
+the order side last, so when the joins are sort-merge joins the feed leaves
+the last join hash-partitioned by the order key, which is the listing key:
+the keep-latest window downstream then needs no shuffle of its own.
 """
 
 from __future__ import annotations
@@ -55,8 +57,8 @@ def raw_listings(
         .join(nation, customer.c_nationkey == nation.n_nationkey)
         .select("o_orderkey", F.concat(F.lit("City "), F.col("n_name")).alias("city"))
     )
-    rows = li.join(order_city, li.l_orderkey == order_city.o_orderkey).join(
-        part, li.l_partkey == part.p_partkey
+    rows = li.join(part, li.l_partkey == part.p_partkey).join(
+        order_city, li.l_orderkey == order_city.o_orderkey
     )
 
     ok, pk, sk, ln = (F.col(c) for c in ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"))

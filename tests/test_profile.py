@@ -1,0 +1,75 @@
+"""Profile operators against plain Python computations on small frames."""
+
+import math
+import statistics
+
+import pytest
+
+from hearth.operators import profile as PR
+
+
+@pytest.fixture(scope="module")
+def nums(spark):
+    rows = [(i, float(v) if v is not None else None, w) for i, (v, w) in enumerate(
+        [(1, 1), (2, 1), (2, 2), (3, None), (4, 2), (100, 3), (None, 3), (5, 3)])]
+    return spark.createDataFrame(rows, "listing_id long, a double, b int")
+
+
+def test_numeric_summary_matches_python(nums):
+    r = {x.column: x for x in PR.numeric_summary(nums, ["a"]).collect()}["a"]
+    vals = [1, 2, 2, 3, 4, 100, 5]
+    assert r["count"] == 7 and r["min"] == 1 and r["max"] == 100
+    assert r["mean"] == round(statistics.mean(vals), 6)
+    assert r["std"] == round(statistics.stdev(vals), 6)
+    q = statistics.quantiles(vals, n=4, method="inclusive")
+    assert (r["q25"], r["q50"], r["q75"]) == tuple(round(x, 6) for x in q)
+
+
+def test_iqr_and_zscore(nums):
+    st = {x.column: x for x in PR.iqr_stats(nums, ["a"]).collect()}["a"]
+    assert st.n_fliers == 1 and st.whisker_high == 5.0 and st.whisker_low == 1.0
+    vals = [1, 2, 2, 3, 4, 100, 5]
+    m, sd = statistics.mean(vals), statistics.pstdev(vals)
+    expected = {i for i, v in enumerate([1, 2, 2, 3, 4, 100, None, 5]) if v is not None and abs((v - m) / sd) >= 2}
+    got = {r.listing_id for r in PR.zscore_outliers(nums, ["a"], threshold=2).collect()}
+    assert got == expected
+
+
+def test_complete_case_drops_rows_with_any_null_first(nums):
+    cc = PR.zscore_complete_case(nums, ["a", "b"], threshold=1.5).collect()
+    rows = [(1, 1), (2, 1), (2, 2), (4, 2), (100, 3), (5, 3)]
+    ma, mb = statistics.mean(r[0] for r in rows), statistics.mean(r[1] for r in rows)
+    sa, sb = statistics.pstdev(r[0] for r in rows), statistics.pstdev(r[1] for r in rows)
+    exp = sum(1 for a, b in rows if abs((a - ma) / sa) >= 1.5 or abs((b - mb) / sb) >= 1.5)
+    assert len(cc) == exp
+
+
+def test_constant_column_has_no_outlier(spark):
+    df = spark.createDataFrame([(i, 7.0) for i in range(10)], "listing_id long, a double")
+    assert PR.zscore_outliers(df, ["a"]).count() == 0
+
+
+def test_counts_shares_missing(spark):
+    df = spark.createDataFrame([("x", True), ("x", None), ("y", False), (None, True)], "c string, f boolean")
+    vc = {(r.column, r.value): r["count"] for r in PR.value_counts(df, ["c", "f"]).collect()}
+    assert vc == {("c", "x"): 2, ("c", "y"): 1, ("f", "true"): 2, ("f", "false"): 1}
+    ls = {(r.column, r.value): (r.share, r.n_levels) for r in PR.level_shares(df, ["c"]).collect()}
+    assert ls[("c", "x")] == (round(2 / 3, 6), 2)
+    ms = {r.variable: (r.missing, r.share) for r in PR.missing_share(df).collect()}
+    assert ms == {"c": (1, 0.25), "f": (1, 0.25)}
+    assert PR.distinct_values(df, "f").count() == 3
+    bs = {r.column: (r.n_distinct, r.boolean_safe) for r in PR.boolean_safe(df, ["c", "f"]).collect()}
+    assert bs == {"c": (2, True), "f": (2, True)}
+
+
+def test_duplicates_and_dependencies(spark):
+    df = spark.createDataFrame([(1, "a", None), (1, "a", None), (1, "b", 2.0), (2, "c", 1.0)], "k long, s string, v double")
+    assert PR.whole_row_duplicates(df).count() == 2
+    assert sorted(r.k for r in PR.key_duplicates(df, ["k"], order=[df.s.asc()]).collect()) == [1, 1]
+    assert [(r.k, r.n_values) for r in PR.dependency_violations(df, "k", "s").collect()] == [(1, 2)]
+    assert PR.integer_safe(spark.createDataFrame([(1.0,), (2.5,)], "a double"), ["a"]).collect()[0].integer_safe is False
+
+
+def test_hierarchy_and_parent_path(spark):
+    df = spark.createDataFrame([("A", "A.B"), ("A", "C.B"), (None, "A.B"), ("A", None), ("", "X")], "t string, s string")
+    assert PR.hierarchy_mismatch(df, "t", "s").count() == 2  # "X" has parent "" which equals ""
