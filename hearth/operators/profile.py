@@ -9,10 +9,14 @@ bounded by the number of columns, not by the data.
 
 from __future__ import annotations
 
+import math
+
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from hearth.functions.columns import parent_path
+from hearth.operators import quantiles as Q
 from hearth.operators.clean import latest_order
 
 QUARTILES = (0.25, 0.5, 0.75)
@@ -33,42 +37,65 @@ def _r(c: Column, digits: int) -> Column:
 
 
 # ------------------------------------------------------------------ A5 / A13
+SUMMARY_SCHEMA = (
+    "column string, count bigint, mean double, std double, min double, "
+    "q25 double, q50 double, q75 double, max double"
+)
+
+
+def _hist_moments(hist: DataFrame) -> DataFrame:
+    """Per column: N, mean, M2 (sum of squared deviations), min, max from a
+    (column, value, n) histogram; two passes over the histogram, the second
+    against the per-column means (one row per column, broadcast)."""
+    v = F.col("value").cast("double")
+    base = hist.groupBy("column").agg(
+        F.sum("n").alias("N"), (F.sum(v * F.col("n")) / F.sum("n")).alias("mean"),
+        F.min(v).alias("min"), F.max(v).alias("max"), F.count(F.lit(1)).alias("D"),
+    )
+    m2 = hist.join(F.broadcast(base.select("column", F.col("mean").alias("__m"))), "column").groupBy("column").agg(
+        F.sum(F.col("n") * (v - F.col("__m")) * (v - F.col("__m"))).alias("M2")
+    )
+    return base.join(m2, "column")
+
+
 def numeric_summary(df: DataFrame, cols, approx: bool = False, digits: int | None = 6) -> DataFrame:
     """A5: count, mean, sample std, min, quartiles, max per column (long form).
 
-    One aggregate over the unpivoted columns. ``approx=True`` uses
-    ``percentile_approx`` (bounded memory for high-cardinality measures);
-    the exact ``percentile`` keeps a value -> count map per column, which is
-    small for whole-number columns.
+    Exact (default): one pass over the data builds a (column, value) -> n
+    histogram (partial aggregation, persisted); moments come from the
+    histogram and the quartiles from the distributed selection of
+    ``hearth.operators.quantiles``, so no task ever holds all values of a
+    column. The small result is computed eagerly. ``approx=True`` is a
+    single lazy aggregate with ``percentile_approx``.
     """
     long = _long(df, cols)
-    v = F.col("value")
-    q = (
-        F.percentile_approx(v, list(QUARTILES), 100000)
-        if approx
-        else F.percentile(v, F.array(*[F.lit(x) for x in QUARTILES]))
-    )
-    return (
-        long.groupBy("column")
-        .agg(
+    if approx:
+        v = F.col("value")
+        return long.groupBy("column").agg(
             F.count(v).alias("count"),
-            F.avg(v).alias("mean"),
-            F.stddev_samp(v).alias("std"),
+            _r(F.avg(v), digits).alias("mean"),
+            _r(F.stddev_samp(v), digits).alias("std"),
             F.min(v).alias("min"),
-            q.alias("q"),
+            F.percentile_approx(v, list(QUARTILES), 100000).alias("q"),
             F.max(v).alias("max"),
-        )
-        .select(
-            "column",
-            "count",
-            _r(F.col("mean"), digits).alias("mean"),
-            _r(F.col("std"), digits).alias("std"),
-            F.col("min"),
-            _r(F.col("q")[0], digits).alias("q25"),
-            _r(F.col("q")[1], digits).alias("q50"),
-            _r(F.col("q")[2], digits).alias("q75"),
-            F.col("max"),
-        )
+        ).select("column", "count", "mean", "std", "min", *[_r(F.col("q")[i], digits).alias(n) for i, n in
+                                                             enumerate(("q25", "q50", "q75"))], "max")
+    hist = Q.histogram(long).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        moments = _hist_moments(hist).collect()
+        totals = [dict(column=r["column"], N=r["N"], D=r["D"], lo=r["min"], hi=r["max"]) for r in moments]
+        qs = Q.exact_quantiles(None, QUARTILES, hist=hist, totals=totals)
+        rows = []
+        for r in moments:
+            n = r["N"]
+            std = math.sqrt(r["M2"] / (n - 1)) if n > 1 else None
+            rows.append((r["column"], n, r["mean"], std, r["min"], *qs[r["column"]], r["max"]))
+    finally:
+        hist.unpersist()
+    out = df.sparkSession.createDataFrame(rows, SUMMARY_SCHEMA)
+    return out.select(
+        "column", "count", *[_r(F.col(c), digits).alias(c) for c in ("mean", "std")], "min",
+        *[_r(F.col(c), digits).alias(c) for c in ("q25", "q50", "q75")], "max",
     )
 
 
@@ -159,31 +186,111 @@ def missing_share(df: DataFrame, cols=None, digits: int = 6) -> DataFrame:
 
 
 # ------------------------------------------------------------------ A15 A16 W2
+EXPAND_CHUNK = 1 << 16
+HOT_KEY_ROWS = 1 << 20
+
+
+def expand_counts(df: DataFrame, count_col: str, chunk: int = EXPAND_CHUNK) -> DataFrame:
+    """Each row repeated ``count_col`` times (the count column is dropped).
+
+    Rows with at most ``chunk`` copies are exploded in place. A row with
+    more copies is first cut into chunks of ``chunk`` copies, the chunks are
+    spread over tasks by a shuffle of those few rows, and each chunk is
+    exploded where it lands: no array larger than ``chunk`` is built and no
+    single task emits all copies of a hot row.
+    """
+    n = F.col(count_col).cast("bigint")
+    cols = [c for c in df.columns if c != count_col]
+    one = F.lit(1).cast("bigint")
+    small = df.filter((n > 0) & (n <= chunk)).select(*cols, F.explode(F.sequence(one, n)).alias("__i")).drop("__i")
+    big = (
+        df.filter(n > chunk)
+        .select(*cols, n.alias("__n"), F.explode(F.sequence(F.lit(0).cast("bigint"), ((n - 1) / chunk).cast("bigint"))).alias("__c"))
+        .repartition("__c", *cols)
+    )
+    last = F.least(F.lit(chunk).cast("bigint"), F.col("__n") - F.col("__c") * chunk)
+    big = big.select(*cols, F.explode(F.sequence(one, last)).alias("__i")).drop("__i")
+    return small.unionByName(big)
+
+
 def whole_row_duplicates(df: DataFrame) -> DataFrame:
     """Every member of a group of identical rows (nulls compare equal).
 
-    Groups are found by one ``groupBy`` over all columns (partial aggregation
-    collapses copies map-side); members are then matched by a null-safe
-    left-semi join, which AQE's skew handling can split when one group is
-    very large. No group is ever collected into one task.
+    One ``groupBy`` over all columns (partial aggregation collapses copies
+    map-side, so a group of copies is one row after the shuffle), then each
+    duplicated row is expanded back to its count in bounded chunks.
     """
-    cols = df.columns
-    groups = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > 1).drop("__n")
-    g = groups.select(*[F.col(c).alias(f"__g_{c}") for c in cols])
-    cond = [df[c].eqNullSafe(g[f"__g_{c}"]) for c in cols]
-    return df.join(g, cond, "left_semi")
+    counts = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > 1)
+    return expand_counts(counts, "__n").select(*df.columns)
 
 
-def occurrence_number(df: DataFrame, keys, order: list[Column] | None = None) -> DataFrame:
-    """``occurrence`` = 1, 2, ... inside each key, in a declared order
-    (default: the keep-latest order, so occurrence 1 is the survivor)."""
-    order = order or latest_order(df, tuple(keys))
-    return df.withColumn("occurrence", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
+def top1(df: DataFrame, keys, order: list[Column]) -> DataFrame:
+    """First row of each key in ``order`` (planned as a partial + final WindowGroupLimit)."""
+    w = Window.partitionBy(*keys).orderBy(*order)
+    return df.withColumn("__rn", F.row_number().over(w)).filter(F.col("__rn") == 1).drop("__rn")
 
 
 def key_duplicates(df: DataFrame, keys=("listing_id",), order: list[Column] | None = None) -> DataFrame:
-    """Second and later rows of each key (the rows keep-latest drops)."""
-    return occurrence_number(df, keys, order).filter(F.col("occurrence") > 1).drop("occurrence")
+    """Second and later rows of each key (the rows keep-latest drops).
+
+    As a multiset this is "all rows minus each key's first row": rows are
+    counted per distinct value (one aggregation), the first row of each key
+    is found by a top-1 (partial limit before its shuffle), the two meet in a
+    one-to-one join on all columns, and counts are expanded in bounded
+    chunks. No key's rows are ever gathered in one task.
+    """
+    cols = df.columns
+    order = order or latest_order(df, tuple(keys))
+    counts = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("__n"))
+    first = top1(df, keys, order).select(*[F.col(c).alias(f"__f_{c}") for c in cols], F.lit(1).alias("__first"))
+    cond = [counts[c].eqNullSafe(first[f"__f_{c}"]) for c in cols]
+    rest = counts.join(first, cond, "left").select(
+        *cols, (F.col("__n") - F.coalesce(F.col("__first"), F.lit(0))).alias("__n")
+    )
+    return expand_counts(rest, "__n").select(*cols)
+
+
+def occurrence_number(
+    df: DataFrame, keys, order: list[Column] | None = None, hot_rows: int = HOT_KEY_ROWS, name: str = "occurrence"
+) -> DataFrame:
+    """``occurrence`` = 1, 2, ... inside each key, in a declared order
+    (default: the keep-latest order, so occurrence 1 is the survivor).
+
+    Keys with at most ``hot_rows`` rows are numbered by a window. Rows of the
+    hot keys (at most N / hot_rows keys, so their list is small and is
+    broadcast) are range-partitioned on (key, order), numbered inside each
+    range partition, and shifted by the row counts of the key's earlier
+    partitions: a hot key is spread over many tasks instead of one.
+    """
+    keys = list(keys)
+    order = order or latest_order(df, tuple(keys))
+    # At most N / hot_rows keys qualify, so the hot-key list is small by
+    # construction and safe to broadcast.
+    hot = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__cnt")).filter(F.col("__cnt") > hot_rows).select(
+        *[F.col(k).alias(f"__h_{k}") for k in keys]
+    )
+    cond = [df[k].eqNullSafe(hot[f"__h_{k}"]) for k in keys]
+    cold_rows = df.join(F.broadcast(hot), cond, "left_anti")
+    cold = cold_rows.withColumn(name, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
+
+    hot_rows_df = df.join(F.broadcast(hot), cond, "left_semi")
+    nparts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    key_order = [F.col(k).asc_nulls_first() for k in keys]
+    # Range partitions on (key, order): a hot key spans several partitions,
+    # each sorted; the position inside a partition is the local number.
+    ranged = (
+        hot_rows_df.repartitionByRange(nparts, *key_order, *order)
+        .sortWithinPartitions(*key_order, *order)
+        .withColumn("__mid", F.monotonically_increasing_id())
+        .withColumn("__pid", F.spark_partition_id())
+    )
+    starts = ranged.groupBy(*keys, "__pid").agg(F.min("__mid").alias("__start"), F.count(F.lit(1)).alias("__size"))
+    before = F.sum("__size").over(Window.partitionBy(*keys).orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1))
+    offsets = starts.select(*keys, "__pid", "__start", F.coalesce(before, F.lit(0)).alias("__offset"))
+    numbered = ranged.join(offsets, [*keys, "__pid"]).select(
+        *df.columns, (F.col("__mid") - F.col("__start") + 1 + F.col("__offset")).cast("int").alias(name)
+    )
+    return cold.unionByName(numbered)
 
 
 # ------------------------------------------------------------------ A17
@@ -204,48 +311,41 @@ def dependency_violations(df: DataFrame, lhs: str, rhs: str) -> DataFrame:
 def iqr_stats(df: DataFrame, cols, k: float = 1.5, digits: int = 6) -> DataFrame:
     """Quartiles (linear interpolation), IQR fences and box statistics.
 
-    Pass 1: per-column quartiles and mean (one aggregate). Pass 2: the fences
-    (one row per column, broadcast) give the whiskers (most extreme values
-    inside the fences) and the number of fliers outside them.
+    One pass over the data builds the (column, value) -> n histogram; exact
+    quartiles come from the distributed selection, and whiskers (most
+    extreme values inside the fences) and fliers (values outside) from the
+    histogram joined with the fences (one row per column, broadcast).
     """
     long = _long(df, cols)
-    v = F.col("value")
-    st = (
-        long.groupBy("column")
-        .agg(
-            F.percentile(v, F.array(*[F.lit(x) for x in QUARTILES])).alias("q"),
-            F.avg(v).alias("mean"),
-            F.count(v).alias("count"),
-        )
-        .select(
-            "column",
-            "count",
-            F.col("q")[0].alias("q1"),
-            F.col("q")[1].alias("median"),
-            F.col("q")[2].alias("q3"),
-            "mean",
+    hist = Q.histogram(long).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        qs = Q.exact_quantiles(long, QUARTILES, hist=hist)
+        fences = [(c, q1, q2, q3, q3 - q1, q1 - k * (q3 - q1), q3 + k * (q3 - q1)) for c, (q1, q2, q3) in qs.items()]
+        f = df.sparkSession.createDataFrame(
+            fences, "column string, q1 double, median double, q3 double, iqr double, lower_fence double, upper_fence double"
         )
-        .withColumn("iqr", F.col("q3") - F.col("q1"))
-        .withColumn("lower_fence", F.col("q1") - F.lit(k) * F.col("iqr"))
-        .withColumn("upper_fence", F.col("q3") + F.lit(k) * F.col("iqr"))
-    )
-    box = (
-        long.join(F.broadcast(st.select("column", "lower_fence", "upper_fence")), "column")
-        .groupBy("column")
-        .agg(
+        v, n = F.col("value").cast("double"), F.col("n")
+        box = hist.join(F.broadcast(f), "column").groupBy("column").agg(
+            F.sum(n).alias("count"),
+            (F.sum(v * n) / F.sum(n)).alias("mean"),
             F.min(F.when(v >= F.col("lower_fence"), v)).alias("whisker_low"),
             F.max(F.when(v <= F.col("upper_fence"), v)).alias("whisker_high"),
-            F.count_if((v < F.col("lower_fence")) | (v > F.col("upper_fence"))).alias("n_fliers"),
+            F.sum(F.when((v < F.col("lower_fence")) | (v > F.col("upper_fence")), n).otherwise(0)).alias("n_fliers"),
         )
+        rows = box.join(f, "column").collect()
+    finally:
+        hist.unpersist()
+    names = ("column", "count", "q1", "median", "q3", "iqr", "lower_fence", "upper_fence", "mean",
+             "whisker_low", "whisker_high", "n_fliers")
+    out = df.sparkSession.createDataFrame(
+        [tuple(r[c] for c in names) for r in rows],
+        "column string, count bigint, q1 double, median double, q3 double, iqr double, lower_fence double, "
+        "upper_fence double, mean double, whisker_low double, whisker_high double, n_fliers bigint",
     )
-    out = st.join(box, "column")
     return out.select(
-        "column",
-        "count",
+        "column", "count",
         *[_r(F.col(c), digits).alias(c) for c in ("q1", "median", "q3", "iqr", "lower_fence", "upper_fence", "mean")],
-        "whisker_low",
-        "whisker_high",
-        "n_fliers",
+        "whisker_low", "whisker_high", "n_fliers",
     )
 
 

@@ -8,10 +8,14 @@ follow from key arithmetic. The DuckDB text of the same projection lives in
 
 Join order is chosen for scale: orders are first narrowed to
 ``(o_orderkey, city)`` through customer and nation (the nation side is tiny
-and is broadcast by Spark's size check). Line items meet ``part`` first and
-the order side last, so when the joins are sort-merge joins the feed leaves
-the last join hash-partitioned by the order key, which is the listing key:
-the keep-latest window downstream then needs no shuffle of its own.
+and is broadcast by Spark's size check). Line items meet the order side
+first and ``part`` second. The other order (part first) would leave the feed
+hash-partitioned by the listing key and save the keep-latest window its
+shuffle, but then a listing key holding a large share of all rows makes the
+order join skewed with nothing AQE may split (splitting would break the
+window's required partitioning). With this order both sort-merge joins can
+be split by AQE's skew handling, and the window's own shuffle is preceded
+by a partial top-1, so a hot listing sends one row per map task.
 """
 
 from __future__ import annotations
@@ -57,8 +61,8 @@ def raw_listings(
         .join(nation, customer.c_nationkey == nation.n_nationkey)
         .select("o_orderkey", F.concat(F.lit("City "), F.col("n_name")).alias("city"))
     )
-    rows = li.join(part, li.l_partkey == part.p_partkey).join(
-        order_city, li.l_orderkey == order_city.o_orderkey
+    rows = li.join(order_city, li.l_orderkey == order_city.o_orderkey).join(
+        part, li.l_partkey == part.p_partkey
     )
 
     ok, pk, sk, ln = (F.col(c) for c in ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"))

@@ -73,3 +73,47 @@ def test_duplicates_and_dependencies(spark):
 def test_hierarchy_and_parent_path(spark):
     df = spark.createDataFrame([("A", "A.B"), ("A", "C.B"), (None, "A.B"), ("A", None), ("", "X")], "t string, s string")
     assert PR.hierarchy_mismatch(df, "t", "s").count() == 2  # "X" has parent "" which equals ""
+
+
+def test_expand_counts_chunks_big_rows(spark):
+    from hearth.operators.profile import expand_counts
+
+    df = spark.createDataFrame([("a", 5), ("b", 1), ("c", 0), ("d", 23)], "k string, n long")
+    out = expand_counts(df, "n", chunk=4).groupBy("k").count().collect()
+    assert {r.k: r["count"] for r in out} == {"a": 5, "b": 1, "d": 23}
+
+
+def test_occurrence_number_hot_path_matches_window(spark):
+    from pyspark.sql import Window
+    from pyspark.sql import functions as F
+
+    rows = [(k, v, float(v % 7)) for k in range(3) for v in range(40 if k == 0 else 5)] + [(0, 3, 3.0)] * 3
+    df = spark.createDataFrame(rows, "k long, v long, x double")
+    order = [F.col("x").desc(), F.col("v").asc()]
+    got = PR.occurrence_number(df, ["k"], order, hot_rows=10).collect()
+    ref = df.withColumn("occurrence", F.row_number().over(Window.partitionBy("k").orderBy(*order))).collect()
+    assert sorted(tuple(r) for r in got) == sorted(tuple(r) for r in ref)
+
+
+def test_key_duplicates_keeps_extra_copies(spark):
+    from pyspark.sql import functions as F
+
+    df = spark.createDataFrame([(1, "a"), (1, "a"), (1, "a"), (1, "b"), (2, "c")], "k long, s string")
+    got = sorted(tuple(r) for r in PR.key_duplicates(df, ["k"], order=[F.col("s").asc()]).collect())
+    assert got == [(1, "a"), (1, "a"), (1, "b")]
+
+
+def test_exact_quantiles_match_percentile(spark):
+    from pyspark.sql import functions as F
+
+    from hearth.operators.quantiles import exact_quantiles
+
+    import random
+
+    rng = random.Random(3)
+    vals = [rng.choice([rng.random() * 1000, 5.0, -2.5]) for _ in range(3000)]
+    df = spark.createDataFrame([("a", v) for v in vals] + [("b", 1.0)], "column string, value double")
+    ref = {r.column: r.q for r in df.groupBy("column").agg(F.percentile("value", F.array(F.lit(0.1), F.lit(0.5), F.lit(0.99))).alias("q")).collect()}
+    got = exact_quantiles(df, (0.1, 0.5, 0.99), buckets=8, final_values=5)
+    for c in ("a", "b"):
+        assert [round(x, 9) for x in got[c]] == [round(x, 9) for x in ref[c]]
