@@ -158,15 +158,22 @@ def key_violations(df: DataFrame, key: str, rule: str = "R7_primary_key") -> Dat
     )
 
 
-def update_violations(existing: DataFrame, incoming: DataFrame, key: str = "listing_id") -> DataFrame:
+def update_violations(
+    existing: DataFrame, incoming: DataFrame, key: str = "listing_id", broadcast_incoming: bool = False
+) -> DataFrame:
     """R8 start_date must not change; R9 change_date must not decrease.
 
-    Only keys present on both sides are updates; one join, both rules.
+    Only keys present on both sides are updates; one join, both rules. A
+    caller that has checked the batch is small sets ``broadcast_incoming`` so
+    the stored table is scanned without a shuffle.
     """
     old = existing.select(
         F.col(key).alias("__k"), F.col("start_date").alias("__old_start"), F.col("change_date").alias("__old_change")
     )
-    j = incoming.select(key, "start_date", "change_date").join(old, F.col(key) == F.col("__k"))
+    inc = incoming.select(key, "start_date", "change_date")
+    if broadcast_incoming:
+        inc = F.broadcast(inc)
+    j = inc.join(old, F.col(key) == F.col("__k"))
     hits = [
         _hit("R8_start_date_immutable", "start_date", F.col("start_date") != F.col("__old_start"), F.col("start_date")),
         _hit("R9_change_date_monotonic", "change_date", F.col("change_date") < F.col("__old_change"), F.col("change_date")),

@@ -233,20 +233,17 @@ def top1(df: DataFrame, keys, order: list[Column]) -> DataFrame:
 def key_duplicates(df: DataFrame, keys=("listing_id",), order: list[Column] | None = None) -> DataFrame:
     """Second and later rows of each key (the rows keep-latest drops).
 
-    As a multiset this is "all rows minus each key's first row": rows are
-    counted per distinct value (one aggregation), the first row of each key
-    is found by a top-1 (partial limit before its shuffle), the two meet in a
-    one-to-one join on all columns, and counts are expanded in bounded
-    chunks. No key's rows are ever gathered in one task.
+    As a multiset this is "all rows minus each key's first row": every row
+    weighs +1, each key's first row (a top-1, partial limit before its
+    shuffle) weighs -1, the weights are summed per distinct row (one
+    aggregation; copies collapse map-side) and what remains is expanded in
+    bounded chunks. No key's rows are ever gathered in one task.
     """
     cols = df.columns
     order = order or latest_order(df, tuple(keys))
-    counts = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("__n"))
-    first = top1(df, keys, order).select(*[F.col(c).alias(f"__f_{c}") for c in cols], F.lit(1).alias("__first"))
-    cond = [counts[c].eqNullSafe(first[f"__f_{c}"]) for c in cols]
-    rest = counts.join(first, cond, "left").select(
-        *cols, (F.col("__n") - F.coalesce(F.col("__first"), F.lit(0))).alias("__n")
-    )
+    plus = df.select(*cols, F.lit(1).alias("__w"))
+    minus = top1(df, keys, order).select(*cols, F.lit(-1).alias("__w"))
+    rest = plus.unionByName(minus).groupBy(*cols).agg(F.sum("__w").alias("__n")).filter(F.col("__n") > 0)
     return expand_counts(rest, "__n").select(*cols)
 
 

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from hearth.operators import integrity as R
 from hearth.operators.clean import item_categories, listing_projection
-from hearth.operators.upsert import merge_upsert
+from hearth.operators.upsert import BROADCAST_KEYS_MAX, merge_upsert
 from hearth.plans.pipeline import dedup_stage, finish_stage, prepare
 from hearth.plans.policies import TransformPolicy
 from hearth.schema import ITEM_CATEGORY_KEY, ITEM_CATEGORY_SCHEMA, LISTING_KEY, LISTING_SCHEMA
@@ -60,13 +60,25 @@ def ingest(
     enforce: str = "fail",
     partitions: dict | None = None,
 ) -> IngestReport:
+    """K2 over a file feed (S1/S2 -> clean -> validate -> upsert both tables)."""
+    return ingest_frame(read_input(spark, input_path, fmt, options), store_root, policy, enforce, partitions)
+
+
+def ingest_frame(
+    raw: DataFrame,
+    store_root: str,
+    policy: TransformPolicy = TransformPolicy(),
+    enforce: str = "fail",
+    partitions: dict | None = None,
+) -> IngestReport:
+    """K2 over any raw DataFrame (a file feed or a streaming micro-batch)."""
     if enforce not in ENFORCE_POLICIES:
         raise ValueError(f"unknown enforce policy {enforce!r} (expected one of {ENFORCE_POLICIES})")
+    spark = raw.sparkSession
     ensure_checkpoint_dir(spark)
     partitions = partitions or {}
     report = IngestReport()
 
-    raw = read_input(spark, input_path, fmt, options)
     obs_raw, obs_pre = Observation("raw"), Observation("prepared")
     raw = raw.observe(obs_raw, F.count(F.lit(1)).alias("raw_rows"))
     pre = prepare(raw, policy)
@@ -82,6 +94,12 @@ def ingest(
     max_year = report.metrics.get("max_start_year")
     final = finish_stage(staged, policy, F.lit(max_year).cast("int"))
 
+    # The batch is read from the checkpoint, so counting it is cheap; the
+    # count decides whether its keys may be broadcast against the stored table.
+    batch_rows = staged.count()
+    report.metrics["batch_listings"] = batch_rows
+    small_batch = batch_rows <= BROADCAST_KEYS_MAX
+
     cats, listing = item_categories(final), listing_projection(final)
     store = TableStore(spark, store_root)
     old_cats = store.read("item_category", ITEM_CATEGORY_SCHEMA)
@@ -95,7 +113,7 @@ def ingest(
         R.listing_row_violations(listing)
         .unionByName(R.key_violations(listing, "listing_id"))
         .unionByName(R.foreign_key_violations(listing, merged_cats))
-        .unionByName(R.update_violations(old_listing, listing))
+        .unionByName(R.update_violations(old_listing, listing, broadcast_incoming=small_batch))
     )
     violations = cat_bad.unionByName(lst_bad)
     if enforce == "fail":
@@ -113,6 +131,9 @@ def ingest(
             "item_category", merged_cats, partitions.get("item_category")
         )
     report.written["listing"] = store.write_version(
-        "listing", merge_upsert(old_listing, listing, LISTING_KEY), partitions.get("listing"), ["change_date"]
+        "listing",
+        merge_upsert(old_listing, listing, LISTING_KEY, incoming_rows=batch_rows),
+        partitions.get("listing"),
+        ["change_date"],
     )
     return report
