@@ -1,8 +1,10 @@
 """Listing and category search.
 
 A search is one lazy filtered DataFrame; the page and the total are two
-actions over it. Every optional parameter only adds a conjunct, so Catalyst
-pushes all of them into the parquet scan of the stored table.
+actions over it (``search_listings``), or one scan with the total observed
+while the page is computed (``fetch_listings``). Every optional parameter
+only adds a conjunct, so Catalyst pushes all of them into the parquet scan
+of the stored table.
 """
 
 from __future__ import annotations
@@ -13,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hearth.functions.columns import contains_ci, contains_literal
-from hearth.schema import CATEGORIES, FLAG_COLUMNS, SUBCATEGORIES, TRANSACTION_TYPES
+from hearth.schema import CATEGORIES, FLAG_COLUMNS, LISTING_COLUMNS, SUBCATEGORIES, TRANSACTION_TYPES
 
 DEFAULT_LIMIT = 100
 
@@ -171,6 +173,34 @@ def search_listings(listing: DataFrame, item_category: DataFrame | None = None,
     return page(matched, change_date_order(p.sort_by_change_date), p.skip, p.limit), total(matched)
 
 
+def fetch_listings(listing: DataFrame, item_category: DataFrame | None = None, params=None, **kw):
+    """L3 in one scan: (page rows, total) of a listing search.
+
+    The total is an ``Observation`` on the filtered frame, collected while
+    the ordered page (a top-k, which reads every matching row) is computed,
+    so the table is scanned once instead of once per statement.
+    """
+    from pyspark.sql import Observation
+
+    p = ListingSearch.of(params, **kw)
+    if p.limit == 0:  # an empty page would let Spark skip the scan the count rides on
+        return [], total(search(listing, item_category, p)).collect()[0]["count"]
+    obs = Observation("search_total")
+    matched = search(listing, item_category, p).observe(obs, F.count(F.lit(1)).alias("count"))
+    rows = page(matched, change_date_order(p.sort_by_change_date), p.skip, p.limit).collect()
+    return rows, obs.get["count"]
+
+
+def public_listing(df: DataFrame) -> DataFrame:
+    """The public response columns of a listing (all 21 stored columns)."""
+    return df.select(*LISTING_COLUMNS)
+
+
+def public_category(df: DataFrame) -> DataFrame:
+    """The public response columns of a category."""
+    return df.select("subcategory", "category")
+
+
 def listing_by_id(listing: DataFrame, listing_id: int) -> DataFrame:
     """zero or one listing (``listing_id`` is the key)."""
     return listing.filter(F.col("listing_id") == F.lit(int(listing_id)))

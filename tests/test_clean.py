@@ -173,3 +173,13 @@ def test_keep_latest_plans_partial_limit_before_shuffle(spark):
     df = spark.range(100).select((F.col("id") % 7).alias("listing_id"), F.col("id").cast("timestamp").alias("change_date"))
     plan = C.keep_latest(df)._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan
+
+
+def test_materialized_clean_equals_lazy(spark):
+    from hearth.sources.fixture import raw_listings
+
+    raw = raw_listings(spark, "/root/testdata/sf0.001")
+    lazy_c, lazy_l = clean_listings(raw)
+    mat_c, mat_l = clean_listings(raw, materialize=True)
+    assert sorted(tuple(r) for r in lazy_l.collect()) == sorted(tuple(r) for r in mat_l.collect())
+    assert sorted(tuple(r) for r in lazy_c.collect()) == sorted(tuple(r) for r in mat_c.collect())

@@ -117,3 +117,18 @@ def test_exact_quantiles_match_percentile(spark):
     got = exact_quantiles(df, (0.1, 0.5, 0.99), buckets=8, final_values=5)
     for c in ("a", "b"):
         assert [round(x, 9) for x in got[c]] == [round(x, 9) for x in ref[c]]
+
+
+def test_profile_report_runs_everything(spark):
+    from hearth.operators.clean import cast_known_columns, to_timestamps
+    from hearth.plans.pipeline import clean_frame
+    from hearth.plans.profile_report import profile_report
+    from hearth.sources.fixture import raw_listings
+
+    raw = raw_listings(spark, "/root/testdata/sf0.001")
+    typed = to_timestamps(cast_known_columns(raw)).drop("description_fr")
+    rep = profile_report(typed, clean_frame(raw))
+    assert len(rep) >= 24
+    for name, df in rep.items():
+        df.count()
+    assert rep["key_duplicates"].count() == typed.count() - typed.select("listing_id").distinct().count()

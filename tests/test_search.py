@@ -123,3 +123,25 @@ def test_lookups(small_tables):
             assert [(g.subcategory, g.category) for g in got] == [(row.subcategory, row.category)]
             page, total = S.search_categories(cats, row.category)
             assert row.subcategory in [r.subcategory for r in page.collect()]
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_one_scan_fetch_equals_page_and_total(small_tables, seed):
+    cats, lst = small_tables
+    p = random_params(random.Random(100 + seed))
+    page, total = S.search_listings(lst, cats, p)
+    rows, count = S.fetch_listings(lst, cats, p)
+    assert [tuple(r) for r in rows] == [tuple(r) for r in page.collect()]
+    assert count == total.collect()[0]["count"]
+
+
+def test_public_projection(small_tables):
+    cats, lst = small_tables
+    assert S.public_listing(lst).columns == lst.columns
+    assert S.public_category(cats).columns == ["subcategory", "category"]
+
+
+def test_fetch_with_zero_limit_returns(small_tables):
+    cats, lst = small_tables
+    rows, count = S.fetch_listings(lst, cats, limit=0)
+    assert rows == [] and count == lst.count()
