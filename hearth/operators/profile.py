@@ -36,6 +36,42 @@ def _r(c: Column, digits: int) -> Column:
     return F.round(c, digits) if digits is not None else c
 
 
+def column_histogram(df: DataFrame, numeric=(), text=(), derived: dict[str, Column] | None = None) -> DataFrame:
+    """(column, num, txt, n): every value of the given columns with its count,
+    nulls included (``num`` and ``txt`` both null), in one pass.
+
+    Numeric columns keep their values as doubles (exact for float and whole
+    columns), text columns as strings; ``derived`` adds computed numeric
+    columns (e.g. a length). Partial aggregation collapses repeated values
+    map-side, so a hot value is one row after the shuffle. Several profiles
+    can share one (persisted) histogram instead of each reading the data.
+    """
+    derived = derived or {}
+    none_d, none_s = F.lit(None).cast("double"), F.lit(None).cast("string")
+    exprs = {c: F.struct(F.col(c).cast("double").alias("num"), none_s.alias("txt")) for c in numeric}
+    exprs.update({c: F.struct(e.cast("double").alias("num"), none_s.alias("txt")) for c, e in derived.items()})
+    exprs.update({c: F.struct(none_d.alias("num"), F.col(c).cast("string").alias("txt")) for c in text})
+    names = list(exprs)
+    long = df.select(*[e.alias(c) for c, e in exprs.items()]).unpivot([], names, "column", "v")
+    return long.groupBy("column", F.col("v.num").alias("num"), F.col("v.txt").alias("txt")).agg(
+        F.count(F.lit(1)).alias("n")
+    )
+
+
+def _num_hist(hist: DataFrame, cols) -> DataFrame:
+    """(column, value, n) of the non-null numeric values of ``cols``."""
+    return hist.filter(F.col("column").isin(*cols) & F.col("num").isNotNull()).select(
+        "column", F.col("num").alias("value"), "n"
+    )
+
+
+def _txt_hist(hist: DataFrame, cols) -> DataFrame:
+    """(column, value, n) of the non-null text values of ``cols``."""
+    return hist.filter(F.col("column").isin(*cols) & F.col("txt").isNotNull()).select(
+        "column", F.col("txt").alias("value"), "n"
+    )
+
+
 # ------------------------------------------------------------------ A5 / A13
 SUMMARY_SCHEMA = (
     "column string, count bigint, mean double, std double, min double, "
@@ -58,7 +94,9 @@ def _hist_moments(hist: DataFrame) -> DataFrame:
     return base.join(m2, "column")
 
 
-def numeric_summary(df: DataFrame, cols, approx: bool = False, digits: int | None = 6) -> DataFrame:
+def numeric_summary(
+    df: DataFrame, cols, approx: bool = False, digits: int | None = 6, hist: DataFrame | None = None
+) -> DataFrame:
     """A5: count, mean, sample std, min, quartiles, max per column (long form).
 
     Exact (default): one pass over the data builds a (column, value) -> n
@@ -66,10 +104,11 @@ def numeric_summary(df: DataFrame, cols, approx: bool = False, digits: int | Non
     histogram and the quartiles from the distributed selection of
     ``hearth.operators.quantiles``, so no task ever holds all values of a
     column. The small result is computed eagerly. ``approx=True`` is a
-    single lazy aggregate with ``percentile_approx``.
+    single lazy aggregate with ``percentile_approx``. ``hist`` may be a
+    shared ``column_histogram`` that holds ``cols`` as numeric columns.
     """
-    long = _long(df, cols)
     if approx:
+        long = _long(df, cols)
         v = F.col("value")
         return long.groupBy("column").agg(
             F.count(v).alias("count"),
@@ -80,7 +119,8 @@ def numeric_summary(df: DataFrame, cols, approx: bool = False, digits: int | Non
             F.max(v).alias("max"),
         ).select("column", "count", "mean", "std", "min", *[_r(F.col("q")[i], digits).alias(n) for i, n in
                                                              enumerate(("q25", "q50", "q75"))], "max")
-    hist = Q.histogram(long).persist(StorageLevel.MEMORY_AND_DISK)
+    own = hist is None
+    hist = Q.histogram(_long(df, cols)).persist(StorageLevel.MEMORY_AND_DISK) if own else _num_hist(hist, cols)
     try:
         moments = _hist_moments(hist).collect()
         totals = [dict(column=r["column"], N=r["N"], D=r["D"], lo=r["min"], hi=r["max"]) for r in moments]
@@ -91,7 +131,8 @@ def numeric_summary(df: DataFrame, cols, approx: bool = False, digits: int | Non
             std = math.sqrt(r["M2"] / (n - 1)) if n > 1 else None
             rows.append((r["column"], n, r["mean"], std, r["min"], *qs[r["column"]], r["max"]))
     finally:
-        hist.unpersist()
+        if own:
+            hist.unpersist()
     out = df.sparkSession.createDataFrame(rows, SUMMARY_SCHEMA)
     return out.select(
         "column", "count", *[_r(F.col(c), digits).alias(c) for c in ("mean", "std")], "min",
@@ -121,9 +162,12 @@ def integer_safe(df: DataFrame, cols) -> DataFrame:
     return df.agg(*aggs).unpivot([], list(cols), "column", "integer_safe")
 
 
-def boolean_safe(df: DataFrame, cols) -> DataFrame:
+def boolean_safe(df: DataFrame, cols, hist: DataFrame | None = None) -> DataFrame:
     """(column, n_distinct, boolean_safe): at most two non-null values."""
-    per = _long(df, cols, "string").groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
+    if hist is not None:
+        per = hist.filter(F.col("column").isin(*cols) & (F.col("num").isNotNull() | F.col("txt").isNotNull()))
+    else:
+        per = _long(df, cols, "string").groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
     n = per.groupBy("column").agg(F.count(F.lit(1)).alias("n_distinct"))
     names = df.sparkSession.createDataFrame([(c,) for c in cols], "column string")
     return (
@@ -134,15 +178,14 @@ def boolean_safe(df: DataFrame, cols) -> DataFrame:
 
 
 # ------------------------------------------------------------------ A9 A10 A11 A12
-def value_counts(df: DataFrame, cols) -> DataFrame:
+def value_counts(df: DataFrame, cols, hist: DataFrame | None = None) -> DataFrame:
     """(column, value, count), nulls excluded; partial aggregation on the
     map side collapses hot values before the shuffle."""
-    return (
-        _long(df, cols, "string")
-        .groupBy("column", "value")
-        .agg(F.count(F.lit(1)).alias("count"))
-        .orderBy("column", F.desc("count"), "value")
-    )
+    if hist is not None:
+        vc = _txt_hist(hist, cols).select("column", "value", F.col("n").alias("count"))
+    else:
+        vc = _long(df, cols, "string").groupBy("column", "value").agg(F.count(F.lit(1)).alias("count"))
+    return vc.orderBy("column", F.desc("count"), "value")
 
 
 def pair_counts(df: DataFrame, a: str, b: str, where: Column | None = None) -> DataFrame:
@@ -151,14 +194,19 @@ def pair_counts(df: DataFrame, a: str, b: str, where: Column | None = None) -> D
     return d.groupBy(a, b).agg(F.count(F.lit(1)).alias("count"))
 
 
-def level_shares(df: DataFrame, cols, max_levels: int = 20, digits: int = 6) -> DataFrame:
+def level_shares(
+    df: DataFrame, cols, max_levels: int = 20, digits: int = 6, hist: DataFrame | None = None
+) -> DataFrame:
     """Per column the number of levels and, per level, count and share.
 
     ``show_share`` marks columns with fewer than ``max_levels`` levels (those
     whose share breakdown is meant to be read). Column totals are one row per
     column and are broadcast back.
     """
-    vc = _long(df, cols, "string").groupBy("column", "value").agg(F.count(F.lit(1)).alias("count"))
+    if hist is not None:
+        vc = _txt_hist(hist, cols).select("column", "value", F.col("n").alias("count"))
+    else:
+        vc = _long(df, cols, "string").groupBy("column", "value").agg(F.count(F.lit(1)).alias("count"))
     tot = vc.groupBy("column").agg(F.sum("count").alias("__total"), F.count(F.lit(1)).alias("n_levels"))
     return vc.join(F.broadcast(tot), "column").select(
         "column",
@@ -305,7 +353,7 @@ def dependency_violations(df: DataFrame, lhs: str, rhs: str) -> DataFrame:
 
 
 # ------------------------------------------------------------------ A18
-def iqr_stats(df: DataFrame, cols, k: float = 1.5, digits: int = 6) -> DataFrame:
+def iqr_stats(df: DataFrame, cols, k: float = 1.5, digits: int = 6, hist: DataFrame | None = None) -> DataFrame:
     """Quartiles (linear interpolation), IQR fences and box statistics.
 
     One pass over the data builds the (column, value) -> n histogram; exact
@@ -313,10 +361,10 @@ def iqr_stats(df: DataFrame, cols, k: float = 1.5, digits: int = 6) -> DataFrame
     extreme values inside the fences) and fliers (values outside) from the
     histogram joined with the fences (one row per column, broadcast).
     """
-    long = _long(df, cols)
-    hist = Q.histogram(long).persist(StorageLevel.MEMORY_AND_DISK)
+    own = hist is None
+    hist = Q.histogram(_long(df, cols)).persist(StorageLevel.MEMORY_AND_DISK) if own else _num_hist(hist, cols)
     try:
-        qs = Q.exact_quantiles(long, QUARTILES, hist=hist)
+        qs = Q.exact_quantiles(None, QUARTILES, hist=hist)
         fences = [(c, q1, q2, q3, q3 - q1, q1 - k * (q3 - q1), q3 + k * (q3 - q1)) for c, (q1, q2, q3) in qs.items()]
         f = df.sparkSession.createDataFrame(
             fences, "column string, q1 double, median double, q3 double, iqr double, lower_fence double, upper_fence double"
@@ -331,7 +379,8 @@ def iqr_stats(df: DataFrame, cols, k: float = 1.5, digits: int = 6) -> DataFrame
         )
         rows = box.join(f, "column").collect()
     finally:
-        hist.unpersist()
+        if own:
+            hist.unpersist()
     names = ("column", "count", "q1", "median", "q3", "iqr", "lower_fence", "upper_fence", "mean",
              "whisker_low", "whisker_high", "n_fliers")
     out = df.sparkSession.createDataFrame(
@@ -384,10 +433,13 @@ def zscore_complete_case(
 
 
 # ------------------------------------------------------------------ A21 A22
-def integer_distribution(df: DataFrame, cols, max_levels: int = 100) -> DataFrame:
+def integer_distribution(df: DataFrame, cols, max_levels: int = 100, hist: DataFrame | None = None) -> DataFrame:
     """(column, value, count) ordered by value, for columns with fewer
     than ``max_levels`` distinct values."""
-    vc = _long(df, cols, "bigint").groupBy("column", "value").agg(F.count(F.lit(1)).alias("count"))
+    if hist is not None:
+        vc = _num_hist(hist, cols).select("column", F.col("value").cast("bigint").alias("value"), F.col("n").alias("count"))
+    else:
+        vc = _long(df, cols, "bigint").groupBy("column", "value").agg(F.count(F.lit(1)).alias("count"))
     lv = vc.groupBy("column").agg(F.count(F.lit(1)).alias("n_levels")).filter(F.col("n_levels") < max_levels)
     return vc.join(F.broadcast(lv), "column").orderBy("column", "value")
 
@@ -414,8 +466,15 @@ def future_build_year(df: DataFrame) -> DataFrame:
     return df.filter(F.col("build_year") > F.year("start_date"))
 
 
-def build_year_tails(df: DataFrame, high: int = 2020, low: int = 1700) -> DataFrame:
+def build_year_tails(df: DataFrame, high: int = 2020, low: int = 1700, hist: DataFrame | None = None) -> DataFrame:
     """value counts of build years above ``high`` or below ``low``."""
+    if hist is not None:
+        v = F.col("value")
+        return _num_hist(hist, ["build_year"]).filter((v > high) | (v < low)).select(
+            F.when(v > high, "high").otherwise("low").alias("tail"),
+            v.cast(df.schema["build_year"].dataType).alias("build_year"),
+            F.col("n").alias("count"),
+        )
     by = F.col("build_year")
     return (
         df.filter((by > high) | (by < low))

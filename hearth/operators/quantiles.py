@@ -11,7 +11,7 @@ with billions of distinct values. Here the work is:
    current interval per equal-width bucket (one aggregation over the
    histogram for all groups and ranks at once; the driver receives at most
    ``buckets`` rows per rank), keep the bucket that holds the rank;
-4. once an interval holds at most ``final_values`` distinct values, those
+4. once an interval holds at most ``final_values`` (1M) distinct values, those
    (value, n) rows are read and the rank is resolved exactly.
 
 The interpolation is Spark's own: position ``(N - 1) * p`` between the values
@@ -42,7 +42,7 @@ def _spark_interpolate(pos: float, lo_rank: int, hi_rank: int, v_lo: float, v_hi
 
 
 def select_ranks(hist: DataFrame, targets: dict, group: str = "column", value: str = "value",
-                 buckets: int = 4096, final_values: int = 100_000) -> dict:
+                 buckets: int = 4096, final_values: int = 1_000_000) -> dict:
     """Values at 0-based ranks: ``targets`` maps (group, rank) -> (lo, hi) start interval."""
     spark = hist.sparkSession
     state = {k: dict(lo=lo, hi=hi, base=0) for k, (lo, hi) in targets.items()}
@@ -123,7 +123,7 @@ def column_totals(hist: DataFrame, group: str = "column", value: str = "value")
 
 
 def exact_quantiles(long: DataFrame | None, probs, group: str = "column", value: str = "value",
-                    hist: DataFrame | None = None, buckets: int = 4096, final_values: int = 100_000,
+                    hist: DataFrame | None = None, buckets: int = 4096, final_values: int = 1_000_000,
                     totals: list | None = None) -> dict:
     """{group: [quantile per p]} with Spark's linear interpolation (exact).
 

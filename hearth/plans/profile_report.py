@@ -12,7 +12,9 @@ are already computed; the others are lazy over the checkpoints).
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from hearth.operators import profile as PR
 from hearth.schema import CATEGORICAL_COLUMNS, FLAG_COLUMNS, INTEGER_COLUMNS, MEASURE_COLUMNS
@@ -24,39 +26,51 @@ NUMERIC = MEASURE_COLUMNS + INTEGER_COLUMNS
 def profile_report(typed: DataFrame, cleaned: DataFrame, checkpoint: bool = True) -> dict[str, DataFrame]:
     """All profiles: ``typed`` is the raw load (dates parsed, codes as given),
     ``cleaned`` the deduplicated frame (with ``item_type`` / ``item_subtype``
-    or the stored listing table)."""
+    or the stored listing table).
+
+    Each input feeds one shared ``column_histogram`` (one shuffle pass,
+    persisted) from which the summaries, quartiles, value counts, shares,
+    distributions and tails are derived; row-level profiles (duplicates,
+    outliers, filtered rows) read the checkpointed inputs.
+    """
     if checkpoint:
         ensure_checkpoint_dir(typed.sparkSession)
         typed = typed.checkpoint(eager=True)
         cleaned = cleaned.checkpoint(eager=True)
     cats = [c for c in CATEGORICAL_COLUMNS + ("item_subcategory",) if c in cleaned.columns]
     key = "listing_id"
+    h_typed = PR.column_histogram(
+        typed, numeric=NUMERIC, text=FLAG_COLUMNS, derived={"zipcode_length": F.length("zipcode")}
+    ).persist(StorageLevel.MEMORY_AND_DISK)
+    h_clean = PR.column_histogram(cleaned, numeric=NUMERIC, text=tuple(cats) + FLAG_COLUMNS).persist(
+        StorageLevel.MEMORY_AND_DISK
+    )
     out = {
         # before dedup
-        "numeric_summary_raw": PR.numeric_summary(typed, NUMERIC),
+        "numeric_summary_raw": PR.numeric_summary(typed, NUMERIC, hist=h_typed),
+        "zipcode_length_summary": PR.numeric_summary(typed, ["zipcode_length"], hist=h_typed),
         "column_info": PR.column_info(typed),
         "integer_safe": PR.integer_safe(typed, INTEGER_COLUMNS),
-        "boolean_safe": PR.boolean_safe(typed, FLAG_COLUMNS),
-        "zipcode_length_summary": PR.length_summary(typed, "zipcode"),
+        "boolean_safe": PR.boolean_safe(typed, FLAG_COLUMNS, hist=h_typed),
+        "build_year_tails": PR.build_year_tails(typed, hist=h_typed),
         "zipcode_length_rows": PR.zipcode_length_rows(typed),
         "whole_row_duplicates": PR.whole_row_duplicates(typed),
         "key_duplicates": PR.key_duplicates(typed, (key,)),
         "key_start_duplicates": PR.key_duplicates(typed, (key, "start_date")),
         "future_build_year": PR.future_build_year(typed),
-        "build_year_tails": PR.build_year_tails(typed),
         "date_inversions": PR.date_inversions(typed),
         "missing_flag_rows": PR.missing_rows(typed, "is_furnished"),
         # after dedup
-        "numeric_summary_clean": PR.numeric_summary(cleaned, NUMERIC),
+        "numeric_summary_clean": PR.numeric_summary(cleaned, NUMERIC, hist=h_clean),
+        "iqr_stats": PR.iqr_stats(cleaned, INTEGER_COLUMNS, hist=h_clean),
+        "value_counts": PR.value_counts(cleaned, cats, hist=h_clean),
+        "level_shares": PR.level_shares(cleaned, tuple(cats) + FLAG_COLUMNS, hist=h_clean),
+        "integer_distribution": PR.integer_distribution(cleaned, INTEGER_COLUMNS, hist=h_clean),
         "missing_share": PR.missing_share(cleaned),
-        "value_counts": PR.value_counts(cleaned, cats),
-        "level_shares": PR.level_shares(cleaned, tuple(cats) + FLAG_COLUMNS),
         "zipcode_city_dependency": PR.dependency_violations(cleaned, "zipcode", "city"),
-        "iqr_stats": PR.iqr_stats(cleaned, INTEGER_COLUMNS),
         "zscore_outliers": PR.zscore_outliers(cleaned, NUMERIC),
         "zscore_complete_case_int": PR.zscore_complete_case(cleaned, INTEGER_COLUMNS),
         "zscore_complete_case_float": PR.zscore_complete_case(cleaned, ("price", "area", "site_area")),
-        "integer_distribution": PR.integer_distribution(cleaned, INTEGER_COLUMNS),
         "date_range": PR.date_range(cleaned),
     }
     if "item_subtype" in typed.columns and "item_type" in typed.columns:

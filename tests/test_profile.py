@@ -132,3 +132,32 @@ def test_profile_report_runs_everything(spark):
     for name, df in rep.items():
         df.count()
     assert rep["key_duplicates"].count() == typed.count() - typed.select("listing_id").distinct().count()
+
+
+def test_shared_histogram_gives_same_profiles(spark):
+    from pyspark.sql import functions as F
+
+    from hearth.operators.clean import cast_known_columns, to_timestamps
+    from hearth.plans.pipeline import clean_frame
+    from hearth.schema import FLAG_COLUMNS, INTEGER_COLUMNS, MEASURE_COLUMNS
+    from hearth.sources.fixture import raw_listings
+
+    raw = raw_listings(spark, "/root/testdata/sf0.001")
+    typed = to_timestamps(cast_known_columns(raw)).drop("description_fr")
+    clean = clean_frame(raw)
+    num = MEASURE_COLUMNS + INTEGER_COLUMNS
+    cats = ("transaction_type", "item_type", "item_subtype", "city", "zipcode")
+    ht = PR.column_histogram(typed, numeric=num, text=FLAG_COLUMNS, derived={"zipcode_length": F.length("zipcode")})
+    hc = PR.column_histogram(clean, numeric=num, text=cats + FLAG_COLUMNS)
+
+    def same(a, b):
+        assert sorted(tuple(r) for r in a.collect()) == sorted(tuple(r) for r in b.collect())
+
+    same(PR.numeric_summary(typed, num), PR.numeric_summary(typed, num, hist=ht))
+    same(PR.length_summary(typed), PR.numeric_summary(typed, ["zipcode_length"], hist=ht))
+    same(PR.boolean_safe(typed, FLAG_COLUMNS), PR.boolean_safe(typed, FLAG_COLUMNS, hist=ht))
+    same(PR.build_year_tails(typed), PR.build_year_tails(typed, hist=ht))
+    same(PR.iqr_stats(clean, INTEGER_COLUMNS), PR.iqr_stats(clean, INTEGER_COLUMNS, hist=hc))
+    same(PR.value_counts(clean, cats), PR.value_counts(clean, cats, hist=hc))
+    same(PR.level_shares(clean, cats + FLAG_COLUMNS), PR.level_shares(clean, cats + FLAG_COLUMNS, hist=hc))
+    same(PR.integer_distribution(clean, INTEGER_COLUMNS), PR.integer_distribution(clean, INTEGER_COLUMNS, hist=hc))
