@@ -115,14 +115,19 @@ def ingest_frame(
         .unionByName(R.foreign_key_violations(listing, merged_cats))
         .unionByName(R.update_violations(old_listing, listing, broadcast_incoming=small_batch))
     )
-    violations = cat_bad.unionByName(lst_bad)
+    violations = cat_bad.withColumn("table", F.lit("item_category")).unionByName(
+        lst_bad.withColumn("table", F.lit("listing"))
+    )
     if enforce == "fail":
         sample = violations.limit(20).collect()
         if sample:
             raise IntegrityError(f"batch breaks integrity rules, e.g. {[r.asDict() for r in sample]}")
     else:
-        listing = R.reject(listing, lst_bad, "listing_id")
+        # Written once, then reread: the anti-join below uses the stored
+        # violations instead of evaluating every rule a second time.
         report.written["rejects"] = store.write_version("rejects", violations)
+        stored = spark.read.parquet(report.written["rejects"])
+        listing = R.reject(listing, stored.filter(F.col("table") == "listing"), "listing_id")
 
     if is_empty(cats):
         log.info("no category rows to write")

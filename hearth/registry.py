@@ -720,7 +720,8 @@ query(
 )(lambda spark, sf: PR.key_duplicates(typed(spark, sf), ("listing_id", "start_date")))
 query(
     "w2_occurrence_number",
-    WT(f"SELECT *, row_number() OVER (PARTITION BY listing_id ORDER BY {O.dedup_order_sql()}) AS occurrence FROM typed_eda"),
+    WT(f"SELECT *, CAST(row_number() OVER (PARTITION BY listing_id ORDER BY {O.dedup_order_sql()}) AS INTEGER) AS occurrence "
+       "FROM typed_eda"),
 )(lambda spark, sf: PR.occurrence_number(typed(spark, sf), ("listing_id",)))
 
 query(

@@ -43,6 +43,24 @@ def rows_of(cols, records):
     return sorted(tuple(_norm(r[i]) for i in order) for r in records)
 
 
+# Spark simple type name -> DuckDB type name of the same values.
+SPARK_TO_DUCK = {
+    "bigint": "BIGINT", "int": "INTEGER", "smallint": "SMALLINT", "tinyint": "TINYINT",
+    "float": "FLOAT", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN",
+    "timestamp_ntz": "TIMESTAMP", "date": "DATE",
+}
+
+
+def type_mismatches(sdf, rel) -> list:
+    duck = {name: str(t) for name, t in zip(rel.columns, rel.types)}
+    out = []
+    for f in sdf.schema.fields:
+        want = SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString())
+        if duck.get(f.name) != want:
+            out.append((f.name, f.dataType.simpleString(), duck.get(f.name)))
+    return out
+
+
 def compare(spark, con, name, fn, sql, sf_dir):
     t0 = time.time()
     sdf = fn(spark, sf_dir)
@@ -51,13 +69,17 @@ def compare(spark, con, name, fn, sql, sf_dir):
     t1 = time.time()
     if sql is None:
         return dict(name=name, ok=None, rows=len(s_rows), spark_s=round(t1 - t0, 2), note="no oracle")
-    rel = con.execute(sql)
-    d_cols = [d[0] for d in rel.description]
+    rel = con.sql(sql)
+    d_cols = list(rel.columns)
+    bad_types = type_mismatches(sdf, rel)
     d_rows = rel.fetchall()
     out = dict(name=name, rows=len(s_rows), oracle_rows=len(d_rows), spark_s=round(t1 - t0, 2))
     if sorted(s_cols) != sorted(d_cols):
         out.update(ok=False, note=f"columns differ: spark={s_cols} duck={d_cols}")
         return out
+    if bad_types:
+        out.update(ok=False, note=f"types differ (column, spark, duckdb): {bad_types}")
+        return out
     a, b = rows_of(s_cols, s_rows), rows_of(d_cols, d_rows)
     if a != b:
         diff = [x for x in a if x not in set(b)][:3]

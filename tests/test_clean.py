@@ -183,3 +183,18 @@ def test_materialized_clean_equals_lazy(spark):
     mat_c, mat_l = clean_listings(raw, materialize=True)
     assert sorted(tuple(r) for r in lazy_l.collect()) == sorted(tuple(r) for r in mat_l.collect())
     assert sorted(tuple(r) for r in lazy_c.collect()) == sorted(tuple(r) for r in mat_c.collect())
+
+
+def test_clean_pipeline_with_few_columns(spark):
+    ms = 1_600_000_000_000
+    df = spark.createDataFrame(
+        [(1, ms, ms + 5000, 10.0), (1, ms, ms + 9000, 12.0), (2, ms, None, -1.0), (3, ms, None, 3.0)],
+        "listing_id long, start_date long, change_date long, price double",
+    )
+    cats, lst = clean_listings(df)
+    assert lst.schema == LISTING_SCHEMA
+    rows = sorted((r.listing_id, r.price, r.city, r.build_year) for r in lst.collect())
+    assert rows == [(1, 12.0, None, None), (3, 3.0, None, None)]
+    assert cats.count() == 0 and cats.columns == ["subcategory", "category"]
+    mat_c, mat_l = clean_listings(df, materialize=True)
+    assert sorted(tuple(r) for r in mat_l.collect()) == sorted(tuple(r) for r in lst.collect())
