@@ -261,15 +261,25 @@ def expand_counts(df: DataFrame, count_col: str, chunk: int = EXPAND_CHUNK) -> D
     return small.unionByName(big)
 
 
-def whole_row_duplicates(df: DataFrame) -> DataFrame:
+def whole_row_duplicates(df: DataFrame, prefilter: bool = True) -> DataFrame:
     """Every member of a group of identical rows (nulls compare equal).
 
-    One ``groupBy`` over all columns (partial aggregation collapses copies
-    map-side, so a group of copies is one row after the shuffle), then each
-    duplicated row is expanded back to its count in bounded chunks.
+    With ``prefilter`` a first pass shuffles only a 64-bit hash of each row
+    and keeps the hashes seen more than once; only rows carrying such a hash
+    go on to the exact ``groupBy`` over all columns. When duplicates are rare
+    the wide shuffle shrinks to the candidates; a hash collision only adds a
+    candidate, never a result. Partial aggregation collapses copies
+    map-side in both passes, and each duplicated row is expanded back to its
+    count in bounded chunks.
     """
-    counts = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > 1)
-    return expand_counts(counts, "__n").select(*df.columns)
+    cols = df.columns
+    rows = df
+    if prefilter:
+        h = F.xxhash64(*[F.col(c) for c in cols])
+        seen = df.select(h.alias("__h")).groupBy("__h").agg(F.count(F.lit(1)).alias("__c")).filter(F.col("__c") > 1)
+        rows = df.withColumn("__h", h).join(seen.select("__h"), "__h", "left_semi").drop("__h")
+    counts = rows.groupBy(*cols).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > 1)
+    return expand_counts(counts, "__n").select(*cols)
 
 
 def top1(df: DataFrame, keys, order: list[Column]) -> DataFrame:
@@ -278,17 +288,27 @@ def top1(df: DataFrame, keys, order: list[Column]) -> DataFrame:
     return df.withColumn("__rn", F.row_number().over(w)).filter(F.col("__rn") == 1).drop("__rn")
 
 
-def key_duplicates(df: DataFrame, keys=("listing_id",), order: list[Column] | None = None) -> DataFrame:
+def key_duplicates(
+    df: DataFrame, keys=("listing_id",), order: list[Column] | None = None, prefilter: bool = True
+) -> DataFrame:
     """Second and later rows of each key (the rows keep-latest drops).
 
     As a multiset this is "all rows minus each key's first row": every row
     weighs +1, each key's first row (a top-1, partial limit before its
     shuffle) weighs -1, the weights are summed per distinct row (one
     aggregation; copies collapse map-side) and what remains is expanded in
-    bounded chunks. No key's rows are ever gathered in one task.
+    bounded chunks. With ``prefilter`` only keys seen more than once (a
+    narrow count per key) take part, so unique keys never reach the wide
+    shuffle. No key's rows are ever gathered in one task.
     """
     cols = df.columns
+    keys = list(keys)
     order = order or latest_order(df, tuple(keys))
+    if prefilter:
+        dup = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__c")).filter(F.col("__c") > 1).select(
+            *[F.col(k).alias(f"__k_{k}") for k in keys]
+        )
+        df = df.join(dup, [df[k].eqNullSafe(dup[f"__k_{k}"]) for k in keys], "left_semi")
     plus = df.select(*cols, F.lit(1).alias("__w"))
     minus = top1(df, keys, order).select(*cols, F.lit(-1).alias("__w"))
     rest = plus.unionByName(minus).groupBy(*cols).agg(F.sum("__w").alias("__n")).filter(F.col("__n") > 0)

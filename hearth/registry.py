@@ -31,7 +31,6 @@ from hearth.schema import (
     MEASURE_COLUMNS,
     NON_NEGATIVE_COLUMNS,
     REQUIRED_LISTING_COLUMNS,
-    SUBCATEGORIES,
 )
 from hearth.session import scratch_path
 from hearth.sources import files as FS

@@ -161,3 +161,25 @@ def test_shared_histogram_gives_same_profiles(spark):
     same(PR.value_counts(clean, cats), PR.value_counts(clean, cats, hist=hc))
     same(PR.level_shares(clean, cats + FLAG_COLUMNS), PR.level_shares(clean, cats + FLAG_COLUMNS, hist=hc))
     same(PR.integer_distribution(clean, INTEGER_COLUMNS), PR.integer_distribution(clean, INTEGER_COLUMNS, hist=hc))
+
+
+def test_whole_row_duplicates_prefilter_is_exact(spark):
+    rows = [(i % 7, None if i % 5 == 0 else "x", float(i % 3)) for i in range(60)] + [(99, "solo", 1.0)]
+    df = spark.createDataFrame(rows, "a long, b string, c double")
+    a = sorted(tuple(r) for r in PR.whole_row_duplicates(df).collect())
+    b = sorted(tuple(r) for r in PR.whole_row_duplicates(df, prefilter=False).collect())
+    assert a == b and (99, "solo", 1.0) not in a and len(a) > 0
+
+
+def test_key_duplicates_prefilter_is_exact(spark):
+    from pyspark.sql import functions as F
+
+    rows = [(i % 9 if i < 40 else 100 + i, float(i % 4), "y" if i % 6 else None) for i in range(60)] + [(None, 1.0, "z")] * 2
+    df = spark.createDataFrame(rows, "k long, v double, s string")
+    order = [F.col("v").desc(), F.col("s").asc_nulls_last()]
+    def key(r):
+        return tuple((x is None, x if x is not None else 0) for x in r)
+
+    a = sorted((tuple(r) for r in PR.key_duplicates(df, ["k"], order).collect()), key=key)
+    b = sorted((tuple(r) for r in PR.key_duplicates(df, ["k"], order, prefilter=False).collect()), key=key)
+    assert a == b and len(a) == 40 - 9 + 1
