@@ -198,3 +198,12 @@ def test_clean_pipeline_with_few_columns(spark):
     assert cats.count() == 0 and cats.columns == ["subcategory", "category"]
     mat_c, mat_l = clean_listings(df, materialize=True)
     assert sorted(tuple(r) for r in mat_l.collect()) == sorted(tuple(r) for r in lst.collect())
+
+
+def test_text_dates_are_parsed_when_not_epoch(spark):
+    df = spark.createDataFrame([(1, "2020-01-02 03:04:05", "2020-01-01 00:00:00", 1.0)],
+                               "listing_id long, start_date string, change_date string, price double")
+    _, lst = clean_listings(df, TransformPolicy(date_as_unixtime=False))
+    r = lst.collect()[0]
+    assert r.start_date == dt.datetime(2020, 1, 2, 3, 4, 5)
+    assert r.change_date == r.start_date  # earlier change date clamped to the start

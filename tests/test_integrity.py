@@ -89,3 +89,18 @@ def test_ingest_fail_reject_and_idempotence(spark):
     assert sorted(tuple(r) for r in store.read("listing").collect()) == first
     with pytest.raises(ValueError):
         ingest(spark, feed, root, "json", enforce="maybe")
+
+
+def test_duplicate_keys_without_dedup_fail(spark):
+    from hearth.plans.ingest import ingest_frame
+    from hearth.plans.policies import TransformPolicy
+    from hearth.schema import RAW_SCHEMA
+
+    base = {f.name: None for f in RAW_SCHEMA.fields}
+    row = {**base, "listing_id": 5, "transaction_type": "SELL", "item_type": "HOUSE", "item_subtype": "VILLA",
+           "start_date": 1_600_000_000_000, "change_date": 1_600_000_000_000, "price": 1.0, "city": "c", "zipcode": "75001"}
+    df = spark.createDataFrame([tuple({**row, "price": p}[f.name] for f in RAW_SCHEMA.fields) for p in (1.0, 2.0)], RAW_SCHEMA)
+    with pytest.raises(IntegrityError, match="R7_primary_key"):
+        ingest_frame(df, scratch_path(spark, "dup-store"), TransformPolicy(deduplicate=False), enforce="fail")
+    rep = ingest_frame(df, scratch_path(spark, "dup-store2"), TransformPolicy(), enforce="fail")
+    assert rep.metrics["batch_listings"] == 1

@@ -145,3 +145,15 @@ def test_fetch_with_zero_limit_returns(small_tables):
     cats, lst = small_tables
     rows, count = S.fetch_listings(lst, cats, limit=0)
     assert rows == [] and count == lst.count()
+
+
+def test_null_change_dates_follow_row_store_order(spark):
+    import datetime as dt
+
+    df = spark.createDataFrame(
+        [(1, dt.datetime(2020, 1, 1)), (2, None), (3, dt.datetime(2021, 1, 1)), (4, None)],
+        "listing_id long, change_date timestamp_ntz",
+    )
+    asc = [r.listing_id for r in S.search_listings(df, sort_by_change_date="asc")[0].collect()]
+    desc = [r.listing_id for r in S.search_listings(df, sort_by_change_date="DESC")[0].collect()]
+    assert asc == [1, 3, 2, 4] and desc == [2, 4, 3, 1]
