@@ -11,8 +11,12 @@ with billions of distinct values. Here the work is:
    current interval per equal-width bucket (one aggregation over the
    histogram for all groups and ranks at once; the driver receives at most
    ``buckets`` rows per rank), keep the bucket that holds the rank;
-4. once an interval holds at most ``final_values`` (1M) distinct values, those
-   (value, n) rows are read and the rank is resolved exactly.
+4. once an interval holds at most ``final_values`` (10k) distinct values,
+   those (value, n) rows are read and the rank is resolved exactly.
+
+Groups with at most 1M distinct values skip the rounds: Spark's own
+``percentile`` with the histogram counts as frequencies resolves them on an
+executor with a map of bounded size.
 
 The interpolation is Spark's own: position ``(N - 1) * p`` between the values
 at ranks ``floor`` and ``ceil``. Everything the driver sees is bounded by
@@ -28,6 +32,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 MAX_ROUNDS = 64
+# Distinct values up to which Spark's percentile map (one task per group, on
+# an executor) is used directly.
+PERCENTILE_MAX_DISTINCT = 1_000_000
+# Distinct values of a narrowed interval the driver reads to finish a rank.
+DRIVER_MAX_VALUES = 10_000
 
 
 def histogram(long: DataFrame, group: str = "column", value: str = "value") -> DataFrame:
@@ -42,7 +51,7 @@ def _spark_interpolate(pos: float, lo_rank: int, hi_rank: int, v_lo: float, v_hi
 
 
 def select_ranks(hist: DataFrame, targets: dict, group: str = "column", value: str = "value",
-                 buckets: int = 4096, final_values: int = 1_000_000) -> dict:
+                 buckets: int = 4096, final_values: int = DRIVER_MAX_VALUES) -> dict:
     """Values at 0-based ranks: ``targets`` maps (group, rank) -> (lo, hi) start interval."""
     spark = hist.sparkSession
     state = {k: dict(lo=lo, hi=hi, base=0) for k, (lo, hi) in targets.items()}
@@ -123,20 +132,22 @@ def column_totals(hist: DataFrame, group: str = "column", value: str = "value")
 
 
 def exact_quantiles(long: DataFrame | None, probs, group: str = "column", value: str = "value",
-                    hist: DataFrame | None = None, buckets: int = 4096, final_values: int = 1_000_000,
-                    totals: list | None = None) -> dict:
+                    hist: DataFrame | None = None, buckets: int = 4096, final_values: int = DRIVER_MAX_VALUES,
+                    totals: list | None = None, percentile_max_distinct: int = PERCENTILE_MAX_DISTINCT) -> dict:
     """{group: [quantile per p]} with Spark's linear interpolation (exact).
 
-    Groups with at most ``final_values`` distinct values use Spark's
-    ``percentile`` with the histogram counts as frequencies (its map is
-    bounded by that check); larger groups go through the selection rounds.
+    Groups with at most ``percentile_max_distinct`` distinct values use
+    Spark's ``percentile`` with the histogram counts as frequencies (its map,
+    on an executor, is bounded by that check); larger groups go through the
+    selection rounds, which hand the driver at most ``buckets`` bucket counts
+    and finally at most ``final_values`` values per rank.
     """
     own = hist is None
     if own:
         hist = histogram(long, group, value).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         tot = totals if totals is not None else column_totals(hist, group, value)
-        small = [r[group] for r in tot if r["D"] <= final_values]
+        small = [r[group] for r in tot if r["D"] <= percentile_max_distinct]
         out: dict = {}
         if small:
             pct = F.percentile(F.col(value).cast("double"), F.array(*[F.lit(float(p)) for p in probs]), F.col("n"))
