@@ -51,7 +51,7 @@ def _spark_interpolate(pos: float, lo_rank: int, hi_rank: int, v_lo: float, v_hi
 
 
 def select_ranks(hist: DataFrame, targets: dict, group: str = "column", value: str = "value",
-                 buckets: int = 4096, final_values: int = DRIVER_MAX_VALUES) -> dict:
+                 buckets: int = 1024, final_values: int = DRIVER_MAX_VALUES) -> dict:
     """Values at 0-based ranks: ``targets`` maps (group, rank) -> (lo, hi) start interval."""
     spark = hist.sparkSession
     state = {k: dict(lo=lo, hi=hi, base=0) for k, (lo, hi) in targets.items()}
@@ -132,7 +132,7 @@ def column_totals(hist: DataFrame, group: str = "column", value: str = "value")
 
 
 def exact_quantiles(long: DataFrame | None, probs, group: str = "column", value: str = "value",
-                    hist: DataFrame | None = None, buckets: int = 4096, final_values: int = DRIVER_MAX_VALUES,
+                    hist: DataFrame | None = None, buckets: int = 1024, final_values: int = DRIVER_MAX_VALUES,
                     totals: list | None = None, percentile_max_distinct: int = PERCENTILE_MAX_DISTINCT) -> dict:
     """{group: [quantile per p]} with Spark's linear interpolation (exact).
 
