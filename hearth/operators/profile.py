@@ -289,28 +289,30 @@ def top1(df: DataFrame, keys, order: list[Column]) -> DataFrame:
 
 
 def key_duplicates(
-    df: DataFrame, keys=("listing_id",), order: list[Column] | None = None, prefilter: bool = True
+    df: DataFrame, keys=("listing_id",), order: list[Column] | None = None, hot_rows: int = HOT_KEY_ROWS
 ) -> DataFrame:
     """Second and later rows of each key (the rows keep-latest drops).
 
-    As a multiset this is "all rows minus each key's first row": every row
-    weighs +1, each key's first row (a top-1, partial limit before its
-    shuffle) weighs -1, the weights are summed per distinct row (one
-    aggregation; copies collapse map-side) and what remains is expanded in
-    bounded chunks. With ``prefilter`` only keys seen more than once (a
-    narrow count per key) take part, so unique keys never reach the wide
-    shuffle. No key's rows are ever gathered in one task.
+    The rows whose occurrence number (W2, in the keep-latest order) is above
+    one: keys up to ``hot_rows`` rows are numbered by one window shuffle,
+    hot keys by range partitions, so no key's rows are ever gathered in one
+    task.
+    """
+    return occurrence_number(df, keys, order, hot_rows, "__occ").filter(F.col("__occ") > 1).drop("__occ")
+
+
+def key_duplicates_by_count(df: DataFrame, keys=("listing_id",), order: list[Column] | None = None) -> DataFrame:
+    """A16 as a multiset difference: all rows minus each key's first row.
+
+    Every row weighs +1, each key's first row (a top-1) weighs -1, weights are
+    summed per distinct row (copies collapse map-side) and the remainder is
+    expanded in bounded chunks. Equal to ``key_duplicates``; kept as the
+    cross-check of the numbering path.
     """
     cols = df.columns
-    keys = list(keys)
     order = order or latest_order(df, tuple(keys))
-    if prefilter:
-        dup = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__c")).filter(F.col("__c") > 1).select(
-            *[F.col(k).alias(f"__k_{k}") for k in keys]
-        )
-        df = df.join(dup, [df[k].eqNullSafe(dup[f"__k_{k}"]) for k in keys], "left_semi")
     plus = df.select(*cols, F.lit(1).alias("__w"))
-    minus = top1(df, keys, order).select(*cols, F.lit(-1).alias("__w"))
+    minus = top1(df, list(keys), order).select(*cols, F.lit(-1).alias("__w"))
     rest = plus.unionByName(minus).groupBy(*cols).agg(F.sum("__w").alias("__n")).filter(F.col("__n") > 0)
     return expand_counts(rest, "__n").select(*cols)
 

@@ -14,7 +14,7 @@ with billions of distinct values. Here the work is:
 4. once an interval holds at most ``final_values`` (10k) distinct values,
    those (value, n) rows are read and the rank is resolved exactly.
 
-Groups with at most 1M distinct values skip the rounds: Spark's own
+Groups with at most 10k distinct values skip the rounds: Spark's own
 ``percentile`` with the histogram counts as frequencies resolves them on an
 executor with a map of bounded size.
 
@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 MAX_ROUNDS = 64
 # Distinct values up to which Spark's percentile map (one task per group, on
 # an executor) is used directly.
-PERCENTILE_MAX_DISTINCT = 1_000_000
+PERCENTILE_MAX_DISTINCT = 10_000
 # Distinct values of a narrowed interval the driver reads to finish a rank.
 DRIVER_MAX_VALUES = 10_000
 

@@ -171,7 +171,7 @@ def test_whole_row_duplicates_prefilter_is_exact(spark):
     assert a == b and (99, "solo", 1.0) not in a and len(a) > 0
 
 
-def test_key_duplicates_prefilter_is_exact(spark):
+def test_key_duplicates_paths_agree(spark):
     from pyspark.sql import functions as F
 
     rows = [(i % 9 if i < 40 else 100 + i, float(i % 4), "y" if i % 6 else None) for i in range(60)] + [(None, 1.0, "z")] * 2
@@ -181,5 +181,6 @@ def test_key_duplicates_prefilter_is_exact(spark):
         return tuple((x is None, x if x is not None else 0) for x in r)
 
     a = sorted((tuple(r) for r in PR.key_duplicates(df, ["k"], order).collect()), key=key)
-    b = sorted((tuple(r) for r in PR.key_duplicates(df, ["k"], order, prefilter=False).collect()), key=key)
-    assert a == b and len(a) == 40 - 9 + 1
+    b = sorted((tuple(r) for r in PR.key_duplicates_by_count(df, ["k"], order).collect()), key=key)
+    c = sorted((tuple(r) for r in PR.key_duplicates(df, ["k"], order, hot_rows=3).collect()), key=key)
+    assert a == b == c and len(a) == 40 - 9 + 1
