@@ -95,7 +95,8 @@ def _hist_moments(hist: DataFrame) -> DataFrame:
 
 
 def numeric_summary(
-    df: DataFrame, cols, approx: bool = False, digits: int | None = 6, hist: DataFrame | None = None
+    df: DataFrame, cols, approx: bool = False, digits: int | None = 6, hist: DataFrame | None = None,
+    quantiles: dict | None = None,
 ) -> DataFrame:
     """A5: count, mean, sample std, min, quartiles, max per column (long form).
 
@@ -124,7 +125,7 @@ def numeric_summary(
     try:
         moments = _hist_moments(hist).collect()
         totals = [dict(column=r["column"], N=r["N"], D=r["D"], lo=r["min"], hi=r["max"]) for r in moments]
-        qs = Q.exact_quantiles(None, QUARTILES, hist=hist, totals=totals)
+        qs = quantiles if quantiles is not None else Q.exact_quantiles(None, QUARTILES, hist=hist, totals=totals)
         rows = []
         for r in moments:
             n = r["N"]
@@ -375,7 +376,9 @@ def dependency_violations(df: DataFrame, lhs: str, rhs: str) -> DataFrame:
 
 
 # ------------------------------------------------------------------ A18
-def iqr_stats(df: DataFrame, cols, k: float = 1.5, digits: int = 6, hist: DataFrame | None = None) -> DataFrame:
+def iqr_stats(
+    df: DataFrame, cols, k: float = 1.5, digits: int = 6, hist: DataFrame | None = None, quantiles: dict | None = None
+) -> DataFrame:
     """Quartiles (linear interpolation), IQR fences and box statistics.
 
     One pass over the data builds the (column, value) -> n histogram; exact
@@ -386,8 +389,12 @@ def iqr_stats(df: DataFrame, cols, k: float = 1.5, digits: int = 6, hist: DataFr
     own = hist is None
     hist = Q.histogram(_long(df, cols)).persist(StorageLevel.MEMORY_AND_DISK) if own else _num_hist(hist, cols)
     try:
-        qs = Q.exact_quantiles(None, QUARTILES, hist=hist)
-        fences = [(c, q1, q2, q3, q3 - q1, q1 - k * (q3 - q1), q3 + k * (q3 - q1)) for c, (q1, q2, q3) in qs.items()]
+        qs = quantiles if quantiles is not None else Q.exact_quantiles(None, QUARTILES, hist=hist)
+        fences = [
+            (c, q1, q2, q3, q3 - q1, q1 - k * (q3 - q1), q3 + k * (q3 - q1))
+            for c, (q1, q2, q3) in qs.items()
+            if c in cols
+        ]
         f = df.sparkSession.createDataFrame(
             fences, "column string, q1 double, median double, q3 double, iqr double, lower_fence double, upper_fence double"
         )

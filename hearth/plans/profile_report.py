@@ -12,11 +12,14 @@ are already computed; the others are lazy over the checkpoints).
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hearth.operators import profile as PR
+from hearth.operators import quantiles as Q
 from hearth.schema import CATEGORICAL_COLUMNS, FLAG_COLUMNS, INTEGER_COLUMNS, MEASURE_COLUMNS
 from hearth.session import ensure_checkpoint_dir
 
@@ -45,10 +48,27 @@ def profile_report(typed: DataFrame, cleaned: DataFrame, checkpoint: bool = True
     h_clean = PR.column_histogram(cleaned, numeric=NUMERIC, text=tuple(cats) + FLAG_COLUMNS).persist(
         StorageLevel.MEMORY_AND_DISK
     )
+    # The eager parts are independent small jobs; a few driver threads let
+    # Spark run them side by side.
+    with ThreadPoolExecutor(max_workers=4) as pool:
+        list(pool.map(lambda h: h.count(), (h_typed, h_clean)))
+        typed_num = PR._num_hist(h_typed, NUMERIC + ("zipcode_length",))
+        q_typed = pool.submit(Q.exact_quantiles, None, PR.QUARTILES, hist=typed_num)
+        q_clean = pool.submit(Q.exact_quantiles, None, PR.QUARTILES, hist=PR._num_hist(h_clean, NUMERIC))
+        q_typed, q_clean = q_typed.result(), q_clean.result()
+        jobs = {
+            "summary_typed": pool.submit(
+                PR.numeric_summary, typed, NUMERIC + ("zipcode_length",), hist=h_typed, quantiles=q_typed
+            ),
+            "numeric_summary_clean": pool.submit(PR.numeric_summary, cleaned, NUMERIC, hist=h_clean, quantiles=q_clean),
+            "iqr_stats": pool.submit(PR.iqr_stats, cleaned, INTEGER_COLUMNS, hist=h_clean, quantiles=q_clean),
+        }
+        eager = {k: f.result() for k, f in jobs.items()}
+    summary_typed = eager["summary_typed"]
     out = {
         # before dedup
-        "numeric_summary_raw": PR.numeric_summary(typed, NUMERIC, hist=h_typed),
-        "zipcode_length_summary": PR.numeric_summary(typed, ["zipcode_length"], hist=h_typed),
+        "numeric_summary_raw": summary_typed.filter(F.col("column") != "zipcode_length"),
+        "zipcode_length_summary": summary_typed.filter(F.col("column") == "zipcode_length"),
         "column_info": PR.column_info(typed),
         "integer_safe": PR.integer_safe(typed, INTEGER_COLUMNS),
         "boolean_safe": PR.boolean_safe(typed, FLAG_COLUMNS, hist=h_typed),
@@ -61,8 +81,8 @@ def profile_report(typed: DataFrame, cleaned: DataFrame, checkpoint: bool = True
         "date_inversions": PR.date_inversions(typed),
         "missing_flag_rows": PR.missing_rows(typed, "is_furnished"),
         # after dedup
-        "numeric_summary_clean": PR.numeric_summary(cleaned, NUMERIC, hist=h_clean),
-        "iqr_stats": PR.iqr_stats(cleaned, INTEGER_COLUMNS, hist=h_clean),
+        "numeric_summary_clean": eager["numeric_summary_clean"],
+        "iqr_stats": eager["iqr_stats"],
         "value_counts": PR.value_counts(cleaned, cats, hist=h_clean),
         "level_shares": PR.level_shares(cleaned, tuple(cats) + FLAG_COLUMNS, hist=h_clean),
         "integer_distribution": PR.integer_distribution(cleaned, INTEGER_COLUMNS, hist=h_clean),
