@@ -142,3 +142,52 @@ def ingest_frame(
         ["change_date"],
     )
     return report
+
+
+def main(argv=None) -> None:
+    """Command line: ``spark-submit -m hearth.plans.ingest --input ... --store ...``
+    (or ``python -m hearth.plans.ingest``); the session comes from the
+    launcher's configuration."""
+    import argparse
+    import json
+
+    ap = argparse.ArgumentParser(description="Clean, validate and upsert a listings feed into versioned tables.")
+    ap.add_argument("--input", required=True, help="feed path (file, folder or glob)")
+    ap.add_argument("--store", required=True, help="root folder of the versioned tables")
+    ap.add_argument("--format", default="json", choices=("json", "csv"))
+    ap.add_argument("--enforce", default="fail", choices=ENFORCE_POLICIES)
+    ap.add_argument("--option", action="append", default=[], metavar="KEY=VALUE", help="reader option (repeatable)")
+    ap.add_argument("--no-dedup", action="store_true")
+    ap.add_argument("--no-normalize-enum", action="store_true")
+    ap.add_argument("--no-unixtime", action="store_true", help="dates are text, not epoch milliseconds")
+    ap.add_argument("--keep-negative", action="store_true")
+    ap.add_argument("--keep-invalid-zipcode", action="store_true")
+    ap.add_argument("--no-two-digit-zipcode", action="store_true")
+    ap.add_argument("--zipcode-regex", default=TransformPolicy.zipcode_regex)
+    ap.add_argument("--build-year-policy", default="adjust", choices=("adjust", "drop"))
+    ap.add_argument("--change-date-policy", default="adjust", choices=("adjust", "drop"))
+    ap.add_argument("--listing-partitions", type=int)
+    ap.add_argument("--category-partitions", type=int)
+    a = ap.parse_args(argv)
+    policy = TransformPolicy(
+        date_as_unixtime=not a.no_unixtime,
+        normalize_enum=not a.no_normalize_enum,
+        enforce_non_negative=not a.keep_negative,
+        drop_invalid_zipcode=not a.keep_invalid_zipcode,
+        normalize_two_digits_zc=not a.no_two_digit_zipcode,
+        zipcode_regex=a.zipcode_regex,
+        adjust_build_year_policy=a.build_year_policy,
+        adjust_change_date_policy=a.change_date_policy,
+        deduplicate=not a.no_dedup,
+    )
+    options = dict(o.split("=", 1) for o in a.option)
+    spark = SparkSession.builder.appName("hearth-ingest").getOrCreate()
+    report = ingest(
+        spark, a.input, a.store, a.format, options, policy, a.enforce,
+        {"listing": a.listing_partitions, "item_category": a.category_partitions},
+    )
+    print(json.dumps({"metrics": report.metrics, "written": report.written}, default=str))
+
+
+if __name__ == "__main__":
+    main()

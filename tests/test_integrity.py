@@ -104,3 +104,16 @@ def test_duplicate_keys_without_dedup_fail(spark):
         ingest_frame(df, scratch_path(spark, "dup-store"), TransformPolicy(deduplicate=False), enforce="fail")
     rep = ingest_frame(df, scratch_path(spark, "dup-store2"), TransformPolicy(), enforce="fail")
     assert rep.metrics["batch_listings"] == 1
+
+
+def test_ingest_command_line(spark, capsys):
+    import json
+
+    from hearth.plans.ingest import main
+
+    feed = write_feed(raw_listings(spark, "/root/testdata/sf0.001"), scratch_path(spark, "cli-feed"), "json")
+    root = scratch_path(spark, "cli-store")
+    main(["--input", feed, "--store", root, "--enforce", "reject", "--listing-partitions", "2"])
+    out = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert out["metrics"]["batch_listings"] > 0 and "listing" in out["written"]
+    assert 1 <= len(TableStore(spark, root).read("listing").inputFiles()) <= 2  # S8: two write partitions
