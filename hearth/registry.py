@@ -80,10 +80,9 @@ def cleaned(spark, sf) -> DataFrame:
     return clean_frame(raw(spark, sf))
 
 
-TYPED_CTE = "typed_eda AS (SELECT * EXCLUDE (description_fr) REPLACE ({s} AS start_date, {c} AS change_date) FROM raw)".format(
-    s=O.ts_from_ms("start_date"), c=O.ts_from_ms("change_date")
-)
-CLEANED_TYPES = "SELECT * FROM cleaned"
+TYPED_CTE = (
+    "typed_eda AS (SELECT * EXCLUDE (description_fr) REPLACE ({s} AS start_date, {c} AS change_date) FROM raw)"
+).format(s=O.ts_from_ms("start_date"), c=O.ts_from_ms("change_date"))
 
 
 def W(body: str, extra: str = "", **kw) -> str:
@@ -102,7 +101,8 @@ def union_all(parts) -> str:
     return "\nUNION ALL\n".join(parts)
 
 
-def q(name):  # quoted identifier
+def q(name: str) -> str:
+    """A quoted SQL identifier (``column`` is a keyword in DuckDB)."""
     return f'"{name}"'
 
 
