@@ -104,25 +104,30 @@ HEADLINE = ("clean_pipeline", "ingest_job", "search", "upsert", "profile")
 def main() -> None:
     spark = local_session(CPUS, shuffle_partitions=int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", "16")))
     b = Bench(spark)
-    times = {}
+    times, errors = {}, {}
     for name in HEADLINE:
         fn = getattr(b, name)
-        fn()  # warm-up
-        runs = []
-        for _ in range(REPEAT):
-            t0 = time.perf_counter()
-            fn()
-            runs.append(time.perf_counter() - t0)
-        times[name] = round(statistics.median(runs), 3)
+        try:
+            fn()  # warm-up
+            runs = []
+            for _ in range(REPEAT):
+                t0 = time.perf_counter()
+                fn()
+                runs.append(time.perf_counter() - t0)
+            times[name] = round(statistics.median(runs), 3)
+        except Exception as e:  # report the failure in the one JSON line
+            times[name] = None
+            errors[name] = f"{type(e).__name__}: {str(e)[:300]}"
     sf = os.path.basename(SF_DIR.rstrip("/")).replace("sf", "")
     print(json.dumps({
         "metric": "sum of median seconds over headline workloads",
-        "value": round(sum(times.values()), 3),
+        "value": round(sum(t for t in times.values() if t is not None), 3),
         "unit": "sec",
         "queries": times,
         "sf": float(sf) if sf.replace(".", "", 1).isdigit() else sf,
         "cpus": int(CPUS),
         "repeat": REPEAT,
+        **({"errors": errors} if errors else {}),
     }), flush=True)
 
 

@@ -184,3 +184,10 @@ def test_key_duplicates_paths_agree(spark):
     b = sorted((tuple(r) for r in PR.key_duplicates_by_count(df, ["k"], order).collect()), key=key)
     c = sorted((tuple(r) for r in PR.key_duplicates(df, ["k"], order, hot_rows=3).collect()), key=key)
     assert a == b == c and len(a) == 40 - 9 + 1
+
+
+def test_numeric_summary_approx_is_close(nums):
+    exact = {r.column: r for r in PR.numeric_summary(nums, ["a"]).collect()}["a"]
+    approx = {r.column: r for r in PR.numeric_summary(nums, ["a"], approx=True).collect()}["a"]
+    assert approx["count"] == exact["count"] and approx["mean"] == exact["mean"]
+    assert approx["q50"] in (2.0, 3.0) and approx["max"] == 100.0
