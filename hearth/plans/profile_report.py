@@ -98,3 +98,24 @@ def profile_report(typed: DataFrame, cleaned: DataFrame, checkpoint: bool = True
     if "item_subtype" in cleaned.columns and "item_type" in cleaned.columns:
         out["subtype_type_dependency"] = PR.dependency_violations(cleaned, "item_subtype", "item_type")
     return out
+
+
+def write_report(report: dict[str, DataFrame], root: str, workers: int = 4) -> dict[str, str]:
+    """Write every profile result as parquet under ``root`` (one folder per
+    result) and return the paths.
+
+    Results stay on shared storage, never on the driver: some are row-level
+    (duplicates, outliers) and grow with the data. The writes are
+    independent jobs, submitted from a few driver threads so Spark can run
+    them side by side.
+    """
+    root = root.rstrip("/")
+
+    def write(item):
+        name, df = item
+        path = f"{root}/{name}"
+        df.write.mode("errorifexists").parquet(path)
+        return name, path
+
+    with ThreadPoolExecutor(max_workers=workers) as pool:
+        return dict(pool.map(write, report.items()))

@@ -191,3 +191,18 @@ def test_numeric_summary_approx_is_close(nums):
     approx = {r.column: r for r in PR.numeric_summary(nums, ["a"], approx=True).collect()}["a"]
     assert approx["count"] == exact["count"] and approx["mean"] == exact["mean"]
     assert approx["q50"] in (2.0, 3.0) and approx["max"] == 100.0
+
+
+def test_write_report(spark):
+    from hearth.operators.clean import cast_known_columns, to_timestamps
+    from hearth.plans.pipeline import clean_frame
+    from hearth.plans.profile_report import profile_report, write_report
+    from hearth.session import scratch_path
+    from hearth.sources.fixture import raw_listings
+
+    raw = raw_listings(spark, "/root/testdata/sf0.001")
+    typed = to_timestamps(cast_known_columns(raw)).drop("description_fr")
+    rep = profile_report(typed, clean_frame(raw))
+    paths = write_report(rep, scratch_path(spark, "report"))
+    assert set(paths) == set(rep)
+    assert spark.read.parquet(paths["key_duplicates"]).count() == rep["key_duplicates"].count()
