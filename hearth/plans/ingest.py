@@ -33,7 +33,7 @@ from hearth.plans.policies import TransformPolicy
 from hearth.schema import ITEM_CATEGORY_KEY, ITEM_CATEGORY_SCHEMA, LISTING_KEY, LISTING_SCHEMA
 from hearth.session import ensure_checkpoint_dir
 from hearth.sources.files import read_input
-from hearth.sources.tables import TableStore, is_empty
+from hearth.sources.tables import TableStore
 
 log = logging.getLogger(__name__)
 
@@ -127,9 +127,12 @@ def ingest_frame(
         # violations instead of evaluating every rule a second time.
         report.written["rejects"] = store.write_version("rejects", violations)
         stored = spark.read.parquet(report.written["rejects"])
-        listing = R.reject(listing, stored.filter(F.col("table") == "listing"), "listing_id")
+        bad_listings = stored.filter(F.col("table") == "listing")
+        report.metrics["rejected_listings"] = bad_listings.select("key").distinct().count()
+        listing = R.reject(listing, bad_listings, "listing_id")
 
-    if is_empty(cats):
+    report.metrics["category_rows"] = cats.count()  # one row per subcategory
+    if report.metrics["category_rows"] == 0:
         log.info("no category rows to write")
     else:
         report.written["item_category"] = store.write_version(

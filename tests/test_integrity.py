@@ -81,6 +81,7 @@ def test_ingest_fail_reject_and_idempotence(spark):
     assert store.versions("listing") == []  # nothing written on failure
     rep = ingest(spark, feed, root, "json", enforce="reject")
     assert rep.metrics["raw_rows"] > 0 and rep.metrics["max_start_year"] is not None
+    assert rep.metrics["rejected_listings"] > 0 and rep.metrics["category_rows"] > 0
     first = sorted(tuple(r) for r in store.read("listing").collect())
     bad = store.read("rejects")
     assert bad.filter(F.col("rule") == "R4_format").count() > 0
