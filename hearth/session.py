@@ -54,3 +54,28 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared checkpoint folder for written tables."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def recommended_conf(input_bytes: int, target_partition_bytes: int = 200 << 20) -> dict[str, str]:
+    """Settings sized to the input for a cluster run (apply with
+    ``SparkSession.builder.config(k, v)`` or ``spark.conf.set``).
+
+    * one shuffle partition per ~200 MB of input, at least 200 (AQE coalesces
+      small ones and splits skewed ones at run time);
+    * 256 MB file splits;
+    * AQE on, with skew-join splitting, and a 256 MB advisory partition size.
+
+    ``spark.checkpoint.dir`` is not set here: it must name the cluster's
+    shared folder and comes from the cluster's own configuration.
+    """
+    partitions = max(200, -(-int(input_bytes) // target_partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.files.maxPartitionBytes": str(256 << 20),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 << 20),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(256 << 20),
+    }
