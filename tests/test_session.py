@@ -4,7 +4,7 @@ from hearth.session import ensure_checkpoint_dir, recommended_conf
 def test_recommended_conf_scales_with_input():
     small, big = recommended_conf(1 << 30), recommended_conf(100 * (1 << 40))
     assert small["spark.sql.shuffle.partitions"] == "200"
-    assert int(big["spark.sql.shuffle.partitions"]) == 512000
+    assert int(big["spark.sql.shuffle.partitions"]) == 524288  # 100 TiB / 200 MiB
     assert big["spark.sql.adaptive.skewJoin.enabled"] == "true"
     assert "spark.checkpoint.dir" not in big
 
