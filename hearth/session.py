@@ -38,15 +38,21 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     On a cluster the setting names a shared (distributed) folder and is used
-    as is. Only when it is unset (a local test run) is a fresh local folder
-    chosen.
+    as is. When it is unset (a local test run), the context's checkpoint
+    folder is used if one was set, else a fresh local folder is chosen for
+    the context (the setting itself is a startup setting and stays as it is).
     """
+    sc = spark.sparkContext
     d = spark.conf.get("spark.checkpoint.dir", None)
-    if not d:
-        d = tempfile.mkdtemp(prefix="hearth-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(d)
+    if d:
+        if sc.getCheckpointDir() is None:
+            sc.setCheckpointDir(d)
+        return d
+    current = sc.getCheckpointDir()
+    if current:
+        return current
+    d = tempfile.mkdtemp(prefix="hearth-ckpt-")
+    sc.setCheckpointDir(d)
     return d
 
 

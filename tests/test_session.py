@@ -10,5 +10,9 @@ def test_recommended_conf_scales_with_input():
 
 
 def test_checkpoint_dir_comes_from_the_session(spark):
-    d = spark.conf.get("spark.checkpoint.dir")
-    assert ensure_checkpoint_dir(spark) == d
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    d = ensure_checkpoint_dir(spark)
+    if configured:
+        assert d == configured
+    assert spark.sparkContext.getCheckpointDir() is not None
+    assert spark.range(3).checkpoint().count() == 3
