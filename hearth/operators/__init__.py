@@ -1,0 +1 @@
+"""DataFrame operators: clean steps, search, integrity rules, upsert, profiles, quantiles."""

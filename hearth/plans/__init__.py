@@ -1,0 +1 @@
+"""Composites: the clean pipeline, the ingest job, the profile report, transform policies."""
