@@ -88,16 +88,18 @@ def ingest_frame(
         F.count(F.lit(1)).alias("prepared_rows"),
         (F.max(F.year("start_date")) if has_start else F.lit(None).cast("int")).alias("max_start_year"),
     )
-    staged = dedup_stage(pre, policy).checkpoint(eager=True)
-    report.metrics.update(obs_raw.get)
-    report.metrics.update(obs_pre.get)
+    obs_batch = Observation("batch")
+    staged = (
+        dedup_stage(pre, policy).observe(obs_batch, F.count(F.lit(1)).alias("batch_listings")).checkpoint(eager=True)
+    )
+    for obs in (obs_raw, obs_pre, obs_batch):
+        report.metrics.update(obs.get)
     max_year = report.metrics.get("max_start_year")
     final = finish_stage(staged, policy, F.lit(max_year).cast("int"))
 
-    # The batch is read from the checkpoint, so counting it is cheap; the
-    # count decides whether its keys may be broadcast against the stored table.
-    batch_rows = staged.count()
-    report.metrics["batch_listings"] = batch_rows
+    # The batch size, observed during the checkpoint, decides whether its
+    # keys may be broadcast against the stored table.
+    batch_rows = report.metrics["batch_listings"]
     small_batch = batch_rows <= BROADCAST_KEYS_MAX
 
     cats, listing = item_categories(final), listing_projection(final)
