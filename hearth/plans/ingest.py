@@ -3,18 +3,21 @@
 One pass over the raw input:
 
 1. read the feed with an explicit schema (S1/S2);
-2. prepare + dedup in one plan; an ``Observation`` on the prepared frame
-   collects the raw/prepared row counts and the maximum start year (A2, A3)
-   as side metrics of that same pass;
+2. prepare + dedup in one plan; ``Observation``s collect the raw, prepared
+   and deduplicated row counts and the maximum start year (A2, A3) as side
+   metrics of that same pass;
 3. the deduplicated frame is checkpointed (reliably, into the shared folder
-   named by ``spark.checkpoint.dir``), which cuts the lineage: validation,
-   the two table writes and the counts reread it instead of the raw feed,
-   and a lost executor recomputes from the checkpoint, not from the feed;
+   named by ``spark.checkpoint.dir``), which cuts the lineage: validation
+   and the two table writes reread it instead of the raw feed, and a lost
+   executor recomputes from the checkpoint, not from the feed;
 4. the build-year rewrite uses the observed maximum as a literal;
 5. rules R1–R9 are checked before anything is written ('fail' raises,
-   'reject' writes the violations and keeps only clean keys);
+   'reject' writes the violations once and keeps only clean keys); the
+   batch size decides whether its keys are broadcast against the stored
+   table (R8/R9 and the upsert) or joined by a sort-merge join;
 6. item_category is merged and written first, then listing (FK order), each
-   as a new table version (all-or-nothing per table).
+   as a new table version (all-or-nothing per table), the listing sorted by
+   ``change_date`` within files.
 """
 
 from __future__ import annotations
