@@ -124,10 +124,14 @@ def select_ranks(hist: DataFrame, targets: dict, group: str = "column", value: s
 
 
 def column_totals(hist: DataFrame, group: str = "column", value: str = "value") -> list:
-    """Per group: N (values), D (distinct values), lo, hi."""
+    """Per group: N (values), D (distinct values), nan (NaN values), and the
+    range lo..hi of the values that are not NaN."""
     v = F.col(value).cast("double")
+    real = F.when(~F.isnan(v), v)
     return hist.groupBy(group).agg(
-        F.sum("n").alias("N"), F.count(F.lit(1)).alias("D"), F.min(v).alias("lo"), F.max(v).alias("hi")
+        F.sum("n").alias("N"), F.count(F.lit(1)).alias("D"),
+        F.sum(F.when(F.isnan(v), F.col("n")).otherwise(0)).alias("nan"),
+        F.min(real).alias("lo"), F.max(real).alias("hi"),
     ).collect()
 
 
@@ -153,27 +157,33 @@ def exact_quantiles(long: DataFrame | None, probs, group: str = "column", value:
             pct = F.percentile(F.col(value).cast("double"), F.array(*[F.lit(float(p)) for p in probs]), F.col("n"))
             for r in hist.filter(F.col(group).isin(small)).groupBy(group).agg(pct.alias("q")).collect():
                 out[r[group]] = list(r["q"])
-        targets, plan = {}, {}
-        for r in tot:
-            g, n = r[group], r["N"]
-            if g in out:
-                continue
-            for p in probs:
-                pos = (n - 1) * float(p)
-                lo_rank, hi_rank = math.floor(pos), math.ceil(pos)
-                plan[(g, p)] = (pos, lo_rank, hi_rank)
-                targets[(g, lo_rank)] = (r["lo"], r["hi"])
-                targets[(g, hi_rank)] = (r["lo"], r["hi"])
-        picked = select_ranks(hist, targets, group, value, buckets, final_values) if targets else {}
-        for r in tot:
-            g = r[group]
-            if g in out:
-                continue
-            out[g] = [
-                _spark_interpolate(plan[(g, p)][0], plan[(g, p)][1], plan[(g, p)][2],
-                                   picked[(g, plan[(g, p)][1])], picked[(g, plan[(g, p)][2])])
-                for p in probs
-            ]
+        big = [r[group] for r in tot if r[group] not in out]
+        if big:
+            # NaN sorts above every number (as in Spark): ranks past the real
+            # values are NaN, the others are selected among real values only.
+            real_hist = hist.filter(~F.isnan(F.col(value).cast("double")))
+            targets, plan, nan_from = {}, {}, {}
+            for r in column_totals(hist.filter(F.col(group).isin(big)), group, value):
+                g, n = r[group], r["N"]
+                nan_from[g] = n - r["nan"]
+                for p in probs:
+                    pos = (n - 1) * float(p)
+                    lo_rank, hi_rank = math.floor(pos), math.ceil(pos)
+                    plan[(g, p)] = (pos, lo_rank, hi_rank)
+                    for rank in (lo_rank, hi_rank):
+                        if rank < nan_from[g]:
+                            targets[(g, rank)] = (r["lo"], r["hi"])
+            picked = select_ranks(real_hist, targets, group, value, buckets, final_values) if targets else {}
+
+            def at(g, rank):
+                return float("nan") if rank >= nan_from[g] else picked[(g, rank)]
+
+            for g in nan_from:
+                out[g] = [
+                    _spark_interpolate(plan[(g, p)][0], plan[(g, p)][1], plan[(g, p)][2],
+                                       at(g, plan[(g, p)][1]), at(g, plan[(g, p)][2]))
+                    for p in probs
+                ]
         return out
     finally:
         if own:

@@ -206,3 +206,20 @@ def test_write_report(spark):
     paths = write_report(rep, scratch_path(spark, "report"))
     assert set(paths) == set(rep)
     assert spark.read.parquet(paths["key_duplicates"]).count() == rep["key_duplicates"].count()
+
+
+def test_exact_quantiles_with_nan_in_both_paths(spark):
+    import math
+
+    from pyspark.sql import functions as F
+
+    from hearth.operators.quantiles import exact_quantiles
+
+    vals = [float(i % 997) for i in range(5000)] + [float("nan")] * 300
+    df = spark.createDataFrame([("a", v) for v in vals] + [("b", float("nan"))], "column string, value double")
+    probs = (0.25, 0.5, 0.97, 0.99)
+    ref = {r.column: r.q for r in df.groupBy("column").agg(F.percentile("value", F.array(*[F.lit(p) for p in probs])).alias("q")).collect()}
+    for pmd in (100000, 1):
+        got = exact_quantiles(df, probs, percentile_max_distinct=pmd, final_values=5, buckets=8)
+        for c in ("a", "b"):
+            assert all((math.isnan(x) and math.isnan(y)) or x == y for x, y in zip(got[c], ref[c])), (pmd, c)
