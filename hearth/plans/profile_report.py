@@ -1,10 +1,10 @@
 """The full data-quality profile (A5–A22, F21–F27) as one composite.
 
 The exploration reads the raw feed once: the typed load and the cleaned
-table are checkpointed (reliably, into ``spark.checkpoint.dir``) and every
-profile reads the checkpoints instead of re-parsing or re-joining the feed.
-Checkpoint files are row-oriented, which suits these profiles: together they
-read every column.
+table are written as parquet tables in the shared folder named by
+``spark.checkpoint.dir`` and every profile reads those instead of re-parsing
+or re-joining the feed. Parquet (rather than a row-oriented checkpoint) lets
+each profile read only its own columns.
 
 Results are returned as a dict name -> DataFrame (the quantile-based ones
 are already computed; the others are lazy over the checkpoints).
@@ -21,11 +21,19 @@ from pyspark.sql import functions as F
 from hearth.operators import profile as PR
 from hearth.operators import quantiles as Q
 from hearth.schema import CATEGORICAL_COLUMNS, FLAG_COLUMNS, INTEGER_COLUMNS, MEASURE_COLUMNS
-from hearth.session import ensure_checkpoint_dir
+from hearth.session import scratch_path
 
 NUMERIC = MEASURE_COLUMNS + INTEGER_COLUMNS
 
 
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as a parquet table in the shared folder and read it back
+    (cuts the lineage; later reads prune columns)."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.mode("errorifexists").parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def profile_report(typed: DataFrame, cleaned: DataFrame, checkpoint: bool = True) -> dict[str, DataFrame]:
     """All profiles: ``typed`` is the raw load (dates parsed, codes as given),
     ``cleaned`` the deduplicated frame (with ``item_type`` / ``item_subtype``
@@ -37,9 +45,8 @@ def profile_report(typed: DataFrame, cleaned: DataFrame, checkpoint: bool = True
     outliers, filtered rows) read the checkpointed inputs.
     """
     if checkpoint:
-        ensure_checkpoint_dir(typed.sparkSession)
-        typed = typed.checkpoint(eager=True)
-        cleaned = cleaned.checkpoint(eager=True)
+        typed = materialize(typed, "profile-typed")
+        cleaned = materialize(cleaned, "profile-cleaned")
     cats = [c for c in CATEGORICAL_COLUMNS + ("item_subcategory",) if c in cleaned.columns]
     key = "listing_id"
     h_typed = PR.column_histogram(
