@@ -328,15 +328,23 @@ def occurrence_number(
     hot keys (at most N / hot_rows keys, so their list is small and is
     broadcast) are range-partitioned on (key, order), numbered inside each
     range partition, and shifted by the row counts of the key's earlier
-    partitions: a hot key is spread over many tasks instead of one.
+    partitions: a hot key is spread over many tasks instead of one. The
+    hot-key list is computed first (one small job); without hot keys only
+    the window runs.
     """
     keys = list(keys)
     order = order or latest_order(df, tuple(keys))
     # At most N / hot_rows keys qualify, so the hot-key list is small by
-    # construction and safe to broadcast.
-    hot = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__cnt")).filter(F.col("__cnt") > hot_rows).select(
-        *[F.col(k).alias(f"__h_{k}") for k in keys]
+    # construction and safe to broadcast. It is computed once (persisted);
+    # when it is empty every key is proven small and one window does it all.
+    hot = (
+        df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__cnt")).filter(F.col("__cnt") > hot_rows)
+        .select(*[F.col(k).alias(f"__h_{k}") for k in keys])
+        .persist(StorageLevel.MEMORY_AND_DISK)
     )
+    if hot.isEmpty():
+        hot.unpersist()
+        return df.withColumn(name, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
     cond = [df[k].eqNullSafe(hot[f"__h_{k}"]) for k in keys]
     cold_rows = df.join(F.broadcast(hot), cond, "left_anti")
     cold = cold_rows.withColumn(name, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
