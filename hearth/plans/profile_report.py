@@ -7,7 +7,9 @@ or re-joining the feed. Parquet (rather than a row-oriented checkpoint) lets
 each profile read only its own columns.
 
 Results are returned as a dict name -> DataFrame (the quantile-based ones
-are already computed; the others are lazy over the checkpoints).
+are already computed; the others are lazy over the materialized inputs).
+The two shared histograms stay cached while those frames are in use;
+``spark.catalog.clearCache()`` releases them afterwards.
 """
 
 from __future__ import annotations
