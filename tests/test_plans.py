@@ -65,3 +65,15 @@ def test_no_unpartitioned_window_anywhere(spark):
     cats, lst = clean_listings(raw_listings(spark, "/root/testdata/sf0.001"))
     for df in (lst, cats, C.keep_latest(lst)):
         assert "Exchange SinglePartition" not in plan(df).split("Subquery")[0]
+
+
+def test_materialized_clean_reads_the_checkpoint_not_the_feed(spark):
+    from hearth.plans.pipeline import materialized_frame
+    from hearth.session import scratch_path
+    from hearth.sources.files import read_input, write_feed
+
+    feed = write_feed(raw_listings(spark, "/root/testdata/sf0.001"), scratch_path(spark, "plan-feed"), "json")
+    df, metrics = materialized_frame(read_input(spark, feed, "json"))
+    p = plan(df)
+    assert "Scan ExistingRDD" in p and "FileScan json" not in p
+    assert metrics["prepared_rows"] > 0 and metrics["max_start_year"] is not None
