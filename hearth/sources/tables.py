@@ -62,6 +62,17 @@ class TableStore:
             reader = reader.schema(schema)
         return reader.parquet(path)
 
+    def register_views(self, tables=("listing", "item_category"), prefix: str = "") -> list[str]:
+        """Register the current version of each table as a temporary view
+        (``spark.sql`` over the stored tables); returns the view names."""
+        names = []
+        for t in tables:
+            df = self.read(t)
+            if df is not None:
+                df.createOrReplaceTempView(prefix + t)
+                names.append(prefix + t)
+        return names
+
     # -- S6–S8 -------------------------------------------------------------
     def write_version(self, table: str, df: DataFrame, partitions: int | None = None, sort_within=None) -> str:
         """Write ``df`` as the next version of ``table`` and return its path.

@@ -56,3 +56,19 @@ def test_table_store_versions(spark):
     assert store.versions("t") == [1, 2]
     assert store.read("t").count() == 5
     assert is_empty(spark.range(0)) and not is_empty(spark.range(1))
+
+
+def test_register_views_for_sql(spark):
+    from hearth.plans.pipeline import clean_listings
+    from hearth.sources.fixture import raw_listings
+
+    cats, lst = clean_listings(raw_listings(spark, "/root/testdata/sf0.001"))
+    store = TableStore(spark, scratch_path(spark, "views"))
+    store.write_version("listing", lst)
+    store.write_version("item_category", cats)
+    assert store.register_views(prefix="v_") == ["v_listing", "v_item_category"]
+    n = spark.sql(
+        "SELECT count(*) AS n FROM v_listing l JOIN v_item_category c ON l.item_subcategory = c.subcategory "
+        "WHERE c.category = 'HOUSE'"
+    ).first().n
+    assert n == lst.join(cats, lst.item_subcategory == cats.subcategory).filter("category = 'HOUSE'").count()
