@@ -5,8 +5,8 @@ Workloads (what a user of the listings engine runs):
 * ``clean_pipeline``  K1 over the driver tables (listing + item_category),
                       materialized once (one pass over the feed);
 * ``ingest_job``      K2: JSON feed -> clean -> validate -> upsert into a store;
-* ``search``          four listing searches (page + total each, one scan per
-                      search) and a category page over the stored tables;
+* ``search``          four listing searches (page + total each, as concurrent
+                      jobs) and a category page over the stored tables;
 * ``upsert``          an incoming batch (cleaned in one pass) merged into the
                       stored table;
 * ``profile``         the full data-quality profile (A5–A22, F21–F27) over the

@@ -1,10 +1,10 @@
 """Listing and category search.
 
 A search is one lazy filtered DataFrame; the page and the total are two
-actions over it (``search_listings``), or one scan with the total observed
-while the page is computed (``fetch_listings``). Every optional parameter
-only adds a conjunct, so Catalyst pushes all of them into the parquet scan
-of the stored table.
+actions over it (``search_listings`` returns both lazily, ``fetch_listings``
+runs them as concurrent jobs). Every optional parameter only adds a
+conjunct, so Catalyst pushes all of them into the parquet scan of the stored
+table.
 """
 
 from __future__ import annotations
@@ -174,21 +174,20 @@ def search_listings(listing: DataFrame, item_category: DataFrame | None = None,
 
 
 def fetch_listings(listing: DataFrame, item_category: DataFrame | None = None, params=None, **kw):
-    """L3 in one scan: (page rows, total) of a listing search.
+    """L3 executed: (page rows, total) of a listing search.
 
-    The total is an ``Observation`` on the filtered frame, collected while
-    the ordered page (a top-k, which reads every matching row) is computed,
-    so the table is scanned once instead of once per statement.
+    The page (a top-k) and the count run as two concurrent jobs over the
+    same lazy filtered frame; the count reads only the filter columns. (The
+    total cannot ride on the page's scan: when Spark knows its input is
+    already in page order, the top-k stops reading early.)
     """
-    from pyspark.sql import Observation
+    from concurrent.futures import ThreadPoolExecutor
 
-    p = ListingSearch.of(params, **kw)
-    if p.limit == 0:  # an empty page would let Spark skip the scan the count rides on
-        return [], total(search(listing, item_category, p)).collect()[0]["count"]
-    obs = Observation("search_total")
-    matched = search(listing, item_category, p).observe(obs, F.count(F.lit(1)).alias("count"))
-    rows = page(matched, change_date_order(p.sort_by_change_date), p.skip, p.limit).collect()
-    return rows, obs.get["count"]
+    page_df, total_df = search_listings(listing, item_category, params, **kw)
+    with ThreadPoolExecutor(max_workers=2) as pool:
+        rows = pool.submit(page_df.collect)
+        count = pool.submit(lambda: total_df.collect()[0]["count"])
+        return rows.result(), count.result()
 
 
 def public_listing(df: DataFrame) -> DataFrame:

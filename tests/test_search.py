@@ -157,3 +157,14 @@ def test_null_change_dates_follow_row_store_order(spark):
     asc = [r.listing_id for r in S.search_listings(df, sort_by_change_date="asc")[0].collect()]
     desc = [r.listing_id for r in S.search_listings(df, sort_by_change_date="DESC")[0].collect()]
     assert asc == [1, 3, 2, 4] and desc == [2, 4, 3, 1]
+
+
+def test_fetch_total_when_input_is_already_in_page_order(spark):
+    # The clean pipeline's dedup sorts by listing_id, the default page order:
+    # the total must still count every matching row, not just those read.
+    from hearth.plans.pipeline import clean_listings
+    from hearth.sources.fixture import raw_listings
+
+    cats, lst = clean_listings(raw_listings(spark, "/root/testdata/sf0.001"))
+    rows, count = S.fetch_listings(lst, cats, city="nation_1")
+    assert count == S.search(lst, cats, city="nation_1").count() and count > len(rows) == 100
