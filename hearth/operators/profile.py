@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from hearth.functions.columns import parent_path
 from hearth.operators import quantiles as Q
 from hearth.operators.clean import latest_order
+from hearth.session import ensure_checkpoint_dir
 
 QUARTILES = (0.25, 0.5, 0.75)
 
@@ -354,11 +355,16 @@ def occurrence_number(
     key_order = [F.col(k).asc_nulls_first() for k in keys]
     # Range partitions on (key, order): a hot key spans several partitions,
     # each sorted; the position inside a partition is the local number.
+    # Checkpointed so the partition sizes and the row positions below come
+    # from one and the same evaluation (a second evaluation may draw other
+    # range boundaries).
+    ensure_checkpoint_dir(df.sparkSession)
     ranged = (
         hot_rows_df.repartitionByRange(nparts, *key_order, *order)
         .sortWithinPartitions(*key_order, *order)
         .withColumn("__mid", F.monotonically_increasing_id())
         .withColumn("__pid", F.spark_partition_id())
+        .checkpoint(eager=True)
     )
     starts = ranged.groupBy(*keys, "__pid").agg(F.min("__mid").alias("__start"), F.count(F.lit(1)).alias("__size"))
     before = F.sum("__size").over(Window.partitionBy(*keys).orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1))

@@ -223,3 +223,21 @@ def test_exact_quantiles_with_nan_in_both_paths(spark):
         got = exact_quantiles(df, probs, percentile_max_distinct=pmd, final_values=5, buckets=8)
         for c in ("a", "b"):
             assert all((math.isnan(x) and math.isnan(y)) or x == y for x, y in zip(got[c], ref[c])), (pmd, c)
+
+
+def test_occurrence_number_hot_path_at_size(spark):
+    # Regression: many range partitions per hot key; the numbering must be
+    # exactly the window's (it once drew partition sizes and positions from
+    # two evaluations that disagreed).
+    from pyspark.sql import Window
+    from pyspark.sql import functions as F
+
+    df = spark.range(60000).select(
+        F.when(F.col("id") % 3 == 0, F.lit(7)).when(F.col("id") % 5 == 0, F.lit(11)).otherwise(F.col("id") % 2000).alias("k"),
+        (F.col("id") * 7919 % 1000).cast("double").alias("v"),
+        (F.col("id") % 13).alias("w"),
+    )
+    order = [F.col("v").desc(), F.col("w").asc()]
+    got = PR.occurrence_number(df, ["k"], order, hot_rows=1000)
+    ref = df.withColumn("occurrence", F.row_number().over(Window.partitionBy("k").orderBy(*order)))
+    assert got.exceptAll(ref).count() == 0 and ref.exceptAll(got).count() == 0
