@@ -4,18 +4,26 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hearth.llm import simhash
+from hearth.llm import mixing, pieces, quality, sharding, simhash
 
 SHINGLE, MAX_BITS = 3, 2
+SHARDS = [f"shard-{i:03d}" for i in range(64)]
+MODEL = "piece_bpe_32k.model"
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = quality.judge(_documents(spark, sf_dir))
+    base = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+    return found.select(F.col("id").alias("doc_id"), *base, "base_failed", "quality", "kept")
+
+
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(_documents(spark, sf_dir), "doc_id", "text", SHINGLE, MAX_BITS)
     return found.select(
@@ -25,8 +33,39 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir).select("doc_id", "source", "n_chars")
+    return sharding.place(docs, ["doc_id"], SHARDS)
+
+
+def op8_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    model = public_tokenizers.path(MODEL)
+    docs = _documents(spark, sf_dir).select("doc_id", "text")
+    rows = pieces.decode(pieces.encode(docs, model).select("doc_id", "ids"), model)
+    return rows.select("doc_id", *piece_digests())
+
+
+def piece_digests() -> list[Column]:
+    return [
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join("ids", " "), 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded"), 256).alias("decoded_sha256"),
+    ]
+
+
+def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    taken = mixing.Mix(_documents(spark, sf_dir)).taken()
+    return taken.select(F.col("id").alias("doc_id"), "source", "size", "source_size", "target", "taken")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_quality": op2_quality,
     "op3_simhash": op3_simhash,
+    "op4_sharding": op4_sharding,
+    "op8_pieces": op8_pieces,
+    "op10_mixing": op10_mixing,
 }
 
 # DuckDB text of the queries that SQL can express.
