@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hearth.llm import mixing, pieces, quality, sharding, simhash
+from hearth.llm import mixing, pieces, quality, sharding, simhash, substrings
 
 SHINGLE, MAX_BITS = 3, 2
 SHARDS = [f"shard-{i:03d}" for i in range(64)]
@@ -38,6 +38,11 @@ def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.place(docs, ["doc_id"], SHARDS)
 
 
+def op7_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substrings.remove_repeats(_documents(spark, sf_dir))
+    return found.select(F.col("id").alias("doc_id"), "n_words", "n_removed", F.sha2(F.col("kept"), 256).alias("kept_sha256"))
+
+
 def op8_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -64,6 +69,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality": op2_quality,
     "op3_simhash": op3_simhash,
     "op4_sharding": op4_sharding,
+    "op7_substrings": op7_substrings,
     "op8_pieces": op8_pieces,
     "op10_mixing": op10_mixing,
 }
