@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hearth.llm import mixing, pieces, quality, sharding, simhash, substrings
+from hearth.llm import languages, mixing, pieces, quality, sharding, simhash, substrings
 
 SHINGLE, MAX_BITS = 3, 2
 SHARDS = [f"shard-{i:03d}" for i in range(64)]
@@ -38,6 +38,15 @@ def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.place(docs, ["doc_id"], SHARDS)
 
 
+def op5_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir)
+    fold = F.crc32(F.col("doc_id").cast("string")) % 5  # null ids: not learned from, not held out
+    model = languages.learn(docs.where(fold != 0))
+    return languages.label(docs, model, keep={"held_out": F.coalesce(fold == 0, F.lit(False))}).select(
+        F.col("id").alias("doc_id"), "held_out", "lang_pred", "score", F.size("spans").alias("n_spans")
+    )
+
+
 def op7_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = substrings.remove_repeats(_documents(spark, sf_dir))
     return found.select(F.col("id").alias("doc_id"), "n_words", "n_removed", F.sha2(F.col("kept"), 256).alias("kept_sha256"))
@@ -69,6 +78,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality": op2_quality,
     "op3_simhash": op3_simhash,
     "op4_sharding": op4_sharding,
+    "op5_languages": op5_languages,
     "op7_substrings": op7_substrings,
     "op8_pieces": op8_pieces,
     "op10_mixing": op10_mixing,
