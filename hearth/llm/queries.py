@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hearth.llm import languages, mixing, pieces, quality, sharding, simhash, substrings
+from hearth.llm import languages, lines, mixing, pieces, quality, sharding, simhash, substrings
 
 SHINGLE, MAX_BITS = 3, 2
 SHARDS = [f"shard-{i:03d}" for i in range(64)]
@@ -69,6 +69,11 @@ def piece_digests() -> list[Column]:
     ]
 
 
+def op9_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = lines.fuzzy_lines(_documents(spark, sf_dir))
+    return found.select(F.col("id").alias("doc_id"), "text_hash", "line", "group", "kept")
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     taken = mixing.Mix(_documents(spark, sf_dir)).taken()
     return taken.select(F.col("id").alias("doc_id"), "source", "size", "source_size", "target", "taken")
@@ -81,6 +86,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_languages": op5_languages,
     "op7_substrings": op7_substrings,
     "op8_pieces": op8_pieces,
+    "op9_lines": op9_lines,
     "op10_mixing": op10_mixing,
 }
 
