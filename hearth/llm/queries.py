@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hearth.llm import languages, lines, mixing, pieces, quality, sharding, simhash, substrings
+from hearth.llm import languages, lines, mixing, neighbours, pieces, quality, sharding, simhash, substrings
 
 SHINGLE, MAX_BITS = 3, 2
 SHARDS = [f"shard-{i:03d}" for i in range(64)]
@@ -18,6 +18,12 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op1_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    found = neighbours.nearest(vectors, F.col("vec_id") % 20 == 0)
+    return found.select("query_id", "rank", F.col("id").alias("vec_id"), "score")
+
+
 def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = quality.judge(_documents(spark, sf_dir))
     base = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
@@ -80,6 +86,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_neighbours": op1_neighbours,
     "op2_quality": op2_quality,
     "op3_simhash": op3_simhash,
     "op4_sharding": op4_sharding,
