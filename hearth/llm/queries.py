@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hearth.llm import languages, lines, mixing, neighbours, pieces, quality, sharding, simhash, substrings
+from hearth.llm import languages, licences, lines, mixing, neighbours, pieces, quality, sharding, simhash, substrings
 
 SHINGLE, MAX_BITS = 3, 2
 SHARDS = [f"shard-{i:03d}" for i in range(64)]
@@ -53,6 +53,12 @@ def op5_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir)
+    found = licences.scan(docs, licences.train(docs))
+    return found.select(F.col("id").alias("doc_id"), "paragraph", "family", F.round("probability", 6).alias("probability"), F.round("similarity", 6).alias("similarity"), "confirmed")
+
+
 def op7_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = substrings.remove_repeats(_documents(spark, sf_dir))
     return found.select(F.col("id").alias("doc_id"), "n_words", "n_removed", F.sha2(F.col("kept"), 256).alias("kept_sha256"))
@@ -91,6 +97,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_simhash": op3_simhash,
     "op4_sharding": op4_sharding,
     "op5_languages": op5_languages,
+    "op6_licences": op6_licences,
     "op7_substrings": op7_substrings,
     "op8_pieces": op8_pieces,
     "op9_lines": op9_lines,
