@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hearth.llm.lines import normal_words
+from hearth.llm.text import once
 
 NONE, UNKNOWN = "none", "unknown"
 # Customary wordings of each family (fixed values).
@@ -81,7 +82,7 @@ def column_grams(words: Column) -> Column:
 
 def paragraphs(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("text_hash"), F.posexplode(F.split(text_col, "\n", -1)).alias("paragraph", "text"))
-    return rows.withColumn("words", normal_words(F.col("text")))
+    return rows.select("*", once(normal_words(F.col("text"))).alias("words"))
 
 
 @dataclass
@@ -105,7 +106,7 @@ def _softmax(z: np.ndarray) -> np.ndarray:
     return e / e.sum(axis=1, keepdims=True)
 
 
-def _fit(x: np.ndarray, y: np.ndarray, weight: np.ndarray, classes: int, l2: float = 0.02, steps: int = 600) -> tuple[np.ndarray, np.ndarray]:
+def _fit(x: np.ndarray, y: np.ndarray, weight: np.ndarray, classes: int, l2: float = 0.02, steps: int = 300) -> tuple[np.ndarray, np.ndarray]:
     """Multinomial logistic regression by accelerated gradient steps."""
     x1 = np.column_stack([x, np.ones(len(x))])
     target, w = np.eye(classes)[y], np.zeros((classes, x1.shape[1]))
@@ -129,7 +130,7 @@ def variants(text: str) -> Iterable[list[str]]:
     yield ["copyright", "2020", *words]
 
 
-def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample: int = 4000, common: float = 0.01, least: float = 0.5, similarity: float = 0.6) -> Model:
+def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample: int = 2000, common: float = 0.01, least: float = 0.5, similarity: float = 0.6) -> Model:
     """A model from the templates and the ``sample`` paragraphs with the smallest hashes (equal paragraphs once).
 
     Sampled paragraphs that hold a template are learned as its family, the
@@ -179,10 +180,11 @@ def scan(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     no rows. Texts and lines of any length are scanned whole.
     """
     vocabulary = F.lit(model.vocabulary) if model.vocabulary else F.array().cast("array<string>")
-    rows = paragraphs(docs, id_col, text_col).withColumn("known", F.array_intersect(column_grams(F.col("words")), vocabulary)).where("size(known) > 0")
-    rows = rows.withColumn("at", F.transform("known", lambda g: F.array_position(vocabulary, g).cast("int")))
+    known = F.array_intersect(column_grams(F.col("words")), vocabulary)
+    rows = paragraphs(docs, id_col, text_col).select("*", once(known).alias("known")).where("size(known) > 0")
+    rows = rows.select("*", once(F.transform("known", lambda g: F.array_position(vocabulary, g).cast("int"))).alias("at"))
     total = lambda c: F.aggregate("at", F.lit(float(model.bias[c])), lambda a, i: a + F.element_at(F.lit(model.weights[c].tolist()), i))
-    rows = rows.withColumn("scores", F.array(*(total(c) for c in range(len(model.classes)))))
+    rows = rows.select("*", once(F.array(*(total(c) for c in range(len(model.classes))))).alias("scores"))
     rows = rows.withColumn("top", F.array_max("scores")).withColumn("best", F.array_position("scores", F.col("top")).cast("int"))
     rows = rows.where(F.col("best") < len(model.classes))  # the last is none
     rows = rows.withColumn("probability", 1 / F.aggregate("scores", F.lit(0.0), lambda a, s: a + F.exp(s - F.col("top"))))

@@ -11,10 +11,19 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import Column
+from pyspark.sql import functions as F
 
 # Words for Spark's split(): the separators of the rule above.
 SPACE = r"[\x20\x09-\x0D]+"
 
+
+
+def once(value: Column) -> Column:
+    """``value``, computed once a row: later filters and columns can't copy the expression."""
+    return F.explode_outer(F.array(value))
+
+
 IS_SPACE = np.zeros(256, dtype=bool)
 IS_SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 
