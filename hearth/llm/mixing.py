@@ -26,7 +26,8 @@ from hearth.session import scratch_path
 
 GOLDEN = round((5**0.5 - 1) / 2 * (1 << 40))  # in units of 2^-40
 RUN = 1 << 12  # slots in a run
-PIECE_ROWS = 1 << 14  # documents in a hash range, about
+MOST_SOURCES = 1 << 16  # more raise ValueError: the table of sources is broadcast
+PIECE_ROWS = 1 << 12  # documents in a hash range, about
 
 
 def n_words(text: Column) -> Column:
@@ -111,7 +112,10 @@ class Mix:
         rows.write.parquet(f"{path}/rows")
         rows = self.spark.read.parquet(f"{path}/rows")
         found = rows.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("n"))
-        found = sorted(found.collect(), key=lambda r: (r.source is None, r.source if r.source is None else r.source.encode("utf-8", "surrogatepass")))
+        found = found.limit(MOST_SOURCES + 1).collect()
+        if len(found) > MOST_SOURCES:
+            raise ValueError(f"more than {MOST_SOURCES} sources")
+        found = sorted(found, key=lambda r: (r.source is None, r.source if r.source is None else r.source.encode("utf-8", "surrogatepass")))
         wanted = targets([(r.source, r.source_size) for r in found], weights, share, epochs)
         total = sum(wanted)
         self.n_slots = -(-int(total) // block) if total else 0
@@ -158,17 +162,19 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     a source cuts counts if at least half of it is taken). Documents without words are not taken."""
     taken = Mix(docs, id_col, text_col, **options).taken().where("size > 0")
     # rows equal in id and text share their copies evenly: they are interchangeable
-    times = taken.groupBy("id", "text_hash").agg(F.sum(F.round(F.col("taken") / F.col("size")).cast("long")).alias("__times"), F.count("*").alias("__n")).where("__times > 0")
+    times = taken.groupBy("id", "text_hash").agg(F.sum(F.round(F.col("taken") / F.col("size")).cast("long")).alias("times"), F.count("*").alias("n")).where("times > 0")
     path = scratch_path(docs.sparkSession, "mix-times")
     times.write.parquet(path)
     times = docs.sparkSession.read.parquet(path)
-    rows = docs.withColumn("__h", F.xxhash64(text_col))
-    single = times.where("__n = 1")
-    many = times.where("__n > 1")
-    on = lambda t: rows[id_col].eqNullSafe(t["id"]) & (rows["__h"] == t["text_hash"])
-    out = rows.join(single, on(single)).withColumn("__k", F.explode(F.sequence(F.lit(1), F.col("__times"))))
-    # repeated rows: the first __times mod __n of them are taken once more than the others
-    again = rows.join(many, on(many)).withColumn("__no", F.row_number().over(Window.partitionBy(id_col, "__h").orderBy("__h")))
-    each = F.floor(F.col("__times") / F.col("__n")) + F.when(F.col("__no") <= F.col("__times") % F.col("__n"), 1).otherwise(0)
-    again = again.withColumn("__times", each).where("__times > 0").withColumn("__k", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__times").cast("long"))))
-    return out.select(*docs.columns).unionByName(again.select(*docs.columns))
+    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col(id_col).alias("doc"), F.xxhash64(text_col).alias("h"))
+
+    def of(chosen: DataFrame) -> DataFrame:
+        return rows.join(chosen, rows["doc"].eqNullSafe(chosen["id"]) & (rows["h"] == chosen["text_hash"]))
+
+    copies = F.explode(F.sequence(F.lit(1).cast("long"), F.col("times")))
+    out = of(times.where("n = 1")).select("row", copies)
+    # repeated rows: the first times mod n of them are taken once more than the others
+    again = of(times.where("n > 1")).withColumn("no", F.row_number().over(Window.partitionBy("doc", "h").orderBy("h")))
+    each = F.floor(F.col("times") / F.col("n")) + F.when(F.col("no") <= F.col("times") % F.col("n"), 1).otherwise(0)
+    again = again.withColumn("times", each.cast("long")).where("times > 0").select("row", copies)
+    return out.select("row.*").unionByName(again.select("row.*"))

@@ -94,15 +94,18 @@ def count_texts(column: pa.Array) -> list[np.ndarray]:
     return out
 
 
-def counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, text_hash, counts...) of each row."""
-    rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("text_hash"), F.col(text_col).alias("text"))
+def counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", whole: bool = False) -> DataFrame:
+    """(id, text_hash, counts...) of each row; ``whole``: with the row itself, as the struct ``row``."""
+    kept = [F.col(id_col).alias("id"), F.xxhash64(text_col).alias("text_hash"), *([F.struct(*docs.columns).alias("row")] if whole else [])]
+    rows = docs.select(*kept, F.col(text_col).alias("text"))
+    out = rows.drop("text").withColumns({c: F.lit(0).cast("long") for c in COUNTS}).schema
+    names = out.names
 
     def run(batches):
         for b in batches:
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *map(pa.array, count_texts(b.column(2)))], ["id", "text_hash", *COUNTS])
+            yield pa.RecordBatch.from_arrays([*b.columns[:-1], *map(pa.array, count_texts(b.column(b.num_columns - 1)))], names)
 
-    return rows.mapInArrow(run, f"id {docs.schema[id_col].dataType.simpleString()}, text_hash long, " + ", ".join(f"{c} long" for c in COUNTS))
+    return rows.mapInArrow(run, out)
 
 
 def _vote(value: Column, bad: Column, good: Column) -> Column:
@@ -152,6 +155,26 @@ def estimate(patterns: np.ndarray, times: np.ndarray, steps: int = 200) -> tuple
     return now, share, table
 
 
+def _voted(counted: DataFrame) -> DataFrame:
+    failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
+    return counted.select("*", *(v.alias(k) for k, v in rules().items()), failed.alias("base_failed"))
+
+
+def _qualities(voted: DataFrame) -> DataFrame:
+    """(a vote per rule, quality): the posterior of each pattern of votes, at most 3^rules rows."""
+    names = list(rules())
+    seen = voted.groupBy(*names).count().orderBy(*names).collect()
+    votes = np.array([[r[n] for n in names] for r in seen]).reshape(-1, len(names))
+    quality = estimate(votes, np.array([r["count"] for r in seen]))[0] if seen else []
+    found = [(*v, float(q)) for v, q in zip(votes.tolist(), quality, strict=True)]
+    return F.broadcast(voted.sparkSession.createDataFrame(found, ", ".join(f"{n} int" for n in names) + ", quality double"))
+
+
+def _kept(voted: DataFrame, qualities: DataFrame, threshold: float) -> DataFrame:
+    verdict = (~F.col("base_failed") & (F.col("quality") >= threshold)).alias("kept")
+    return voted.join(qualities, list(rules())).select(*voted.columns, "quality", verdict)
+
+
 def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.5) -> DataFrame:
     """(id, text_hash, counts, a vote per rule, base_failed, quality, kept) of each row.
 
@@ -162,25 +185,13 @@ def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", thres
     vote each time; other columns are ignored; an empty table gives no rows.
     Texts of any length are counted whole.
     """
-    spark, names = docs.sparkSession, list(rules())
-    path = scratch_path(spark, "quality")
-    counted = counts(docs, id_col, text_col)
-    failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
-    counted.select("*", *(v.alias(k) for k, v in rules().items()), failed.alias("base_failed")).write.parquet(path)
+    spark, path = docs.sparkSession, scratch_path(docs.sparkSession, "quality")
+    _voted(counts(docs, id_col, text_col)).write.parquet(path)
     voted = spark.read.parquet(path)
-    seen = voted.groupBy(*names).count().orderBy(*names).collect()  # at most 3^rules rows
-    if not seen:
-        return voted.select("*", F.lit(None).cast("double").alias("quality"), F.lit(None).cast("boolean").alias("kept"))
-    votes = np.array([[r[n] for n in names] for r in seen])
-    quality = estimate(votes, np.array([r["count"] for r in seen]))[0]
-    table = spark.createDataFrame([(*v, q) for v, q in zip(votes.tolist(), quality.tolist(), strict=True)], ", ".join(f"{n} int" for n in names) + ", quality double")
-    return voted.join(F.broadcast(table), names).select(*voted.columns, "quality", (~F.col("base_failed") & (F.col("quality") >= threshold)).alias("kept"))
+    return _kept(voted, _qualities(voted), threshold)
 
 
 def keep_good(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.5) -> DataFrame:
-    """The rows of ``docs`` that ``judge`` keeps. The verdict hangs on the text alone."""
-    path = scratch_path(docs.sparkSession, "quality-kept")
-    judge(docs, id_col, text_col, threshold).where("kept").select(F.col("id").alias("__id"), F.col("text_hash").alias("__hash")).distinct().write.parquet(path)
-    kept = docs.sparkSession.read.parquet(path)
-    rows = docs.withColumn("__h", F.xxhash64(text_col))
-    return rows.join(kept, rows[id_col].eqNullSafe(kept["__id"]) & (rows["__h"] == kept["__hash"]), "left_semi").drop("__h")
+    """The rows of ``docs`` that ``judge`` keeps, with all their columns. Texts are counted twice rather than shuffled."""
+    qualities = _qualities(_voted(counts(docs, id_col, text_col)))
+    return _kept(_voted(counts(docs, id_col, text_col, whole=True)), qualities, threshold).where("kept").select("row.*")

@@ -47,8 +47,7 @@ def place(rows: DataFrame, key_cols: list[str], shards: list[str], size: int = T
     and repeated rows meet in one shard; an existing ``out_col`` is replaced;
     other columns stay; an empty table gives no rows.
     """
-    table = rows.sparkSession.createDataFrame(
-        [(slot, shards[i]) for slot, i in enumerate(fill(shards, size).tolist())], f"__slot long, {out_col} string"
-    )
-    keyed = rows.drop(out_col).withColumn("__slot", F.pmod(F.xxhash64(*key_cols), F.lit(size).cast("long")))
-    return keyed.join(F.broadcast(table), "__slot").drop("__slot")
+    table = rows.sparkSession.createDataFrame([(slot, shards[i]) for slot, i in enumerate(fill(shards, size).tolist())], "slot long, shard string")
+    kept = [c for c in rows.columns if c != out_col]
+    keyed = rows.select(F.struct(*kept).alias("row"), F.pmod(F.xxhash64(*key_cols), F.lit(size).cast("long")).alias("slot"))
+    return keyed.join(F.broadcast(table), "slot").select("row.*", F.col("shard").alias(out_col))

@@ -212,11 +212,13 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sh
     smallest hash of its text. Of rows equal in id and text any one stays."""
     found = near_duplicates(docs, id_col, text_col, shingle, max_bits)
     spark, path = docs.sparkSession, scratch_path(docs.sparkSession, "simhash-keep")
-    order = F.struct(F.col("id").isNull().alias("last"), "id", "text_hash")
-    found.groupBy("group").agg(F.min(order).alias("best")).select(
-        F.col("best.id").alias("__id"), F.col("best.text_hash").alias("__hash")
-    ).distinct().write.parquet(path)
+    order = F.struct(F.col("id").isNull().alias("last"), "id", "text_hash", "n")
+    found.groupBy("group", "id", "text_hash").agg(F.count("*").alias("n")).groupBy("group").agg(F.min(order).alias("best")).select("best.*").write.parquet(path)
     best = spark.read.parquet(path)
-    rows = docs.withColumn("__h", F.xxhash64(text_col))
-    kept = rows.join(best, rows[id_col].eqNullSafe(best["__id"]) & (rows["__h"] == best["__hash"]), "left_semi")
-    return kept.dropDuplicates([id_col, "__h"]).drop("__h")
+    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col(id_col).alias("doc"), F.xxhash64(text_col).alias("h"))
+
+    def of(chosen: DataFrame) -> DataFrame:
+        return rows.join(chosen, rows["doc"].eqNullSafe(chosen["id"]) & (rows["h"] == chosen["text_hash"])).select("row", "doc", "h")
+
+    again = of(best.where("n > 1")).dropDuplicates(["doc", "h"])
+    return of(best.where("n = 1")).unionByName(again).select("row.*")
