@@ -65,6 +65,7 @@ class Pieces:
             self.automaton.add_word(t, (i, len(t)))
         self.automaton.make_automaton()
         self.texts = texts
+        self.silent = {i for i in range(len(texts)) if sp.is_control(i)}
         inside = set().union(*longer)
         alone = re.escape("".join(c for c in map(chr, range(128)) if c not in inside))
         self.units = re.compile(f"{MARK}*[^{MARK}{alone}]+|{MARK}+|[{alone}]" if alone else f"{MARK}*[^{MARK}]+|{MARK}+")
@@ -134,8 +135,21 @@ class Pieces:
 
     def decode(self, ids: list[int]) -> str:
         """The text of ids: control ids are empty, and one leading space goes."""
-        text = b"".join(map(self.bytes_of.__getitem__, ids)).decode("utf-8", "each_byte")
-        return text[1:] if text[:1] == " " else text
+        while ids and ids[-1] in self.silent:
+            ids = ids[:-1]
+        if not self.silent.isdisjoint(ids):  # they also part the bytes of a character
+            parts, at = [], 0
+            for i in [*(i for i, x in enumerate(ids) if x in self.silent), len(ids)]:
+                parts.append(self._joined(ids[at:i]))
+                at = i + 1
+            ids = [x for x in ids if x not in self.silent]
+            text = "".join(parts)
+        else:
+            text = self._joined(ids)
+        return text[1:] if ids and self.texts[ids[0]][:1] == MARK else text
+
+    def _joined(self, ids: list[int]) -> str:
+        return b"".join(map(self.bytes_of.__getitem__, ids)).decode("utf-8", "each_byte")
 
 
 @functools.lru_cache(maxsize=2)
