@@ -158,21 +158,15 @@ def key_violations(df: DataFrame, key: str, rule: str = "R7_primary_key") -> Dat
     )
 
 
-def update_violations(
-    existing: DataFrame, incoming: DataFrame, key: str = "listing_id", broadcast_incoming: bool = False
-) -> DataFrame:
+def update_violations(existing: DataFrame, incoming: DataFrame, key: str = "listing_id") -> DataFrame:
     """R8 start_date must not change; R9 change_date must not decrease.
 
-    Only keys present on both sides are updates; one join, both rules. A
-    caller that has checked the batch is small sets ``broadcast_incoming`` so
-    the stored table is scanned without a shuffle.
+    Only keys present on both sides are updates; one join, both rules.
     """
     old = existing.select(
         F.col(key).alias("__k"), F.col("start_date").alias("__old_start"), F.col("change_date").alias("__old_change")
     )
     inc = incoming.select(key, "start_date", "change_date")
-    if broadcast_incoming:
-        inc = F.broadcast(inc)
     j = inc.join(old, F.col(key) == F.col("__k"))
     hits = [
         _hit("R8_start_date_immutable", "start_date", F.col("start_date") != F.col("__old_start"), F.col("start_date")),
@@ -181,27 +175,11 @@ def update_violations(
     return row_violations(j, key, hits)
 
 
-def validate(
-    listing: DataFrame,
-    item_category: DataFrame,
-    existing_listing: DataFrame | None = None,
-    strict_measures: bool = False,
-) -> DataFrame:
-    """All rules for one batch: rows, keys, foreign key and update rules."""
-    out = (
-        listing_row_violations(listing, strict_measures)
-        .unionByName(category_row_violations(item_category))
-        .unionByName(key_violations(listing, "listing_id"))
-        .unionByName(key_violations(item_category, "subcategory"))
-        .unionByName(foreign_key_violations(listing, item_category))
-    )
-    if existing_listing is not None:
-        out = out.unionByName(update_violations(existing_listing, listing))
-    return out
-
-
 def reject(df: DataFrame, violations: DataFrame, key: str, rules_prefix: tuple[str, ...] | None = None) -> DataFrame:
-    """Rows of ``df`` whose key has no violation (the 'reject' policy's keep set)."""
+    """Rows of ``df`` whose key has no violation (the 'reject' policy's keep set).
+
+    A null key breaks R1 and names no row, so its rows are never kept.
+    """
     v = violations
     if rules_prefix:
         cond = F.lit(False)
@@ -209,4 +187,4 @@ def reject(df: DataFrame, violations: DataFrame, key: str, rules_prefix: tuple[s
             cond = cond | F.col("rule").startswith(p)
         v = v.filter(cond)
     bad = v.select(F.col("key").alias("__bad")).distinct()
-    return df.join(bad, F.col(key).cast("string") == F.col("__bad"), "left_anti")
+    return df.filter(F.col(key).isNotNull()).join(bad, F.col(key).cast("string") == F.col("__bad"), "left_anti")

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from hearth.functions.columns import parent_path
 from hearth.operators import quantiles as Q
 from hearth.operators.clean import latest_order
-from hearth.session import ensure_checkpoint_dir
+from hearth.session import ensure_checkpoint_dir, scratch_path
 
 QUARTILES = (0.25, 0.5, 0.75)
 
@@ -159,8 +159,8 @@ def column_info(df: DataFrame) -> DataFrame:
 
 
 def integer_safe(df: DataFrame, cols) -> DataFrame:
-    """(column, integer_safe): every non-null value is whole."""
-    aggs = [F.bool_and((F.col(c) % 1) == 0).alias(c) for c in cols]
+    """(column, integer_safe): every non-null value is whole (true where there is none)."""
+    aggs = [F.coalesce(F.bool_and((F.col(c) % 1) == 0), F.lit(True)).alias(c) for c in cols]
     return df.agg(*aggs).unpivot([], list(cols), "column", "integer_safe")
 
 
@@ -325,52 +325,48 @@ def occurrence_number(
     """``occurrence`` = 1, 2, ... inside each key, in a declared order
     (default: the keep-latest order, so occurrence 1 is the survivor).
 
-    Keys with at most ``hot_rows`` rows are numbered by a window. Rows of the
-    hot keys (at most N / hot_rows keys, so their list is small and is
-    broadcast) are range-partitioned on (key, order), numbered inside each
-    range partition, and shifted by the row counts of the key's earlier
-    partitions: a hot key is spread over many tasks instead of one. The
-    hot-key list is computed first (one small job); without hot keys only
-    the window runs.
+    Keys (null ones too) with at most ``hot_rows`` rows are numbered by a
+    window. Rows of the other keys are range-partitioned on (key, order) and a
+    salt, numbered inside each range partition, and shifted by the row counts
+    of the key's earlier partitions: a hot key, and copies of one row, are
+    spread over many tasks. The hot keys are found first (one small job,
+    written to the shared folder); Spark joins them by their size.
     """
     keys = list(keys)
     order = order or latest_order(df, tuple(keys))
-    # At most N / hot_rows keys qualify, so the hot-key list is small by
-    # construction and safe to broadcast. It is computed once (persisted);
-    # when it is empty every key is proven small and one window does it all.
-    hot = (
-        df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__cnt")).filter(F.col("__cnt") > hot_rows)
-        .select(*[F.col(k).alias(f"__h_{k}") for k in keys])
-        .persist(StorageLevel.MEMORY_AND_DISK)
-    )
+    spark = df.sparkSession
+    path = scratch_path(spark, "hot-keys")
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__cnt")).filter(F.col("__cnt") > hot_rows)
+    counts.select(*[F.col(k).alias(f"__h_{k}") for k in keys]).write.parquet(path)
+    hot = spark.read.parquet(path)
     if hot.isEmpty():
-        hot.unpersist()
         return df.withColumn(name, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
     cond = [df[k].eqNullSafe(hot[f"__h_{k}"]) for k in keys]
-    cold_rows = df.join(F.broadcast(hot), cond, "left_anti")
-    cold = cold_rows.withColumn(name, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
-
-    hot_rows_df = df.join(F.broadcast(hot), cond, "left_semi")
-    nparts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    key_order = [F.col(k).asc_nulls_first() for k in keys]
-    # Range partitions on (key, order): a hot key spans several partitions,
-    # each sorted; the position inside a partition is the local number.
-    # Checkpointed so the partition sizes and the row positions below come
-    # from one and the same evaluation (a second evaluation may draw other
-    # range boundaries).
-    ensure_checkpoint_dir(df.sparkSession)
+    cold = df.join(hot, cond, "left_anti").withColumn(name, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
+
+    nparts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # The salt parts copies of one row, which are interchangeable. The rows are
+    # checkpointed so that partition sizes and positions below come from one
+    # and the same evaluation.
+    spread = [*[F.col(k).asc_nulls_first() for k in keys], *order, F.col("__salt").asc()]
+    ensure_checkpoint_dir(spark)
     ranged = (
-        hot_rows_df.repartitionByRange(nparts, *key_order, *order)
-        .sortWithinPartitions(*key_order, *order)
+        df.join(hot, cond, "left_semi")
+        .withColumn("__salt", F.rand(0))
+        .repartitionByRange(nparts, *spread)
+        .sortWithinPartitions(*spread)
         .withColumn("__mid", F.monotonically_increasing_id())
         .withColumn("__pid", F.spark_partition_id())
         .checkpoint(eager=True)
     )
     starts = ranged.groupBy(*keys, "__pid").agg(F.min("__mid").alias("__start"), F.count(F.lit(1)).alias("__size"))
     before = F.sum("__size").over(Window.partitionBy(*keys).orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1))
-    offsets = starts.select(*keys, "__pid", "__start", F.coalesce(before, F.lit(0)).alias("__offset"))
-    numbered = ranged.join(offsets, [*keys, "__pid"]).select(
-        *df.columns, (F.col("__mid") - F.col("__start") + 1 + F.col("__offset")).cast("int").alias(name)
+    offsets = starts.select(
+        *[F.col(k).alias(f"__o_{k}") for k in keys], F.col("__pid").alias("__opid"), "__start", F.coalesce(before, F.lit(0)).alias("__offset")
+    )
+    same = [ranged[k].eqNullSafe(offsets[f"__o_{k}"]) for k in keys] + [ranged["__pid"] == offsets["__opid"]]
+    numbered = ranged.join(offsets, same).select(
+        *[ranged[c] for c in df.columns], (F.col("__mid") - F.col("__start") + 1 + F.col("__offset")).cast("int").alias(name)
     )
     return cold.unionByName(numbered)
 
@@ -477,14 +473,18 @@ def zscore_complete_case(
 
 # ------------------------------------------------------------------ A21 A22
 def integer_distribution(df: DataFrame, cols, max_levels: int = 100, hist: DataFrame | None = None) -> DataFrame:
-    """(column, value, count) ordered by value, for columns with fewer
-    than ``max_levels`` distinct values."""
+    """(column, value, count, n_levels, few_levels) ordered by value.
+
+    Every column is listed; ``few_levels`` marks those with fewer than
+    ``max_levels`` distinct values (the ones worth a bar chart).
+    """
     if hist is not None:
         vc = _num_hist(hist, cols).select("column", F.col("value").cast("bigint").alias("value"), F.col("n").alias("count"))
     else:
         vc = _long(df, cols, "bigint").groupBy("column", "value").agg(F.count(F.lit(1)).alias("count"))
-    lv = vc.groupBy("column").agg(F.count(F.lit(1)).alias("n_levels")).filter(F.col("n_levels") < max_levels)
-    return vc.join(F.broadcast(lv), "column").orderBy("column", "value")
+    lv = vc.groupBy("column").agg(F.count(F.lit(1)).alias("n_levels"))
+    # one row per column of the frame
+    return vc.join(F.broadcast(lv), "column").withColumn("few_levels", F.col("n_levels") < max_levels).orderBy("column", "value")
 
 
 def date_range(df: DataFrame, col: str = "start_date") -> DataFrame:

@@ -124,13 +124,15 @@ def select_ranks(hist: DataFrame, targets: dict, group: str = "column", value: s
 
 
 def column_totals(hist: DataFrame, group: str = "column", value: str = "value") -> list:
-    """Per group: N (values), D (distinct values), nan (NaN values), and the
-    range lo..hi of the values that are not NaN."""
+    """Per group: N (values), D (distinct values), nan, below and above (NaN,
+    -Infinity and +Infinity values), and the range lo..hi of the finite values."""
     v = F.col(value).cast("double")
-    real = F.when(~F.isnan(v), v)
+    inf = F.lit(float("inf"))
+    real = F.when(~F.isnan(v) & (F.abs(v) < inf), v)
+    times = lambda c: F.sum(F.when(c, F.col("n")).otherwise(0))
     return hist.groupBy(group).agg(
         F.sum("n").alias("N"), F.count(F.lit(1)).alias("D"),
-        F.sum(F.when(F.isnan(v), F.col("n")).otherwise(0)).alias("nan"),
+        times(F.isnan(v)).alias("nan"), times(v == -inf).alias("below"), times(v == inf).alias("above"),
         F.min(real).alias("lo"), F.max(real).alias("hi"),
     ).collect()
 
@@ -159,26 +161,30 @@ def exact_quantiles(long: DataFrame | None, probs, group: str = "column", value:
                 out[r[group]] = list(r["q"])
         big = [r[group] for r in tot if r[group] not in out]
         if big:
-            # NaN sorts above every number (as in Spark): ranks past the real
-            # values are NaN, the others are selected among real values only.
-            real_hist = hist.filter(~F.isnan(F.col(value).cast("double")))
-            targets, plan, nan_from = {}, {}, {}
+            # -Infinity, finite values, +Infinity, NaN (as Spark sorts them):
+            # the first and last have counted ranks, the others are selected.
+            v = F.col(value).cast("double")
+            real_hist = hist.filter(~F.isnan(v) & (F.abs(v) < F.lit(float("inf"))))
+            targets, plan, edges = {}, {}, {}
             for r in column_totals(hist.filter(F.col(group).isin(big)), group, value):
                 g, n = r[group], r["N"]
-                nan_from[g] = n - r["nan"]
+                edges[g] = (r["below"], n - r["nan"] - r["above"], n - r["nan"])
                 for p in probs:
                     pos = (n - 1) * float(p)
                     lo_rank, hi_rank = math.floor(pos), math.ceil(pos)
                     plan[(g, p)] = (pos, lo_rank, hi_rank)
                     for rank in (lo_rank, hi_rank):
-                        if rank < nan_from[g]:
-                            targets[(g, rank)] = (r["lo"], r["hi"])
+                        if edges[g][0] <= rank < edges[g][1]:
+                            targets[(g, rank - edges[g][0])] = (r["lo"], r["hi"])
             picked = select_ranks(real_hist, targets, group, value, buckets, final_values) if targets else {}
 
             def at(g, rank):
-                return float("nan") if rank >= nan_from[g] else picked[(g, rank)]
+                first, end, nan = edges[g]
+                if first <= rank < end:
+                    return picked[(g, rank - first)]
+                return float("-inf") if rank < first else float("inf") if rank < nan else float("nan")
 
-            for g in nan_from:
+            for g in edges:
                 out[g] = [
                     _spark_interpolate(plan[(g, p)][0], plan[(g, p)][1], plan[(g, p)][2],
                                        at(g, plan[(g, p)][1]), at(g, plan[(g, p)][2]))

@@ -13,40 +13,23 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-# Incoming key sets up to this many rows are broadcast to the stored table's
-# scan (about 16 bytes per key in the hash relation, so well under the
-# driver's and executors' broadcast budget); larger sets use a sort-merge join.
-BROADCAST_KEYS_MAX = 8_000_000
-
-
-def merge_upsert(
-    existing: DataFrame,
-    incoming: DataFrame,
-    keys=("listing_id",),
-    incoming_rows: int | None = None,
-    broadcast_keys_max: int = BROADCAST_KEYS_MAX,
-) -> DataFrame:
+def merge_upsert(existing: DataFrame, incoming: DataFrame, keys=("listing_id",)) -> DataFrame:
     """Existing rows without an incoming match, plus every incoming row.
 
-    When the caller knows the size of the incoming batch (``incoming_rows``,
-    e.g. counted on a checkpointed batch) and it is at most
-    ``broadcast_keys_max``, the incoming key set is broadcast and the stored
-    table is only scanned, never shuffled. Otherwise both sides shuffle on
-    the key (sort-merge left-anti join; AQE may still pick a broadcast from
-    runtime sizes). Incoming keys must be unique (checked by R7 before a
-    write).
+    Keys are compared null-safe. Incoming keys must be unique (checked by R7
+    before a write). Spark joins by the sizes it knows: a small batch is
+    broadcast under its own byte limit (or by AQE at run time), so that the
+    stored table is only scanned; otherwise both sides shuffle on the key.
     """
     keys = list(keys)
     cols = existing.columns
     incoming = incoming.select(*cols)
     non_key = [c for c in cols if c not in keys]
     inc_keys = incoming.select(*[F.col(k).alias(f"__in_{k}") for k in keys])
-    if incoming_rows is not None and incoming_rows <= broadcast_keys_max:
-        inc_keys = F.broadcast(inc_keys)
     if not non_key:
         # INSERT .. ON CONFLICT DO NOTHING: keep stored rows, add new keys.
         ex_keys = existing.select(*[F.col(k).alias(f"__ex_{k}") for k in keys])
-        new = incoming.join(ex_keys, [incoming[k] == ex_keys[f"__ex_{k}"] for k in keys], "left_anti")
+        new = incoming.join(ex_keys, [incoming[k].eqNullSafe(ex_keys[f"__ex_{k}"]) for k in keys], "left_anti")
         return existing.unionByName(new)
-    kept = existing.join(inc_keys, [existing[k] == inc_keys[f"__in_{k}"] for k in keys], "left_anti")
+    kept = existing.join(inc_keys, [existing[k].eqNullSafe(inc_keys[f"__in_{k}"]) for k in keys], "left_anti")
     return kept.unionByName(incoming)

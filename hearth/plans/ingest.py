@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from hearth.operators import integrity as R
 from hearth.operators.clean import item_categories, listing_projection
-from hearth.operators.upsert import BROADCAST_KEYS_MAX, merge_upsert
+from hearth.operators.upsert import merge_upsert
 from hearth.plans.pipeline import dedup_stage, finish_stage, prepare
 from hearth.plans.policies import TransformPolicy
 from hearth.schema import ITEM_CATEGORY_KEY, ITEM_CATEGORY_SCHEMA, LISTING_KEY, LISTING_SCHEMA
@@ -89,22 +89,18 @@ def ingest_frame(
     pre = pre.observe(
         obs_pre,
         F.count(F.lit(1)).alias("prepared_rows"),
+        (F.count_if(F.col("listing_id").isNull()) if "listing_id" in pre.columns else F.count(F.lit(1))).alias("null_key_rows"),
         (F.max(F.year("start_date")) if has_start else F.lit(None).cast("int")).alias("max_start_year"),
     )
     obs_batch = Observation("batch")
     staged = (
-        dedup_stage(pre, policy).observe(obs_batch, F.count(F.lit(1)).alias("batch_listings")).checkpoint(eager=True)
+        dedup_stage(pre, policy, each_null_key=True).observe(obs_batch, F.count(F.lit(1)).alias("batch_listings")).checkpoint(eager=True)
     )
     for obs in (obs_raw, obs_pre, obs_batch):
         report.metrics.update(obs.get)
     max_year = report.metrics.get("max_start_year")
     final = finish_stage(staged, policy, F.lit(max_year).cast("int"))
 
-    # The batch size, observed during the checkpoint, decides whether its
-    # keys may be broadcast against the stored table.
-    batch_rows = report.metrics["batch_listings"]
-    small_batch = batch_rows <= BROADCAST_KEYS_MAX
-
     cats, listing = item_categories(final), listing_projection(final)
     store = TableStore(spark, store_root)
     old_cats = store.read("item_category", ITEM_CATEGORY_SCHEMA)
@@ -118,20 +114,19 @@ def ingest_frame(
         R.listing_row_violations(listing)
         .unionByName(R.key_violations(listing, "listing_id"))
         .unionByName(R.foreign_key_violations(listing, merged_cats))
-        .unionByName(R.update_violations(old_listing, listing, broadcast_incoming=small_batch))
+        .unionByName(R.update_violations(old_listing, listing))
     )
     violations = cat_bad.withColumn("table", F.lit("item_category")).unionByName(
         lst_bad.withColumn("table", F.lit("listing"))
     )
+    # Written once, then reread: nothing below evaluates a rule again.
+    report.written["rejects"] = store.write_version("rejects", violations)
+    stored = spark.read.parquet(report.written["rejects"])
     if enforce == "fail":
-        sample = violations.limit(20).collect()
-        if sample:
-            raise IntegrityError(f"batch breaks integrity rules, e.g. {[r.asDict() for r in sample]}")
+        broken = {r["rule"]: r["count"] for r in stored.groupBy("rule").count().collect()}
+        if broken:
+            raise IntegrityError(f"batch breaks integrity rules {broken}; all violations are in {report.written['rejects']}")
     else:
-        # Written once, then reread: the anti-join below uses the stored
-        # violations instead of evaluating every rule a second time.
-        report.written["rejects"] = store.write_version("rejects", violations)
-        stored = spark.read.parquet(report.written["rejects"])
         bad_listings = stored.filter(F.col("table") == "listing")
         report.metrics["rejected_listings"] = bad_listings.select("key").distinct().count()
         listing = R.reject(listing, bad_listings, "listing_id")
@@ -145,7 +140,7 @@ def ingest_frame(
         )
     report.written["listing"] = store.write_version(
         "listing",
-        merge_upsert(old_listing, listing, LISTING_KEY, incoming_rows=batch_rows),
+        merge_upsert(old_listing, listing, LISTING_KEY),
         partitions.get("listing"),
         ["change_date"],
     )

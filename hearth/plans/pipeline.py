@@ -49,11 +49,12 @@ def prepare(raw: DataFrame, policy: TransformPolicy = TransformPolicy()) -> Data
     )
 
 
-def dedup_stage(pre: DataFrame, policy: TransformPolicy = TransformPolicy()) -> DataFrame:
+def dedup_stage(pre: DataFrame, policy: TransformPolicy = TransformPolicy(), each_null_key: bool = False) -> DataFrame:
     """F3 or (nothing) -> P8/F4 -> P9 (all but build_year) -> keep latest.
 
     The build year is still unadjusted here; keep-latest reads it as a
-    tie-break only.
+    tie-break only. ``each_null_key`` keeps every row without a key, so that
+    each is reported as a violation.
     """
     df = pre
     if policy.adjust_build_year_policy == "drop":
@@ -61,7 +62,7 @@ def dedup_stage(pre: DataFrame, policy: TransformPolicy = TransformPolicy()) ->
     df = C.adjust_change_date(df, policy.adjust_change_date_policy)
     df = C.finalize_types(df, smallint_cols=[c for c in SMALLINT_COLUMNS if c != "build_year"])
     df = df.select(*[c for c in df.columns if c in KEEP_COLUMNS])
-    return C.keep_latest(df) if policy.deduplicate else df
+    return C.keep_latest(df, each_null_key=each_null_key) if policy.deduplicate else df
 
 
 def finish_stage(df: DataFrame, policy: TransformPolicy = TransformPolicy(), max_year: Column | int | None = None) -> DataFrame:

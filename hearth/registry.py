@@ -673,7 +673,7 @@ query(
 )(lambda spark, sf: PR.column_info(typed(spark, sf)))
 query(
     "a7_integer_safe",
-    WT(union_all(f"SELECT '{c}' AS {q('column')}, bool_and({c} % 1 = 0) AS integer_safe FROM typed_eda" for c in INTEGER_COLUMNS)),
+    WT(union_all(f"SELECT '{c}' AS {q('column')}, coalesce(bool_and({c} % 1 = 0), true) AS integer_safe FROM typed_eda" for c in INTEGER_COLUMNS)),
 )(lambda spark, sf: PR.integer_safe(typed(spark, sf), INTEGER_COLUMNS))
 query(
     "a8_boolean_safe",
@@ -742,6 +742,28 @@ query(
     WT(f"SELECT * EXCLUDE (__rn) FROM (SELECT *, row_number() OVER (PARTITION BY listing_id, start_date ORDER BY "
        f"{O.dedup_order_sql(keys=('listing_id', 'start_date'))}) AS __rn FROM typed_eda) WHERE __rn > 1"),
 )(lambda spark, sf: PR.key_duplicates(typed(spark, sf), ("listing_id", "start_date")))
+
+
+# Rows without a key and exact copies, every key with more than two rows numbered by ranges.
+KEYLESS_CTE = ("keyless AS (SELECT * REPLACE (CASE WHEN listing_id % 7 <> 0 THEN listing_id END AS listing_id) FROM typed_eda), "
+               "keyless_in AS (SELECT * FROM keyless UNION ALL SELECT * FROM keyless WHERE listing_id IS NULL OR listing_id % 5 = 0)")
+
+
+def _keyless_input(spark, sf):
+    t = typed(spark, sf).withColumn("listing_id", F.when(F.col("listing_id") % 7 != 0, F.col("listing_id")))
+    return t.unionByName(t.filter(F.col("listing_id").isNull() | (F.col("listing_id") % 5 == 0)))
+
+
+query(
+    "w2_occurrence_number_hot_keys",
+    WT(f"SELECT *, CAST(row_number() OVER (PARTITION BY listing_id ORDER BY {O.dedup_order_sql()}) AS INTEGER) AS occurrence "
+       "FROM keyless_in", KEYLESS_CTE),
+)(lambda spark, sf: PR.occurrence_number(_keyless_input(spark, sf), ("listing_id",), hot_rows=2))
+query(
+    "a16_key_duplicates_hot_keys",
+    WT(f"SELECT * EXCLUDE (__rn) FROM (SELECT *, row_number() OVER (PARTITION BY listing_id ORDER BY "
+       f"{O.dedup_order_sql()}) AS __rn FROM keyless_in) WHERE __rn > 1", KEYLESS_CTE),
+)(lambda spark, sf: PR.key_duplicates(_keyless_input(spark, sf), ("listing_id",), hot_rows=2))
 query(
     "w2_occurrence_number",
     WT(f"SELECT *, CAST(row_number() OVER (PARTITION BY listing_id ORDER BY {O.dedup_order_sql()}) AS INTEGER) AS occurrence "
@@ -825,8 +847,8 @@ query("a20_zscore_complete_case_float_raw", complete_case_sql(CC_FLOAT, "typed_e
 )
 query(
     "a21_integer_distribution",
-    W(f"SELECT v.{q('column')}, v.value, v.count, t.n_levels FROM vc v JOIN (SELECT {q('column')}, count(*) AS n_levels "
-      f"FROM vc GROUP BY {q('column')} HAVING count(*) < 100) t ON v.{q('column')} = t.{q('column')}",
+    W(f"SELECT v.{q('column')}, v.value, v.count, t.n_levels, t.n_levels < 100 AS few_levels FROM vc v JOIN (SELECT {q('column')}, count(*) AS n_levels "
+      f"FROM vc GROUP BY {q('column')}) t ON v.{q('column')} = t.{q('column')}",
       f"vc AS ({vc_sql('cleaned', INTEGER_COLUMNS, 'BIGINT')})"),
 )(lambda spark, sf: PR.integer_distribution(cleaned(spark, sf), INTEGER_COLUMNS))
 query("a22_date_range", W("SELECT min(start_date) AS min_start_date, max(start_date) AS max_start_date FROM listing"))(

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -38,9 +39,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     On a cluster the setting names a shared (distributed) folder and is used
-    as is. When it is unset (a local test run), the context's checkpoint
-    folder is used if one was set, else a fresh local folder is chosen for
-    the context (the setting itself is a startup setting and stays as it is).
+    as is. When it is unset, the context's checkpoint folder is used if one
+    was set. A local run (tests) then gets a fresh local folder for the
+    context; on a cluster a machine-local folder would break later reads, so
+    an unset folder raises RuntimeError.
     """
     sc = spark.sparkContext
     d = spark.conf.get("spark.checkpoint.dir", None)
@@ -51,6 +53,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     current = sc.getCheckpointDir()
     if current:
         return current
+    if not re.fullmatch(r"local(\[.*\])?", sc.master):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
     d = tempfile.mkdtemp(prefix="hearth-ckpt-")
     sc.setCheckpointDir(d)
     return d

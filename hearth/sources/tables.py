@@ -32,19 +32,19 @@ class TableStore:
     def _fs(self, path):
         return path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
 
-    def versions(self, table: str) -> list[int]:
-        """Committed versions of ``table``, oldest first."""
+    def _numbers(self, table: str) -> list[int]:
+        """The numbers of all version folders, committed or not."""
         p = self._path(table)
         fs = self._fs(p)
         if not fs.exists(p):
             return []
-        out = []
-        for st in fs.listStatus(p):
-            name = st.getPath().getName()
-            if st.isDirectory() and name.startswith(VERSION_PREFIX):
-                if fs.exists(self._path(table, name, "_SUCCESS")):
-                    out.append(int(name[len(VERSION_PREFIX):]))
-        return sorted(out)
+        names = [st.getPath().getName() for st in fs.listStatus(p) if st.isDirectory()]
+        return sorted(int(n[len(VERSION_PREFIX):]) for n in names if n.startswith(VERSION_PREFIX))
+
+    def versions(self, table: str) -> list[int]:
+        """Committed versions of ``table``, oldest first."""
+        done = [(n, self._path(table, f"{VERSION_PREFIX}{n:06d}", "_SUCCESS")) for n in self._numbers(table)]
+        return [n for n, mark in done if self._fs(mark).exists(mark)]
 
     def current_path(self, table: str) -> str | None:
         v = self.versions(table)
@@ -82,8 +82,7 @@ class TableStore:
         sorted within files (e.g. by ``change_date``) so parquet min/max
         statistics prune row groups for range filters.
         """
-        v = self.versions(table)
-        nxt = (v[-1] + 1) if v else 1
+        nxt = max(self._numbers(table), default=0) + 1  # past the leftovers of interrupted writes, too
         path = f"{self.root}/{table}/{VERSION_PREFIX}{nxt:06d}"
         out = df.repartition(partitions) if partitions else df
         if sort_within:

@@ -118,3 +118,31 @@ def test_ingest_command_line(spark, capsys):
     out = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
     assert out["metrics"]["batch_listings"] > 0 and "listing" in out["written"]
     assert 1 <= len(TableStore(spark, root).read("listing").inputFiles()) <= 2  # S8: two write partitions
+
+
+def test_null_keys_are_rejected_once_each_and_never_stored(spark):
+    from hearth.plans.ingest import ingest_frame
+    from hearth.schema import RAW_SCHEMA
+
+    base = {f.name: None for f in RAW_SCHEMA.fields}
+    row = {**base, "transaction_type": "SELL", "item_type": "HOUSE", "item_subtype": "VILLA", "start_date": 1_600_000_000_000,
+           "change_date": 1_600_000_000_000, "price": 1.0, "city": "c", "zipcode": "75001"}
+    ids = [1, None, 2, None, None]
+    df = spark.createDataFrame([tuple({**row, "listing_id": i}[f.name] for f in RAW_SCHEMA.fields) for i in ids], RAW_SCHEMA)
+    root = scratch_path(spark, "null-keys")
+    store = TableStore(spark, root)
+    for _ in range(2):
+        rep = ingest_frame(df, root, enforce="reject")
+        assert rep.metrics["null_key_rows"] == 3
+        assert sorted(r.listing_id for r in store.read("listing").collect()) == [1, 2]
+        missing = store.read("rejects").filter("`column` = 'listing_id' AND rule = 'R1_not_null'")
+        assert missing.count() == 3
+    with pytest.raises(IntegrityError, match="R1_not_null"):
+        ingest_frame(df, scratch_path(spark, "null-keys-fail"), enforce="fail")
+
+
+def test_upsert_matches_null_keys(spark):
+    old = spark.createDataFrame([(1, "a"), (None, "b")], "k long, v string")
+    new = spark.createDataFrame([(None, "c")], "k long, v string")
+    got = merge_upsert(old, new, ["k"])
+    assert sorted(got.collect(), key=str) == sorted(merge_upsert(got, new, ["k"]).collect(), key=str) and got.count() == 2

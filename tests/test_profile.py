@@ -4,6 +4,7 @@ import math
 import statistics
 
 import pytest
+from pyspark.sql import functions as F
 
 from hearth.operators import profile as PR
 
@@ -241,3 +242,32 @@ def test_occurrence_number_hot_path_at_size(spark):
     got = PR.occurrence_number(df, ["k"], order, hot_rows=1000)
     ref = df.withColumn("occurrence", F.row_number().over(Window.partitionBy("k").orderBy(*order)))
     assert got.exceptAll(ref).count() == 0 and ref.exceptAll(got).count() == 0
+
+
+@pytest.mark.parametrize("most", [0, 10_000])
+def test_exact_quantiles_with_infinities_in_both_paths(spark, most):
+    from hearth.operators.quantiles import exact_quantiles
+
+    inf = float("inf")
+    values = [float(i) for i in range(200)] + [inf] * 30 + [-inf] * 20 + [float("nan")] * 5
+    df = spark.createDataFrame([("a", v) for v in values] + [("b", inf), ("b", -inf), ("c", -inf)], "column string, value double")
+    probs = (0.0, 0.05, 0.25, 0.5, 0.75, 0.9, 1.0)
+    got = exact_quantiles(df, probs, percentile_max_distinct=most, final_values=5, buckets=8)
+    want = {r.column: r.q for r in df.groupBy("column").agg(F.percentile("value", F.array(*map(F.lit, probs))).alias("q")).collect()}
+    same = lambda x, y: x == y or (x != x and y != y)
+    for g in "ac":
+        assert all(map(same, got[g], want[g])), (g, got[g], want[g])
+
+
+def test_integer_safe_of_nulls_and_all_columns_listed(spark):
+    df = spark.createDataFrame([(None, i) for i in range(150)], "a double, b int")
+    assert {r.column: r.integer_safe for r in PR.integer_safe(df, ["a", "b"]).collect()} == {"a": True, "b": True}
+    got = PR.integer_distribution(df, ["b"]).collect()
+    assert len(got) == 150 and all(r.n_levels == 150 and not r.few_levels for r in got)
+
+
+def test_occurrence_number_with_null_keys_and_copies_on_both_branches(spark):
+    rows = [(None, i % 3) for i in range(40)] + [(1, 7)] * 50 + [(2, i) for i in range(5)]
+    df = spark.createDataFrame(rows, "k int, v int")
+    a, b = (sorted(PR.occurrence_number(df, ["k"], [F.col("v").asc()], hot_rows=h).collect(), key=str) for h in (3, 1000))
+    assert len(a) == len(rows) and a == b

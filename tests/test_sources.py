@@ -72,3 +72,17 @@ def test_register_views_for_sql(spark):
         "WHERE c.category = 'HOUSE'"
     ).first().n
     assert n == lst.join(cats, lst.item_subcategory == cats.subcategory).filter("category = 'HOUSE'").count()
+
+
+def test_a_write_after_an_interrupted_one(spark):
+    """A folder without _SUCCESS is neither read nor in the way."""
+    store = TableStore(spark, scratch_path(spark, "interrupted"))
+    store.write_version("t", spark.range(3))
+    spark.conf.set("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false")
+    try:
+        spark.range(9).write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(f"{store.root}/t/v=000002")
+    finally:
+        spark.conf.unset("mapreduce.fileoutputcommitter.marksuccessfuljobs")
+    assert store.versions("t") == [1] and store.read("t").count() == 3
+    assert store.write_version("t", spark.range(5)).endswith("v=000003")
+    assert store.versions("t") == [1, 3] and store.read("t").count() == 5
