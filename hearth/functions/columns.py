@@ -23,6 +23,11 @@ def cast_column(c: Column | str, dtype: T.DataType | str, on_bad_cast: str = "fa
     raise ValueError(f"unknown on_bad_cast policy: {on_bad_cast!r}")
 
 
+def whole_number(c: Column | str, on_bad_cast: str = "fail") -> Column:
+    """Text of a number ("2", "2.0", "1.3E12") as a bigint, truncated toward zero."""
+    return cast_column(cast_column(c, "decimal(38,6)", on_bad_cast), "bigint", on_bad_cast)
+
+
 def last_segment(c: Column | str, sep: str = ".") -> Column:
     """Part after the last ``sep``; the whole text when there is none; null stays null."""
     col = F.col(c) if isinstance(c, str) else c

@@ -33,7 +33,7 @@ from hearth.operators.clean import item_categories, listing_projection
 from hearth.operators.upsert import merge_upsert
 from hearth.plans.pipeline import dedup_stage, finish_stage, prepare
 from hearth.plans.policies import TransformPolicy
-from hearth.schema import ITEM_CATEGORY_KEY, ITEM_CATEGORY_SCHEMA, LISTING_KEY, LISTING_SCHEMA
+from hearth.schema import CORRUPT_COLUMN, ITEM_CATEGORY_KEY, ITEM_CATEGORY_SCHEMA, LISTING_KEY, LISTING_SCHEMA
 from hearth.session import ensure_checkpoint_dir
 from hearth.sources.files import read_input
 from hearth.sources.tables import TableStore
@@ -83,7 +83,9 @@ def ingest_frame(
     report = IngestReport()
 
     obs_raw, obs_pre = Observation("raw"), Observation("prepared")
-    raw = raw.observe(obs_raw, F.count(F.lit(1)).alias("raw_rows"))
+    feed = raw
+    corrupt = F.col(CORRUPT_COLUMN).isNotNull() if CORRUPT_COLUMN in raw.columns else F.lit(False)
+    raw = raw.observe(obs_raw, F.count(F.lit(1)).alias("raw_rows"), F.count_if(corrupt).alias("corrupt_lines"))
     pre = prepare(raw, policy)
     has_start = "start_date" in pre.columns
     pre = pre.observe(
@@ -98,11 +100,17 @@ def ingest_frame(
     )
     for obs in (obs_raw, obs_pre, obs_batch):
         report.metrics.update(obs.get)
+    store = TableStore(spark, store_root)
+    if report.metrics["corrupt_lines"]:
+        # Spark asks for a second column beside the corrupt one
+        lines = feed.filter(corrupt).select(CORRUPT_COLUMN, "listing_id")
+        report.written["corrupt_lines"] = store.write_version("corrupt_lines", lines)
+        if enforce == "fail":
+            raise IntegrityError(f"{report.metrics['corrupt_lines']} lines are no records; they are in {report.written['corrupt_lines']}")
     max_year = report.metrics.get("max_start_year")
     final = finish_stage(staged, policy, F.lit(max_year).cast("int"))
 
     cats, listing = item_categories(final), listing_projection(final)
-    store = TableStore(spark, store_root)
     old_cats = store.read("item_category", ITEM_CATEGORY_SCHEMA)
     old_listing = store.read("listing", LISTING_SCHEMA)
 

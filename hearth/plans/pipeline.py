@@ -38,7 +38,8 @@ def prepare(raw: DataFrame, policy: TransformPolicy = TransformPolicy()) -> Data
     if policy.normalize_enum:
         df = C.normalize_enum(df)
     df = C.fill_subtype(df)
-    df = C.to_timestamps(df) if policy.date_as_unixtime else C.parse_timestamps(df)
+    dates = C.to_timestamps if policy.date_as_unixtime else C.parse_timestamps
+    df = dates(df, on_bad_cast=policy.on_bad_cast)
     if policy.enforce_non_negative:
         df = C.enforce_non_negative(df)
     return C.clean_zipcode(

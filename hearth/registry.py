@@ -532,6 +532,18 @@ def _k1_from(fmt: str):
 
 
 query("s1_json_source_clean", W("SELECT * FROM listing"))(_k1_from("json"))
+
+
+def _quoted_feed(spark, sf):
+    """Ids and flags quoted, dates with a fraction: P1 and P4 give the same rows."""
+    r = raw(spark, sf)
+    quoted = {"listing_id", *FLAG_COLUMNS}
+    cols = [F.col(c).cast("string") if c in quoted else F.col(c).cast("double") if c in ("start_date", "change_date") else F.col(c) for c in r.columns]
+    path = FS.write_feed(r.select(*[x.alias(c) for x, c in zip(cols, r.columns)]), scratch_path(spark, "feed-quoted"), "json")
+    return clean_listings(FS.read_input(spark, path, "json"))[1]
+
+
+query("s1_json_quoted_values_clean", W("SELECT * FROM listing"))(_quoted_feed)
 query("s2_csv_source_clean", W("SELECT * FROM listing"))(_k1_from("csv"))
 query(
     "s4_untyped_load",

@@ -98,6 +98,11 @@ RAW_SCHEMA = T.StructType(
     ]
 )
 
+# How JSON and CSV feeds are read: every value as text (cast by P1), and the
+# lines that are no record.
+CORRUPT_COLUMN = "_corrupt_record"
+TEXT_SCHEMA = T.StructType([T.StructField(n, T.StringType()) for n in [*RAW_SCHEMA.names, CORRUPT_COLUMN]])
+
 # Enum-coded columns normalised to their last dotted segment.
 ENUM_COLUMNS = ("transaction_type", "item_type", "item_subtype")
 

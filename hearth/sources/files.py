@@ -1,7 +1,8 @@
 """Raw feed readers and writers.
 
-Readers take an explicit schema by default: no inference job, no
-surprise types, and the unused ``description_fr`` is pruned by Catalyst when
+Readers take an explicit schema of texts by default: no inference job, no
+value lost to a type it doesn't fit (P1 casts them, by the policy for bad
+values), malformed JSON lines kept in ``_corrupt_record``, and the unused ``description_fr`` is pruned by Catalyst when
 no query asks for it (JSON and CSV scans honour the required schema).
 """
 
@@ -10,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from hearth.schema import RAW_SCHEMA
+from hearth.schema import TEXT_SCHEMA
 
 # Default reader options of the shipped job configuration.
 JSON_OPTIONS = {"multiline": "false"}
@@ -27,7 +28,7 @@ CSV_OPTIONS = {
 FORMATS = ("json", "csv")
 
 
-def read_json(spark: SparkSession, path: str, options: dict | None = None, schema: T.StructType | None = RAW_SCHEMA) -> DataFrame:
+def read_json(spark: SparkSession, path: str, options: dict | None = None, schema: T.StructType | None = TEXT_SCHEMA) -> DataFrame:
     """JSON lines; every option is passed to the reader."""
     reader = spark.read.options(**{**JSON_OPTIONS, **(options or {})})
     if schema is not None:
@@ -44,12 +45,12 @@ def read_csv(spark: SparkSession, path: str, options: dict | None = None, schema
     return reader.csv(path)
 
 
-def read_input(spark: SparkSession, path: str, fmt: str = "json", options: dict | None = None, schema=RAW_SCHEMA) -> DataFrame:
+def read_input(spark: SparkSession, path: str, fmt: str = "json", options: dict | None = None, schema: T.StructType = TEXT_SCHEMA) -> DataFrame:
     """S1/S2 by name; S3: any other format raises before a job starts."""
     if fmt == "json":
         return read_json(spark, path, options, schema)
     if fmt == "csv":
-        return read_csv(spark, path, options, None if schema is RAW_SCHEMA else schema)
+        return read_csv(spark, path, options, None if schema is TEXT_SCHEMA else schema)
     raise ValueError(f"Unsupported input format: {fmt!r} (expected one of {FORMATS})")
 
 

@@ -1,7 +1,7 @@
 """The ingest job (K2) as a Structured Streaming query over a landing folder.
 
-New JSON-lines (or CSV) files in ``landing_dir`` are read with the raw
-schema; each micro-batch runs the same clean -> validate -> upsert job as the
+New JSON-lines (or CSV) files in ``landing_dir`` are read as text, like a
+batch; each micro-batch runs the same clean -> validate -> upsert job as the
 batch ingest (``foreachBatch``), producing new table versions. The stream's
 checkpoint (``checkpoint_location``, a shared folder) records which files
 were processed, so a restarted query neither skips nor repeats a file, and
@@ -19,7 +19,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from hearth.plans.ingest import ingest_frame
 from hearth.plans.policies import TransformPolicy
-from hearth.schema import RAW_SCHEMA
+from hearth.schema import TEXT_SCHEMA
 from hearth.sources.files import CSV_OPTIONS, JSON_OPTIONS
 
 
@@ -35,7 +35,7 @@ def start_incremental_ingest(
     available_now: bool = False,
     processing_time: str | None = None,
 ) -> StreamingQuery:
-    reader = spark.readStream.schema(RAW_SCHEMA)
+    reader = spark.readStream.schema(TEXT_SCHEMA)
     if fmt == "json":
         reader = reader.options(**JSON_OPTIONS)
         stream = reader.option("maxFilesPerTrigger", max_files_per_trigger) if max_files_per_trigger else reader

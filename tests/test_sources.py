@@ -32,7 +32,7 @@ def test_round_trip_through_feed(spark, fmt):
     assert a == b and len(a) == 2
     if fmt == "json":
         descr = {r.listing_id: r.description_fr for r in back.collect()}
-        assert descr[1] == 'ligne "un",\ndeux; trois'
+        assert descr["1"] == 'ligne "un",\ndeux; trois'
 
 
 def test_untyped_and_typed_loads(spark):
@@ -86,3 +86,41 @@ def test_a_write_after_an_interrupted_one(spark):
     assert store.versions("t") == [1] and store.read("t").count() == 3
     assert store.write_version("t", spark.range(5)).endswith("v=000003")
     assert store.versions("t") == [1, 3] and store.read("t").count() == 5
+
+
+def test_json_values_are_cast_and_bad_ones_raise(spark, tmp_path):
+    import json
+
+    from hearth.plans.ingest import IntegrityError, ingest
+    from hearth.plans.policies import TransformPolicy
+
+    row = {"transaction_type": "SELL", "item_type": "HOUSE", "item_subtype": "VILLA", "start_date": 1300000000123.0, "change_date": "1300000000123",
+           "price": 1.0, "city": "c", "zipcode": "75001"}
+    lines = [json.dumps({**row, "listing_id": "2", "area": "60.5", "has_garden": "true"}), json.dumps({**row, "listing_id": 3.0})]
+    good, bad = tmp_path / "good.json", tmp_path / "bad.json"
+    good.write_text("\n".join([*lines, "{no record"]))
+    bad.write_text(json.dumps({**row, "listing_id": 4, "price": "abc"}))
+    got = {r.listing_id: r for r in clean_listings(FS.read_input(spark, str(good)))[1].collect()}
+    assert sorted(got) == [2, 3] and got[2].area == 60.5 and got[2].has_garden is True
+    assert str(got[3].start_date) == str(got[2].change_date) == "2011-03-13 07:06:40"
+    with pytest.raises(Exception, match="abc"):
+        clean_listings(FS.read_input(spark, str(bad)))[1].collect()
+    lenient = TransformPolicy(on_bad_cast="null")
+    assert clean_listings(FS.read_input(spark, str(bad)), lenient)[1].collect()[0].price is None
+    root = scratch_path(spark, "corrupt")
+    with pytest.raises(IntegrityError, match="1 lines"):
+        ingest(spark, str(good), root, enforce="fail")
+    rep = ingest(spark, str(good), root, enforce="reject")
+    assert rep.metrics["corrupt_lines"] == 1
+    assert [r[0] for r in TableStore(spark, root).read("corrupt_lines").collect()] == ["{no record"]
+
+
+def test_text_dates_of_a_json_feed(spark, tmp_path):
+    import json
+
+    from hearth.plans.policies import TransformPolicy
+
+    path = tmp_path / "dates.json"
+    path.write_text(json.dumps({"listing_id": 1, "zipcode": "75001", "start_date": "2020-01-02 03:04:05", "change_date": "2020-02-03 00:00:00"}))
+    got = clean_listings(FS.read_input(spark, str(path)), TransformPolicy(date_as_unixtime=False))[1].collect()
+    assert str(got[0].start_date) == "2020-01-02 03:04:05"
