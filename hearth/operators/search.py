@@ -152,6 +152,16 @@ def change_date_order(sort_by_change_date: str | None) -> list[Column]:
     return [F.col("listing_id").asc()]
 
 
+def two_key_order(first: str = "listing_id", then: str = "change_date") -> list[Column]:
+    """L4: ascending by key, newest first inside it."""
+    return [F.col(first).asc(), F.col(then).desc()]
+
+
+def preview(df: DataFrame, rows: int = 5, key: str = "listing_id") -> DataFrame:
+    """The first rows by key."""
+    return page(df, [F.col(key).asc()], 0, rows)
+
+
 def page(df: DataFrame, order: list[Column], skip: int = 0, limit: int = DEFAULT_LIMIT) -> DataFrame:
     """L2: ordered ``offset(skip).limit(limit)`` (a top-k, no global sort)."""
     check_paging(skip, limit)

@@ -6,10 +6,10 @@ One pass over the raw input:
 2. prepare + dedup in one plan; ``Observation``s collect the raw, prepared
    and deduplicated row counts and the maximum start year (A2, A3) as side
    metrics of that same pass;
-3. the deduplicated frame is checkpointed (reliably, into the shared folder
+3. the deduplicated frame is written as parquet (into the shared folder
    named by ``spark.checkpoint.dir``), which cuts the lineage: validation
    and the two table writes reread it instead of the raw feed, and a lost
-   executor recomputes from the checkpoint, not from the feed;
+   executor rereads the staged table, not the feed;
 4. the build-year rewrite uses the observed maximum as a literal;
 5. rules R1–R9 are checked before anything is written ('fail' raises,
    'reject' writes the violations once and keeps only clean keys); the
@@ -31,10 +31,9 @@ from pyspark.sql import functions as F
 from hearth.operators import integrity as R
 from hearth.operators.clean import item_categories, listing_projection
 from hearth.operators.upsert import merge_upsert
-from hearth.plans.pipeline import dedup_stage, finish_stage, prepare
+from hearth.plans.pipeline import dedup_stage, finish_stage, prepare, staged_table
 from hearth.plans.policies import TransformPolicy
 from hearth.schema import CORRUPT_COLUMN, ITEM_CATEGORY_KEY, ITEM_CATEGORY_SCHEMA, LISTING_KEY, LISTING_SCHEMA
-from hearth.session import ensure_checkpoint_dir
 from hearth.sources.files import read_input
 from hearth.sources.tables import TableStore
 
@@ -78,7 +77,6 @@ def ingest_frame(
     if enforce not in ENFORCE_POLICIES:
         raise ValueError(f"unknown enforce policy {enforce!r} (expected one of {ENFORCE_POLICIES})")
     spark = raw.sparkSession
-    ensure_checkpoint_dir(spark)
     partitions = partitions or {}
     report = IngestReport()
 
@@ -95,8 +93,8 @@ def ingest_frame(
         (F.max(F.year("start_date")) if has_start else F.lit(None).cast("int")).alias("max_start_year"),
     )
     obs_batch = Observation("batch")
-    staged = (
-        dedup_stage(pre, policy, each_null_key=True).observe(obs_batch, F.count(F.lit(1)).alias("batch_listings")).checkpoint(eager=True)
+    staged = staged_table(
+        dedup_stage(pre, policy, each_null_key=True).observe(obs_batch, F.count(F.lit(1)).alias("batch_listings"))
     )
     for obs in (obs_raw, obs_pre, obs_batch):
         report.metrics.update(obs.get)
@@ -114,16 +112,17 @@ def ingest_frame(
     old_cats = store.read("item_category", ITEM_CATEGORY_SCHEMA)
     old_listing = store.read("listing", LISTING_SCHEMA)
 
-    cat_bad = R.category_row_violations(cats).unionByName(R.key_violations(cats, "subcategory"))
+    cat_bad = R.category_row_violations(cats)  # one row per subcategory by construction
     if enforce == "reject":
         cats = R.reject(cats, cat_bad, "subcategory")
     merged_cats = merge_upsert(old_cats, cats, ITEM_CATEGORY_KEY)
     lst_bad = (
         R.listing_row_violations(listing)
-        .unionByName(R.key_violations(listing, "listing_id"))
         .unionByName(R.foreign_key_violations(listing, merged_cats))
         .unionByName(R.update_violations(old_listing, listing))
     )
+    if not policy.deduplicate:  # keep-latest leaves one row per key
+        lst_bad = lst_bad.unionByName(R.key_violations(listing, "listing_id"))
     violations = cat_bad.withColumn("table", F.lit("item_category")).unionByName(
         lst_bad.withColumn("table", F.lit("listing"))
     )

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from hearth.operators import clean as C
 from hearth.plans.policies import TransformPolicy
 from hearth.schema import LISTING_COLUMNS, SMALLINT_COLUMNS
-from hearth.session import ensure_checkpoint_dir
+from hearth.session import scratch_path
 
 KEEP_COLUMNS = tuple(LISTING_COLUMNS) + ("item_type", "item_subtype")
 
@@ -91,22 +91,28 @@ def clean_frame(
     return finish_stage(dedup_stage(pre, policy), policy, max_year)
 
 
+def staged_table(df: DataFrame) -> DataFrame:
+    """``df`` written once to the shared folder and read back: later reads prune columns, and lost executors cost no rerun."""
+    path = scratch_path(df.sparkSession, "staged")
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def materialized_frame(raw: DataFrame, policy: TransformPolicy = TransformPolicy()) -> tuple[DataFrame, dict]:
-    """The cleaned frame computed in one pass over ``raw`` and checkpointed.
+    """The cleaned frame computed in one pass over ``raw`` and written as parquet.
 
     An ``Observation`` on the prepared frame collects the row count and the
-    maximum start year while the dedup stage is checkpointed (reliably, into
-    ``spark.checkpoint.dir``); the build-year rewrite then uses that value
+    maximum start year while the dedup stage is written (to a fresh table
+    under ``spark.checkpoint.dir``); the build-year rewrite then uses that value
     as a literal. Returns the frame and the observed metrics.
     """
     from pyspark.sql import Observation
 
-    ensure_checkpoint_dir(raw.sparkSession)
     obs = Observation("prepared")
     pre = prepare(raw, policy)
     year = F.max(F.year("start_date")) if "start_date" in pre.columns else F.lit(None).cast("int")
     pre = pre.observe(obs, F.count(F.lit(1)).alias("prepared_rows"), year.alias("max_start_year"))
-    staged = dedup_stage(pre, policy).checkpoint(eager=True)
+    staged = staged_table(dedup_stage(pre, policy))
     metrics = dict(obs.get)
     return finish_stage(staged, policy, F.lit(metrics.get("max_start_year")).cast("int")), metrics
 
@@ -122,7 +128,7 @@ def clean_listings(
     Lazy by default (the maximum start year is a scalar subquery, so the
     feed is read twice, the second time for a few columns only). With
     ``materialize=True`` the feed is read once: the cleaned frame is
-    checkpointed and both outputs read the checkpoint.
+    written to the shared folder and both outputs read it there.
     """
     if materialize:
         df, _ = materialized_frame(raw, policy)

@@ -25,6 +25,7 @@ from hearth.plans.pipeline import clean_frame, clean_listings, prepare
 from hearth.plans.policies import TransformPolicy
 from hearth.schema import (
     CATEGORICAL_COLUMNS,
+    CORRUPT_COLUMN,
     FLAG_COLUMNS,
     INTEGER_COLUMNS,
     LISTING_SCHEMA,
@@ -35,7 +36,7 @@ from hearth.schema import (
 from hearth.session import scratch_path
 from hearth.sources import files as FS
 from hearth.sources.fixture import raw_listings
-from hearth.sources.tables import TableStore
+from hearth.sources.tables import TableStore, is_empty
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -364,14 +365,14 @@ query(
 )(
     lambda spark, sf: typed(spark, sf)
     .select("listing_id", "change_date", "start_date", "price")
-    .orderBy(F.col("listing_id").asc(), F.col("change_date").desc())
+    .orderBy(*S.two_key_order())
 )
 query(
     "p11_public_listing_page",
     W(f"SELECT {LISTING_COLS_SQL} FROM listing l WHERE l.is_furnished = true ORDER BY l.listing_id LIMIT 100 OFFSET 20"),
 )(lambda spark, sf: S.public_listing(_page({"is_furnished": True, "skip": 20})(spark, sf)))
 query("l5_preview", W("SELECT * FROM listing ORDER BY listing_id LIMIT 5"))(
-    lambda spark, sf: listing(spark, sf).orderBy("listing_id").limit(5)
+    lambda spark, sf: S.preview(listing(spark, sf))
 )
 
 # ---------------------------------------------------------------------------
@@ -556,12 +557,36 @@ query(
 )
 query(
     "s5_typed_load",
-    WT("SELECT listing_id, start_date, change_date, price, build_year, is_furnished FROM typed_eda"),
-)(
-    lambda spark, sf: FS.read_typed(spark, _feed(spark, sf, "json")).select(
-        "listing_id", "start_date", "change_date", "price", "build_year", "is_furnished"
-    )
-)
+    WT("SELECT * FROM typed_eda"),
+)(lambda spark, sf: FS.read_typed(spark, _feed(spark, sf, "json")).drop("description_fr", CORRUPT_COLUMN))
+
+
+def _partitioned_write(spark, sf):
+    """The table written in three parts, and read back with its file count."""
+    store = TableStore(spark, scratch_path(spark, "parts"))
+    store.write_version("listing", listing(spark, sf), partitions=3)
+    back = store.read("listing")
+    return back.agg(F.count("*").alias("listings"), F.sum("listing_id").alias("id_sum")).withColumn("files", F.lit(len(back.inputFiles())).cast("long"))
+
+
+query(
+    "s8_write_parallelism",
+    W("SELECT count(*) AS listings, CAST(sum(listing_id) AS BIGINT) AS id_sum, CAST(3 AS BIGINT) AS files FROM listing"),
+)(_partitioned_write)
+
+
+def _emptiness(spark, sf):
+    """Which of the tables, and of an impossible filter, are empty."""
+    cats, lst = tables(spark, sf)
+    found = [("item_category", is_empty(cats)), ("listing", is_empty(lst)), ("negative_prices", is_empty(lst.filter("price < 0")))]
+    return spark.createDataFrame(found, "name string, empty boolean")
+
+
+query(
+    "s10_emptiness",
+    W("SELECT 'item_category' AS name, count(*) = 0 AS empty FROM item_category UNION ALL SELECT 'listing', count(*) = 0 FROM listing "
+      "UNION ALL SELECT 'negative_prices', count(*) = 0 FROM listing WHERE price < 0"),
+)(_emptiness)
 
 ACCEPTED_SQL = W(
     "SELECT * FROM listing l WHERE "
@@ -602,15 +627,16 @@ query("s7_ingest_twice_idempotent", ACCEPTED_SQL)(_ingest_twice)
 
 
 def _incremental(spark, sf):
-    """K2 as a stream: the feed lands as two files (listings split by key
-    parity, so every listing's versions arrive together) and is ingested
+    """K2 as a stream: the feed lands as two files (listings split by a hash of
+    the key, so every listing's versions arrive together) and is ingested
     micro-batch by micro-batch; the result equals the batch ingest."""
     from hearth.streaming import start_incremental_ingest
 
     r = raw(spark, sf)
     landing = scratch_path(spark, "landing")
-    FS.write_feed(r.filter(F.col("listing_id") % 2 == 0), landing + "/part-even", "json")
-    FS.write_feed(r.filter(F.col("listing_id") % 2 == 1), landing + "/part-odd", "json")
+    half = F.pmod(F.xxhash64("listing_id"), F.lit(2))  # null and negative ids too
+    FS.write_feed(r.filter(half == 0), landing + "/part-0", "json")
+    FS.write_feed(r.filter(half == 1), landing + "/part-1", "json")
     root = scratch_path(spark, "stream-store")
     q = start_incremental_ingest(spark, landing + "/*", root, scratch_path(spark, "stream-ckpt"), available_now=True)
     q.awaitTermination()
@@ -876,8 +902,8 @@ query("f22_zipcode_lookup", W("SELECT zipcode, city FROM listing WHERE zipcode =
 )
 query(
     "f23_future_build_year",
-    WT("SELECT listing_id, start_date, build_year FROM typed_eda WHERE build_year > year(start_date)"),
-)(lambda spark, sf: PR.future_build_year(typed(spark, sf)).select("listing_id", "start_date", "build_year"))
+    WT("SELECT * FROM typed_eda WHERE build_year > year(start_date)"),
+)(lambda spark, sf: PR.future_build_year(typed(spark, sf)))
 query(
     "f24_build_year_tails",
     WT("SELECT CASE WHEN build_year > 2020 THEN 'high' ELSE 'low' END AS tail, build_year, count(*) AS count "
@@ -885,12 +911,12 @@ query(
 )(lambda spark, sf: PR.build_year_tails(typed(spark, sf)))
 query(
     "f25_date_inversions",
-    WT("SELECT listing_id, start_date, change_date FROM typed_eda WHERE start_date > change_date"),
-)(lambda spark, sf: PR.date_inversions(typed(spark, sf)).select("listing_id", "start_date", "change_date"))
+    WT("SELECT * FROM typed_eda WHERE start_date > change_date"),
+)(lambda spark, sf: PR.date_inversions(typed(spark, sf)))
 query(
     "f26_missing_flag_rows",
-    WT("SELECT listing_id, change_date, is_furnished FROM typed_eda WHERE is_furnished IS NULL"),
-)(lambda spark, sf: PR.missing_rows(typed(spark, sf), "is_furnished").select("listing_id", "change_date", "is_furnished"))
+    WT("SELECT * FROM typed_eda WHERE is_furnished IS NULL"),
+)(lambda spark, sf: PR.missing_rows(typed(spark, sf), "is_furnished"))
 query(
     "f27_hierarchy_mismatch",
     W("SELECT listing_id, item_type, item_subtype FROM raw WHERE item_subtype IS NOT NULL AND "

@@ -43,7 +43,7 @@ def test_dedup_limits_before_its_shuffle(spark, no_auto_broadcast):
 def test_small_batch_upsert_scans_the_table_without_shuffle(spark):
     existing = spark.range(1000).select(F.col("id").alias("k"), F.lit("a").alias("v"))
     incoming = spark.range(990, 1010).select(F.col("id").alias("k"), F.lit("b").alias("v"))
-    p = plan(merge_upsert(existing, incoming, ["k"], incoming_rows=20))
+    p = plan(merge_upsert(existing, incoming, ["k"]))
     assert "BroadcastHashJoin" in p and "LeftAnti" in p
     assert "Exchange hashpartitioning" not in p
 
@@ -67,7 +67,7 @@ def test_no_unpartitioned_window_anywhere(spark):
         assert "Exchange SinglePartition" not in plan(df).split("Subquery")[0]
 
 
-def test_materialized_clean_reads_the_checkpoint_not_the_feed(spark):
+def test_materialized_clean_reads_the_staged_table_not_the_feed(spark):
     from hearth.plans.pipeline import materialized_frame
     from hearth.session import scratch_path
     from hearth.sources.files import read_input, write_feed
@@ -75,5 +75,5 @@ def test_materialized_clean_reads_the_checkpoint_not_the_feed(spark):
     feed = write_feed(raw_listings(spark, "/root/testdata/sf0.001"), scratch_path(spark, "plan-feed"), "json")
     df, metrics = materialized_frame(read_input(spark, feed, "json"))
     p = plan(df)
-    assert "Scan ExistingRDD" in p and "FileScan json" not in p
+    assert "FileScan parquet" in p and "FileScan json" not in p
     assert metrics["prepared_rows"] > 0 and metrics["max_start_year"] is not None
