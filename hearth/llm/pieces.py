@@ -20,6 +20,7 @@ from __future__ import annotations
 import codecs
 import functools
 import re
+import unicodedata
 from itertools import chain
 
 import ahocorasick
@@ -31,11 +32,24 @@ from pyspark.sql import functions as F
 
 MARK = "▁"
 # Bounds of the memories of one Python worker (entries); a full one starts anew.
-WORDS_KEPT, PAIRS_KEPT, WORD_LENGTH = 3 << 18, 1 << 19, 40
+WORDS_KEPT, PAIRS_KEPT, WORD_LENGTH = 1 << 19, 1 << 18, 40
 
 codecs.register_error("each_byte", lambda e: ("�", e.start + 1))
 
 
+def _unit_pattern(longer: list[str]) -> str:
+    """A pattern of texts that no piece crosses, from the pieces of two characters or more: white space marks with
+    what follows, parted between marks of punctuation and other characters, as far as no piece joins the two."""
+    inside = set().union(*longer)
+    alone = re.escape("".join(c for c in map(chr, range(128)) if c not in inside))
+    marks = {c for c in inside if unicodedata.category(c)[0] in "PSCZ" or unicodedata.category(c) == "No"} - {MARK}
+    while joined := {x for t in longer for a, b in zip(t, t[1:], strict=False) if MARK not in (a, b) and (a in marks) != (b in marks) for x in (a, b)} & marks:
+        marks -= joined
+    marks = re.escape("".join(sorted(marks)))
+    parts = [f"{MARK}*[^{MARK}{alone}{marks}]+", *([f"{MARK}*[{marks}]+"] if marks else []), f"{MARK}+", *([f"[{alone}]"] if alone else [])]
+    return "|".join(parts)
+
+
 class Pieces:
     """The vocabulary of a model file's bytes: BPE with byte fallback, a dummy prefix and
     no normalisation (others raise ValueError)."""
@@ -66,9 +80,7 @@ class Pieces:
         self.automaton.make_automaton()
         self.texts = texts
         self.silent = {i for i in range(len(texts)) if sp.is_control(i)}
-        inside = set().union(*longer)
-        alone = re.escape("".join(c for c in map(chr, range(128)) if c not in inside))
-        self.units = re.compile(f"{MARK}*[^{MARK}{alone}]+|{MARK}+|[{alone}]" if alone else f"{MARK}*[^{MARK}]+|{MARK}+")
+        self.units = re.compile(_unit_pattern(longer))
         self.words: dict[str, tuple[int, ...]] = {}
         self.pairs: dict[int, bool] = {}  # by (left << 20) + right
         for probe in ("", " a  b", "\n\t ﬁé é Ⅷ ｘ　 ", "the  quick\r\nbrown" + " " * 9 + "fox \U0001f98a"):
