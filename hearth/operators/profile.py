@@ -271,8 +271,9 @@ def whole_row_duplicates(df: DataFrame, prefilter: bool = True) -> DataFrame:
     go on to the exact ``groupBy`` over all columns. When duplicates are rare
     the wide shuffle shrinks to the candidates; a hash collision only adds a
     candidate, never a result. Partial aggregation collapses copies
-    map-side in both passes, and each duplicated row is expanded back to its
-    count in bounded chunks.
+    map-side in both passes. The counted rows are written to the shared folder
+    once, and each is expanded back to its count in bounded chunks, so that
+    ``df`` is evaluated once per pass.
     """
     cols = df.columns
     rows = df
@@ -281,7 +282,9 @@ def whole_row_duplicates(df: DataFrame, prefilter: bool = True) -> DataFrame:
         seen = df.select(h.alias("__h")).groupBy("__h").agg(F.count(F.lit(1)).alias("__c")).filter(F.col("__c") > 1)
         rows = df.withColumn("__h", h).join(seen.select("__h"), "__h", "left_semi").drop("__h")
     counts = rows.groupBy(*cols).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > 1)
-    return expand_counts(counts, "__n").select(*cols)
+    path = scratch_path(df.sparkSession, "row-counts")
+    counts.write.parquet(path)
+    return expand_counts(df.sparkSession.read.parquet(path), "__n").select(*cols)
 
 
 def top1(df: DataFrame, keys, order: list[Column]) -> DataFrame:

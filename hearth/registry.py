@@ -64,8 +64,9 @@ def typed(spark, sf) -> DataFrame:
     return C.to_timestamps(C.cast_known_columns(raw(spark, sf))).drop("description_fr")
 
 
-def tables(spark, sf, policy: TransformPolicy = TransformPolicy(), **raw_kw):
-    return clean_listings(raw_listings(spark, sf, **raw_kw), policy)
+def tables(spark, sf, policy: TransformPolicy = TransformPolicy(), materialize: bool = False, **raw_kw):
+    """(item_category, listing); ``materialize`` where a query reads them more than once."""
+    return clean_listings(raw_listings(spark, sf, **raw_kw), policy, materialize=materialize)
 
 
 def listing(spark, sf) -> DataFrame:
@@ -247,7 +248,7 @@ LISTING_COLS_SQL = ", ".join(f"l.{c}" for c in LISTING_SCHEMA.fieldNames())
 
 def _search(params: dict):
     def run(spark, sf):
-        cats, lst = tables(spark, sf)
+        cats, lst = tables(spark, sf, materialize="category" in params)
         return S.search(lst, cats, params)
 
     return run
@@ -450,12 +451,17 @@ def _valid_cats(cats: DataFrame) -> DataFrame:
     return R.reject(cats, R.category_row_violations(cats), "subcategory")
 
 
+def _foreign_keys(spark, sf):
+    cats, lst = tables(spark, sf, materialize=True)
+    return R.foreign_key_violations(lst, _valid_cats(cats))
+
+
 query(
     "r5_foreign_key",
     W("SELECT 'R5_foreign_key' AS rule, CAST(listing_id AS VARCHAR) AS key, 'item_subcategory' AS \"column\", "
       "item_subcategory AS value FROM listing l WHERE item_subcategory IS NOT NULL AND NOT EXISTS "
       "(SELECT 1 FROM valid_cat v WHERE v.subcategory = l.item_subcategory)", VALID_CATS),
-)(lambda spark, sf: R.foreign_key_violations(listing(spark, sf), _valid_cats(categories(spark, sf))))
+)(_foreign_keys)
 
 query(
     "r7_primary_key_raw",
@@ -466,7 +472,7 @@ query(
 # Upsert variant: existing = line numbers 1..3, incoming = the rest with the
 # start date of every 37th listing moved by one day.
 EXISTING_FILTER = "l.l_linenumber <= 3"
-INCOMING_FILTER = "l.l_linenumber > 3"
+INCOMING_FILTER = "coalesce(l.l_linenumber, 4) > 3"
 SHIFT_MOD = 37
 E_KW = dict(raw=O.raw_sql(EXISTING_FILTER), prefix="e_")
 I_KW = dict(raw=O.raw_sql(INCOMING_FILTER, SHIFT_MOD), prefix="i_")
@@ -474,11 +480,11 @@ UPSERT_CTES = O.clean_ctes(**E_KW) + ",\n" + O.clean_ctes(**I_KW)
 
 
 def _existing(spark, sf):
-    return tables(spark, sf, lineitem_filter=F.col("l_linenumber") <= 3)
+    return tables(spark, sf, materialize=True, lineitem_filter=F.col("l_linenumber") <= 3)
 
 
 def _incoming(spark, sf):
-    return tables(spark, sf, lineitem_filter=F.col("l_linenumber") > 3, start_shift_mod=SHIFT_MOD)
+    return tables(spark, sf, materialize=True, lineitem_filter=F.coalesce(F.col("l_linenumber"), F.lit(4)) > 3, start_shift_mod=SHIFT_MOD)
 
 
 def _update_rules(spark, sf):
