@@ -434,10 +434,16 @@ query("r1_r6_rules_on_raw", WT(union_all(listing_rule_sql("raw_listing")), RAW_L
 query(
     "r2_strict_measures",
     W(union_all(
-        [_viol("R2_non_negative", "listing_id", c, c, "listing", f"{c} < 0") for c in ("room_count", "balcony_count", "terrace_count", "build_year")]
-        + [_viol("R2_non_negative", "listing_id", c, c, "listing", f"{c} <= 0") for c in MEASURE_COLUMNS]
-    )),
-)(lambda spark, sf: _strict(listing(spark, sf)))
+        [_viol("R2_non_negative", "listing_id", c, c, "free", f"{c} < 0") for c in ("room_count", "balcony_count", "terrace_count", "build_year")]
+        + [_viol("R2_non_negative", "listing_id", c, c, "free", f"{c} <= 0") for c in MEASURE_COLUMNS]
+    ), "free AS (SELECT * REPLACE (CASE WHEN listing_id % 13 = 0 THEN CAST(0 AS FLOAT) ELSE price END AS price) FROM listing)"),
+)(lambda spark, sf: _strict(_free(listing(spark, sf))))
+
+
+def _free(lst: DataFrame) -> DataFrame:
+    """Every 13th listing costs nothing, which only the strict form forbids."""
+    return lst.withColumn("price", F.when(F.col("listing_id") % 13 == 0, F.lit(0).cast("float")).otherwise(F.col("price")))
+
 
 def _strict(lst: DataFrame) -> DataFrame:
     return R.row_violations(lst, "listing_id", R.non_negative_hits(lst, True))
@@ -814,6 +820,14 @@ query(
        "FROM typed_eda"),
 )(lambda spark, sf: PR.occurrence_number(typed(spark, sf), ("listing_id",)))
 
+# Every 11th listing under a type that its subtype doesn't belong to.
+MISTYPED_SQL = "CASE WHEN listing_id % 11 = 0 THEN 'ITEM_TYPE.OTHER' ELSE item_type END AS item_type"
+
+
+def _mistyped(df: DataFrame) -> DataFrame:
+    return df.withColumn("item_type", F.when(F.col("listing_id") % 11 == 0, "ITEM_TYPE.OTHER").otherwise(F.col("item_type")))
+
+
 query(
     "a17_dependency_zipcode_city",
     W("SELECT zipcode, count(DISTINCT city) AS n_values FROM listing WHERE zipcode IS NOT NULL "
@@ -821,9 +835,9 @@ query(
 )(lambda spark, sf: PR.dependency_violations(listing(spark, sf), "zipcode", "city"))
 query(
     "a17_dependency_subtype_type",
-    W("SELECT item_subtype, count(DISTINCT item_type) AS n_values FROM cleaned WHERE item_subtype IS NOT NULL "
-      "GROUP BY item_subtype HAVING count(DISTINCT item_type) > 1"),
-)(lambda spark, sf: PR.dependency_violations(cleaned(spark, sf), "item_subtype", "item_type"))
+    W("SELECT item_subtype, count(DISTINCT item_type) AS n_values FROM mistyped WHERE item_subtype IS NOT NULL "
+      "GROUP BY item_subtype HAVING count(DISTINCT item_type) > 1", f"mistyped AS (SELECT * REPLACE ({MISTYPED_SQL}) FROM cleaned)"),
+)(lambda spark, sf: PR.dependency_violations(_mistyped(cleaned(spark, sf)), "item_subtype", "item_type"))
 
 
 def long_sql(src: str, cols, ids=()) -> str:
@@ -925,6 +939,7 @@ query(
 )(lambda spark, sf: PR.missing_rows(typed(spark, sf), "is_furnished"))
 query(
     "f27_hierarchy_mismatch",
-    W("SELECT listing_id, item_type, item_subtype FROM raw WHERE item_subtype IS NOT NULL AND "
-      "item_type IS DISTINCT FROM array_to_string(string_split(item_subtype, '.')[1:-2], '.')"),
-)(lambda spark, sf: PR.hierarchy_mismatch(raw(spark, sf)).select("listing_id", "item_type", "item_subtype"))
+    W("SELECT listing_id, item_type, item_subtype FROM mistyped WHERE item_subtype IS NOT NULL AND "
+      "item_type IS DISTINCT FROM array_to_string(string_split(item_subtype, '.')[1:-2], '.')",
+      f"mistyped AS (SELECT * REPLACE ({MISTYPED_SQL}) FROM raw)"),
+)(lambda spark, sf: PR.hierarchy_mismatch(_mistyped(raw(spark, sf))).select("listing_id", "item_type", "item_subtype"))
