@@ -30,6 +30,8 @@ import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from hearth.llm.text import small_batches
+
 MARK = "▁"
 # Bounds of the memories of one Python worker (entries); a full one starts anew.
 WORDS_KEPT, PAIRS_KEPT, WORD_LENGTH = 1 << 19, 1 << 18, 40
@@ -170,6 +172,7 @@ def _pieces(model: bytes) -> Pieces:
 
 
 def _model(docs: DataFrame, model_path: str):
+    small_batches(docs.sparkSession)
     with open(model_path, "rb") as f:  # read by the driver; executors get the bytes
         return docs.sparkSession.sparkContext.broadcast(f.read())
 
@@ -195,6 +198,7 @@ def encode(docs: DataFrame, model_path: str, text_col: str = "text", ids_col: st
                 ends = np.cumsum([0, *map(len, ids)]).astype(np.int32)
                 flat = np.fromiter(chain.from_iterable(ids), np.int32, ends[-1])
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))], [*rest, ids_col])
+        pieces.words.clear()  # a worker that lives on keeps no memory of this task
 
     kept = docs.select(*rest)
     return kept.mapInArrow(run, kept.withColumn(ids_col, F.lit(None).cast("array<int>")).schema)

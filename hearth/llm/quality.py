@@ -20,7 +20,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hearth.llm.text import Rolling, Words, chunks, splitmix
+from hearth.llm.text import Rolling, Words, chunks, small_batches, splitmix
 from hearth.session import scratch_path
 
 WINDOW = 5
@@ -97,17 +97,16 @@ def count_texts(column: pa.Array) -> list[np.ndarray]:
 
 def counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", whole: bool = False) -> DataFrame:
     """(id, text_hash, counts...) of each row; ``whole``: with the row itself, as the struct ``row``."""
+    small_batches(docs.sparkSession)
     rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("text_hash"), (F.struct(*docs.columns) if whole else F.col(text_col)).alias("row"))
     schema = (rows if whole else rows.drop("row")).withColumns({c: F.lit(0).cast("long") for c in COUNTS}).schema
     names, at = schema.names, docs.columns.index(text_col)
 
     def run(batches):
         for b in batches:
-            for i in range(0, b.num_rows, 1024):  # small batches out, too
-                part = b.slice(i, 1024)
-                row = part.column(2)
-                texts = pc.struct_field(row, [at]) if whole else row
-                yield pa.RecordBatch.from_arrays([*part.columns[: 3 if whole else 2], *map(pa.array, count_texts(texts))], names)
+            row = b.column(2)
+            texts = pc.struct_field(row, [at]) if whole else row
+            yield pa.RecordBatch.from_arrays([*b.columns[: 3 if whole else 2], *map(pa.array, count_texts(texts))], names)
 
     return rows.mapInArrow(run, schema)
 

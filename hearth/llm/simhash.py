@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hearth.llm.components import components
-from hearth.llm.text import Words, chunks
+from hearth.llm.text import Words, chunks, small_batches
 from hearth.session import scratch_path
 
 # Generator polynomial x^11 + x^9 + x^7 + x^6 + x^5 + x + 1 of the Golay code (fixed value).
@@ -148,6 +148,7 @@ def majority(h: np.ndarray) -> np.uint64:
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3) -> DataFrame:
     """(id, text_hash long, fp long) of each row."""
+    small_batches(docs.sparkSession)
     kind = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("text_hash"), F.col(text_col).alias("text"))
 
     def of(batches):

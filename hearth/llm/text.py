@@ -11,11 +11,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 # Words for Spark's split(): the separators of the rule above.
 SPACE = r"[\x20\x09-\x0D]+"
+BATCH_ROWS = 1000
 
 
 
@@ -24,6 +25,13 @@ def once(value: Column) -> Column:
     return F.explode_outer(F.array(value))
 
 
+def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
+    """Texts go to Python in batches of at most ``rows`` from now on: Spark's 10,000 would be a hundred times its usual
+    size where texts are long, in the JVM and in Python. A smaller setting of the session stays."""
+    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > rows:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+
+
 IS_SPACE = np.zeros(256, dtype=bool)
 IS_SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 
@@ -101,7 +109,7 @@ class Words:
         return np.repeat(np.arange(len(self.offsets) - 1), np.diff(self.first))
 
 
-def chunks(column: pa.Array, limit: int = 1 << 21) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+def chunks(column: pa.Array, limit: int = 1 << 19) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """Pieces (first row, last row, bytes, offsets) of a string column, of whole
     texts and about ``limit`` bytes each; null texts are empty."""
     column = column.fill_null("").cast(pa.large_string())
