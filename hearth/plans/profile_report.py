@@ -89,6 +89,8 @@ def profile_report(typed: DataFrame, cleaned: DataFrame, checkpoint: bool = True
         "future_build_year": PR.future_build_year(typed),
         "date_inversions": PR.date_inversions(typed),
         "missing_flag_rows": PR.missing_rows(typed, "is_furnished"),
+        "two_digit_zip_city_pairs": PR.pair_counts(typed, "zipcode", "city", F.length("zipcode") == 2),
+        "distinct_build_years": PR.distinct_values(typed, "build_year"),
         # after dedup
         "numeric_summary_clean": eager["numeric_summary_clean"],
         "iqr_stats": eager["iqr_stats"],
