@@ -7,11 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hearth.llm import languages, licences, lines, mixing, neighbours, pieces, quality, sharding, simhash, substrings
+from hearth.llm import languages, licences, lines, merges, mixing, neighbours, pieces, quality, sharding, simhash, substrings
 
 SHINGLE, MAX_BITS = 3, 2
 SHARDS = [f"shard-{i:03d}" for i in range(64)]
 MODEL = "piece_bpe_32k.model"
+RANKS = "byte_bpe_multi_50k.tiktoken"
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -91,6 +92,20 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return taken.select(F.col("id").alias("doc_id"), "source", "size", "source_size", "target", "taken")
 
 
+def op11_byte_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    ranks = public_tokenizers.path(RANKS)
+    docs = _documents(spark, sf_dir).select("doc_id", "text")
+    rows = merges.decode(merges.encode(docs, ranks, packed=True).select("doc_id", "ids"), ranks)
+    return rows.select(
+        "doc_id",
+        (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2(F.col("ids"), 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded"), 256).alias("decoded_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_neighbours": op1_neighbours,
     "op2_quality": op2_quality,
@@ -102,6 +117,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_pieces": op8_pieces,
     "op9_lines": op9_lines,
     "op10_mixing": op10_mixing,
+    "op11_byte_pairs": op11_byte_pairs,
 }
 
 # DuckDB text of the queries that SQL can express.

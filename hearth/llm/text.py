@@ -11,15 +11,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Words for Spark's split(): the separators of the rule above.
 SPACE = r"[\x20\x09-\x0D]+"
 BATCH_ROWS = 1000
 
 
-
 def once(value: Column) -> Column:
     """``value``, computed once a row: later filters and columns can't copy the expression."""
     return F.explode_outer(F.array(value))
@@ -32,6 +32,16 @@ def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
 
 
+def quoted(name: str) -> str:
+    """A column's name for select() and col(), dots and backquotes included."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def map_batches(rows: DataFrame, run, schema: T.StructType) -> DataFrame:
+    """mapInArrow for frames whose column names may hold dots."""
+    return rows.toDF(*[f"_{i}" for i in range(len(rows.columns))]).mapInArrow(run, schema)
+
+
 IS_SPACE = np.zeros(256, dtype=bool)
 IS_SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 
