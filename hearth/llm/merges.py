@@ -31,7 +31,7 @@ from pyspark.sql import types as T
 from hearth.llm.text import map_batches, quoted, small_batches
 
 # Text bytes of a block (a longer text is one by itself), and of a piece that is parted into words at once.
-BLOCK_BYTES, PIECE_BYTES = 32 << 20, 1 << 20
+BLOCK_BYTES, PIECE_BYTES = 8 << 20, 1 << 20
 OTHER, LETTER, NUMBER, BLANK = range(4)
 NONE = np.int32(1 << 30)  # no merge
 WHITE_SPACE = "\t\n\x0b\x0c\r \x85\xa0     　" + "".join(map(chr, range(0x2000, 0x200B)))
@@ -263,16 +263,19 @@ class Ranks:
         for r, a, b in zip(first, cuts[:-1], cuts[1:], strict=True):
             index.setdefault(r, []).append(places[a:b])
 
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of the texts one after the other, and where each text's begin and end."""
+    def encode(self, texts: list[str], rows: int = 256) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """For each ``rows`` texts their ids one after the other, and where each text's begin and end."""
         words, counts = split_words(texts, self.classes)
         coded = words.dictionary_encode()
+        del words
         ids, edges = self.encode_words(coded.dictionary.to_pylist())
-        number = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-        size = np.diff(edges)[number]
-        out = ids[_ranges(edges[number], size)]
-        ends = np.concatenate([[0], np.cumsum(size)])
-        return out, ends[np.concatenate([[0], np.cumsum(counts)])]
+        number, size = coded.indices.to_numpy(zero_copy_only=False), np.diff(edges)
+        last = np.concatenate([[0], np.cumsum(counts)])
+        for i in range(0, len(texts), rows):
+            cut = last[i : i + rows + 1]
+            part = number[cut[0] : cut[-1]]
+            ends = np.concatenate([[0], np.cumsum(size[part])])
+            yield ids[_ranges(edges[part], size[part])], ends[cut - cut[0]]
 
     def decode(self, ids: np.ndarray) -> tuple[bytes, np.ndarray]:
         """The bytes of all ids, and where each id's begin and end."""
@@ -329,16 +332,13 @@ def encode(docs: DataFrame, rank_file: str, text_col: str = "text", ids_col: str
         ranks = _ranks(*model.value)
         for block in _blocks(batches, at):
             texts = [t or "" for b in block for t in b.column(at).to_pylist()]
-            ids, ends = ranks.encode(texts)
+            table = pa.Table.from_batches(block)
             row = 0
-            for b in block:
-                for i in range(0, b.num_rows, 256):
-                    part = b.slice(i, 256)
-                    cut = ends[row : row + part.num_rows + 1]
-                    flat, cut = ids[cut[0] : cut[-1]], cut - cut[0]
-                    row += part.num_rows
+            for flat, cut in ranks.encode(texts):
+                for part in table.slice(row, len(cut) - 1).combine_chunks().to_batches():
                     column = _packed(flat.astype("<u4").tobytes(), cut * 4) if packed else pa.ListArray.from_arrays(pa.array(cut.astype(np.int32)), pa.array(flat))
                     yield pa.RecordBatch.from_arrays([*part.columns, column], [*rest, ids_col])
+                row += len(cut) - 1
 
     kept = docs.select(*map(quoted, rest))
     kind = T.BinaryType() if packed else T.ArrayType(T.IntegerType())

@@ -28,8 +28,7 @@ def own():
 
 
 def each(own, texts):
-    ids, ends = own.encode(texts)
-    return [ids[a:b].tolist() for a, b in zip(ends[:-1], ends[1:], strict=True)]
+    return [ids[a:b].tolist() for ids, ends in own.encode(texts) for a, b in zip(ends[:-1], ends[1:], strict=True)]
 
 
 def test_random_texts(library, own):
