@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hearth.llm import languages, licences, lines, merges, mixing, neighbours, pieces, quality, sharding, simhash, substrings
+from hearth.llm import languages, licences, lines, merges, mixing, neighbours, phrases, pieces, quality, sharding, simhash, substrings
 
 SHINGLE, MAX_BITS = 3, 2
 SHARDS = [f"shard-{i:03d}" for i in range(64)]
@@ -106,6 +106,10 @@ def op11_byte_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.mine(_documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_neighbours": op1_neighbours,
     "op2_quality": op2_quality,
@@ -118,7 +122,48 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_lines": op9_lines,
     "op10_mixing": op10_mixing,
     "op11_byte_pairs": op11_byte_pairs,
+    "op12_phrases": op12_phrases,
 }
 
+_PHRASES_SQL = r"""
+WITH pieces AS (
+  SELECT lang, row_number() OVER () AS piece, words FROM (
+    SELECT coalesce(lang, 'und') AS lang, regexp_extract_all(unnest(regexp_split_to_array(
+      translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')), '[^\x20\x09]+') AS words
+    FROM documents)
+  WHERE len(words) > 0
+), spread AS (
+  SELECT lang, piece, unnest(words) AS w1, unnest(range(len(words))) AS i FROM pieces
+), grams AS (
+  SELECT lang, w1, lead(w1) OVER p AS w2, lead(w1, 2) OVER p AS w3 FROM spread WINDOW p AS (PARTITION BY piece ORDER BY i)
+), counts AS (
+  SELECT lang, 1 AS size, w1 AS phrase, count(*) AS c FROM grams GROUP BY ALL HAVING c >= 10
+  UNION ALL SELECT lang, 2, w1 || ' ' || w2, count(*) AS c FROM grams WHERE w2 IS NOT NULL GROUP BY ALL HAVING c >= 10
+  UNION ALL SELECT lang, 3, w1 || ' ' || w2 || ' ' || w3, count(*) AS c FROM grams WHERE w3 IS NOT NULL GROUP BY ALL HAVING c >= 10
+), candidates AS (
+  SELECT lang, size, phrase, c AS a, string_split(phrase, ' ') AS words FROM counts WHERE size > 1
+), cuts AS (
+  SELECT lang, phrase, a, k, array_to_string(words[1:k], ' ') AS first, array_to_string(words[k + 1:size], ' ') AS rest
+  FROM candidates, (VALUES (1), (2)) v(k) WHERE k < size
+), scored AS (
+  SELECT t.lang, t.phrase, t.a, t.k, f.c AS l, r.c AS r, (1000000 * t.a::HUGEINT * t.a) // (f.c::HUGEINT * r.c) AS score
+  FROM cuts t JOIN counts f ON f.lang = t.lang AND f.phrase = t.first JOIN counts r ON r.lang = t.lang AND r.phrase = t.rest
+), best AS (
+  SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+), longer AS (
+  SELECT lang, phrase, max(a) AS a FROM (
+    SELECT lang, array_to_string(words[1:2], ' ') AS phrase, a FROM candidates WHERE size = 3
+    UNION ALL SELECT lang, array_to_string(words[2:3], ' '), a FROM candidates WHERE size = 3)
+  GROUP BY ALL
+), ranked AS (
+  SELECT b.*, row_number() OVER (PARTITION BY b.lang ORDER BY b.score DESC, b.a DESC, encode(b.phrase)) AS rank
+  FROM best b LEFT JOIN longer o ON o.lang = b.lang AND o.phrase = b.phrase
+  WHERE o.a IS NULL OR 100 * o.a < 50 * b.a
+)
+SELECT k.lang, k.rank, k.phrase, k.a, k.l, k.r, t.n, k.score::BIGINT AS score
+FROM ranked k JOIN (SELECT lang, count(*) AS n FROM spread GROUP BY lang) t ON t.lang = k.lang
+WHERE k.rank <= 2000
+"""
+
 # DuckDB text of the queries that SQL can express.
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op12_phrases": _PHRASES_SQL}
