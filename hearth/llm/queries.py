@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hearth.llm import languages, licences, lines, merges, mixing, neighbours, phrases, pieces, quality, sharding, simhash, substrings
+from hearth.llm import languages, licences, lines, merges, mixing, neighbours, phrases, pieces, quality, runs, sharding, simhash, substrings
 
 SHINGLE, MAX_BITS = 3, 2
 SHARDS = [f"shard-{i:03d}" for i in range(64)]
@@ -110,6 +110,25 @@ def op12_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrases.mine(_documents(spark, sf_dir))
 
 
+def op13_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir).select("doc_id", runs.with_repeats("doc_id", "text").alias("text"))
+    # greatest length / period first, compared exactly; ties: smallest start, then period
+    order = "CASE WHEN a.length * b.period != b.length * a.period THEN sign(b.length * a.period - a.length * b.period) WHEN a.start != b.start THEN sign(a.start - b.start) ELSE sign(a.period - b.period) END"
+    best = F.get(F.expr(f"array_sort(runs, (a, b) -> int({order}))"), 0)
+    line = lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))
+    found = runs.find_runs(docs).withColumn("best", best)
+    return found.select(
+        F.col("id").alias("doc_id"),
+        F.size("runs").cast("long").alias("n_runs"),
+        "best.start",
+        "best.length",
+        "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(F.transform("runs", line), ""), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed"), 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_neighbours": op1_neighbours,
     "op2_quality": op2_quality,
@@ -123,6 +142,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_mixing": op10_mixing,
     "op11_byte_pairs": op11_byte_pairs,
     "op12_phrases": op12_phrases,
+    "op13_runs": op13_runs,
 }
 
 _PHRASES_SQL = r"""
