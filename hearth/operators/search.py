@@ -18,6 +18,7 @@ from hearth.functions.columns import contains_ci, contains_literal
 from hearth.schema import CATEGORIES, FLAG_COLUMNS, LISTING_COLUMNS, SUBCATEGORIES, TRANSACTION_TYPES
 
 DEFAULT_LIMIT = 100
+MAX_PAGE = 10_000
 
 
 @dataclass(frozen=True)
@@ -171,6 +172,41 @@ def page(df: DataFrame, order: list[Column], skip: int = 0, limit: int = DEFAULT
     return out.limit(limit)
 
 
+def after_cursor(sort_by_change_date: str | None, change_date, listing_id: int) -> Column:
+    """The rows that ``change_date_order`` puts behind (change_date, listing_id), as a predicate for the scan."""
+    key, day, number = (sort_by_change_date or "").lower(), F.col("change_date"), F.col("listing_id")
+    later = number > F.lit(int(listing_id))
+    if key not in ("asc", "desc"):
+        return later
+    if change_date is None:  # nulls are last when rising, first when falling
+        return day.isNull() & later if key == "asc" else (day.isNull() & later) | day.isNotNull()
+    at = F.lit(change_date).cast("timestamp_ntz")
+    if key == "asc":
+        return (day > at) | ((day == at) & later) | day.isNull()
+    return (day < at) | ((day == at) & later)
+
+
+def seek_page(df: DataFrame, sort_by_change_date: str | None = None, after: tuple | None = None, limit: int = DEFAULT_LIMIT) -> DataFrame:
+    """L2 by cursor: the ``limit`` rows behind ``after`` (a ``cursor`` of the page before; None: the first page).
+
+    The cursor is a predicate that the scan prunes files and row groups by, so
+    a page costs the same at any depth: a top-k of ``limit`` rows, where
+    ``offset`` would sort and send all rows before it. Rows that are added or
+    removed between pages shift no other row. ``limit`` is 1 to MAX_PAGE;
+    ``listing_id`` must be unique and not null, as in the stored table.
+    """
+    if not 1 <= limit <= MAX_PAGE:
+        raise ValueError(f"limit must be 1 to {MAX_PAGE} (got {limit})")
+    rows = df if after is None else df.where(after_cursor(sort_by_change_date, *after))
+    return rows.orderBy(*change_date_order(sort_by_change_date)).limit(limit)
+
+
+def cursor(page: DataFrame) -> tuple | None:
+    """(change_date, listing_id) of a page's last row, None for an empty page."""
+    rows = page.select("change_date", "listing_id").tail(1)
+    return (rows[0]["change_date"], rows[0]["listing_id"]) if rows else None
+
+
 def total(df: DataFrame) -> DataFrame:
     """A1: one-row ``count`` of a filtered frame."""
     return df.agg(F.count(F.lit(1)).alias("count"))

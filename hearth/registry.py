@@ -20,7 +20,7 @@ from hearth.operators import integrity as R
 from hearth.operators import profile as PR
 from hearth.operators import search as S
 from hearth.operators.upsert import merge_upsert
-from hearth.plans.ingest import ingest
+from hearth.plans.ingest import ingest, keyed_tables
 from hearth.plans.pipeline import clean_frame, clean_listings, prepare
 from hearth.plans.policies import TransformPolicy
 from hearth.schema import (
@@ -28,6 +28,9 @@ from hearth.schema import (
     CORRUPT_COLUMN,
     FLAG_COLUMNS,
     INTEGER_COLUMNS,
+    ITEM_CATEGORY_KEY,
+    ITEM_CATEGORY_SCHEMA,
+    LISTING_KEY,
     LISTING_SCHEMA,
     MEASURE_COLUMNS,
     NON_NEGATIVE_COLUMNS,
@@ -35,9 +38,13 @@ from hearth.schema import (
 )
 from hearth.session import scratch_path
 from hearth.sources import files as FS
+from hearth.sources import footers as FT
+from hearth.sources.buckets import BucketStore
 from hearth.sources.fixture import raw_listings
+from hearth.sources.footers import footer_counts
 from hearth.sources.tables import TableStore, is_empty
 
+NUMERIC_COLUMNS = MEASURE_COLUMNS + INTEGER_COLUMNS
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
@@ -342,6 +349,37 @@ query(
     W(f"SELECT {LISTING_COLS_SQL} FROM listing l WHERE l.has_garden = true ORDER BY l.listing_id LIMIT 40 OFFSET 10"),
 )(_page({"has_garden": True, "sort_by_change_date": "sideways", "skip": 10, "limit": 40}))
 
+
+
+def _seek_pages(order: str | None, params: dict):
+    """All pages of a search, each from the cursor of the one before, with their numbers."""
+
+    def run(spark, sf):
+        path = scratch_path(spark, "seek")
+        listing(spark, sf).write.parquet(path)  # read by every page
+        matched = S.search(spark.read.parquet(path), None, params)
+        size = min(S.MAX_PAGE, max(1, -(-matched.count() // 6)))
+        out, after, number = None, None, 0
+        while True:
+            one = S.seek_page(matched, order, after, size)
+            after = S.cursor(one)
+            if after is None:
+                return out
+            one = one.withColumn("page", F.lit(number).cast("long"))
+            out, number = one if out is None else out.unionByName(one), number + 1
+
+    return run
+
+
+def _seek_sql(order: str, where: str) -> str:
+    return W(f"SELECT *, (row_number() OVER (ORDER BY {order}, listing_id) - 1) // least(10000, greatest(1, CAST(ceil(count(*) OVER () / 6) AS BIGINT))) AS page "
+             f"FROM listing WHERE {where}")
+
+
+query("l2_seek_pages_desc", _seek_sql("change_date DESC NULLS FIRST", "transaction_type = 'SELL'"))(_seek_pages("desc", {"transaction_type": "SELL"}))
+query("l2_seek_pages_asc", _seek_sql("change_date ASC NULLS LAST", "price >= 20000"))(_seek_pages("asc", {"min_price": 20000.0}))
+query("l2_seek_pages_by_id", _seek_sql("1", "has_garden = true"))(_seek_pages(None, {"has_garden": True}))
+
 LOOKUP_ID = 7
 
 
@@ -560,11 +598,11 @@ query("s1_json_quoted_values_clean", W("SELECT * FROM listing"))(_quoted_feed)
 query("s2_csv_source_clean", W("SELECT * FROM listing"))(_k1_from("csv"))
 query(
     "s4_untyped_load",
-    W("SELECT CAST(listing_id AS VARCHAR) AS listing_id, CAST(start_date AS VARCHAR) AS start_date, "
-      "transaction_type, zipcode, city FROM raw"),
+    W("SELECT " + ", ".join(f"CAST({c} AS {'DOUBLE' if c in NUMERIC_COLUMNS else 'VARCHAR'}) AS {c}" for c in O.RAW_COLUMNS) + " FROM raw"),
 )(
+    # every value is text; numbers are compared as such, since the two sides write them differently
     lambda spark, sf: FS.read_untyped(spark, _feed(spark, sf, "json")).select(
-        "listing_id", "start_date", "transaction_type", "zipcode", "city"
+        *[F.col(c).cast("double") if c in NUMERIC_COLUMNS else F.col(c) for c in O.RAW_COLUMNS]
     )
 )
 query(
@@ -659,28 +697,107 @@ def _incremental(spark, sf):
 
 query("k2_incremental_ingest_listing", ACCEPTED_SQL)(_incremental)
 
+# ---------------------------------------------------------------------------
+# Tables in key buckets
+# ---------------------------------------------------------------------------
+BUCKETS = {"listing": 16}
+
+
+def _ingest_buckets(spark, sf) -> BucketStore:
+    root = scratch_path(spark, "keyed")
+    ingest(spark, _feed(spark, sf, "json"), root, "json", enforce="reject", buckets=BUCKETS)
+    return keyed_tables(spark, root)
+
+
+query("k2_ingest_buckets_listing", ACCEPTED_SQL)(lambda spark, sf: _ingest_buckets(spark, sf).read("listing"))
+query("k2_ingest_buckets_category", W("SELECT * FROM valid_cat", VALID_CATS))(
+    lambda spark, sf: _ingest_buckets(spark, sf).read("item_category")
+)
+
+
+def _listing_buckets(spark, rows) -> BucketStore:
+    store = BucketStore(spark, scratch_path(spark, "buckets"))
+    store.create("listing", LISTING_SCHEMA, LISTING_KEY, BUCKETS["listing"])
+    store.upsert({"listing": rows})
+    return store
+
+
+def _bucket_upsert(spark, sf):
+    """A batch merged into a table that holds rows already."""
+    store = _listing_buckets(spark, _existing(spark, sf)[1])
+    store.upsert({"listing": _incoming(spark, sf)[1]})
+    return store.read("listing")
+
+
+query("j3_bucket_upsert_listing", ORACLE["j3_upsert_listing"])(_bucket_upsert)
+
+
+def _touched_buckets(spark, sf):
+    """What three batches write: the stored rows again, one changed row, and a batch of every third listing."""
+    base = _existing(spark, sf)[1]
+    store = _listing_buckets(spark, base)
+    files = lambda: {f.rsplit("/", 2)[1]: f for f in store.read("listing").inputFiles()}
+    out, before = [], files()
+    one = base.orderBy("listing_id").limit(1).withColumn("city", F.lit("Elsewhere"))
+    third = base.where("listing_id % 3 = 0").withColumn("price", F.lit(1.0))
+    for name, batch in (("same", base), ("one_changed", one), ("every_third", third)):
+        written = store.upsert({"listing": batch})["listing"]["written"]
+        after = files()
+        changed = {b for b in after if after[b] != before.get(b)}
+        out.append((name, len(written), len(changed), changed == {f"bucket={b}" for b in written}))
+        before = after
+    found = spark.createDataFrame(out, "batch string, buckets_written long, files_changed long, only_those boolean")
+    return found.crossJoin(store.read("listing").agg(F.count_if(F.col("price") == 1.0).alias("repriced"), F.count_if(F.col("city") == "Elsewhere").alias("moved")))
+
+
+query(
+    "s7_buckets_written",
+    f"WITH {O.clean_ctes(**E_KW)}, first AS (SELECT min(listing_id) AS id FROM e_listing), "
+    "w(batch, n) AS (VALUES ('same', 0), ('one_changed', 1), ('every_third', 16)) "
+    "SELECT batch, CAST(n AS BIGINT) AS buckets_written, CAST(n AS BIGINT) AS files_changed, true AS only_those, "
+    "(SELECT count(*) FROM e_listing WHERE listing_id % 3 = 0 OR price = 1.0) AS repriced, "
+    "(SELECT count(*) FROM e_listing WHERE (listing_id = (SELECT id FROM first) AND listing_id % 3 <> 0) OR city = 'Elsewhere') AS moved FROM w",
+)(_touched_buckets)
+query("f17_lookup_in_bucket", ORACLE["f17_listing_by_id"])(
+    lambda spark, sf: _listing_buckets(spark, listing(spark, sf)).lookup("listing", listing_id=LOOKUP_ID)
+)
+
+
+def _category_lookup(spark, sf):
+    store = BucketStore(spark, scratch_path(spark, "buckets"))
+    store.create("item_category", ITEM_CATEGORY_SCHEMA, ITEM_CATEGORY_KEY, 4)
+    store.upsert({"item_category": categories(spark, sf)})
+    return store.lookup("item_category", subcategory="VILLA")
+
+
+query("f18_lookup_in_bucket", ORACLE["f18_category_by_subcategory"])(_category_lookup)
+
 # ---------------------------------------------------------------------------
 # profile
 # ---------------------------------------------------------------------------
 def _stage_counts(spark, sf):
-    cats, lst = tables(spark, sf)
-    return (
-        raw(spark, sf).agg(F.count(F.lit(1)).alias("raw_rows"))
-        .crossJoin(lst.agg(F.count(F.lit(1)).alias("listing_rows")))
-        .crossJoin(cats.agg(F.count(F.lit(1)).alias("category_rows")))
-    )
+    """The counts that the ingest job reports."""
+    report = ingest(spark, _feed(spark, sf, "json"), scratch_path(spark, "counts"), "json", enforce="reject")
+    m = report.metrics
+    found = [(m["raw_rows"], m["prepared_rows"], m["batch_listings"], m["category_rows"], footer_counts(spark.read.parquet(report.written["listing"]))["rows"])]
+    return spark.createDataFrame(found, "raw_rows long, prepared_rows long, batch_listings long, category_rows long, listing_rows long")
 
 
 query(
     "a2_stage_counts",
-    W("SELECT (SELECT count(*) FROM raw) AS raw_rows, (SELECT count(*) FROM listing) AS listing_rows, "
-      "(SELECT count(*) FROM item_category) AS category_rows"),
+    ACCEPTED_SQL.replace("SELECT * FROM listing l WHERE", "SELECT (SELECT count(*) FROM raw) AS raw_rows, (SELECT count(*) FROM prepared) AS prepared_rows, "
+                         "(SELECT count(*) FROM listing) AS batch_listings, (SELECT count(*) FROM valid_cat) AS category_rows, count(*) AS listing_rows FROM listing l WHERE"),
 )(_stage_counts)
+
+
+def _written_listing(spark, sf):
+    path = scratch_path(spark, "footers")
+    listing(spark, sf).write.parquet(path)
+    return spark.read.parquet(path)
 query("a3_max_start_year", W("SELECT CAST(max(year(start_date)) AS INTEGER) AS max_start_year FROM prepared"))(
     lambda spark, sf: prepare(raw(spark, sf)).agg(F.max(F.year("start_date")).alias("max_start_year"))
 )
 
-NUMERIC_COLUMNS = MEASURE_COLUMNS + INTEGER_COLUMNS
 
 
 def summary_sql(src: str, cols, cast_double: bool = True) -> str:
@@ -909,6 +1026,16 @@ query(
       f"FROM vc GROUP BY {q('column')}) t ON v.{q('column')} = t.{q('column')}",
       f"vc AS ({vc_sql('cleaned', INTEGER_COLUMNS, 'BIGINT')})"),
 )(lambda spark, sf: PR.integer_distribution(cleaned(spark, sf), INTEGER_COLUMNS))
+query("a14_missing_share_footers", ORACLE["a14_missing_share"])(lambda spark, sf: FT.missing_share(_written_listing(spark, sf)))
+query(
+    "a6_column_info_footers",
+    W(union_all(f"SELECT '{f.name}' AS {q('column')}, count({f.name}) AS non_null, '{f.dataType.simpleString()}' AS dtype FROM listing" for f in LISTING_SCHEMA)),
+)(lambda spark, sf: FT.column_info(_written_listing(spark, sf)))
+query(
+    "a22_ranges_footers",
+    W(union_all(f"SELECT '{c}' AS {q('column')}, count({c}) AS non_null, CAST(min({c}) AS DOUBLE) AS least, CAST(max({c}) AS DOUBLE) AS greatest FROM listing"
+                for c in NUMERIC_COLUMNS)),
+)(lambda spark, sf: FT.column_ranges(_written_listing(spark, sf), list(NUMERIC_COLUMNS)))
 query("a22_date_range", W("SELECT min(start_date) AS min_start_date, max(start_date) AS max_start_date FROM listing"))(
     lambda spark, sf: PR.date_range(listing(spark, sf))
 )

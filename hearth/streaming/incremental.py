@@ -34,6 +34,7 @@ def start_incremental_ingest(
     max_files_per_trigger: int | None = None,
     available_now: bool = False,
     processing_time: str | None = None,
+    buckets: dict | None = None,
 ) -> StreamingQuery:
     reader = spark.readStream.schema(TEXT_SCHEMA)
     if fmt == "json":
@@ -49,7 +50,7 @@ def start_incremental_ingest(
 
     def run_batch(batch: DataFrame, batch_id: int) -> None:
         if not batch.isEmpty():
-            ingest_frame(batch, store_root, policy, enforce)
+            ingest_frame(batch, store_root, policy, enforce, buckets=buckets)
 
     w = df.writeStream.foreachBatch(run_batch).option("checkpointLocation", checkpoint_location)
     if available_now:

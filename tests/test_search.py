@@ -1,12 +1,14 @@
 """Search: seeded versions of the property tests, enum and paging checks."""
 
 import random
+from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
 
 from hearth.operators import search as S
 from hearth.schema import CATEGORIES, SUBCATEGORIES, TRANSACTION_TYPES
+from tests.test_plans import formatted
 
 
 def random_params(rng):
@@ -168,3 +170,36 @@ def test_fetch_total_when_input_is_already_in_page_order(spark):
     cats, lst = clean_listings(raw_listings(spark, "/root/testdata/sf0.001"))
     rows, count = S.fetch_listings(lst, cats, city="nation_1")
     assert count == S.search(lst, cats, city="nation_1").count() and count > len(rows) == 100
+
+
+@pytest.mark.parametrize("order", ["asc", "desc", None])
+def test_seek_pages_equal_the_sorted_rows(spark, order):
+    """Ties, nulls, and a page size that does not divide the rows."""
+    rows = [(i, None if i % 5 == 0 else datetime(2024, 1, 1 + i % 3)) for i in range(97)]
+    df = spark.createDataFrame(rows, "listing_id long, change_date timestamp_ntz").repartition(4)
+    want = [r.listing_id for r in df.orderBy(*S.change_date_order(order)).collect()]
+    got, after = [], None
+    while (after := S.cursor(page := S.seek_page(df, order, after, 10))) is not None:
+        got += [r.listing_id for r in page.collect()]
+    assert got == want
+    assert S.cursor(S.seek_page(df.limit(0), order)) is None
+
+
+def test_seek_pages_are_bounded_and_pushed_down(spark, tmp_path):
+    for limit in (0, -1, S.MAX_PAGE + 1):
+        with pytest.raises(ValueError):
+            S.seek_page(spark.range(1).withColumnRenamed("id", "listing_id"), None, None, limit)
+    path = str(tmp_path / "seek")
+    rows = spark.range(1000).selectExpr("id AS listing_id", "timestamp_ntz'2024-01-01' + make_interval(0, 0, 0, int(id)) AS change_date")
+    rows.repartitionByRange(4, "change_date").write.parquet(path)
+    page = S.seek_page(spark.read.parquet(path), "desc", (datetime(2024, 6, 1), 5), 10)
+    text = formatted(page)
+    assert "TakeOrderedAndProject" in text and "Or(LessThan(change_date" in text
+    assert [r.listing_id for r in page.collect()] == list(range(152, 142, -1))  # day 152 ties with the cursor, behind it by id
+
+
+def test_a_row_added_between_pages_shifts_nothing(spark):
+    df = spark.createDataFrame([(i, datetime(2024, 1, 1 + i)) for i in range(20)], "listing_id long, change_date timestamp_ntz")
+    first = S.seek_page(df, "desc", None, 5)
+    more = df.unionByName(spark.createDataFrame([(99, datetime(2025, 1, 1))], df.schema))
+    assert [r.listing_id for r in S.seek_page(more, "desc", S.cursor(first), 5).collect()] == [14, 13, 12, 11, 10]
