@@ -12,7 +12,7 @@ from __future__ import annotations
 import math
 
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from hearth.functions.columns import parent_path
@@ -97,17 +97,15 @@ def _hist_moments(hist: DataFrame) -> DataFrame:
 
 def numeric_summary(
     df: DataFrame, cols, approx: bool = False, digits: int | None = 6, hist: DataFrame | None = None,
-    quantiles: dict | None = None,
+    quantiles: dict | None = None, cache: bool = True,
 ) -> DataFrame:
     """A5: count, mean, sample std, min, quartiles, max per column (long form).
 
-    Exact (default): one pass over the data builds a (column, value) -> n
-    histogram (partial aggregation, persisted); moments come from the
-    histogram and the quartiles from the distributed selection of
-    ``hearth.operators.quantiles``, so no task ever holds all values of a
-    column. The small result is computed eagerly. ``approx=True`` is a
-    single lazy aggregate with ``percentile_approx``. ``hist`` may be a
-    shared ``column_histogram`` that holds ``cols`` as numeric columns.
+    Exact (default): quartiles from sketch brackets (``quantiles.bracketed``),
+    which shuffles no rows. The small result is computed eagerly.
+    ``approx=True`` is a single lazy aggregate with ``percentile_approx``.
+    ``hist`` may be a shared ``column_histogram`` that holds ``cols`` as
+    numeric columns, to be used instead.
     """
     if approx:
         long = _long(df, cols)
@@ -121,21 +119,24 @@ def numeric_summary(
             F.max(v).alias("max"),
         ).select("column", "count", "mean", "std", "min", *[_r(F.col("q")[i], digits).alias(n) for i, n in
                                                              enumerate(("q25", "q50", "q75"))], "max")
-    own = hist is None
-    hist = Q.histogram(_long(df, cols)).persist(StorageLevel.MEMORY_AND_DISK) if own else _num_hist(hist, cols)
-    try:
-        moments = _hist_moments(hist).collect()
-        totals = [dict(column=r["column"], N=r["N"], D=r["D"], lo=r["min"], hi=r["max"]) for r in moments]
-        qs = quantiles if quantiles is not None else Q.exact_quantiles(None, QUARTILES, hist=hist, totals=totals)
-        rows = []
-        for r in moments:
-            n = r["N"]
-            std = math.sqrt(r["M2"] / (n - 1)) if n > 1 else None
-            rows.append((r["column"], n, r["mean"], std, r["min"], *qs[r["column"]], r["max"]))
-    finally:
-        if own:
-            hist.unpersist()
-    out = df.sparkSession.createDataFrame(rows, SUMMARY_SCHEMA)
+    if hist is None:
+        return summary_frame(df.sparkSession, Q.bracketed(df, {c: F.col(c) for c in cols}, QUARTILES, cache=cache), digits)
+    hist = _num_hist(hist, cols)
+    moments = _hist_moments(hist).collect()
+    totals = [dict(column=r["column"], N=r["N"], D=r["D"], lo=r["min"], hi=r["max"]) for r in moments]
+    qs = quantiles if quantiles is not None else Q.exact_quantiles(None, QUARTILES, hist=hist, totals=totals)
+    found = {}
+    for r in moments:
+        n = r["N"]
+        std = math.sqrt(r["M2"] / (n - 1)) if n > 1 else None
+        found[r["column"]] = Q.Summary(n, r["mean"], std, r["min"], r["max"], qs[r["column"]])
+    return summary_frame(df.sparkSession, found, digits)
+
+
+def summary_frame(spark: SparkSession, found: dict[str, Q.Summary], digits: int | None = 6) -> DataFrame:
+    """The rows of A5 from each column's figures."""
+    rows = [(c, x.count, x.mean, x.std, x.least, *x.quantiles, x.greatest) for c, x in found.items()]
+    out = spark.createDataFrame(rows, SUMMARY_SCHEMA)
     return out.select(
         "column", "count", *[_r(F.col(c), digits).alias(c) for c in ("mean", "std")], "min",
         *[_r(F.col(c), digits).alias(c) for c in ("q25", "q50", "q75")], "max",
@@ -394,20 +395,19 @@ def iqr_stats(
 ) -> DataFrame:
     """Quartiles (linear interpolation), IQR fences and box statistics.
 
-    One pass over the data builds the (column, value) -> n histogram; exact
-    quartiles come from the distributed selection, and whiskers (most
-    extreme values inside the fences) and fliers (values outside) from the
-    histogram joined with the fences (one row per column, broadcast).
+    Quartiles come from sketch brackets, whiskers (most extreme values inside
+    the fences) and fliers (values outside) from one more aggregate with the
+    fences as literals; no rows are shuffled. ``quantiles`` ({column:
+    quartiles}) saves the first part. With a shared ``hist`` both come from
+    the histogram.
     """
-    own = hist is None
-    hist = Q.histogram(_long(df, cols)).persist(StorageLevel.MEMORY_AND_DISK) if own else _num_hist(hist, cols)
-    try:
+    if hist is not None:
+        hist = _num_hist(hist, cols)
         qs = quantiles if quantiles is not None else Q.exact_quantiles(None, QUARTILES, hist=hist)
-        fences = [
-            (c, q1, q2, q3, q3 - q1, q1 - k * (q3 - q1), q3 + k * (q3 - q1))
-            for c, (q1, q2, q3) in qs.items()
-            if c in cols
-        ]
+    else:
+        qs = quantiles if quantiles is not None else {c: x.quantiles for c, x in Q.bracketed(df, {c: F.col(c) for c in cols}, QUARTILES).items()}
+    fences = [(c, q1, q2, q3, q3 - q1, q1 - k * (q3 - q1), q3 + k * (q3 - q1)) for c, (q1, q2, q3) in qs.items() if c in cols]
+    if hist is not None:
         f = df.sparkSession.createDataFrame(
             fences, "column string, q1 double, median double, q3 double, iqr double, lower_fence double, upper_fence double"
         )
@@ -420,9 +420,21 @@ def iqr_stats(
             F.sum(F.when((v < F.col("lower_fence")) | (v > F.col("upper_fence")), n).otherwise(0)).alias("n_fliers"),
         )
         rows = box.join(f, "column").collect()
-    finally:
-        if own:
-            hist.unpersist()
+    else:
+        aggregates = []
+        for i, (c, *_, low, high) in enumerate(fences):
+            v = F.col(c).cast("double")
+            aggregates += [
+                F.count(v).alias(f"count{i}"), F.avg(v).alias(f"mean{i}"),
+                F.min(F.when(v >= low, v)).alias(f"whisker_low{i}"), F.max(F.when(v <= high, v)).alias(f"whisker_high{i}"),
+                F.count_if((v < low) | (v > high)).alias(f"n_fliers{i}"),
+            ]
+        one = df.agg(*aggregates).first() if aggregates else None
+        rows = [
+            dict(zip(("column", "q1", "median", "q3", "iqr", "lower_fence", "upper_fence"), f, strict=True))
+            | {x: one[f"{x}{i}"] for x in ("count", "mean", "whisker_low", "whisker_high", "n_fliers")}
+            for i, f in enumerate(fences)
+        ]
     names = ("column", "count", "q1", "median", "q3", "iqr", "lower_fence", "upper_fence", "mean",
              "whisker_low", "whisker_high", "n_fliers")
     out = df.sparkSession.createDataFrame(

@@ -1,4 +1,14 @@
-"""Exact quantiles by distributed selection over a value histogram.
+"""Exact quantiles: bracketed by sketches, or selected from a value histogram.
+
+``bracketed`` needs no histogram of the data and no shuffle of its rows. One
+aggregate builds a mergeable quantile sketch of each column; its error bound
+gives two values between which each wanted rank must lie. A second aggregate
+counts the rows below and inside each bracket exactly, which proves that the
+rank is there, and only the values inside it are counted one by one. A bracket
+that still holds too many values is sketched again, a few thousand times
+narrower each time.
+
+The other functions work on a (group, value) histogram that profiles share.
 
 Spark's exact ``percentile`` keeps every distinct value of a group in one
 task's map. That is fine for small-domain columns and wrong for a measure
@@ -26,12 +36,15 @@ at ranks ``floor`` and ``ceil``. Everything the driver sees is bounded by
 from __future__ import annotations
 
 import math
+from dataclasses import dataclass
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 MAX_ROUNDS = 64
+# Rank error of a sketch: 1 / ACCURACY of the rows.
+ACCURACY = 10_000
 # Distinct values up to which Spark's percentile map (one task per group, on
 # an executor) is used directly.
 PERCENTILE_MAX_DISTINCT = 10_000
@@ -39,6 +52,150 @@ PERCENTILE_MAX_DISTINCT = 10_000
 DRIVER_MAX_VALUES = 10_000
 
 
+@dataclass
+class Summary:
+    """A column's non-null values (NaN is the greatest, as Spark sorts); ``std`` None below two values."""
+
+    count: int
+    mean: float
+    std: float | None
+    least: float
+    greatest: float
+    quantiles: list
+
+
+@dataclass
+class _Bracket:
+    """The finite values ``lo`` .. ``hi`` hold the ranks ``first`` and ``second`` of the finite values."""
+
+    column: str
+    first: int
+    second: int
+    lo: float
+    hi: float
+    counts: dict | None = None  # value -> rows, once counted
+    below: int = 0
+
+    def value(self, rank: int) -> float:
+        at = self.below
+        for v in sorted(self.counts):
+            at += self.counts[v]
+            if rank < at:
+                return v
+        raise ValueError(f"rank {rank} is outside the bracket of {self.column!r}")
+
+
+def bracketed(df: DataFrame, columns: dict[str, Column], probs=(), accuracy: int = ACCURACY, final_values: int = DRIVER_MAX_VALUES,
+              cache: bool = True) -> dict[str, Summary]:
+    """{name: Summary} of numeric expressions over ``df``, exact; columns without a value are left out.
+
+    The expressions are computed once and kept (memory, then disk) for the
+    passes; ``cache=False`` where ``df`` is a written table, to reread it.
+    They are read once for the sketches, once for the counts, and once for
+    the values inside the brackets (each narrowing of a bracket that holds
+    more than ``final_values`` between its ends reads it once more). The
+    driver gets one row a pass and at most ``final_values`` values a bracket.
+    """
+    if accuracy < 20 or final_values < 4:
+        raise ValueError("an accuracy below 20 or fewer than 4 final values would narrow no bracket")
+    names = list(columns)
+    rows = df.select(*[columns[c].cast("double").alias(f"v{i}") for i, c in enumerate(names)])
+    real = {c: F.when(~F.isnan(f"v{i}") & (F.abs(F.col(f"v{i}")) < F.lit(float("inf"))), F.col(f"v{i}")) for i, c in enumerate(names)}
+    if cache:
+        rows.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return _bracketed(rows, names, real, probs, accuracy, final_values)
+    finally:
+        if cache:
+            rows.unpersist()
+
+
+def _bracketed(rows: DataFrame, names: list[str], real: dict, probs, accuracy: int, final_values: int) -> dict[str, Summary]:
+    margin = 2 / accuracy
+    around = [x for p in probs for x in (max(0.0, p - margin), min(1.0, p + margin))]
+    aggregates = []
+    for i, c in enumerate(names):
+        v = F.col(f"v{i}")
+        aggregates += [
+            F.count(v).alias(f"n{i}"), F.avg(v).alias(f"mean{i}"), F.stddev_samp(v).alias(f"std{i}"), F.min(v).alias(f"lo{i}"), F.max(v).alias(f"hi{i}"),
+            F.count_if(F.isnan(v)).alias(f"nan{i}"), F.count_if(v == float("-inf")).alias(f"below{i}"), F.count_if(v == float("inf")).alias(f"above{i}"),
+            F.min(real[c]).alias(f"least{i}"), F.max(real[c]).alias(f"greatest{i}"),
+        ]
+        if around:
+            aggregates.append(F.percentile_approx(real[c], around, accuracy).alias(f"q{i}"))
+    found = rows.agg(*aggregates).first()
+    brackets: dict[tuple[str, float], _Bracket] = {}
+    edges, out = {}, {}
+    for i, c in enumerate(names):
+        n = found[f"n{i}"]
+        if not n:
+            continue
+        out[c] = Summary(n, found[f"mean{i}"], found[f"std{i}"], found[f"lo{i}"], found[f"hi{i}"], [])
+        edges[c] = (found[f"below{i}"], n - found[f"nan{i}"] - found[f"above{i}"], n - found[f"nan{i}"])
+        for k, p in enumerate(probs):
+            pos = (n - 1) * float(p)
+            ranks = [min(max(r, edges[c][0]), edges[c][1] - 1) - edges[c][0] for r in (math.floor(pos), math.ceil(pos))]
+            if edges[c][0] < edges[c][1]:
+                brackets[c, p] = _Bracket(c, *ranks, *found[f"q{i}"][2 * k : 2 * k + 2])
+    whole = {c: (found[f"least{i}"], found[f"greatest{i}"]) for i, c in enumerate(names)}
+    _count_brackets(rows, real, list(brackets.values()), whole, accuracy, final_values)
+    for c, s in out.items():
+        first, end, nan = edges[c]
+
+        def at(rank, p):
+            if first <= rank < end:
+                return brackets[c, p].value(rank - first)
+            return float("-inf") if rank < first else float("inf") if rank < nan else float("nan")
+
+        for p in probs:
+            pos = (s.count - 1) * float(p)
+            a, b = math.floor(pos), math.ceil(pos)
+            s.quantiles.append(_spark_interpolate(pos, a, b, at(a, p), at(b, p)))
+    return out
+
+
+def _count_brackets(rows: DataFrame, real: dict, todo: list[_Bracket], whole: dict, accuracy: int, final_values: int) -> None:
+    """Fills ``below`` and ``counts`` of every bracket."""
+    for _ in range(MAX_ROUNDS):
+        if not todo:
+            return
+        aggregates = []
+        for i, b in enumerate(todo):
+            v = real[b.column]
+            within = F.when((v > b.lo) & (v < b.hi), v)
+            aggregates += [F.count_if(v < b.lo).alias(f"below{i}"), F.count(within).alias(f"between{i}"), F.count_if((v >= b.lo) & (v <= b.hi)).alias(f"inside{i}")]
+        found = rows.agg(*aggregates).first()
+        ready, narrow = [], []
+        for i, b in enumerate(todo):
+            b.below = found[f"below{i}"]
+            if not b.below <= b.first <= b.second < b.below + found[f"inside{i}"]:
+                b.lo, b.hi = whole[b.column]  # infinities shifted the ranks: start from the whole range
+                narrow.append((b, 0, None))
+            elif found[f"between{i}"] <= final_values:
+                ready.append(b)
+            else:
+                narrow.append((b, b.below, found[f"inside{i}"]))
+        if ready:
+            each = F.array(*[F.when((real[b.column] >= b.lo) & (real[b.column] <= b.hi), F.struct(F.lit(i).alias("i"), real[b.column].alias("v"))) for i, b in enumerate(ready)])
+            values = rows.select(F.explode(F.array_compact(each)).alias("e")).groupBy("e.i", "e.v").agg(F.count(F.lit(1)).alias("n")).collect()
+            for b in ready:
+                b.counts = {}
+            for r in values:
+                ready[r["i"]].counts[r["v"]] = r["n"]
+        if narrow:
+            sketches = []
+            for i, (b, below, inside) in enumerate(narrow):
+                n = inside if inside is not None else None
+                v = real[b.column]
+                share = [0.0, 1.0] if n is None else [max(0.0, (b.first - below) / n - 2 / accuracy), min(1.0, (b.second - below + 1) / n + 2 / accuracy)]
+                sketches.append(F.percentile_approx(F.when((v >= b.lo) & (v <= b.hi), v), share, accuracy).alias(f"q{i}"))
+            found = rows.agg(*sketches).first()
+            for i, (b, _, _) in enumerate(narrow):
+                b.lo, b.hi = found[f"q{i}"]
+        todo = [b for b, _, _ in narrow]
+    raise RuntimeError("quantile brackets did not converge")
+
+
 def histogram(long: DataFrame, group: str = "column", value: str = "value") -> DataFrame:
     """(group, value, n) over non-null values."""
     return long.filter(F.col(value).isNotNull()).groupBy(group, value).agg(F.count(F.lit(1)).alias("n"))

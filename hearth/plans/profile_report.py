@@ -41,39 +41,32 @@ def profile_report(typed: DataFrame, cleaned: DataFrame, checkpoint: bool = True
     ``cleaned`` the deduplicated frame (with ``item_type`` / ``item_subtype``
     or the stored listing table).
 
-    Each input feeds one shared ``column_histogram`` (one shuffle pass,
-    persisted) from which the summaries, quartiles, value counts, shares,
-    distributions and tails are derived; row-level profiles (duplicates,
-    outliers, filtered rows) read the checkpointed inputs.
+    Each input feeds one shared ``column_histogram`` of its columns with few
+    values (one shuffle pass, persisted) from which value counts, shares,
+    distributions and tails are derived. Summaries and quartiles come from
+    sketch brackets, row-level profiles (duplicates, outliers, filtered rows)
+    from the written inputs.
     """
     if checkpoint:
         typed = materialize(typed, "profile-typed")
         cleaned = materialize(cleaned, "profile-cleaned")
     cats = [c for c in CATEGORICAL_COLUMNS + ("item_subcategory",) if c in cleaned.columns]
     key = "listing_id"
-    h_typed = PR.column_histogram(
-        typed, numeric=NUMERIC, text=FLAG_COLUMNS, derived={"zipcode_length": F.length("zipcode")}
-    ).persist(StorageLevel.MEMORY_AND_DISK)
-    h_clean = PR.column_histogram(cleaned, numeric=NUMERIC, text=tuple(cats) + FLAG_COLUMNS).persist(
+    # Histograms of columns with few values only; measures are summed up by sketch brackets, which shuffle no rows.
+    h_typed = PR.column_histogram(typed, numeric=("build_year",), text=FLAG_COLUMNS).persist(StorageLevel.MEMORY_AND_DISK)
+    h_clean = PR.column_histogram(cleaned, numeric=INTEGER_COLUMNS, text=tuple(cats) + FLAG_COLUMNS).persist(
         StorageLevel.MEMORY_AND_DISK
     )
     # The eager parts are independent small jobs; a few driver threads let
     # Spark run them side by side.
+    lengths = typed.withColumn("zipcode_length", F.length("zipcode"))
     with ThreadPoolExecutor(max_workers=4) as pool:
+        typed_job = pool.submit(PR.numeric_summary, lengths, NUMERIC + ("zipcode_length",), cache=not checkpoint)
+        clean_job = pool.submit(Q.bracketed, cleaned, {c: F.col(c) for c in NUMERIC}, PR.QUARTILES, cache=not checkpoint)
         list(pool.map(lambda h: h.count(), (h_typed, h_clean)))
-        typed_num = PR._num_hist(h_typed, NUMERIC + ("zipcode_length",))
-        q_typed = pool.submit(Q.exact_quantiles, None, PR.QUARTILES, hist=typed_num)
-        q_clean = pool.submit(Q.exact_quantiles, None, PR.QUARTILES, hist=PR._num_hist(h_clean, NUMERIC))
-        q_typed, q_clean = q_typed.result(), q_clean.result()
-        jobs = {
-            "summary_typed": pool.submit(
-                PR.numeric_summary, typed, NUMERIC + ("zipcode_length",), hist=h_typed, quantiles=q_typed
-            ),
-            "numeric_summary_clean": pool.submit(PR.numeric_summary, cleaned, NUMERIC, hist=h_clean, quantiles=q_clean),
-            "iqr_stats": pool.submit(PR.iqr_stats, cleaned, INTEGER_COLUMNS, hist=h_clean, quantiles=q_clean),
-        }
-        eager = {k: f.result() for k, f in jobs.items()}
-    summary_typed = eager["summary_typed"]
+        found = clean_job.result()
+        iqr_job = pool.submit(PR.iqr_stats, cleaned, INTEGER_COLUMNS, quantiles={c: found[c].quantiles for c in INTEGER_COLUMNS if c in found})
+        summary_typed, iqr = typed_job.result(), iqr_job.result()
     out = {
         # before dedup
         "numeric_summary_raw": summary_typed.filter(F.col("column") != "zipcode_length"),
@@ -92,8 +85,8 @@ def profile_report(typed: DataFrame, cleaned: DataFrame, checkpoint: bool = True
         "two_digit_zip_city_pairs": PR.pair_counts(typed, "zipcode", "city", F.length("zipcode") == 2),
         "distinct_build_years": PR.distinct_values(typed, "build_year"),
         # after dedup
-        "numeric_summary_clean": eager["numeric_summary_clean"],
-        "iqr_stats": eager["iqr_stats"],
+        "numeric_summary_clean": PR.summary_frame(cleaned.sparkSession, found),
+        "iqr_stats": iqr,
         "value_counts": PR.value_counts(cleaned, cats, hist=h_clean),
         "level_shares": PR.level_shares(cleaned, tuple(cats) + FLAG_COLUMNS, hist=h_clean),
         "integer_distribution": PR.integer_distribution(cleaned, INTEGER_COLUMNS, hist=h_clean),

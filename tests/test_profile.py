@@ -1,12 +1,14 @@
 """Profile operators against plain Python computations on small frames."""
 
 import math
+import random
 import statistics
 
 import pytest
 from pyspark.sql import functions as F
 
 from hearth.operators import profile as PR
+from hearth.operators import quantiles as Q
 
 
 @pytest.fixture(scope="module")
@@ -271,3 +273,65 @@ def test_occurrence_number_with_null_keys_and_copies_on_both_branches(spark):
     df = spark.createDataFrame(rows, "k int, v int")
     a, b = (sorted(PR.occurrence_number(df, ["k"], [F.col("v").asc()], hot_rows=h).collect(), key=str) for h in (3, 1000))
     assert len(a) == len(rows) and a == b
+
+
+def plain_quantile(values, p):
+    """Linear interpolation over sorted values, NaN greatest."""
+    v = sorted(values, key=lambda x: (math.isnan(x), x))
+    pos = (len(v) - 1) * p
+    a, b = math.floor(pos), math.ceil(pos)
+    return v[a] if a == b or v[a] == v[b] else (b - pos) * v[a] + (pos - a) * v[b]
+
+
+@pytest.mark.parametrize("accuracy, final_values", [(10_000, 10_000), (20, 4)])
+def test_bracketed_quantiles_are_exact(spark, accuracy, final_values):
+    """Coarse sketches and small limits force brackets to be narrowed and started anew."""
+    rng, inf, nan = random.Random(7), float("inf"), float("nan")
+    columns = {
+        "normal": [rng.gauss(0, 1) for _ in range(3000)],
+        "two": [rng.choice([1.0, 2.0]) for _ in range(3000)],
+        "half": [1.0] * 1500 + [2.0] * 1500,
+        "skewed": [float(int(rng.expovariate(0.01))) for _ in range(3000)],
+        "infinite": [rng.choice([inf, -inf, rng.random()]) for _ in range(3000)],
+        "nan": [rng.choice([nan, rng.random(), None]) for _ in range(3000)],
+        "only_infinite": [rng.choice([inf, -inf]) for _ in range(3000)],
+        "constant": [4.0] * 3000,
+        "one": [5.0] + [None] * 2999,
+        "none": [None] * 3000,
+    }
+    names = list(columns)
+    df = spark.createDataFrame([*zip(*columns.values(), strict=True)], ", ".join(f"{c} double" for c in names)).repartition(7)
+    probs = (0.0, 0.25, 0.5, 1.0)
+    found = Q.bracketed(df, {c: F.col(c) for c in names}, probs, accuracy, final_values)
+    assert found.keys() == set(names) - {"none"}
+    for c, s in found.items():
+        values = [v for v in columns[c] if v is not None]
+        assert s.count == len(values)
+        for p, got in zip(probs, s.quantiles, strict=True):
+            want = plain_quantile(values, p)
+            assert got == want or (math.isnan(got) and math.isnan(want)), (c, p)
+        if c in ("normal", "two", "skewed"):
+            assert s.mean == pytest.approx(statistics.fmean(values)) and s.std == pytest.approx(statistics.stdev(values))
+    with pytest.raises(ValueError):
+        Q.bracketed(df, {"one": F.col("one")}, probs, accuracy=5)
+    assert found["one"].std is None and Q.bracketed(df.limit(0), {"a": F.lit(1)}, probs) == {}
+
+
+def test_brackets_shuffle_no_rows(spark, tmp_path):
+    """What is shuffled are one row a task, and the values inside brackets."""
+    spark.range(50_000).selectExpr("rand(3) AS x").write.parquet(str(tmp_path / "x"))
+    df, sizes = spark.read.parquet(str(tmp_path / "x")), []
+    collect = type(df).collect
+
+    def counted(self):
+        out = collect(self)
+        sizes.append(len(out))
+        return out
+
+    type(df).collect = counted
+    try:
+        found = Q.bracketed(df, {"x": F.col("x")}, (0.5,), cache=False)
+    finally:
+        type(df).collect = collect
+    assert found["x"].quantiles == [df.agg(F.percentile("x", 0.5)).first()[0]]
+    assert max(sizes) < 100  # of 50,000 distinct values
