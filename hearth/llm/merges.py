@@ -28,7 +28,7 @@ import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from hearth.llm.text import map_batches, quoted, small_batches
+from hearth.llm.text import blocks, code_points, map_batches, quoted, ranges, small_batches, utf8_lengths
 
 # Text bytes of a block (a longer text is one by itself), and of a piece that is parted into words at once.
 BLOCK_BYTES, PIECE_BYTES = 8 << 20, 1 << 20
@@ -62,12 +62,6 @@ def char_classes() -> bytes:
     return classes.tobytes()
 
 
-def _code_points(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """All characters one after the other, and where texts begin and end."""
-    chars = np.frombuffer("".join(texts).encode("utf-32-le"), np.uint32)
-    return chars, np.cumsum([0, *map(len, texts)])
-
-
 def _apostrophes(chars: np.ndarray, kinds: np.ndarray, starts: np.ndarray, last: np.ndarray) -> None:
     """Moves word starts for 's 't 're 've 'm 'll 'd where an apostrophe begins a word and letters follow."""
     at = np.flatnonzero((chars == ord("'")) & starts)
@@ -111,10 +105,6 @@ def word_starts(chars: np.ndarray, edges: np.ndarray, classes: np.ndarray) -> np
     return starts
 
 
-def _utf8_lengths(chars: np.ndarray) -> np.ndarray:
-    return 1 + (chars > 0x7F).astype(np.int8) + (chars > 0x7FF) + (chars > 0xFFFF)
-
-
 def split_words(texts: list[str], classes: np.ndarray) -> tuple[pa.Array, np.ndarray]:
     """All words of the texts (binary), and how many each text has."""
     parts, counts = [], []
@@ -124,9 +114,9 @@ def split_words(texts: list[str], classes: np.ndarray) -> tuple[pa.Array, np.nda
         while stop < len(texts) and (stop == at or size + len(texts[stop]) <= PIECE_BYTES):
             size += len(texts[stop])
             stop += 1
-        chars, edges = _code_points(texts[at:stop])
+        chars, edges = code_points(texts[at:stop])
         begins = np.flatnonzero(word_starts(chars, edges, classes))
-        bytes_before = np.concatenate([[0], np.cumsum(_utf8_lengths(chars), dtype=np.int64)])
+        bytes_before = np.concatenate([[0], np.cumsum(utf8_lengths(chars), dtype=np.int64)])
         offsets = np.append(bytes_before[begins], bytes_before[-1]).astype(np.int64)
         data = "".join(texts[at:stop]).encode()
         parts.append(pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(begins), [None, pa.py_buffer(offsets), pa.py_buffer(data)]))
@@ -191,7 +181,7 @@ class Ranks:
         plain = np.ones(len(rest), bool)
         plain[odd] = False
         size = np.diff(edges)[plain]
-        out[_ranges(out_edges[rest[plain]], size)] = ids[_ranges(edges[:-1][plain], size)]
+        out[ranges(out_edges[rest[plain]], size)] = ids[ranges(edges[:-1][plain], size)]
         for i, x in slow.items():
             out[out_edges[i] : out_edges[i + 1]] = x
         return out, out_edges
@@ -275,19 +265,13 @@ class Ranks:
             cut = last[i : i + rows + 1]
             part = number[cut[0] : cut[-1]]
             ends = np.concatenate([[0], np.cumsum(size[part])])
-            yield ids[_ranges(edges[part], size[part])], ends[cut - cut[0]]
+            yield ids[ranges(edges[part], size[part])], ends[cut - cut[0]]
 
     def decode(self, ids: np.ndarray) -> tuple[bytes, np.ndarray]:
         """The bytes of all ids, and where each id's begin and end."""
         return b"".join(map(self.tokens.__getitem__, ids.tolist())), np.concatenate([[0], np.cumsum(self.token_size[ids])])
 
 
-def _ranges(begins: np.ndarray, size: np.ndarray) -> np.ndarray:
-    """begin .. begin + size - 1 for each entry, one after the other."""
-    ends = np.cumsum(size)
-    return np.repeat(begins - (ends - size), size) + np.arange(ends[-1] if len(ends) else 0)
-
-
 @functools.lru_cache(maxsize=2)
 def _ranks(content: bytes, classes: bytes) -> Ranks:
     return Ranks(content, classes)
@@ -299,19 +283,6 @@ def _model(docs: DataFrame, rank_file: str):
         return docs.sparkSession.sparkContext.broadcast((f.read(), char_classes()))
 
 
-def _blocks(batches: Iterator[pa.RecordBatch], at: int) -> Iterator[list[pa.RecordBatch]]:
-    """Batches in groups of about BLOCK_BYTES of text."""
-    held, size = [], 0
-    for batch in batches:
-        held.append(batch)
-        size += batch.column(at).nbytes
-        if size >= BLOCK_BYTES:
-            yield held
-            held, size = [], 0
-    if held:
-        yield held
-
-
 def _packed(data: bytes, edges: np.ndarray) -> pa.Array:
     return pa.Array.from_buffers(pa.binary(), len(edges) - 1, [None, pa.py_buffer(edges.astype(np.int32)), pa.py_buffer(data)])
 
@@ -330,7 +301,7 @@ def encode(docs: DataFrame, rank_file: str, text_col: str = "text", ids_col: str
 
     def run(batches):
         ranks = _ranks(*model.value)
-        for block in _blocks(batches, at):
+        for block in blocks(batches, at, BLOCK_BYTES):
             texts = [t or "" for b in block for t in b.column(at).to_pylist()]
             table = pa.Table.from_batches(block)
             row = 0

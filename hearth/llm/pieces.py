@@ -11,16 +11,17 @@ the ids are read off backwards. A pair is tested once by merging its few
 characters, and remembered.
 
 Texts are cut where no piece can cross (before white space marks, and beside
-characters that stand in no longer piece), so that the words of a text are
-encoded one by one, and a frequent word is looked up.
+characters that stand in no longer piece), so that the units of a text are
+encoded one by one. A block of texts is cut at once, its distinct units are
+encoded once each, or looked up, and their ids are laid out for all places.
 """
 
 from __future__ import annotations
 
 import codecs
 import functools
-import re
 import unicodedata
+from collections.abc import Iterator
 from itertools import chain
 
 import ahocorasick
@@ -28,28 +29,51 @@ import numpy as np
 import pyarrow as pa
 import sentencepiece
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from hearth.llm.text import small_batches
+from hearth.llm.text import blocks, code_points, map_batches, quoted, ranges, small_batches, utf8_lengths
 
 MARK = "▁"
 # Bounds of the memories of one Python worker (entries); a full one starts anew.
 WORDS_KEPT, PAIRS_KEPT, WORD_LENGTH = 1 << 19, 1 << 18, 40
+# Text bytes of a block (a longer text is one by itself), and characters cut into units at once.
+BLOCK_BYTES, PIECE_CHARS = 8 << 20, 1 << 20
 
 codecs.register_error("each_byte", lambda e: ("�", e.start + 1))
 
 
-def _unit_pattern(longer: list[str]) -> str:
-    """A pattern of texts that no piece crosses, from the pieces of two characters or more: white space marks with
-    what follows, parted between marks of punctuation and other characters, as far as no piece joins the two."""
+MARKS, OTHERS, PUNCTUATION, ALONE = range(4)
+
+
+def _unit_classes(longer: list[str]) -> np.ndarray:
+    """The class of every code point, by which texts are cut where no piece crosses: white space marks stay with what
+    follows; punctuation is parted from other characters, as far as no piece joins the two; ASCII characters in no
+    longer piece are alone."""
     inside = set().union(*longer)
-    alone = re.escape("".join(c for c in map(chr, range(128)) if c not in inside))
     marks = {c for c in inside if unicodedata.category(c)[0] in "PSCZ" or unicodedata.category(c) == "No"} - {MARK}
     while joined := {x for t in longer for a, b in zip(t, t[1:], strict=False) if MARK not in (a, b) and (a in marks) != (b in marks) for x in (a, b)} & marks:
         marks -= joined
-    marks = re.escape("".join(sorted(marks)))
-    parts = [f"{MARK}*[^{MARK}{alone}{marks}]+", *([f"{MARK}*[{marks}]+"] if marks else []), f"{MARK}+", *([f"[{alone}]"] if alone else [])]
-    return "|".join(parts)
+    classes = np.full(0x110000, OTHERS, np.uint8)
+    classes[[c for c in range(128) if chr(c) not in inside]] = ALONE
+    classes[[ord(c) for c in marks]] = PUNCTUATION
+    classes[ord(MARK)] = MARKS
+    return classes
+
+
+def split_units(texts: list[str], classes: np.ndarray) -> tuple[pa.Array, np.ndarray]:
+    """The units of all texts (binary), white space as marks and one mark before, and how many each text has."""
+    texts = [MARK + t.replace(" ", MARK) if t else "" for t in texts]
+    chars, edges = code_points(texts)
+    kinds = classes[chars]
+    begins = np.ones(len(chars), bool)
+    same, led = kinds[1:] == kinds[:-1], kinds[:-1] == MARKS
+    begins[1:] = (kinds[1:] == ALONE) | ~same & ~led
+    begins[edges[:-1][edges[:-1] < len(chars)]] = True
+    at = np.flatnonzero(begins)
+    ends = np.concatenate([[0], np.cumsum(utf8_lengths(chars), dtype=np.int64)])
+    offsets = np.append(ends[at], ends[-1])
+    units = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(at), [None, pa.py_buffer(offsets), pa.py_buffer("".join(texts).encode())])
+    return units, np.diff(np.searchsorted(at, edges))
 
 
 class Pieces:
@@ -82,7 +106,7 @@ class Pieces:
         self.automaton.make_automaton()
         self.texts = texts
         self.silent = {i for i in range(len(texts)) if sp.is_control(i)}
-        self.units = re.compile(_unit_pattern(longer))
+        self.classes = _unit_classes(longer)
         self.words: dict[str, tuple[int, ...]] = {}
         self.pairs: dict[int, bool] = {}  # by (left << 20) + right
         for probe in ("", " a  b", "\n\t ﬁé é Ⅷ ｘ　 ", "the  quick\r\nbrown" + " " * 9 + "fox \U0001f98a"):
@@ -133,19 +157,43 @@ class Pieces:
 
     def encode(self, text: str) -> list[int]:
         """The ids of a text, with the end id."""
-        words, parts = self.words, []
-        for u in self.units.findall((MARK + text.replace(" ", MARK)) if text else ""):
-            ids = words.get(u)
-            if ids is None:
-                ids = self.unit(u)
-                if len(u) <= WORD_LENGTH:
-                    if len(words) >= WORDS_KEPT:
-                        words.clear()
-                    words[u] = ids
-            parts.append(ids)
-        out = list(chain.from_iterable(parts))
-        out.append(self.end_id)
-        return out
+        ((flat, _),) = self.encode_texts([text])
+        return flat.tolist()
+
+    def encode_texts(self, texts: list[str], rows: int = 256) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """For each ``rows`` texts their ids one after the other, with end ids, and where each text's begin and end."""
+        parts, counts, at = [], [], 0
+        while at < len(texts):  # cut into units a piece at a time
+            stop, size = at, 0
+            while stop < len(texts) and (stop == at or size + len(texts[stop]) <= PIECE_CHARS):
+                size += len(texts[stop])
+                stop += 1
+            units, count = split_units(texts[at:stop], self.classes)
+            parts.append(units)
+            counts.append(count)
+            at = stop
+        coded = pa.concat_arrays([*parts, pa.array([b""], pa.large_binary())]).dictionary_encode()
+        each = [self._known(u.decode()) for u in coded.dictionary.to_pylist()[:-1]]
+        size = np.array([*map(len, each), 1], np.int64)  # the empty unit, which is last, stands for the end id
+        ids = np.fromiter(chain(chain.from_iterable(each), [self.end_id]), np.int32, size.sum())
+        begin = np.cumsum(size) - size
+        number = coded.indices.to_numpy(zero_copy_only=False)[:-1]
+        last = np.concatenate([[0], np.cumsum(np.concatenate(counts))]) if counts else np.zeros(1, np.int64)
+        for i in range(0, len(texts), rows):
+            cut = last[i : i + rows + 1]
+            part = np.insert(number[cut[0] : cut[-1]], cut[1:] - cut[0], len(each))  # an end id behind each text
+            ends = np.concatenate([[0], np.cumsum(size[part])])
+            yield ids[ranges(begin[part], size[part])], ends[cut - cut[0] + np.arange(len(cut))]
+
+    def _known(self, unit: str) -> tuple[int, ...]:
+        ids = self.words.get(unit)
+        if ids is None:
+            ids = self.unit(unit)
+            if len(unit) <= WORD_LENGTH:
+                if len(self.words) >= WORDS_KEPT:
+                    self.words.clear()
+                self.words[unit] = ids
+        return ids
 
     def decode(self, ids: list[int]) -> str:
         """The text of ids: control ids are empty, and one leading space goes."""
@@ -191,17 +239,17 @@ def encode(docs: DataFrame, model_path: str, text_col: str = "text", ids_col: st
     def run(batches):
         pieces = _pieces(model.value)
         at = rest.index(text_col)
-        for batch in batches:
-            for i in range(0, batch.num_rows, 256):
-                part = batch.slice(i, 256)
-                ids = [pieces.encode(t or "") for t in part.column(at).to_pylist()]
-                ends = np.cumsum([0, *map(len, ids)]).astype(np.int32)
-                flat = np.fromiter(chain.from_iterable(ids), np.int32, ends[-1])
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))], [*rest, ids_col])
+        for block in blocks(batches, at, BLOCK_BYTES):
+            table, row = pa.Table.from_batches(block), 0
+            for flat, cut in pieces.encode_texts([t or "" for b in block for t in b.column(at).to_pylist()]):
+                for part in table.slice(row, len(cut) - 1).combine_chunks().to_batches():
+                    ids = pa.ListArray.from_arrays(pa.array(cut.astype(np.int32)), pa.array(flat))
+                    yield pa.RecordBatch.from_arrays([*part.columns, ids], [*rest, ids_col])
+                row += len(cut) - 1
         pieces.words.clear()  # a worker that lives on keeps no memory of this task
 
-    kept = docs.select(*rest)
-    return kept.mapInArrow(run, kept.withColumn(ids_col, F.lit(None).cast("array<int>")).schema)
+    kept = docs.select(*map(quoted, rest))
+    return map_batches(kept, run, T.StructType([*kept.schema, T.StructField(ids_col, T.ArrayType(T.IntegerType()))]))
 
 
 def decode(rows: DataFrame, model_path: str, ids_col: str = "ids", out_col: str = "decoded") -> DataFrame:
@@ -215,8 +263,10 @@ def decode(rows: DataFrame, model_path: str, ids_col: str = "ids", out_col: str
         for batch in batches:
             for i in range(0, batch.num_rows, 256):
                 part = batch.slice(i, 256)
-                texts = [pieces.decode(x or []) for x in part.column(at).to_pylist()]
+                column = part.column(at)
+                ids, edges = column.flatten().to_pylist() if column.null_count else column.flatten().to_numpy().tolist(), [0, *np.cumsum(column.value_lengths().fill_null(0)).tolist()]
+                texts = [pieces.decode(ids[a:b]) for a, b in zip(edges[:-1], edges[1:], strict=True)]
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())], [*rest, out_col])
 
-    kept = rows.select(*rest)
-    return kept.mapInArrow(run, kept.withColumn(out_col, F.lit(None).cast("string")).schema)
+    kept = rows.select(*map(quoted, rest))
+    return map_batches(kept, run, T.StructType([*kept.schema, T.StructField(out_col, T.StringType())]))

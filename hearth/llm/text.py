@@ -134,3 +134,33 @@ def chunks(column: pa.Array, limit: int = 1 << 19) -> Iterator[tuple[int, int, n
         last = max(row + 1, int(np.searchsorted(offsets, offsets[row] + limit, side="right")) - 1)
         yield row, last, data[offsets[row] : offsets[last]], offsets[row : last + 1] - offsets[row]
         row = last
+
+
+def code_points(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """All characters one after the other, and where texts begin and end."""
+    chars = np.frombuffer("".join(texts).encode("utf-32-le"), np.uint32)
+    return chars, np.cumsum([0, *map(len, texts)])
+
+
+def utf8_lengths(chars: np.ndarray) -> np.ndarray:
+    """The bytes of each character."""
+    return 1 + (chars > 0x7F).astype(np.int8) + (chars > 0x7FF) + (chars > 0xFFFF)
+
+
+def ranges(begins: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """begin .. begin + size - 1 for each entry, one after the other."""
+    ends = np.cumsum(size)
+    return np.repeat(begins - (ends - size), size) + np.arange(ends[-1] if len(ends) else 0)
+
+
+def blocks(batches: Iterator[pa.RecordBatch], at: int, limit: int) -> Iterator[list[pa.RecordBatch]]:
+    """Batches in groups of about ``limit`` bytes of text."""
+    held, size = [], 0
+    for batch in batches:
+        held.append(batch)
+        size += batch.column(at).nbytes
+        if size >= limit:
+            yield held
+            held, size = [], 0
+    if held:
+        yield held
