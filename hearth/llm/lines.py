@@ -1,21 +1,23 @@
 """Fuzzy line deduplication with DataFrame functions only.
 
 Lines are normalised (lower case, words of letters and digits). Equal lines
-are one line from then on, whatever their length. Lines of at least
-``min_words`` words are also compared: each gets HASHES weighted min-hashes of
-its distinct words, and lines meet if three of them agree. Pairs that meet are
-verified by edit similarity. Of each connected group one occurrence stays: the
-first by id, text hash and line number.
-
-A word that many different words follow weighs less: a language's few most
-frequent words would make unlike lines meet. Words of a line with many near
-copies are frequent too, but the same words follow them, so they keep their
-weight. The counts come from a sample; they decide only what is compared.
+are one line from then on. Each gets a 64-bit SimHash of its distinct words;
+hashes are cut into five blocks, and lines meet if two blocks agree (ten ways
+to pick the two) and all in all at most MAX_BITS bits differ. All lines within
+three bits meet, since three bits can't lie in four blocks; lines further
+apart meet the more likely the fewer bits differ. Pairs are verified by edit
+similarity. Of each connected group one occurrence stays: the first by id,
+text hash and line number.
 
 Many versions of one line make many pairs, and most say nothing new. So first
-each line is compared with the first of its key, and groups are formed; then
-only pairs between different groups are verified, which gives the same groups
-as all pairs.
+one line stands for each hash, and groups are formed; then only the candidate
+pairs between different groups are verified, which gives the same groups as
+all pairs.
+
+Counting the bits: 21 sums hold three counters of 21 bits each, and one more
+sum the last bit, so that Spark adds up 22 columns instead of 64, and compares
+three counters at once. That holds for lines of up to half a million words;
+the hash of a longer line is still the same for the same words.
 
 Edit distances are taken of what is left between the first and the last words
 that differ, which doesn't change them.
@@ -23,82 +25,88 @@ that differ, which doesn't change them.
 
 from __future__ import annotations
 
+from functools import reduce
 from itertools import combinations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hearth.llm.components import components
-from hearth.llm.text import once
+from hearth.llm.text import once, quoted
 from hearth.session import scratch_path
 
-HASHES, AGREE = 7, 3
-# Different next words, as a share of the lines and at least, above which a word counts as common; the most words kept as such.
-COMMON, LEAST_COMMON, MOST_COMMON = 0.001, 20, 20_000
-SAMPLE = 4000  # documents, about, that tell the common words
+MAX_BITS = 10
+# First bit and width of each block; two of five agree if at most three bits differ.
+BLOCKS = [(0, 13), (13, 13), (26, 13), (39, 13), (52, 12)]
+LANE = 21
+_EVERY_LANE = 1 | 1 << LANE | 1 << 2 * LANE
+_HALF_LANES = ((1 << LANE - 2) - 1) * _EVERY_LANE
 FILTER_BITS = 22
-KEY_BITS = 24
 
 
 def normal_words(line: Column) -> Column:
     return F.array_remove(F.split(F.lower(line), r"[^\p{L}\p{N}]+"), "")
 
 
-def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(id, th, pos, k1, k2, words) of the lines with a word; k1, k2: two hashes of the words."""
-    rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("th"), F.posexplode(F.split(text_col, "\n", -1)).alias("pos", "line"))
+def _lines(docs: DataFrame) -> DataFrame:
+    """(id, th, pos, k1, k2, words) of the lines of (id, text) with a word; k1, k2: two hashes of the words."""
+    rows = docs.select("id", F.xxhash64("text").alias("th"), F.posexplode(F.split("text", "\n", -1)).alias("pos", "line"))
     rows = rows.select("id", "th", "pos", once(normal_words(F.col("line"))).alias("words")).where(F.size("words") > 0)
     return rows.select("id", "th", "pos", F.xxhash64("words").alias("k1"), F.xxhash64(F.lit(1), "words").alias("k2"), "words")
 
 
-def common_words(docs: DataFrame) -> DataFrame:
-    """(h, times) of the common words: their hash, and how many times the bound they reach. ``docs``: (id, text)."""
-    every = max(1, docs.count() // SAMPLE)
-    lines = _lines(docs.where(F.pmod(F.xxhash64("text"), F.lit(every)) == 0), "id", "text").select("words")
-    pairs = lines.select(F.explode(F.arrays_zip(F.col("words").alias("word"), F.slice("words", 2, F.size("words")).alias("next"))).alias("pair"))
-    counted = pairs.select("pair.word", "pair.next").distinct().groupBy(F.xxhash64("word").alias("h")).agg(F.count("*").alias("n"))
-    total = lines.agg(F.count("*").alias("total"))
-    times = F.floor(F.col("n") / F.greatest(F.col("total") * COMMON, F.lit(LEAST_COMMON))).cast("long")
-    return counted.crossJoin(total).select("h", times.alias("times")).where("times > 1").orderBy(F.desc("times"), "h").limit(MOST_COMMON)
-
-
-def signatures(lines: DataFrame, common: DataFrame) -> DataFrame:
-    """``lines`` (id, th, pos, k1, k2, words) with ``n_words`` and min-hashes ``m0``... for words; equal words give equal ones."""
-    each = lines.select("id", "th", "pos", "k1", "k2", F.size("words").alias("n_words"), F.explode(F.array_distinct("words")).alias("word"))
-    each = each.select("id", "th", "pos", "k1", "k2", "n_words", F.xxhash64("word").alias("h")).join(F.broadcast(common), "h", "left")
-    times = F.coalesce("times", F.lit(1))
-    least = [F.min(F.shiftrightunsigned(F.xxhash64(F.lit(i), "h"), 24) * times).alias(f"m{i}") for i in range(HASHES)]
-    return each.groupBy("id", "th", "pos", "k1", "k2", "n_words").agg(*least)
-
-
-def agreeing(distinct: DataFrame, path: str) -> DataFrame:
-    """(key, k1, first) of the lines that share a key, which is AGREE of the min-hashes; ``first``: the least k1 of the key.
+def simhashes(lines: DataFrame) -> DataFrame:
+    """``lines`` (id, th, pos, k1, k2, words) with ``sim`` for words: a bit is 1 if over half the hashes of the distinct words have it.
 
-    Most keys have one line. Keys alone are counted first, and rows pass a bit
-    table of the shared ones, of 2^KEY_BITS bits whatever the input, so that
-    few are shuffled with their lines; the join decides.
+    Each word counts once: else the few most frequent words of a language would
+    decide the hashes of its long lines, and unlike lines would meet.
     """
-    spark = distinct.sparkSession
-    chosen = [F.xxhash64(F.lit(k), *(f"m{i}" for i in c)) for k, c in enumerate(combinations(range(HASHES), AGREE))]
-    keyed = distinct.select("k1", F.explode(F.array(*chosen)).alias("key"))
-    keyed.select("key").groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key").write.parquet(f"{path}/shared")
-    shared = spark.read.parquet(f"{path}/shared")
-    word = F.shiftright(F.pmod("key", F.lit(1 << KEY_BITS)), 6)
-    bits = shared.groupBy(word.alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(key & 63 AS int))")).alias("bits"))
-    held = keyed.withColumn("word", word).join(F.broadcast(bits), "word").where(F.expr("(bits & shiftleft(1L, cast(key & 63 AS int))) <> 0"))
-    held.select("key", "k1").join(shared, "key").write.parquet(f"{path}/held")
-    held = spark.read.parquet(f"{path}/held")
-    return held.join(held.groupBy("key").agg(F.min("k1").alias("first")), "key").select("key", "k1", "first")
-
-
-def other_pairs(members: DataFrame, tried: DataFrame) -> DataFrame:
-    """The pairs (a, b), a < b, that share a key and are in different groups so far, but for those ``tried``. ``members``: (key, k1, component)."""
-    several = members.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("key")
-    left = members.join(several, "key")
-    a = left.select("key", F.col("k1").alias("a"), F.col("component").alias("ca"))
-    b = left.select(F.col("key").alias("key_b"), F.col("k1").alias("b"), F.col("component").alias("cb"))
-    pairs = a.join(b, (F.col("key") == F.col("key_b")) & (F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")))
-    return pairs.select("a", "b").distinct().join(tried, ["a", "b"], "left_anti")
+    each = lines.select("id", "th", "pos", "k1", "k2", F.explode(F.array_distinct("words")).alias("word")).select("id", "th", "pos", "k1", "k2", F.xxhash64("word").alias("h"))
+    bit = lambda i: F.shiftrightunsigned("h", i)
+    sums = [F.sum(bit(i).bitwiseAND(F.lit(_EVERY_LANE))).alias(f"s{i}") for i in range(LANE)]
+    summed = each.groupBy("id", "th", "pos", "k1", "k2").agg(F.count("*").alias("n"), F.sum(bit(63)).alias("s63"), *sums)
+    # in every lane 2 * counter + 2^20 - 1 - n reaches bit 20 if 2 * counter > n
+    n = F.col("n").bitwiseAND(F.lit((1 << LANE - 2) - 1))
+    short = ((1 << LANE - 1) - 1 - n) * F.lit(_EVERY_LANE)
+    over = [F.shiftleft(F.shiftrightunsigned(F.shiftleft(F.col(f"s{i}").bitwiseAND(F.lit(_HALF_LANES)), 1) + F.col("short"), LANE - 1).bitwiseAND(F.lit(_EVERY_LANE)), i) for i in range(LANE)]
+    last = F.when(2 * F.col("s63") > F.col("n"), F.lit(-(1 << 63))).otherwise(F.lit(0)).cast("long")
+    summed = summed.select("*", once(short).alias("short"))
+    return summed.select("id", "th", "pos", "k1", "k2", reduce(lambda a, b: a.bitwiseOR(b), [*over, last]).alias("sim"))
+
+
+def block_keys(sim: Column) -> Column:
+    """One key for each two blocks: the number of the choice, and the bits of both."""
+    part = lambda b: F.shiftrightunsigned(sim, b[0]).bitwiseAND(F.lit((1 << b[1]) - 1))
+    keys = [F.lit(k << 32) + part(a) * F.lit(1 << 13) + part(b) for k, (a, b) in enumerate(combinations(BLOCKS, 2))]
+    return F.array(*keys)
+
+
+def close_hashes(sims: DataFrame) -> DataFrame:
+    """Pairs (sa, sb), sa < sb, of the distinct hashes ``sim`` that agree in two blocks and differ in at most MAX_BITS bits."""
+    placed = sims.select(F.explode(block_keys(F.col("sim"))).alias("key"), "sim")
+    left = placed.select("key", F.col("sim").alias("sa"))
+    right = placed.select(F.col("key").alias("key_b"), F.col("sim").alias("sb"))
+    close = F.bit_count(F.col("sa").bitwiseXOR(F.col("sb"))) <= MAX_BITS
+    return left.join(right, (F.col("key") == F.col("key_b")) & (F.col("sa") < F.col("sb")) & close).select("sa", "sb").distinct()
+
+
+def first_pairs(lines: DataFrame, close: DataFrame) -> DataFrame:
+    """Pairs (a, b) of line keys that stand for all candidates: each line with the first of its hash, and the first
+    lines of close hashes. ``lines``: (k1, sim)."""
+    first = lines.groupBy("sim").agg(F.min("k1").alias("least"))
+    own = lines.join(first, "sim").where("k1 <> least").select(F.col("least").alias("a"), F.col("k1").alias("b"))
+    a, b = first.select(F.col("sim").alias("sa"), F.col("least").alias("a")), first.select(F.col("sim").alias("sb"), F.col("least").alias("b"))
+    return own.unionByName(close.join(a, "sa").join(b, "sb").select("a", "b"))
+
+
+def other_pairs(lines: DataFrame, close: DataFrame) -> DataFrame:
+    """The candidate pairs (a, b) whose lines are in different groups so far. ``lines``: (k1, sim, component)."""
+    held = lines.select("sim", "component").distinct()
+    several = held.groupBy("sim").agg(F.count("*").alias("n")).where("n > 1").select(F.col("sim").alias("sa"), F.col("sim").alias("sb"))
+    side = lambda d, x: d.select(F.col("sim").alias(f"s{x}"), F.col("component").alias(f"c{x}"), *([F.col("k1").alias(x)] if "k1" in d.columns else []))
+    a, b = side(held, "a"), side(held, "b")
+    both = close.unionByName(several).join(a, "sa").join(b, "sb").where("ca <> cb")
+    return both.join(side(lines, "a"), ["sa", "ca"]).join(side(lines, "b"), ["sb", "cb"]).select("a", "b")
 
 
 def _spaced(words: Column) -> Column:
@@ -150,41 +158,39 @@ def _in_documents(docs: DataFrame, needed: DataFrame) -> DataFrame:
     return found.select("k1", F.split("text", "\n", -1)[F.col("pos")].alias("line")).groupBy("k1").agg(F.max("line").alias("line")).select("k1", normal_words(F.col("line")).alias("words"))
 
 
-def fuzzy_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = 5, similarity: float = 0.8) -> DataFrame:
+def fuzzy_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = 0.8) -> DataFrame:
     """(id, text_hash, line, group long, kept) of the lines with a word; ``line`` counts from 0.
 
     ``group`` names the connected group, ``kept`` is true for its first
-    occurrence by id (null last), text hash and line. Lines of fewer than
-    ``min_words`` words group only with lines equal in normal form. Lines
-    without a word, empty texts and null texts have no rows. Rows equal in id
-    and text are one document; other columns are ignored; an empty table gives
-    no rows. Lines of any length are hashed whole, and compared whole.
+    occurrence by id (null last), text hash and line. Lines equal in normal
+    form are always in one group. Lines without a word, empty texts and null
+    texts have no rows. Rows equal in id and text are one document; other
+    columns are ignored; an empty table gives no rows. Lines of any length are
+    hashed whole, and compared whole.
     """
     spark = docs.sparkSession
     path = scratch_path(spark, "lines")
-    docs = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    common_words(docs).write.parquet(f"{path}/common")
-    signatures(_lines(docs, "id", "text"), spark.read.parquet(f"{path}/common")).write.parquet(f"{path}/lines")
+    docs = docs.select(F.col(quoted(id_col)).alias("id"), F.col(quoted(text_col)).alias("text"))
+    simhashes(_lines(docs)).write.parquet(f"{path}/lines")
     lines = spark.read.parquet(f"{path}/lines")
     place = F.struct(F.col("id").isNull().alias("last"), "id", "th", "pos")
-    hashes = [f"m{i}" for i in range(HASHES)]
-    lines.groupBy("k1", "k2", "n_words", *hashes).agg(F.count("*").alias("n"), F.min(place).alias("place")).write.parquet(f"{path}/distinct")
+    lines.groupBy("k1", "k2").agg(F.max("sim").alias("sim"), F.count("*").alias("n"), F.min(place).alias("place")).write.parquet(f"{path}/distinct")
     distinct = spark.read.parquet(f"{path}/distinct")
-    agreeing(distinct.where(F.col("n_words") >= min_words), path).write.parquet(f"{path}/agreeing")
-    held = spark.read.parquet(f"{path}/agreeing")
+    close_hashes(distinct.select("sim").distinct()).write.parquet(f"{path}/close")
+    close = spark.read.parquet(f"{path}/close")
     # the lines that have a candidate, and their words, from one document each
-    asked = distinct.join(held.select("k1").distinct(), "k1").select("k1", "place.id", "place.th", "place.pos")
+    shared = close.select(F.col("sa").alias("sim")).union(close.select("sb")).union(distinct.groupBy("sim").count().where("count > 1").select("sim")).distinct()
+    distinct.join(shared, "sim").select("k1", "sim", "place.id", "place.th", "place.pos").write.parquet(f"{path}/asked")
+    asked = spark.read.parquet(f"{path}/asked")
     _in_documents(docs, asked).write.parquet(f"{path}/words")
     words = spark.read.parquet(f"{path}/words")
-    # groups from each line and the first of its key; then the pairs between different groups
-    held.where("first <> k1").select(F.col("first").alias("a"), F.col("k1").alias("b")).distinct().write.parquet(f"{path}/tried")
-    tried = spark.read.parquet(f"{path}/tried")
-    verified(tried, words, similarity).write.parquet(f"{path}/links-1")
+    # groups from as many pairs as there are lines and close hashes; then the pairs between different groups
+    verified(first_pairs(asked, close), words, similarity).write.parquet(f"{path}/links-1")
     found = spark.read.parquet(f"{path}/links-1")
     components(found).write.parquet(f"{path}/members-1")
     members = spark.read.parquet(f"{path}/members-1")
-    grouped = held.join(members, held["k1"] == members["node"], "left").select("key", "k1", F.coalesce("component", "k1").alias("component"))
-    verified(other_pairs(grouped, tried), words, similarity).write.parquet(f"{path}/links-2")
+    grouped = asked.join(members, asked["k1"] == members["node"], "left").select("k1", "sim", F.coalesce("component", "k1").alias("component"))
+    verified(other_pairs(grouped, close), words, similarity).write.parquet(f"{path}/links-2")
     more = spark.read.parquet(f"{path}/links-2")
     if not more.isEmpty():
         members = components(found.unionByName(more))
@@ -198,14 +204,15 @@ def fuzzy_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return out.select("id", F.col("th").alias("text_hash"), F.col("pos").alias("line"), F.coalesce("group", "k1").alias("group"), kept.alias("kept"))
 
 
-def drop_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = 5, similarity: float = 0.8) -> DataFrame:
+def drop_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = 0.8) -> DataFrame:
     """``docs`` without the lines that ``fuzzy_lines`` does not keep; a document may be left with an empty text, and null texts stay null."""
     path = scratch_path(docs.sparkSession, "lines-gone")
-    found = fuzzy_lines(docs, id_col, text_col, min_words, similarity).where("NOT kept")
+    found = fuzzy_lines(docs, id_col, text_col, similarity).where("NOT kept")
     found.groupBy("id", "text_hash").agg(F.collect_set("line").alias("gone")).write.parquet(path)
     gone = docs.sparkSession.read.parquet(path)
-    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col(id_col).alias("doc"), F.col(text_col).alias("whole"), F.xxhash64(text_col).alias("h"))
+    whole = F.col(quoted(text_col))
+    rows = docs.select(F.struct(*map(quoted, docs.columns)).alias("row"), F.col(quoted(id_col)).alias("doc"), whole.alias("whole"), F.xxhash64(whole).alias("h"))
     rows = rows.join(gone, rows["doc"].eqNullSafe(gone["id"]) & (rows["h"] == gone["text_hash"]), "left")
     left = F.array_join(F.filter(F.split("whole", "\n", -1), lambda _, i: ~F.array_contains("gone", i)), "\n")
     text = F.when(F.col("gone").isNull(), F.col("whole")).otherwise(left).alias(text_col)
-    return rows.select(*(text if c == text_col else F.col("row")[c].alias(c) for c in docs.columns))
+    return rows.select(*(text if c == text_col else F.col("row").getField(c).alias(c) for c in docs.columns))

@@ -1,7 +1,7 @@
+import random
 from itertools import combinations
 
 import regex
-import xxhash
 
 from hearth.llm import lines
 from tests.llm.helpers import documents, frame, groups
@@ -11,11 +11,6 @@ def form(line):
     return [w for w in regex.split(r"[^\p{L}\p{N}]+", line.lower()) if w]
 
 
-def sim(words):
-    h = [xxhash.xxh64_intdigest(w.encode(), 42) for w in set(words)]
-    return sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in h) > len(h))
-
-
 def distance(a, b):
     row = list(range(len(b) + 1))
     for i, x in enumerate(a, 1):
@@ -25,26 +20,26 @@ def distance(a, b):
     return row[-1]
 
 
-def brute(rows, hashes, least=5):
-    """{(id, text hash, line): kept} by comparing all forms."""
-    places = {}
+def places_of(rows, hashes):
+    """{(id is null, id, text hash, line): normal form} of every line with a word."""
+    out = {}
     for r, h in zip(rows, hashes, strict=True):
         for i, line in enumerate((r[1] or "").split("\n")):
-            if len(form(line)) >= least:
-                places[(r[0] is None, r[0] or 0, h, i)] = " ".join(form(line))
-    forms = sorted(set(places.values()))
-    bits = [sim(f.split(" ")) for f in forms]
-    near = [(a, b) for a, b in combinations(range(len(forms)), 2) if (bits[a] ^ bits[b]).bit_count() <= 3]
+            if form(line):
+                out[(r[0] is None, r[0] or 0, h, i)] = " ".join(form(line))
+    return out
+
+
+def brute(forms):
+    """The group of each form, by comparing all by edit similarity and nothing else."""
+    forms = sorted(set(forms))
+    near = [(a, b) for a, b in combinations(range(len(forms)), 2) if abs(len(forms[a]) - len(forms[b])) <= max(len(forms[a]), len(forms[b])) * 0.2 + 1e-9]
     alike = [(a, b) for a, b in near if distance(forms[a], forms[b]) <= int(max(len(forms[a]), len(forms[b])) * 0.2 + 1e-9)]
-    group = dict(zip(forms, groups(len(forms), alike), strict=True))
-    first = {}
-    for p in sorted(places):
-        first.setdefault(group[places[p]], p)
-    return {p: first[group[f]] == p for p, f in places.items()}, alike
+    return dict(zip(forms, groups(len(forms), alike), strict=True))
 
 
 def edited():
-    """Lines of 40 words with a word spelt otherwise: some are within three bits."""
+    """Lines of 40 words with a word spelt otherwise."""
     base = [f"{w}{i}" for i, w in enumerate(["red", "green", "blue", "dark"] * 10)]
     rows = []
     for k in range(60):
@@ -54,14 +49,43 @@ def edited():
     return rows
 
 
-def test_against_brute_force(spark):
-    rows = [r for r in documents() if len(r[1] or "") < 40_000] + edited()
+def found(spark, rows):
+    """The places of ``rows``, and the result by place."""
     docs = frame(spark, rows)
-    hashes = [r[0] for r in docs.selectExpr("xxhash64(text)").collect()]
-    want, alike = brute(rows, hashes)
-    assert len(alike) > 20
-    got = {(r.id is None, r.id or 0, r.text_hash, r.line): r.kept for r in lines.fuzzy_lines(docs).collect()}
-    assert got == want
+    places = places_of(rows, [r[0] for r in docs.selectExpr("xxhash64(text)").collect()])
+    got = {(r.id is None, r.id or 0, r.text_hash, r.line): r for r in lines.fuzzy_lines(docs).collect()}
+    assert got.keys() == places.keys()
+    return places, got
+
+
+def test_groups_against_edit_similarity(spark):
+    """Equal forms are in one group, groups join only what edit similarity joins, and near copies are found."""
+    rows = [r for r in documents() if len(r[1] or "") < 2000][:25] + edited()
+    places, got = found(spark, rows)
+    truth = brute(places.values())
+    of_form, members = {}, {}
+    for p, f in places.items():
+        assert of_form.setdefault(f, got[p].group) == got[p].group
+        members.setdefault(got[p].group, set()).add(truth[f])
+    assert all(len(x) == 1 for x in members.values())
+    near = {of_form[places[p]] for p in places if 2000 <= p[1] < 2060}
+    assert len(near) == 1  # sixty versions of a line, one group
+
+
+def test_first_of_each_group_is_kept(spark):
+    places, got = found(spark, [r for r in documents() if len(r[1] or "") < 40_000] + edited())
+    first = {}
+    for p in sorted(places):
+        first.setdefault(got[p].group, p)
+    assert {p for p, r in got.items() if r.kept} == set(first.values())
+
+
+def test_rows_of_two_words_stay_below_all_pairs(spark):
+    """Lines over the same words share a hash: they are compared with the first, then only between groups."""
+    rnd = random.Random(1)
+    rows = [(i, " ".join(rnd.choice("01") for _ in range(40)), *[None] * 6) for i in range(300)]
+    places, got = found(spark, rows)
+    assert len({got[p].group for p in places}) < 300
 
 
 def test_stage_drops_the_lines(spark):
@@ -71,7 +95,7 @@ def test_stage_drops_the_lines(spark):
     holders = {}
     for r in out.collect():
         for line in (r.text or "").split("\n"):
-            if len(form(line)) >= 5:
+            if form(line):
                 holders.setdefault(" ".join(form(line)), set()).add((r.doc_id, r.text))
     assert all(len(x) == 1 for x in holders.values())  # repeated only in rows equal in id and text
     assert sum(r.text is None for r in out.collect()) == sum(r[1] is None for r in documents())
