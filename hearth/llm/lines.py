@@ -10,9 +10,10 @@ similarity. Of each connected group one occurrence stays: the first by id,
 text hash and line number.
 
 Many versions of one line make many pairs, and most say nothing new. So first
-one line stands for each hash, and groups are formed; then only the candidate
-pairs between different groups are verified, which gives the same groups as
-all pairs.
+one line stands for each hash, each hash is compared with one other it meets
+(the least that comes first in a block), and groups are formed. Then blocks
+that hold several groups give the pairs between different groups, which are
+verified in turn. The groups are those of all pairs.
 
 Counting the bits: 21 sums hold three counters of 21 bits each, and one more
 sum the last bit, so that Spark adds up 22 columns instead of 64, and compares
@@ -81,32 +82,42 @@ def block_keys(sim: Column) -> Column:
     return F.array(*keys)
 
 
-def close_hashes(sims: DataFrame) -> DataFrame:
-    """Pairs (sa, sb), sa < sb, of the distinct hashes ``sim`` that agree in two blocks and differ in at most MAX_BITS bits."""
-    placed = sims.select(F.explode(block_keys(F.col("sim"))).alias("key"), "sim")
-    left = placed.select("key", F.col("sim").alias("sa"))
-    right = placed.select(F.col("key").alias("key_b"), F.col("sim").alias("sb"))
-    close = F.bit_count(F.col("sa").bitwiseXOR(F.col("sb"))) <= MAX_BITS
-    return left.join(right, (F.col("key") == F.col("key_b")) & (F.col("sa") < F.col("sb")) & close).select("sa", "sb").distinct()
-
+def _close(a: str, b: str) -> Column:
+    return F.bit_count(F.col(a).bitwiseXOR(F.col(b))) <= MAX_BITS
 
-def first_pairs(lines: DataFrame, close: DataFrame) -> DataFrame:
-    """Pairs (a, b) of line keys that stand for all candidates: each line with the first of its hash, and the first
-    lines of close hashes. ``lines``: (k1, sim)."""
-    first = lines.groupBy("sim").agg(F.min("k1").alias("least"))
-    own = lines.join(first, "sim").where("k1 <> least").select(F.col("least").alias("a"), F.col("k1").alias("b"))
-    a, b = first.select(F.col("sim").alias("sa"), F.col("least").alias("a")), first.select(F.col("sim").alias("sb"), F.col("least").alias("b"))
-    return own.unionByName(close.join(a, "sa").join(b, "sb").select("a", "b"))
 
-
-def other_pairs(lines: DataFrame, close: DataFrame) -> DataFrame:
-    """The candidate pairs (a, b) whose lines are in different groups so far. ``lines``: (k1, sim, component)."""
-    held = lines.select("sim", "component").distinct()
-    several = held.groupBy("sim").agg(F.count("*").alias("n")).where("n > 1").select(F.col("sim").alias("sa"), F.col("sim").alias("sb"))
-    side = lambda d, x: d.select(F.col("sim").alias(f"s{x}"), F.col("component").alias(f"c{x}"), *([F.col("k1").alias(x)] if "k1" in d.columns else []))
-    a, b = side(held, "a"), side(held, "b")
-    both = close.unionByName(several).join(a, "sa").join(b, "sb").where("ca <> cb")
-    return both.join(side(lines, "a"), ["sa", "ca"]).join(side(lines, "b"), ["sb", "cb"]).select("a", "b")
+def shared_blocks(sims: DataFrame) -> DataFrame:
+    """(key, sim) of the distinct hashes ``sim`` that share two blocks with a close one. A hash is found by the first
+    match in its block, so that many versions of a line make no pairs here."""
+    placed = sims.select(F.explode(block_keys(F.col("sim"))).alias("key"), "sim")
+    other = placed.select(F.col("key").alias("key_b"), F.col("sim").alias("sb"))
+    return placed.join(other, (F.col("key") == F.col("key_b")) & (F.col("sim") != F.col("sb")) & _close("sim", "sb"), "left_semi")
+
+
+def first_pairs(lines: DataFrame, held: DataFrame) -> DataFrame:
+    """Pairs (a, b) of line keys: each line with the first of its hash, and the first line of each hash with that of the
+    least close hash that is first in a block. ``lines``: (k1, sim), ``held``: (key, sim)."""
+    held = held.join(held.groupBy("key").agg(F.min("sim").alias("first")), "key")
+    close = held.where((F.col("first") != F.col("sim")) & _close("first", "sim")).groupBy("sim").agg(F.min("first").alias("other"))
+    least = lines.groupBy("sim").agg(F.min("k1").alias("least"))
+    own = lines.join(least, "sim").where("k1 <> least").select(F.col("least").alias("a"), F.col("k1").alias("b"))
+    a, b = least.select(F.col("sim").alias("other"), F.col("least").alias("a")), least.select("sim", F.col("least").alias("b"))
+    return own.unionByName(close.join(a, "other").join(b, "sim").select("a", "b"))
+
+
+def other_pairs(lines: DataFrame, held: DataFrame) -> DataFrame:
+    """The candidate pairs (a, b) whose lines are in different groups so far. ``lines``: (k1, sim, component), ``held``: (key, sim)."""
+    groups = lines.select("sim", "component").distinct()
+    # under one hash, and in one block
+    within = groups.select(F.col("sim").alias("key"), "sim", "component", F.lit(True).alias("whole"))
+    members = within.unionByName(held.select("key", "sim").join(groups, "sim").withColumn("whole", F.lit(False)))
+    several = members.groupBy("key", "whole").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("key", "whole")
+    left = members.join(several, ["key", "whole"])
+    side = lambda x: left.select(*([F.col(c).alias(f"{c}_{x}") for c in ("key", "whole")] if x == "b" else ["key", "whole"]), F.col("sim").alias(f"s{x}"), F.col("component").alias(f"c{x}"))
+    meet = (F.col("key") == F.col("key_b")) & (F.col("whole") == F.col("whole_b")) & (F.col("ca") < F.col("cb")) & _close("sa", "sb")
+    both = side("a").join(side("b"), meet).select("sa", "ca", "sb", "cb").distinct()
+    named = lambda x: lines.select(F.col("sim").alias(f"s{x}"), F.col("component").alias(f"c{x}"), F.col("k1").alias(x))
+    return both.join(named("a"), ["sa", "ca"]).join(named("b"), ["sb", "cb"]).select("a", "b")
 
 
 def _spaced(words: Column) -> Column:
@@ -176,21 +187,21 @@ def fuzzy_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     place = F.struct(F.col("id").isNull().alias("last"), "id", "th", "pos")
     lines.groupBy("k1", "k2").agg(F.max("sim").alias("sim"), F.count("*").alias("n"), F.min(place).alias("place")).write.parquet(f"{path}/distinct")
     distinct = spark.read.parquet(f"{path}/distinct")
-    close_hashes(distinct.select("sim").distinct()).write.parquet(f"{path}/close")
-    close = spark.read.parquet(f"{path}/close")
-    # the lines that have a candidate, and their words, from one document each
-    shared = close.select(F.col("sa").alias("sim")).union(close.select("sb")).union(distinct.groupBy("sim").count().where("count > 1").select("sim")).distinct()
+    shared_blocks(distinct.select("sim").distinct()).write.parquet(f"{path}/held")
+    held = spark.read.parquet(f"{path}/held")
+    # the lines that may have a candidate, and their words, from one document each
+    shared = held.select("sim").union(distinct.groupBy("sim").count().where("count > 1").select("sim")).distinct()
     distinct.join(shared, "sim").select("k1", "sim", "place.id", "place.th", "place.pos").write.parquet(f"{path}/asked")
     asked = spark.read.parquet(f"{path}/asked")
     _in_documents(docs, asked).write.parquet(f"{path}/words")
     words = spark.read.parquet(f"{path}/words")
-    # groups from as many pairs as there are lines and close hashes; then the pairs between different groups
-    verified(first_pairs(asked, close), words, similarity).write.parquet(f"{path}/links-1")
+    # groups from one pair a line; then the pairs between different groups
+    verified(first_pairs(asked, held), words, similarity).write.parquet(f"{path}/links-1")
     found = spark.read.parquet(f"{path}/links-1")
     components(found).write.parquet(f"{path}/members-1")
     members = spark.read.parquet(f"{path}/members-1")
     grouped = asked.join(members, asked["k1"] == members["node"], "left").select("k1", "sim", F.coalesce("component", "k1").alias("component"))
-    verified(other_pairs(grouped, close), words, similarity).write.parquet(f"{path}/links-2")
+    verified(other_pairs(grouped, held), words, similarity).write.parquet(f"{path}/links-2")
     more = spark.read.parquet(f"{path}/links-2")
     if not more.isEmpty():
         members = components(found.unionByName(more))
