@@ -41,8 +41,7 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = _documents(spark, sf_dir).select("doc_id", "source", "n_chars")
-    return sharding.place(docs, ["doc_id"], SHARDS)
+    return sharding.place(_documents(spark, sf_dir), ["doc_id"], SHARDS)
 
 
 def op5_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
