@@ -184,5 +184,27 @@ FROM ranked k JOIN (SELECT lang, count(*) AS n FROM spread GROUP BY lang) t ON t
 WHERE k.rank <= 2000
 """
 
+_SUBSTRINGS_SQL = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents
+), starts AS (
+  SELECT r, words, unnest(range(len(words) - 34)) AS i FROM docs WHERE len(words) >= 35
+), windows AS (
+  SELECT r, i, array_to_string(words[i + 1:i + 35], ' ') AS w FROM starts
+), repeated AS (
+  SELECT r, i FROM windows QUALIFY count(*) OVER (PARTITION BY w) > 1
+), gone AS (
+  SELECT DISTINCT r, unnest(range(i, i + 35)) AS i FROM repeated
+), each AS (
+  SELECT r, unnest(words) AS word, unnest(range(len(words))) AS i FROM docs
+), kept AS (
+  SELECT e.r, string_agg(e.word, ' ' ORDER BY e.i) AS kept FROM each e ANTI JOIN gone g ON g.r = e.r AND g.i = e.i GROUP BY e.r
+), counts AS (
+  SELECT r, count(*) AS n_removed FROM gone GROUP BY r
+)
+SELECT d.doc_id, len(d.words)::BIGINT AS n_words, coalesce(c.n_removed, 0)::BIGINT AS n_removed, sha256(coalesce(k.kept, '')) AS kept_sha256
+FROM docs d LEFT JOIN kept k ON k.r = d.r LEFT JOIN counts c ON c.r = d.r
+"""
+
 # DuckDB text of the queries that SQL can express.
-ORACLE: dict[str, str] = {"op12_phrases": _PHRASES_SQL}
+ORACLE: dict[str, str] = {"op7_substrings": _SUBSTRINGS_SQL, "op12_phrases": _PHRASES_SQL}

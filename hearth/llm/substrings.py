@@ -10,8 +10,13 @@
 
 A window is packed into 8 bytes, and a passage that occurs in very many
 documents arrives in a bucket at most once from each group. Two different
-windows count as one only if 64 bits and the bucket agree by chance. Groups
-and buckets hold about ``GROUP_BYTES`` of text each, whatever the input.
+windows count as one only if 64 bits and the bucket agree by chance; words and
+windows are hashed modulo a prime. Groups and buckets hold about
+``GROUP_BYTES`` of text each, whatever the input.
+
+Rows equal in id and text would all fall into one group. They are found first,
+by their hashes: one of each goes into the groups, for others' windows, and the
+rows themselves are cut without one, as a copy repeats every window.
 """
 
 from __future__ import annotations
@@ -21,7 +26,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hearth.llm.text import Rolling, Words, chunks, splitmix
+from hearth.llm.text import SPACE, Rolling, Words, chunks, quoted, splitmix
+from hearth.session import scratch_path
 
 GROUP_BYTES = 16 << 20
 _FIRST, _SECOND = Rolling(0xA0761D6478BD642F), Rolling(0xE7037ED1A0B428DB)
@@ -124,11 +130,19 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     table gives no rows. Texts of any length are cut whole, in one task each.
     """
     spark = docs.sparkSession
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    rows = docs.select(F.col(quoted(id_col)).alias("id"), F.col(quoted(text_col)).alias("text")).withColumn("text_hash", F.xxhash64("text"))
     size = rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-int(size) // GROUP_BYTES))
     groups = 2 * buckets
-    laid = rows.withColumn("part", F.pmod(F.xxhash64("id", "text"), F.lit(groups)).cast("int")).repartition(buckets, "part")
+    path = scratch_path(spark, "equal-rows")
+    twice = rows.groupBy("id", "text_hash").agg(F.count("*").alias("n")).where("n > 1")
+    twice.select(F.col("id").alias("id_b"), F.col("text_hash").alias("hash_b")).write.parquet(path)
+    equal = spark.read.parquet(path)
+    same = F.col("id").eqNullSafe(F.col("id_b")) & (F.col("text_hash") == F.col("hash_b"))
+    copies = rows.join(equal, same, "left_semi")
+    one = copies.groupBy("id", "text_hash").agg(F.max("text").alias("text")).select("id", "text", "text_hash", F.lit(False).alias("single"))
+    laid = rows.join(equal, same, "left_anti").withColumn("single", F.lit(True)).unionByName(one)
+    laid = laid.withColumn("part", F.pmod(F.xxhash64("id", "text_hash"), F.lit(groups)).cast("int")).repartition(buckets, "part")
 
     def send(table: pa.Table) -> pa.Table:
         bucket, h = _distinct(table["text"].combine_chunks(), window, buckets)
@@ -154,9 +168,10 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     arrow = pa.list_(pa.struct([("begin", pa.int32()), ("stop", pa.int32())]))
 
     def cut(table: pa.Table, found: pa.Table) -> pa.Table:
-        texts = table["text"].combine_chunks()
+        single, texts = table["single"], table["text"].combine_chunks()
         there = np.unique(np.concatenate([_own_repeats(texts, window), *_values(found["hashes"])]))
-        done = _cut(texts, there, window)
+        table = table.filter(single)
+        done = _cut(table["text"].combine_chunks(), there, window)
         columns = [
             table["id"].combine_chunks(),
             table["text_hash"].combine_chunks(),
@@ -167,7 +182,14 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         ]
         return pa.table(columns, names=["id", "text_hash", "n_words", "n_removed", "removed", "kept"])
 
-    laid = laid.withColumn("text_hash", F.xxhash64("text"))
     sent = laid.groupBy("part").applyInArrow(send, "bucket int, part int, hashes binary")
     found = sent.groupBy("bucket").applyInArrow(count, "part int, hashes binary")
-    return laid.groupBy("part").cogroup(found.groupBy("part")).applyInArrow(cut, result)
+    out = laid.groupBy("part").cogroup(found.groupBy("part")).applyInArrow(cut, result)
+    words = F.filter(F.split("text", SPACE), lambda w: w != "")
+    copies = copies.select("id", "text_hash", F.coalesce(words, F.array().cast("array<string>")).alias("words"))
+    n, whole = F.size("words"), F.size("words") >= window
+    span = F.struct(F.lit(0).alias("begin"), n.alias("stop"))
+    none = F.array().cast("array<struct<begin:int,stop:int>>")
+    cut_whole = [F.when(whole, n).otherwise(0).cast("long").alias("n_removed"), F.when(whole, F.array(span)).otherwise(none).alias("removed")]
+    kept = F.when(whole, "").otherwise(F.array_join("words", " ")).alias("kept")
+    return out.unionByName(copies.select("id", "text_hash", n.cast("long").alias("n_words"), *cut_whole, kept))

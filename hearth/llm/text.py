@@ -8,6 +8,7 @@ words are found on bytes.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
@@ -57,34 +58,72 @@ def splitmix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def _power(base: int, n: int) -> np.ndarray:
-    out = np.full(n, base, dtype=np.uint64)
-    out[:1] = 1
-    return np.multiply.accumulate(out)
+PRIME = (1 << 61) - 1
+_P, _LOW = np.uint64(PRIME), np.uint64((1 << 32) - 1)
+
+
+def _reduced(x: np.ndarray) -> np.ndarray:
+    """x modulo 2^61 - 1."""
+    x = (x >> np.uint64(61)) + (x & _P)
+    return np.where(x >= _P, x - _P, x)
+
+
+def _times(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """a * b modulo 2^61 - 1, of numbers below it, in halves that don't pass 64 bits."""
+    half, rest = np.uint64(31), np.uint64((1 << 31) - 1)
+    a1, a0, b1, b0 = a >> half, a & rest, b >> half, b & rest
+    middle = a0 * b1 + a1 * b0
+    carried = ((middle & np.uint64((1 << 30) - 1)) << half) + (middle >> np.uint64(30))
+    return _reduced(np.uint64(2) * (a1 * b1) + carried + a0 * b0)
+
+
+def _powers(base: int, n: int) -> np.ndarray:
+    out = np.ones(max(n, 1), dtype=np.uint64)
+    done = 1
+    while done < n:
+        more = min(done, n - done)
+        out[done : done + more] = _times(out[:more], np.uint64(pow(base, done, PRIME)))
+        done += more
+    return out
 
 
 class Rolling:
-    """Polynomial hashes mod 2^64 of any slice of a sequence, from its prefix sums.
+    """Polynomial hashes modulo the prime 2^61 - 1 of any slice of a sequence, from its prefix sums.
 
-    ``slices(values, starts, ends)`` is sum(values[i] * base^(i - start)).
+    ``slices(values, starts, ends)`` is sum(values[i] * base^(i - start)). A
+    power of two as the modulus would let unlike long slices (Thue-Morse words)
+    collide under every base. Terms are summed in two halves of at most 40
+    bits, so that slices of up to 2^24 values are exact.
     """
 
     def __init__(self, base: int):
-        self.base = base | 5
-        self.inverse = pow(self.base, -1, 1 << 64)
+        self.base = base % PRIME
+        self.inverse = pow(self.base, -1, PRIME)
         self.up = self.down = np.ones(0, dtype=np.uint64)
 
     def slices(self, values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         n = len(values)
         if n > len(self.up):
-            self.up, self.down = _power(self.base, n), _power(self.inverse, n)
-        total = np.zeros(n + 1, dtype=np.uint64)
-        np.cumsum(values * self.up[:n], out=total[1:])
-        return (total[ends] - total[starts]) * self.down[starts]
+            self.up, self.down = _powers(self.base, n), _powers(self.inverse, n)
+        up = self.up[:n]
+        if values.dtype == np.uint8:  # bytes, as 1 to 256: the halves of the power are multiplied
+            values = values.astype(np.uint64) + np.uint64(1)
+            low, high = (up & _LOW) * values, (up >> np.uint64(32)) * values
+        else:
+            terms = _times(_reduced(values), up)
+            low, high = terms & _LOW, terms >> np.uint64(32)
+        sums = []
+        for half in (low, high):
+            total = np.zeros(n + 1, dtype=np.uint64)
+            np.cumsum(half, out=total[1:])
+            sums.append(_reduced(total[ends] - total[starts]))
+        # 2^32 times a number of 61 bits turns it by 32 places
+        turned = ((sums[1] << np.uint64(32)) | (sums[1] >> np.uint64(29))) & _P
+        return _times(_reduced(sums[0] + turned), self.down[starts])
 
 
-BYTE_VALUES = splitmix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 _BYTES = Rolling(0xD1342543DE82EF95)
+LONG_WORD = 1 << 20  # bytes; longer words are hashed one by one
 
 
 class Words:
@@ -111,8 +150,12 @@ class Words:
 
     def hashes(self) -> np.ndarray:
         """A 64-bit hash of each word."""
-        h = _BYTES.slices(BYTE_VALUES[self.data], self.starts, self.ends)
-        return splitmix(h + (self.ends - self.starts).astype(np.uint64))
+        size = self.ends - self.starts
+        h = splitmix(_BYTES.slices(self.data, self.starts, self.ends) + size.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+        for i in np.flatnonzero(size > LONG_WORD).tolist():
+            digest = blake2b(self.data[self.starts[i] : self.ends[i]].tobytes(), digest_size=8).digest()
+            h[i] = int.from_bytes(digest, "little")
+        return h
 
     def text_of(self) -> np.ndarray:
         """The number of each word's text."""

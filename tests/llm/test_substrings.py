@@ -38,5 +38,34 @@ def test_registered_query(spark):
     assert Counter(tuple(r) for r in QUERIES["op7_substrings"](spark, sf).select("doc_id", "n_words", "n_removed", "kept_sha256").collect()) == want
 
 
+def test_words_that_collide_modulo_a_power_of_two(spark):
+    """Two windows that differ only in two Thue-Morse words of 4,096 letters are not the same."""
+    a = "".join("ab"[bin(i).count("1") % 2] for i in range(4096))
+    b = a.translate(str.maketrans("ab", "ba"))
+    head = [f"w{i}" for i in range(34)]
+    rows = [(i, " ".join([*head, w]), *[None] * 6) for i, w in enumerate((a, b))]
+    assert {r.n_removed for r in substrings.remove_repeats(frame(spark, rows)).collect()} == {0}
+    long = "x" * (1 << 21)
+    rows = [(i, " ".join([*head, *["pad"] * i, long]), *[None] * 6) for i in (0, 1)] + [(2, " ".join([*head, long]), *[None] * 6)]
+    got = {r.id: r.n_removed for r in substrings.remove_repeats(frame(spark, rows)).collect()}
+    assert got == {0: 35, 1: 0, 2: 35}
+
+
+def test_one_row_many_times(spark):
+    """A row that holds most of the table falls into no group whole, and others that share its windows are cut too."""
+    text = " ".join(f"w{i}" for i in range(50))
+    rows = [(1, text, *[None] * 6)] * 3000 + [(1, "short", *[None] * 6)] * 5 + [(2, text + " more", *[None] * 6), (3, None, *[None] * 6), (3, None, *[None] * 6)]
+    got = Counter((r.id, r.n_words, r.n_removed, r.kept) for r in substrings.remove_repeats(frame(spark, rows)).collect())
+    assert got == brute(rows, 35)
+
+
 def test_empty_table(spark):
     assert substrings.remove_repeats(frame(spark, [])).count() == 0
+
+
+def test_sql(spark):
+    from hearth.llm.queries import ORACLE, QUERIES
+    from tests.oracle_compare import compare, duck
+
+    sf = "/root/testdata/sf0.01"
+    assert compare(spark, duck(sf), "op7_substrings", QUERIES["op7_substrings"], ORACLE["op7_substrings"], sf)["ok"]
