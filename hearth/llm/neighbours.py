@@ -6,10 +6,19 @@ every tree to its longest prefix that any string shares, and then all trees
 ascend together, bit by bit, until the vectors below the common prefix length
 are enough. Those are scored exactly.
 
-The index is dealt into blocks of ``block_rows`` vectors by hash; each holds
-its own forest, so that neither an index nor a query's candidates grow beyond
-a task. Queries visit every block. Equal vectors are indexed once, with the
-few smallest of their ids that a result can show.
+Hyperplanes tell directions, but the measure is the inner product, which
+favours long vectors. So for the strings every vector of a block gets one more
+component that makes all lengths equal, and queries get zero there: nearest by
+direction is then nearest by inner product.
+
+Where lengths differ much that component would outweigh the directions, so
+vectors are first parted by length, in bands of a quarter octave.
+
+Each band is dealt into blocks of about ``block_rows`` vectors by their hash, and the
+queries into batches of ``batch_rows``; a task takes one batch to one block's
+forest, so that neither an index nor its queries and their candidates grow
+beyond a task. Equal vectors are indexed once, with the few smallest of their
+ids that a result can show.
 
 How many candidates a recall takes depends on the vectors: near-orthogonal
 ones (random directions) need a good part of all rows, which is what ``share``
@@ -39,18 +48,24 @@ def hash_strings(vectors: np.ndarray, trees: int, bits: int, seed: int) -> np.nd
     return out
 
 
+def equal_lengths(vectors: np.ndarray) -> np.ndarray:
+    """The vectors with one more component, by which all are as long as the longest."""
+    squares = (vectors**2).sum(axis=1)
+    return np.column_stack([vectors, np.sqrt(np.maximum(squares.max(initial=0.0) - squares, 0.0))])
+
+
 class Forest:
     """The sorted arrays of one block."""
 
     def __init__(self, vectors: np.ndarray, trees: int = TREES, bits: int = BITS, seed: int = 0):
         self.vectors, self.bits, self.options = vectors, bits, (trees, bits, seed)
-        strings = hash_strings(vectors, *self.options)
+        strings = hash_strings(equal_lengths(vectors), *self.options)
         self.order = np.argsort(strings, axis=1, kind="stable")
         self.sorted = np.take_along_axis(strings, self.order, axis=1)
 
     def ranges(self, queries: np.ndarray, enough: int) -> tuple[np.ndarray, np.ndarray]:
         """(tree, query): where each query's candidates stand in the sorted arrays, after the ascent."""
-        strings = hash_strings(queries, *self.options)
+        strings = hash_strings(np.column_stack([queries, np.zeros(len(queries))]), *self.options)
         low = np.zeros((self.bits + 1, *strings.shape), dtype=np.int64)
         high = low.copy()
         for level in range(self.bits + 1):
@@ -87,7 +102,7 @@ def _usable(vector: Column) -> Column:
 
 
 def nearest(vectors: DataFrame, queries: Column, id_col: str = "vec_id", vector_col: str = "embedding", k: int = 20,
-            trees: int = TREES, bits: int = BITS, share: float = 0.75, least: int = 2048, block_rows: int = 4096, seed: int = 0) -> DataFrame:
+            trees: int = TREES, bits: int = BITS, share: float = 0.9, least: int = 2048, block_rows: int = 4096, batch_rows: int = 8192, seed: int = 0) -> DataFrame:
     """(query_id, rank, id, score): the k nearest found by inner product for each row that the condition ``queries`` selects.
 
     ``queries`` is a condition on ``id_col``. Trees ascend until at least
@@ -111,11 +126,22 @@ def nearest(vectors: DataFrame, queries: Column, id_col: str = "vec_id", vector_
     entries = spark.read.parquet(f"{path}/entries").withColumn("dim", F.size("v"))
     rows.where("asks").select("id", "v").join(entries, "v").select(F.col("id").alias("query_id"), "entry").write.parquet(f"{path}/queries")
     asked = spark.read.parquet(f"{path}/queries")
-    blocks = max(1, -(-entries.count() // block_rows))
-    index = entries.select("dim", F.pmod(F.xxhash64("entry"), F.lit(blocks)).cast("int").alias("block"), "entry", "v")
+    # bands of lengths (a few thousand at most), each with so many blocks of its own
+    length = F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x))
+    band = F.floor(4 * F.log2(length)).alias("band")  # null where the sum of squares is no number above zero
+    bands = entries.groupBy("dim", band).agg(F.ceil(F.count("*") / block_rows).cast("int").alias("blocks"))
+    bands.write.parquet(f"{path}/bands")
+    bands = F.broadcast(spark.read.parquet(f"{path}/bands").withColumnsRenamed({"dim": "dim_b", "band": "band_b"}))
+    batches = max(1, -(-asked.select("entry").distinct().count() // batch_rows))
+    numbers = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    dealt = lambda seed, n: F.pmod(F.xxhash64(F.lit(seed), "v"), n).cast("int")
+    index = entries.select("dim", band, numbers(batches).alias("batch"), "entry", "v")
+    index = index.join(bands, (F.col("dim") == F.col("dim_b")) & F.col("band").eqNullSafe(F.col("band_b"))).withColumn("block", dealt(1, F.col("blocks")))
     again = spark.read.parquet(f"{path}/entries").withColumn("dim", F.size("v"))
     asking = again.join(asked.select("entry").distinct(), "entry", "left_semi")
-    asking = asking.select("dim", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"), "entry", "v")
+    asking = asking.join(bands, F.col("dim") == F.col("dim_b"))
+    asking = asking.select("dim", F.col("band_b").alias("band"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), dealt(2, F.lit(batches)).alias("batch"), "entry", "v")
+    index, asking = (x.withColumn("band", F.coalesce("band", F.lit(-(1 << 40)))).select("dim", "band", "block", "batch", "entry", "v") for x in (index, asking))
 
     def matrix(table: pa.Table) -> np.ndarray:
         return np.array(table["v"].combine_chunks().flatten()).reshape(table.num_rows, -1)
@@ -129,7 +155,7 @@ def nearest(vectors: DataFrame, queries: Column, id_col: str = "vec_id", vector_
         asker = np.repeat(who["entry"].to_numpy(), [len(r) for r, _ in found])
         return pa.table([asker, names[np.concatenate([r for r, _ in found])], np.concatenate([s for _, s in found])], names=["asker", "entry", "score"])
 
-    found = index.groupBy("dim", "block").cogroup(asking.groupBy("dim", "block")).applyInArrow(search, "asker long, entry long, score double")
+    found = index.groupBy("dim", "band", "block", "batch").cogroup(asking.groupBy("dim", "band", "block", "batch")).applyInArrow(search, "asker long, entry long, score double")
     # the best of all blocks: k + 1 entries with their ids hold k ids other than the query's own
     first = entries.select("entry", "ids", F.col("ids")[0].alias("least"))
     best = found.join(first, "entry").withColumn("no", F.row_number().over(Window.partitionBy("asker").orderBy(F.desc("score"), "least"))).where(F.col("no") <= k + 1)

@@ -1,6 +1,7 @@
 import math
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from hearth.llm import neighbours
@@ -51,7 +52,7 @@ def test_the_ascent_stops_at_the_longest_prefix_with_enough():
     x, q = rng.normal(size=(500, 16)), rng.normal(size=(9, 16))
     forest = neighbours.Forest(x, trees=5, bits=20)
     low, high = forest.ranges(q, 100)
-    a, b = neighbours.hash_strings(x, 5, 20, 0), neighbours.hash_strings(q, 5, 20, 0)
+    a, b = neighbours.hash_strings(neighbours.equal_lengths(x), 5, 20, 0), neighbours.hash_strings(np.column_stack([q, np.zeros(9)]), 5, 20, 0)
     for i in range(9):
         common = np.array([[20 - int(int(s) ^ int(b[t, i])).bit_length() for s in a[t]] for t in range(5)])
         level = max(v for v in range(21) if (common >= v).sum() >= 100)
@@ -72,6 +73,36 @@ def test_recall_of_the_registered_query(spark):
     assert sum(len(got[q] & {i for i, _ in x}) for q, x in want.items()) / (20 * len(want)) >= 0.9
 
 
+def lengths(sigma, n=6000, dim=64):
+    rng = np.random.default_rng(11)
+    v = rng.normal(size=(n, dim))
+    v *= (np.exp(sigma * rng.normal(size=n)) / np.linalg.norm(v, axis=1))[:, None]
+    return [(i, x, 1, "v", None) for i, x in enumerate(v.astype(np.float32).tolist())]
+
+
+@pytest.mark.parametrize("sigma", [0.1, 0.5, 1.0])
+def test_recall_at_unequal_lengths(spark, sigma):
+    rows = lengths(sigma)
+    v = np.array([r[1] for r in rows], dtype=float)
+    got = found(spark, rows)
+    hits = 0
+    for q in range(0, len(rows), 20):
+        scores = v @ v[q]
+        scores[q] = -np.inf
+        hits += len({i for _, i, _ in got[q]} & set(np.argsort(-scores)[:20].tolist()))
+    assert hits / (20 * len(range(0, len(rows), 20))) >= 0.9
+
+
+def test_results_do_not_depend_on_partitions_or_batches(spark):
+    rows = lengths(0.5, 3000, 16)
+    results = []
+    for parts, batch in ((1, 8192), (7, 8192), (3, 40)):
+        docs = spark.createDataFrame(rows, SCHEMA).repartition(parts)
+        out = neighbours.nearest(docs, F.col("vec_id") % 20 == 0, block_rows=300, least=100, batch_rows=batch)
+        results.append(sorted((r.query_id, r["rank"], r.id, r.score) for r in out.collect()))
+    assert results[0] == results[1] == results[2]
+
+
 def test_few_and_no_rows(spark):
     assert found(spark, []) == {}
     assert found(spark, [(0, [1.0, 0.0], 1, "a", 1)]) == {}
