@@ -21,13 +21,21 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from hearth.llm.text import SPACE
+from hearth.llm.text import SPACE, quoted
 from hearth.session import scratch_path
 
 GOLDEN = round((5**0.5 - 1) / 2 * (1 << 40))  # in units of 2^-40
 RUN = 1 << 12  # slots in a run
 MOST_SOURCES = 1 << 16  # more raise ValueError: the table of sources is broadcast
 PIECE_ROWS = 1 << 12  # documents in a hash range, about
+COPIES = 1 << 12  # copies of a row that are made in one step
+
+
+def numbered(rows: DataFrame, n: str, out: str) -> DataFrame:
+    """Each row ``n`` times, as ``out`` = 0 .. n - 1, in two steps: no array of all copies is made."""
+    last = F.col(n).cast("long") - 1
+    rows = rows.withColumn("__first", F.explode(F.sequence(F.lit(0).cast("long"), last, F.lit(COPIES).cast("long"))))
+    return rows.withColumn(out, F.explode(F.sequence("__first", F.least(last, F.col("__first") + (COPIES - 1))))).drop("__first")
 
 
 def n_words(text: Column) -> Column:
@@ -95,23 +103,25 @@ class Mix:
     ``docs`` may hold nulls in any column: a null source is a source of its
     own, after the others; a null or empty text has no tokens and is never
     taken. Repeated rows and ids are documents of their own. Very long texts
-    run over several blocks. Ties in the shuffled order are broken by id, size
-    and text hash; rows equal in all these are interchangeable. An empty table
-    gives an empty mix. Extra columns are ignored.
+    run over several blocks. Rows equal in id, source and text are
+    interchangeable and are numbered; ties in the shuffled order are broken by
+    id, size, text hash and that number. An empty table gives an empty mix.
+    Extra columns are ignored. More than ``MOST_SOURCES`` sources raise an
+    error.
     """
 
     def __init__(self, docs: DataFrame, id_col="doc_id", text_col="text", source_col="source", weights=(5, 2, 1), share=1.5, epochs=2, block=64, seed=0):
         self.spark, self.block, self.epochs = docs.sparkSession, block, epochs
         path = scratch_path(self.spark, "mix")
         rows = docs.select(
-            F.col(id_col).alias("id"),
-            F.col(source_col).alias("source"),
-            n_words(F.col(text_col)).alias("size"),
-            F.xxhash64(text_col).alias("text_hash"),
+            F.col(quoted(id_col)).alias("id"),
+            F.col(quoted(source_col)).alias("source"),
+            n_words(F.col(quoted(text_col))).alias("size"),
+            F.xxhash64(quoted(text_col)).alias("text_hash"),
         )
-        rows.write.parquet(f"{path}/rows")
+        rows.groupBy("id", "source", "size", "text_hash").agg(F.count("*").alias("n")).write.parquet(f"{path}/rows")
         rows = self.spark.read.parquet(f"{path}/rows")
-        found = rows.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("n"))
+        found = rows.groupBy("source").agg(F.sum(F.col("size") * F.col("n")).alias("source_size"), F.sum("n").alias("n"))
         found = found.limit(MOST_SOURCES + 1).collect()
         if len(found) > MOST_SOURCES:
             raise ValueError(f"more than {MOST_SOURCES} sources")
@@ -130,10 +140,10 @@ class Mix:
         sources = self.spark.createDataFrame(parts, f"sid int, source {kind}, source_size long, target double, low double, high double")
         pieces = max(1, -(-sum(r.n for r in found) // PIECE_ROWS))
         rows = rows.join(F.broadcast(sources.select("sid", "source", "source_size", "target")), rows.source.eqNullSafe(sources.source)).drop(sources.source)
-        rows = rows.withColumn("shuffled", F.xxhash64(F.lit(seed), "id", "text_hash"))
+        rows = numbered(rows, "n", "copy").drop("n").withColumn("shuffled", F.xxhash64(F.lit(seed), "id", "text_hash", "copy"))
         # pieces: equal ranges of the hash, in its order
         rows = rows.withColumn("piece", F.floor((F.shiftright("shuffled", 1) + (1 << 62)) / float((1 << 63) / pieces)).cast("long"))
-        running(rows, ["sid"], "piece", ["shuffled", "id", "size", "text_hash"], "size", "start").write.parquet(f"{path}/documents")
+        running(rows, ["sid"], "piece", ["shuffled", "id", "size", "text_hash", "copy"], "size", "start").write.parquet(f"{path}/documents")
         self.documents = self.spark.read.parquet(f"{path}/documents")
         schedule(self.spark, sources, self.n_slots).write.parquet(f"{path}/slots")
         self.slots = self.spark.read.parquet(f"{path}/slots")
@@ -166,15 +176,19 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     path = scratch_path(docs.sparkSession, "mix-times")
     times.write.parquet(path)
     times = docs.sparkSession.read.parquet(path)
-    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col(id_col).alias("doc"), F.xxhash64(text_col).alias("h"))
+    plain = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
+    place = {c: f"c{i}" for i, c in enumerate(docs.columns)}
+    rows = plain.select(F.struct(*plain.columns).alias("row"), F.col(place[id_col]).alias("doc"), F.xxhash64(place[text_col]).alias("h"))
 
     def of(chosen: DataFrame) -> DataFrame:
         return rows.join(chosen, rows["doc"].eqNullSafe(chosen["id"]) & (rows["h"] == chosen["text_hash"]))
 
-    copies = F.explode(F.sequence(F.lit(1).cast("long"), F.col("times")))
-    out = of(times.where("n = 1")).select("row", copies)
-    # repeated rows: the first times mod n of them are taken once more than the others
-    again = of(times.where("n > 1")).withColumn("no", F.row_number().over(Window.partitionBy("doc", "h").orderBy("h")))
-    each = F.floor(F.col("times") / F.col("n")) + F.when(F.col("no") <= F.col("times") % F.col("n"), 1).otherwise(0)
-    again = again.withColumn("times", each.cast("long")).where("times > 0").select("row", copies)
-    return out.select("row.*").unionByName(again.select("row.*"))
+    out = of(times.where("n = 1")).select("row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("times"))))
+    # repeated rows, equal ones counted: the first times mod n of them, by the hash of the row, are taken once more than the others
+    again = of(times.where("n > 1")).groupBy("doc", "h", "times", "n", "row").agg(F.count("*").alias("m")).withColumn("order", F.xxhash64("row"))
+    again = again.withColumn("piece", F.shiftright("order", 52))
+    before = running(again.withColumn("doc", F.struct("doc", "h")), ["doc"], "piece", ["order"], "m", "before")
+    more = F.greatest(F.lit(0), F.least(F.col("m"), F.col("times") % F.col("n") - F.col("before")))
+    again = before.withColumn("all", (F.floor(F.col("times") / F.col("n")) * F.col("m") + more).cast("long")).where("all > 0")
+    both = out.select("row.*").unionByName(numbered(again.select("row", "all"), "all", "copy").select("row.*"))
+    return both.toDF(*docs.columns)

@@ -56,6 +56,30 @@ def test_reruns_agree_whatever_the_partitions(spark):
     assert Counter(a) == Counter(b)
 
 
+def test_one_row_many_times(spark):
+    """Copies of one row, some with other columns, are taken as often as the mix says, and part in the shuffled order."""
+    text = "five words are in here"
+    rows = [(1, text, "en", "a", 1, None, None, None)] * 9000 + [(1, text, "fr", "a", 1, None, None, None)] * 500
+    rows += [(i, text + " and more", "en", "b", 1, None, None, None) for i in range(2, 4000)]
+    docs = frame(spark, rows).repartition(8)
+    mix = mixing.Mix(docs, block=16)
+    got = mix.taken().collect()
+    assert Counter((r.id, r.size) for r in got) == Counter((r[0], len(words(r[1]))) for r in rows)
+    assert max(r["count"] for r in mix.documents.groupBy("sid", "piece").count().collect()) < 2 * mixing.PIECE_ROWS
+    copies = [r for r in got if r.id == 1]
+    assert abs(sum(r.taken for r in copies) - copies[0].target) <= 48 and all(r.taken <= 10 for r in copies)
+    out = mixing.mixed_documents(docs, block=16)
+    times = Counter((r.doc_id, r.lang) for r in out.collect())
+    assert times[(1, "en")] + times[(1, "fr")] == sum(int(r.taken / r.size + 0.5) for r in copies)
+    per = [times[(1, "en")] / 9000, times[(1, "fr")] / 500]
+    assert all(int(sum(times[(1, x)] for x in ("en", "fr")) / 9500) <= p <= 1 + int(sum(times[(1, x)] for x in ("en", "fr")) / 9500) for p in per)
+
+
+def test_column_names_with_dots(spark):
+    docs = frame(spark).withColumnRenamed("h", "a.b")
+    assert mixing.mixed_documents(docs).columns == docs.columns
+
+
 def test_stage_repeats_rows(spark):
     docs = frame(spark)
     taken = mixing.Mix(docs).taken().collect()
