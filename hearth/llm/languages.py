@@ -13,6 +13,7 @@ Learning counts hashed trigrams per language in Spark; a model has
 from __future__ import annotations
 
 import functools
+import unicodedata
 from dataclasses import dataclass
 
 import numpy as np
@@ -58,6 +59,21 @@ def script_table() -> np.ndarray:
     return table
 
 
+@functools.cache
+def mark_table() -> np.ndarray:
+    """True for combining marks (vowel signs, accents), which are letters where they follow one."""
+    return np.fromiter((unicodedata.category(chr(c))[0] == "M" for c in range(0x110000)), bool, 0x110000)
+
+
+def scripts_of(char: np.ndarray) -> np.ndarray:
+    """The script of each character, 0 for those that are no letter; a mark has the script of the letter that it follows."""
+    script, mark = script_table()[char], mark_table()[char]
+    if mark.any():
+        base = np.maximum.accumulate(np.where(mark, 0, np.arange(len(char))))
+        script = np.where(mark, np.where(mark[base], 0, script[base]), script)
+    return script
+
+
 class Letters:
     """The letters of texts: ``script`` and trigram ``bucket`` of each, the letter at which each word starts
     (``words``), and the first word of each text (``first``, with the end)."""
@@ -65,7 +81,7 @@ class Letters:
     def __init__(self, texts: list[str]):
         lower = [t.lower() for t in texts]
         char = np.frombuffer(" ".join(lower).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
-        script = script_table()[char]
+        script = scripts_of(char)
         at = np.flatnonzero(script)
         edge = np.concatenate([[True], np.diff(at) > 1, [True]]) if len(at) else np.ones(1, bool)
         code = char[at].astype(np.uint64)

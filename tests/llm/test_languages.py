@@ -48,6 +48,13 @@ def test_scripts_narrow():
     assert letters.first.tolist() == [0, 4, 4, 5]
 
 
+def test_marks_belong_to_the_letter_before():
+    letters = languages.Letters(["हिन्दी भाषा", "ที่นี่", "e\u0301te\u0301 \u0301 1\u0301", "\u0301"])
+    names = ["", *languages.SCRIPTS, "other"]
+    assert letters.first.tolist() == [0, 2, 3, 4, 4]
+    assert [names[letters.script[w]] for w in letters.words] == ["devanagari", "devanagari", "thai", "latin"]
+
+
 def test_awkward_rows(spark):
     docs = frame(spark)
     got = languages.label(docs, languages.learn(docs)).collect()
