@@ -4,9 +4,10 @@ A paragraph is a line. Its features are the words and word pairs that the
 model knows (those of the templates, less the words that are common in
 ordinary paragraphs). Multinomial logistic regression over them tells licence
 families, other licences (``unknown``) and ordinary text (``none``) apart.
-Probabilities are calibrated by a temperature on rows held out of training; a
-family below the least probability, or not like any of its templates, becomes
-``unknown``.
+Probabilities are calibrated by a temperature on rows held out of a first fit,
+for the unknown class whole licences of it. A family below the least
+probability, not like any of its templates, or no more like one of them than
+like another licence's wording, becomes ``unknown``.
 
 The model is fitted by the driver on the templates, varied, and on at most
 ``sample`` paragraphs of the corpus. Scanning uses DataFrame functions only,
@@ -63,6 +64,20 @@ OTHERS = [
     "Licensed under the Open Database License.",
     "Released under the Boost Software License.",
     "This work is released under a custom license.",
+    # near relatives of the families
+    "Licensed under CC BY-SA 4.0.",
+    "Licensed under CC BY 4.0.",
+    "Licensed under CC BY-ND 4.0.",
+    "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
+    "This work is licensed under a Creative Commons Attribution 4.0 International License.",
+    "Released under the BSD 2-Clause License.",
+    "Licensed under the Apache License, Version 1.1.",
+    "This work is licensed under the GNU General Public License, version 2.",
+    "This work is licensed under the GNU Lesser General Public License, version 2.1.",
+    "This work is licensed under the GNU Affero General Public License, version 3.",
+    "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or any later version.",
+    "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or any later version.",
+    "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.",
 ]
 
 
@@ -135,14 +150,19 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sampl
 
     Sampled paragraphs that hold a template are learned as its family, the
     others as ordinary. Words in more than ``common`` of the ordinary ones are
-    no features. Every fifth row is held out to set the temperature.
+    no features. Every fifth row and every fourth of the other licences, with
+    all its variants, are held out of a first fit to set the temperature; the
+    model is fitted on all rows.
     """
     each = docs.select(F.explode(F.split(text_col, "\n", -1)).alias("text")).select("text", F.xxhash64("text").alias("h"))
     chosen = each.select("h").distinct().orderBy("h").limit(sample)
     found = each.join(F.broadcast(chosen), "h").groupBy("h").agg(F.max("text").alias("text")).orderBy("h")  # at most ``sample`` rows
     texts = [r.words for r in found.select(normal_words(F.col("text")).alias("words")).collect() if r.words]
     whole = {tuple(plain_words(t)): c for c, ts in TEMPLATES.items() for t in ts} | {tuple(plain_words(t)): UNKNOWN for t in OTHERS}
-    labelled = [(v, c) for c, ts in [*TEMPLATES.items(), (UNKNOWN, OTHERS)] for t in ts for v in variants(t)]
+    labelled = [(v, c) for c, ts in TEMPLATES.items() for t in ts for v in variants(t)]
+    first = len(labelled)
+    labelled += [(v, UNKNOWN) for t in OTHERS for v in variants(t)]
+    unseen = [False] * first + [k % 4 == 3 for k, t in enumerate(OTHERS) for _ in variants(t)]
     ordinary = []
     for words in texts:
         joined = f" {' '.join(words)} "
@@ -160,10 +180,12 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sampl
     y = np.array([*(classes.index(c) for _, c in labelled), len(classes) - 1])
     weight = 1 / np.bincount(y, minlength=len(classes))[y]
     held = np.arange(len(y)) % 5 == 4
+    held[first : len(unseen)] = unseen[first:]
     w, b = _fit(x[~held], y[~held], weight[~held], len(classes))
     scores = x[held] @ w.T + b
     loss = lambda t: -np.log(np.maximum(_softmax(scores / t)[np.arange(len(scores)), y[held]], 1e-12)).mean()
     temperature = min(np.geomspace(0.2, 5, 41), key=loss) if held.any() else 1.0
+    w, b = _fit(x, y, weight, len(classes))
     return Model(classes, vocabulary, w / temperature, b / temperature, least, similarity)
 
 
@@ -173,7 +195,8 @@ def scan(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     ``paragraph`` counts lines from 0. ``similarity`` is the largest part of a
     template of the predicted family that the paragraph holds, in known words
     and pairs. ``confirmed`` rows have at least the model's probability and
-    similarity; the others are ``unknown``. A paragraph without any known word
+    similarity, and hold a larger part of that template than of any other
+    licence's wording; the others are ``unknown``. A paragraph without any known word
     or pair is ordinary. Null and empty texts have no paragraphs to show; of
     equal probabilities the family listed first wins; null ids and repeated
     rows are rows like others; other columns are ignored; an empty table gives
@@ -189,11 +212,15 @@ def scan(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     rows = rows.where(F.col("best") < len(model.classes))  # the last is none
     rows = rows.withColumn("probability", 1 / F.aggregate("scores", F.lit(0.0), lambda a, s: a + F.exp(s - F.col("top"))))
     like = [F.lit(0.0)] * len(model.classes)
-    for c, texts in enumerate(TEMPLATES.values()):
+    for c, texts in enumerate([*TEMPLATES.values(), OTHERS]):
         parts = [p for p in (model.features(plain_words(t)) for t in texts) if p]
         shares = [F.size(F.array_intersect("known", F.lit(p))) / float(len(p)) for p in parts]
         like[c] = F.array_max(F.array(F.lit(0.0), *shares))
-    rows = rows.withColumn("similarity", F.element_at(F.array(*like), F.col("best")))
-    rows = rows.withColumn("confirmed", (F.col("probability") >= model.least) & (F.col("similarity") >= model.similarity))
+    rows = rows.select("*", once(F.array(*like)).alias("like"))
+    other = F.element_at("like", model.classes.index(UNKNOWN) + 1)
+    similarity = F.when(F.col("best") <= len(TEMPLATES), F.element_at("like", F.col("best"))).otherwise(0.0)
+    rows = rows.withColumn("similarity", similarity).withColumn("other", other)
+    sure = (F.col("probability") >= model.least) & (F.col("similarity") >= model.similarity) & (F.col("similarity") > F.col("other"))
+    rows = rows.withColumn("confirmed", sure)
     family = F.when(F.col("confirmed"), F.element_at(F.lit(model.classes), F.col("best"))).otherwise(UNKNOWN)
     return rows.select("id", "text_hash", "paragraph", "text", family.alias("family"), "probability", "similarity", "confirmed")

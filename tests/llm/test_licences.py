@@ -30,7 +30,9 @@ def brute(model, text):
     for t in licences.TEMPLATES.get(model.classes[best], []):
         part = model.features(licences.plain_words(t))
         like = max(like, len(set(part) & set(known)) / len(part)) if part else like
-    sure = p[best] >= model.least and like >= model.similarity
+    others = [set(model.features(licences.plain_words(t))) for t in licences.OTHERS]
+    other = max(len(o & set(known)) / len(o) for o in others if o)
+    sure = p[best] >= model.least and like >= model.similarity and like > other
     return (model.classes[best] if sure else licences.UNKNOWN, round(float(p[best]), 9), round(like, 9))
 
 
@@ -62,6 +64,23 @@ def test_every_template_is_known(model):
             assert brute(model, t)[0] == family, t
 
 
+RELATIVES = [
+    "Licensed under CC BY-SA 4.0.",
+    "Released under the BSD 2-Clause License.",
+    "This library is distributed under the GNU Lesser General Public License, version 2.1.",
+    "Licensed under the GNU Affero General Public License, version 3, or any later version.",
+    "Permission to use, copy, modify, and distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.",
+    "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
+]
+
+
+def test_relatives_are_not_confirmed(spark, model):
+    docs = spark.createDataFrame(list(enumerate(RELATIVES)), "doc_id long, text string")
+    got = {r.id: r for r in licences.scan(docs, model).collect()}
+    assert set(got) == set(range(len(RELATIVES)))
+    assert not [RELATIVES[i] for i, r in got.items() if r.confirmed or r.family != licences.UNKNOWN]
+
+
 def test_corpus_lines(corpus, model):
     """Every licence line of the corpus is found, and no other line."""
     marks = {"MIT License": "MIT", "Apache License": "Apache-2.0", "GNU General": "GPL-3.0", "CC BY-NC": "CC-BY-NC-4.0", "All rights": "proprietary"}
