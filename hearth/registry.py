@@ -19,6 +19,7 @@ from hearth.operators import clean as C
 from hearth.operators import integrity as R
 from hearth.operators import profile as PR
 from hearth.operators import search as S
+from hearth.operators.dependencies import discover_dependencies
 from hearth.operators.upsert import merge_upsert
 from hearth.plans.ingest import ingest, keyed_tables
 from hearth.plans.pipeline import clean_frame, clean_listings, prepare
@@ -957,6 +958,29 @@ query(
 )(lambda spark, sf: PR.dependency_violations(_mistyped(cleaned(spark, sf)), "item_subtype", "item_type"))
 
 
+DEPENDENCY_COLUMNS = ("listing_id", "item_type", "item_subtype", "city", "zipcode", "build_year", "floor", "has_cellar")
+
+
+def dependencies_sql(cols) -> str:
+    """Every column against every set of one or two others; of two, those that no single one implies."""
+    one = lambda s, c: (
+        f"SELECT '{s[0]}' AS c1, '{s[-1]}' AS c2, '{','.join(s)}' AS determinant, '{c}' AS dependent, count(*) AS n_values FROM "
+        f"(SELECT count(DISTINCT {c}) + max(CASE WHEN {c} IS NULL THEN 1 ELSE 0 END) AS n FROM cleaned GROUP BY {', '.join(s)}) HAVING max(n) = 1"
+    )
+    singles = union_all(one((a,), c) for a in cols for c in cols if c != a)
+    pairs = union_all(one((a, b), c) for i, a in enumerate(cols) for b in cols[i + 1:] for c in cols if c not in (a, b))
+    return W(
+        "SELECT determinant, dependent, n_values FROM singles UNION ALL SELECT determinant, dependent, n_values FROM pairs p WHERE NOT EXISTS "
+        "(SELECT 1 FROM singles s WHERE (s.c1 IN (p.c1, p.c2) AND s.dependent IN (p.dependent, p.c1, p.c2)))",
+        f"singles AS ({singles}),\npairs AS ({pairs})",
+    )
+
+
+query("a17_discovered_dependencies", dependencies_sql(DEPENDENCY_COLUMNS))(
+    lambda spark, sf: discover_dependencies(cleaned(spark, sf), DEPENDENCY_COLUMNS)
+)
+
+
 def long_sql(src: str, cols, ids=()) -> str:
     sel = ", ".join([*ids, *[f"CAST({c} AS DOUBLE) AS {c}" for c in cols]])
     return f"(UNPIVOT (SELECT {sel} FROM {src}) ON {', '.join(cols)} INTO NAME {q('column')} VALUE value)"
