@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from hearth.functions.columns import parent_path
 from hearth.operators import quantiles as Q
 from hearth.operators.clean import latest_order
-from hearth.session import ensure_checkpoint_dir, scratch_path
+from hearth.session import scratch_path
 
 QUARTILES = (0.25, 0.5, 0.75)
 
@@ -333,36 +333,31 @@ def occurrence_number(
     window. Rows of the other keys are range-partitioned on (key, order) and a
     salt, numbered inside each range partition, and shifted by the row counts
     of the key's earlier partitions: a hot key, and copies of one row, are
-    spread over many tasks. The hot keys are found first (one small job,
-    written to the shared folder); Spark joins them by their size.
+    spread over many tasks. ``df`` is evaluated once, when this is called, and
+    written to the shared folder; the count of its keys, the hot keys' rows and
+    the others are read from there, with the columns each needs.
     """
     keys = list(keys)
     order = order or latest_order(df, tuple(keys))
     spark = df.sparkSession
-    path = scratch_path(spark, "hot-keys")
+    path = scratch_path(spark, "occurrences")
+    df.write.parquet(f"{path}/rows")
+    df = spark.read.schema(df.schema).parquet(f"{path}/rows")
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__cnt")).filter(F.col("__cnt") > hot_rows)
-    counts.select(*[F.col(k).alias(f"__h_{k}") for k in keys]).write.parquet(path)
-    hot = spark.read.parquet(path)
+    counts.select(*[F.col(k).alias(f"__h_{k}") for k in keys]).write.parquet(f"{path}/hot")
+    hot = spark.read.parquet(f"{path}/hot")
     if hot.isEmpty():
         return df.withColumn(name, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
     cond = [df[k].eqNullSafe(hot[f"__h_{k}"]) for k in keys]
     cold = df.join(hot, cond, "left_anti").withColumn(name, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
 
     nparts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    # The salt parts copies of one row, which are interchangeable. The rows are
-    # checkpointed so that partition sizes and positions below come from one
-    # and the same evaluation.
+    # The salt parts copies of one row, which are interchangeable. Partition
+    # sizes and positions below come from the written rows, so from one evaluation.
     spread = [*[F.col(k).asc_nulls_first() for k in keys], *order, F.col("__salt").asc()]
-    ensure_checkpoint_dir(spark)
-    ranged = (
-        df.join(hot, cond, "left_semi")
-        .withColumn("__salt", F.rand(0))
-        .repartitionByRange(nparts, *spread)
-        .sortWithinPartitions(*spread)
-        .withColumn("__mid", F.monotonically_increasing_id())
-        .withColumn("__pid", F.spark_partition_id())
-        .checkpoint(eager=True)
-    )
+    dealt = df.join(hot, cond, "left_semi").withColumn("__salt", F.rand(0)).repartitionByRange(nparts, *spread).sortWithinPartitions(*spread)
+    dealt.withColumn("__mid", F.monotonically_increasing_id()).withColumn("__pid", F.spark_partition_id()).write.parquet(f"{path}/ranged")
+    ranged = spark.read.parquet(f"{path}/ranged")
     starts = ranged.groupBy(*keys, "__pid").agg(F.min("__mid").alias("__start"), F.count(F.lit(1)).alias("__size"))
     before = F.sum("__size").over(Window.partitionBy(*keys).orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1))
     offsets = starts.select(

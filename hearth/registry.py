@@ -9,6 +9,7 @@ from them, and runs over the whole feed. Oracle text is built with
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -43,6 +44,7 @@ from hearth.sources import footers as FT
 from hearth.sources.buckets import BucketStore
 from hearth.sources.fixture import raw_listings
 from hearth.sources.footers import footer_counts
+from hearth.sources.layouts import SearchLayout
 from hearth.sources.tables import TableStore, is_empty
 
 NUMERIC_COLUMNS = MEASURE_COLUMNS + INTEGER_COLUMNS
@@ -297,6 +299,57 @@ SEARCHES = {
 for _name, (_params, _where, _cat) in SEARCHES.items():
     query(_name, _search_sql(_where, _cat))(_search(_params))
 
+LAYOUT_BLOCKS = 32
+
+
+def _layout(spark, sf, **kw) -> SearchLayout:
+    path = scratch_path(spark, "layout")
+    listing(spark, sf).write.parquet(f"{path}/listing")
+    return SearchLayout.build(spark.read.parquet(f"{path}/listing"), f"{path}/blocks", LAYOUT_BLOCKS, **kw)
+
+
+def _layout_search(params: dict, **kw):
+    def run(spark, sf):
+        return _layout(spark, sf, **kw).search(categories(spark, sf) if "category" in params else None, params)
+
+    return run
+
+
+BY_TEXT = {"order": ("city", "zipcode")}
+BOX = {"min_price": 1000.0, "max_price": 20000.0, "min_area": 20.0, "max_area": 100.0, "min_build_year": 1900, "max_build_year": 2000}
+query("f9_indexed_city", ORACLE["f9_city_contains_ci"])(_layout_search(SEARCHES["f9_city_contains_ci"][0], **BY_TEXT))
+query("f10_indexed_zipcode", ORACLE["f10_zipcode_contains"])(_layout_search(SEARCHES["f10_zipcode_contains"][0], **BY_TEXT))
+query(
+    "f11_f13_clustered_ranges",
+    _search_sql(" AND ".join(SEARCHES[n][1] for n in ("f11_price_range", "f12_area_range", "f13_build_year_range"))),
+)(_layout_search(BOX))
+query("f16_clustered_search", ORACLE["f16_composed_search"])(_layout_search(SEARCHES["f16_composed_search"][0]))
+
+# needles that some texts hold, only the grams of, or not at all
+NEEDLES = {"city": ("nAtIoN_1", "on_11", "a", "tion_2", "n_1_n", "zzz"), "zipcode": ("75", "000", "0101", "1010", "12345")}
+
+
+def _needle_counts(spark, sf):
+    """What the index finds for each needle: candidates by their grams, and those that hold it."""
+    layout = _layout(spark, sf, **BY_TEXT)
+    parts = [
+        layout.candidates(c, n).agg(F.count("*").alias("candidates"), F.count_if("verified").alias("verified")).select(F.lit(c).alias("column"), F.lit(n).alias("needle"), "candidates", "verified")
+        for c, ns in NEEDLES.items() for n in ns
+    ]
+    return reduce(DataFrame.unionAll, parts)
+
+
+def _needle_sql(column: str, needle: str) -> str:
+    """Distinct texts with all grams of a needle, and with the needle."""
+    text, low = (f"lower({column})", needle.lower()) if column == "city" else (column, needle)
+    size = min(3, len(low))
+    held = " AND ".join(f"contains(v, '{low[i:i + size]}')" for i in range(len(low) - size + 1))
+    return (f"SELECT '{column}' AS {q('column')}, '{needle}' AS needle, count(*) FILTER (WHERE {held}) AS candidates, "
+            f"count(*) FILTER (WHERE contains(v, '{low}')) AS verified FROM (SELECT DISTINCT {text} AS v FROM listing)")
+
+
+query("f9_f10_index_candidates", W(union_all(_needle_sql(c, n) for c, ns in NEEDLES.items() for n in ns)))(_needle_counts)
+
 ENTRY_PARAMS = {
     "category": "HOUSE",
     "transaction_type": "RENT",

@@ -335,3 +335,20 @@ def test_brackets_shuffle_no_rows(spark, tmp_path):
         type(df).collect = collect
     assert found["x"].quantiles == [df.agg(F.percentile("x", 0.5)).first()[0]]
     assert max(sizes) < 100  # of 50,000 distinct values
+
+
+def test_occurrences_come_from_one_evaluation(spark):
+    """Rows that differ from one evaluation to the next are numbered once each, on both branches."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(parts):
+        for p in parts:
+            seen.add(p.num_rows)
+            yield p
+
+    rows = spark.range(900).select((F.col("id") % 3).alias("k"), F.col("id").alias("v")).mapInArrow(count, "k long, v long")
+    for hot in (10, 10_000):
+        before = seen.value
+        got = PR.occurrence_number(rows, ("k",), [F.col("v").asc()], hot).collect()
+        assert seen.value - before == 900
+        assert sorted((r.k, r.v, r.occurrence) for r in got) == sorted((v % 3, v, v // 3 + 1) for v in range(900))

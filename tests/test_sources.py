@@ -124,3 +124,17 @@ def test_text_dates_of_a_json_feed(spark, tmp_path):
     path.write_text(json.dumps({"listing_id": 1, "zipcode": "75001", "start_date": "2020-01-02 03:04:05", "change_date": "2020-02-03 00:00:00"}))
     got = clean_listings(FS.read_input(spark, str(path)), TransformPolicy(date_as_unixtime=False))[1].collect()
     assert str(got[0].start_date) == "2020-01-02 03:04:05"
+
+
+def test_csv_splits_only_without_multi_line(spark, tmp_path):
+    """One file of many lines: a task for each split, or one task for all where a text may go over several lines."""
+    path = tmp_path / "feed.csv"
+    path.write_text("listing_id,city\n" + "".join(f"{i},City {i}\n" for i in range(200_000)))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(256 << 10))
+    try:
+        one, many = (FS.read_csv(spark, str(path), {"multiLine": m}) for m in ("true", "false"))
+        assert one.rdd.getNumPartitions() == 1 and many.rdd.getNumPartitions() > 8
+        assert one.count() == many.count() == 200_000 and one.exceptAll(many).isEmpty()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
