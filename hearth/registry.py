@@ -21,6 +21,7 @@ from hearth.operators import integrity as R
 from hearth.operators import profile as PR
 from hearth.operators import search as S
 from hearth.operators.dependencies import discover_dependencies
+from hearth.operators.heavy import distinct_estimates, top_values
 from hearth.operators.upsert import merge_upsert
 from hearth.plans.ingest import ingest, keyed_tables
 from hearth.plans.pipeline import clean_frame, clean_listings, prepare
@@ -927,6 +928,27 @@ query(
       f"ON v.{q('column')} = t.{q('column')}",
       f"vc AS ({vc_sql('cleaned', LEVEL_COLUMNS)})"),
 )(lambda spark, sf: PR.level_shares(cleaned(spark, sf), LEVEL_COLUMNS))
+TOP_COLUMNS = ("listing_id", "city", "zipcode", "build_year", "item_subcategory")
+TOP = 25
+query(
+    "a9_top_values",
+    W(f"SELECT {q('column')}, CAST(rank AS INTEGER) AS rank, value, count FROM (SELECT *, row_number() OVER (PARTITION BY {q('column')} "
+      f"ORDER BY count DESC, value) AS rank FROM ({vc_sql('listing', TOP_COLUMNS)})) WHERE rank <= {TOP}"),
+)(lambda spark, sf: top_values(_written_listing(spark, sf), TOP_COLUMNS, TOP))
+
+
+def _estimates(spark, sf):
+    """Each column's distinct count, and whether the estimate is within three times its stated error."""
+    rows = _written_listing(spark, sf)
+    true = rows.agg(*(F.count_distinct(c).alias(c) for c in TOP_COLUMNS)).unpivot([], list(TOP_COLUMNS), "column", "n_distinct")
+    found = distinct_estimates(rows, TOP_COLUMNS).withColumnRenamed("n_distinct", "estimate")
+    return true.join(found, "column").select("column", "n_distinct", (F.abs(F.col("estimate") - F.col("n_distinct")) <= 3 * F.col("error") * F.col("n_distinct")).alias("within"))
+
+
+query(
+    "a12_distinct_estimates",
+    W(union_all(f"SELECT '{c}' AS {q('column')}, count(DISTINCT {c}) AS n_distinct, true AS within FROM listing" for c in TOP_COLUMNS)),
+)(_estimates)
 query("a12_distinct_build_years", W("SELECT DISTINCT build_year FROM raw"))(
     lambda spark, sf: PR.distinct_values(raw(spark, sf), "build_year")
 )
