@@ -10,11 +10,10 @@ similarity. Of each connected group one occurrence stays: the first by id,
 text hash and line number.
 
 Many versions of one line make many pairs, and most say nothing new. So first
-one line stands for each hash, each hash is compared with one other it meets
-(the least that comes first in a block), and groups are formed. In blocks that
-hold several groups, each is compared with the first by one pair, and groups
-are formed anew. Then such blocks give all pairs between different groups that
-were not compared yet. The groups are those of all pairs.
+one line stands for each hash, each hash is compared with two others it meets
+(the least and the greatest that come first in a block), and groups are formed. Then blocks
+that hold several groups give the pairs between different groups that were not
+compared yet, which are verified in turn. The groups are those of all pairs.
 
 Counting the bits: 21 sums hold three counters of 21 bits each, and one more
 sum the last bit, so that Spark adds up 22 columns instead of 64, and compares
@@ -96,40 +95,25 @@ def shared_blocks(sims: DataFrame) -> DataFrame:
 
 
 def first_pairs(lines: DataFrame, held: DataFrame) -> DataFrame:
-    """Pairs (a, b) of line keys: each line with the first of its hash, and the first line of each hash with that of the
-    least close hash that is first in a block. ``lines``: (k1, sim), ``held``: (key, sim)."""
+    """Pairs (a, b) of line keys: each line with the first of its hash, and the first line of each hash with those of the
+    least and the greatest close hash that are first in a block. ``lines``: (k1, sim), ``held``: (key, sim)."""
     held = held.join(held.groupBy("key").agg(F.min("sim").alias("first")), "key")
-    close = held.where((F.col("first") != F.col("sim")) & _close("first", "sim")).groupBy("sim").agg(F.min("first").alias("other"))
+    close = held.where((F.col("first") != F.col("sim")) & _close("first", "sim")).groupBy("sim").agg(F.array(F.min("first"), F.max("first")).alias("others"))
+    close = close.select("sim", F.explode(F.array_distinct("others")).alias("other"))
     least = lines.groupBy("sim").agg(F.min("k1").alias("least"))
     own = lines.join(least, "sim").where("k1 <> least").select(F.col("least").alias("a"), F.col("k1").alias("b"))
     a, b = least.select(F.col("sim").alias("other"), F.col("least").alias("a")), least.select("sim", F.col("least").alias("b"))
     return own.unionByName(close.join(a, "other").join(b, "sim").select("a", "b"))
 
 
-def _several(lines: DataFrame, held: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(key, whole, sim, component): the distinct hashes and groups under one hash (``whole``) and in one block; and the
-    (key, whole, first) of those that hold several groups, with a group and hash of each. ``lines``: (k1, sim, component)."""
+def other_pairs(lines: DataFrame, held: DataFrame) -> DataFrame:
+    """The candidate pairs (a, b) whose lines are in different groups so far. ``lines``: (k1, sim, component), ``held``: (key, sim)."""
     groups = lines.select("sim", "component").distinct()
+    # under one hash, and in one block
     within = groups.select(F.col("sim").alias("key"), "sim", "component", F.lit(True).alias("whole"))
     members = within.unionByName(held.select("key", "sim").join(groups, "sim").withColumn("whole", F.lit(False)))
-    ends = members.groupBy("key", "whole").agg(F.min(F.struct("component", "sim")).alias("first"), F.max("component").alias("high"))
-    return members, ends.where("first.component <> high").select("key", "whole", "first")
-
-
-def next_pairs(lines: DataFrame, held: DataFrame) -> DataFrame:
-    """Pairs (a, b) of one line of the first group under a hash or in a block with one of each other group there."""
-    members, several = _several(lines, held)
-    near = members.join(several, ["key", "whole"]).where("component <> first.component").withColumn("sb", F.col("first.sim")).where(_close("sim", "sb"))
-    each = near.groupBy("key", "whole", "component").agg(F.min(F.struct("sim", "sb", F.col("first.component").alias("cb"))).alias("x"))
-    both = each.select(F.col("x.sim").alias("sa"), F.col("component").alias("ca"), "x.sb", "x.cb").distinct()
-    least = lambda x: lines.groupBy(F.col("sim").alias(f"s{x}"), F.col("component").alias(f"c{x}")).agg(F.min("k1").alias(x))
-    return both.join(least("a"), ["sa", "ca"]).join(least("b"), ["sb", "cb"]).select("a", "b").distinct()
-
-
-def other_pairs(lines: DataFrame, held: DataFrame) -> DataFrame:
-    """The candidate pairs (a, b) whose lines are in different groups so far. ``lines``: (k1, sim, component), ``held``: (key, sim)."""
-    members, several = _several(lines, held)
-    left = members.join(several.drop("first"), ["key", "whole"])
+    several = members.groupBy("key", "whole").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("key", "whole")
+    left = members.join(several, ["key", "whole"])
     side = lambda x: left.select(*([F.col(c).alias(f"{c}_{x}") for c in ("key", "whole")] if x == "b" else ["key", "whole"]), F.col("sim").alias(f"s{x}"), F.col("component").alias(f"c{x}"))
     meet = (F.col("key") == F.col("key_b")) & (F.col("whole") == F.col("whole_b")) & (F.col("ca") < F.col("cb")) & _close("sa", "sb")
     both = side("a").join(side("b"), meet).select("sa", "ca", "sb", "cb").distinct()
@@ -214,20 +198,20 @@ def fuzzy_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     asked = spark.read.parquet(f"{path}/asked")
     _in_documents(docs, asked).write.parquet(f"{path}/words")
     words = spark.read.parquet(f"{path}/words")
-    # groups from one pair a line; then of one pair between two groups of a block; then of all pairs between groups
-    links = tried = members = None
-    for k, candidates in enumerate((first_pairs, next_pairs, other_pairs)):
-        grouped = asked if members is None else asked.join(members, asked["k1"] == members["node"], "left").select("k1", "sim", F.coalesce("component", "k1").alias("component"))
-        pairs = candidates(grouped, held).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        (pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti")).write.parquet(f"{path}/pairs-{k}")
-        pairs = spark.read.parquet(f"{path}/pairs-{k}")
-        verified(pairs, words, similarity).write.parquet(f"{path}/links-{k}")
-        found = spark.read.parquet(f"{path}/links-{k}")
-        if found.isEmpty() and members is not None:
-            continue
-        links, tried = (found, pairs) if links is None else (links.unionByName(found), tried.unionByName(pairs))
-        components(links).write.parquet(f"{path}/members-{k}")
-        members = spark.read.parquet(f"{path}/members-{k}")
+    # groups from two pairs a hash; then the pairs between different groups that were not compared
+    ordered = lambda pairs: pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    ordered(first_pairs(asked, held)).write.parquet(f"{path}/pairs-1")
+    tried = spark.read.parquet(f"{path}/pairs-1")
+    verified(tried, words, similarity).write.parquet(f"{path}/links-1")
+    found = spark.read.parquet(f"{path}/links-1")
+    components(found).write.parquet(f"{path}/members-1")
+    members = spark.read.parquet(f"{path}/members-1")
+    grouped = asked.join(members, asked["k1"] == members["node"], "left").select("k1", "sim", F.coalesce("component", "k1").alias("component"))
+    ordered(other_pairs(grouped, held)).join(tried, ["a", "b"], "left_anti").write.parquet(f"{path}/pairs-2")
+    verified(spark.read.parquet(f"{path}/pairs-2"), words, similarity).write.parquet(f"{path}/links-2")
+    more = spark.read.parquet(f"{path}/links-2")
+    if not more.isEmpty():
+        members = components(found.unionByName(more))
     # lines that are alone, once, are their own groups; the others have a first occurrence
     named = distinct.join(members, distinct["k1"] == members["node"], "left").where("component IS NOT NULL OR n > 1")
     named = named.select("k1", "k2", "place", F.coalesce("component", "k1").alias("group"))
