@@ -26,6 +26,9 @@ CSV_OPTIONS = {
     "encoding": "UTF-8",
 }
 FORMATS = ("json", "csv")
+# How feeds are written: compressed, and in files of so many records, since one task reads a compressed file whole (and
+# any CSV file, whose values may hold line breaks).
+FEED_OPTIONS = {"compression": "lz4", "maxRecordsPerFile": 100_000}
 
 
 def read_json(spark: SparkSession, path: str, options: dict | None = None, schema: T.StructType | None = TEXT_SCHEMA) -> DataFrame:
@@ -71,8 +74,8 @@ def read_typed(spark: SparkSession, path: str, fmt: str = "json") -> DataFrame:
 
 
 def write_feed(df: DataFrame, path: str, fmt: str = "json", options: dict | None = None) -> str:
-    """Write a raw feed (JSON lines or CSV with the reader's options)."""
-    w = df.write.mode("errorifexists")
+    """Write a raw feed (JSON lines or CSV with the reader's options), by ``FEED_OPTIONS`` where ``options`` don't say otherwise."""
+    w = df.write.mode("errorifexists").options(**FEED_OPTIONS)
     if fmt == "json":
         w.options(**(options or {})).json(path)
     elif fmt == "csv":

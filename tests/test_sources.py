@@ -138,3 +138,17 @@ def test_csv_splits_only_without_multi_line(spark, tmp_path):
         assert one.count() == many.count() == 200_000 and one.exceptAll(many).isEmpty()
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+@pytest.mark.parametrize("fmt", ["json", "csv"])
+def test_feeds_are_compressed_files_of_bounded_size(spark, monkeypatch, fmt):
+    """One task reads such a file whole: neither the table's size nor the writing partitions may set its size."""
+    monkeypatch.setitem(FS.FEED_OPTIONS, "maxRecordsPerFile", 300)
+    df = sample(spark).crossJoin(spark.range(1000)).drop("id").coalesce(1)
+    path = FS.write_feed(df, scratch_path(spark, f"bounded-{fmt}"), fmt)
+    back = FS.read_input(spark, path, fmt)
+    files = back.inputFiles()
+    assert len(files) == 7 and all(f.endswith(f".{fmt}.lz4") for f in files)
+    assert back.count() == 2000
+    plain = FS.write_feed(df, scratch_path(spark, f"plain-{fmt}"), fmt, {"compression": "none"})
+    assert sorted(map(str, FS.read_input(spark, plain, fmt).collect())) == sorted(map(str, back.collect()))
