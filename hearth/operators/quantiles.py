@@ -3,8 +3,9 @@
 ``bracketed`` needs no histogram of the data and no shuffle of its rows. One
 aggregate builds a mergeable quantile sketch of each column; its error bound
 gives two values between which each wanted rank must lie. A second aggregate
-counts the rows below and inside each bracket exactly, which proves that the
-rank is there, and only the values inside it are counted one by one. A bracket
+counts the rows below, at the ends of and inside each bracket exactly, which
+proves that the rank is there, and only the values between its ends are counted
+one by one. A bracket
 that still holds too many values is sketched again, a few thousand times
 narrower each time.
 
@@ -37,6 +38,7 @@ from __future__ import annotations
 
 import math
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
@@ -45,6 +47,8 @@ from pyspark.sql import functions as F
 MAX_ROUNDS = 64
 # Rank error of a sketch: 1 / ACCURACY of the rows.
 ACCURACY = 10_000
+# Ends of brackets counted by one aggregate.
+ENDS_A_PASS = 20
 # Distinct values up to which Spark's percentile map (one task per group, on
 # an executor) is used directly.
 PERCENTILE_MAX_DISTINCT = 10_000
@@ -91,8 +95,8 @@ def bracketed(df: DataFrame, columns: dict[str, Column], probs=(), accuracy: int
 
     The expressions are computed once and kept (memory, then disk) for the
     passes; ``cache=False`` where ``df`` is a written table, to reread it.
-    They are read once for the sketches, once for the counts, and once for
-    the values inside the brackets (each narrowing of a bracket that holds
+    They are read once for the sketches, once for each ``ENDS_A_PASS`` ends of
+    brackets, and, where values lie between the ends, once for those (each narrowing of a bracket that holds
     more than ``final_values`` between its ends reads it once more). The
     driver gets one row a pass and at most ``final_values`` values a bracket.
     """
@@ -154,32 +158,45 @@ def _bracketed(rows: DataFrame, names: list[str], real: dict, probs, accuracy: i
     return out
 
 
+def _edge_counts(rows: DataFrame, real: dict, todo: list[_Bracket]) -> tuple[dict, dict]:
+    """The rows below, and at, each end (column, value) of the brackets; some ends a pass, since the JVM compiles no method of very many aggregates."""
+    ends = list(dict.fromkeys((b.column, x) for b in todo for x in (b.lo, b.hi)))
+    less, equal = {}, {}
+    for at in range(0, len(ends), ENDS_A_PASS):
+        some = ends[at : at + ENDS_A_PASS]
+        found = rows.agg(*[F.count_if(x).alias(f"{n}{i}") for i, (c, end) in enumerate(some) for n, x in (("less", real[c] < end), ("equal", real[c] == end))]).first()
+        less |= {e: found[f"less{i}"] for i, e in enumerate(some)}
+        equal |= {e: found[f"equal{i}"] for i, e in enumerate(some)}
+    return less, equal
+
+
 def _count_brackets(rows: DataFrame, real: dict, todo: list[_Bracket], whole: dict, accuracy: int, final_values: int) -> None:
     """Fills ``below`` and ``counts`` of every bracket."""
     for _ in range(MAX_ROUNDS):
         if not todo:
             return
-        aggregates = []
-        for i, b in enumerate(todo):
-            v = real[b.column]
-            within = F.when((v > b.lo) & (v < b.hi), v)
-            aggregates += [F.count_if(v < b.lo).alias(f"below{i}"), F.count(within).alias(f"between{i}"), F.count_if((v >= b.lo) & (v <= b.hi)).alias(f"inside{i}")]
-        found = rows.agg(*aggregates).first()
+        less, equal = _edge_counts(rows, real, todo)
         ready, narrow = [], []
-        for i, b in enumerate(todo):
-            b.below = found[f"below{i}"]
-            if not b.below <= b.first <= b.second < b.below + found[f"inside{i}"]:
+        for b in todo:
+            lo, hi = (b.column, b.lo), (b.column, b.hi)
+            b.below = less[lo]
+            inside = less[hi] + equal[hi] - less[lo]
+            between = max(0, less[hi] - less[lo] - equal[lo])  # 0 where the ends are one value
+            if not b.below <= b.first <= b.second < b.below + inside:
                 b.lo, b.hi = whole[b.column]  # infinities shifted the ranks: start from the whole range
                 narrow.append((b, 0, None))
-            elif found[f"between{i}"] <= final_values:
-                ready.append(b)
+            elif between <= final_values:
+                # the ends are counted already: they may be hot, and the values between are few rows
+                b.counts = {b.lo: equal[lo], b.hi: equal[hi]}
+                if between:
+                    ready.append(b)
             else:
-                narrow.append((b, b.below, found[f"inside{i}"]))
+                narrow.append((b, b.below, inside))
         if ready:
-            each = F.array(*[F.when((real[b.column] >= b.lo) & (real[b.column] <= b.hi), F.struct(F.lit(i).alias("i"), real[b.column].alias("v"))) for i, b in enumerate(ready)])
-            values = rows.select(F.explode(F.array_compact(each)).alias("e")).groupBy("e.i", "e.v").agg(F.count(F.lit(1)).alias("n")).collect()
-            for b in ready:
-                b.counts = {}
+            within = [(real[b.column] > b.lo) & (real[b.column] < b.hi) for b in ready]
+            each = F.array(*[F.when(x, F.struct(F.lit(i).alias("i"), real[b.column].alias("v"))) for i, (b, x) in enumerate(zip(ready, within, strict=True))])
+            some = rows.where(reduce(lambda x, y: x | y, within))
+            values = some.select(F.explode(F.array_compact(each)).alias("e")).groupBy("e.i", "e.v").agg(F.count(F.lit(1)).alias("n")).collect()
             for r in values:
                 ready[r["i"]].counts[r["v"]] = r["n"]
         if narrow:

@@ -352,3 +352,17 @@ def test_occurrences_come_from_one_evaluation(spark):
         got = PR.occurrence_number(rows, ("k",), [F.col("v").asc()], hot).collect()
         assert seen.value - before == 900
         assert sorted((r.k, r.v, r.occurrence) for r in got) == sorted((v % 3, v, v // 3 + 1) for v in range(900))
+
+
+def test_only_values_between_the_ends_of_a_bracket_are_read_again(spark, monkeypatch):
+    """Hot values are the ends of their brackets and counted there; no pass counts them one by one."""
+    rows = [(1.0 if i % 10 else 2.0, float(i % 3), None if i % 7 else -0.0) for i in range(1000)]
+    df = spark.createDataFrame(rows, "a double, b double, c double")
+    exploded = []
+    explode = F.explode
+    monkeypatch.setattr(Q.F, "explode", lambda c: exploded.append(c) or explode(c))
+    found = Q.bracketed(df, {c: F.col(c) for c in "abc"}, (0.25, 0.5, 0.95))
+    assert not exploded
+    for i, c in enumerate("abc"):
+        values = [r[i] for r in rows if r[i] is not None]
+        assert found[c].quantiles == [plain_quantile(values, p) for p in (0.25, 0.5, 0.95)]
