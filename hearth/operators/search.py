@@ -11,11 +11,13 @@ from __future__ import annotations
 
 from dataclasses import asdict, dataclass, fields
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from hearth.functions.columns import contains_ci, contains_literal
+from hearth.operators.ordered import placed
 from hearth.schema import CATEGORIES, FLAG_COLUMNS, LISTING_COLUMNS, SUBCATEGORIES, TRANSACTION_TYPES
+from hearth.session import scratch_path
 
 DEFAULT_LIMIT = 100
 MAX_PAGE = 10_000
@@ -195,10 +197,31 @@ def seek_page(df: DataFrame, sort_by_change_date: str | None = None, after: tupl
     removed between pages shift no other row. ``limit`` is 1 to MAX_PAGE;
     ``listing_id`` must be unique and not null, as in the stored table.
     """
+    rows = _behind(df, sort_by_change_date, after, limit)
+    return rows.orderBy(*change_date_order(sort_by_change_date)).limit(limit)
+
+
+def _behind(df: DataFrame, sort_by_change_date: str | None, after: tuple | None, limit: int) -> DataFrame:
     if not 1 <= limit <= MAX_PAGE:
         raise ValueError(f"limit must be 1 to {MAX_PAGE} (got {limit})")
-    rows = df if after is None else df.where(after_cursor(sort_by_change_date, *after))
-    return rows.orderBy(*change_date_order(sort_by_change_date)).limit(limit)
+    return df if after is None else df.where(after_cursor(sort_by_change_date, *after))
+
+
+def seek_pages(df: DataFrame, sort_by_change_date: str | None = None, after: tuple | None = None, limit: int = DEFAULT_LIMIT) -> DataFrame:
+    """Every page behind ``after`` at once: the rows with ``page`` (a long, from 0).
+
+    Page n holds what ``seek_page`` gives from the cursor of page n - 1. A job a
+    page would make as many jobs as the table has pages; here the rows are put
+    in order once (``placed``), and a row's place gives its page. ``df`` is
+    evaluated when this is called.
+    """
+    rows = _behind(df, sort_by_change_date, after, limit)
+    found = placed(rows, change_date_order(sort_by_change_date), scratch_path(df.sparkSession, "pages"))
+    sizes = found.groupBy("__part").agg(F.count(F.lit(1)).alias("__size"))  # one row a partition
+    earlier = F.sum("__size").over(Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1))
+    starts = sizes.select("__part", F.coalesce(earlier, F.lit(0)).alias("__start"))
+    page = F.floor((F.col("__start") + F.col("__at")) / limit).cast("long")
+    return found.join(F.broadcast(starts), "__part").select(*df.columns, page.alias("page"))
 
 
 def cursor(page: DataFrame) -> tuple | None:

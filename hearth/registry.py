@@ -407,21 +407,19 @@ query(
 
 
 def _seek_pages(order: str | None, params: dict):
-    """All pages of a search, each from the cursor of the one before, with their numbers."""
+    """All pages of a search, with their numbers: the first, and from its cursor all others."""
 
     def run(spark, sf):
         path = scratch_path(spark, "seek")
-        listing(spark, sf).write.parquet(path)  # read by every page
+        listing(spark, sf).write.parquet(path)  # read several times
         matched = S.search(spark.read.parquet(path), None, params)
         size = min(S.MAX_PAGE, max(1, -(-matched.count() // 6)))
-        out, after, number = None, None, 0
-        while True:
-            one = S.seek_page(matched, order, after, size)
-            after = S.cursor(one)
-            if after is None:
-                return out
-            one = one.withColumn("page", F.lit(number).cast("long"))
-            out, number = one if out is None else out.unionByName(one), number + 1
+        first = S.seek_page(matched, order, None, size)
+        after = S.cursor(first)
+        first = first.withColumn("page", F.lit(0).cast("long"))
+        if after is None:
+            return first
+        return first.unionByName(S.seek_pages(matched, order, after, size).withColumn("page", F.col("page") + 1))
 
     return run
 

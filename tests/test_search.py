@@ -203,3 +203,38 @@ def test_a_row_added_between_pages_shifts_nothing(spark):
     first = S.seek_page(df, "desc", None, 5)
     more = df.unionByName(spark.createDataFrame([(99, datetime(2025, 1, 1))], df.schema))
     assert [r.listing_id for r in S.seek_page(more, "desc", S.cursor(first), 5).collect()] == [14, 13, 12, 11, 10]
+
+
+@pytest.mark.parametrize("order", ["asc", "desc", None])
+def test_all_pages_at_once_equal_the_pages_one_by_one(spark, order):
+    """Ties, nulls, and a page size that does not divide the rows; no job a page."""
+    rows = [(i, None if i % 5 == 0 else datetime(2024, 1, 1 + i % 3)) for i in range(97)]
+    df = spark.createDataFrame(rows, "listing_id long, change_date timestamp_ntz").repartition(4)
+    want, after, number = [], None, 0
+    while (after := S.cursor(page := S.seek_page(df, order, after, 10))) is not None:
+        want += [(r.listing_id, number) for r in page.collect()]
+        number += 1
+    got = S.seek_pages(df, order, None, 10)
+    assert got.dtypes == [*df.dtypes, ("page", "bigint")]
+    assert sorted((r.listing_id, r.page) for r in got.collect()) == sorted(want)
+    behind = S.seek_pages(df, order, S.cursor(S.seek_page(df, order, None, 10)), 10)
+    assert sorted((r.listing_id, r.page + 1) for r in behind.collect()) == sorted(x for x in want if x[1])
+    assert S.seek_pages(df.limit(0), order).count() == 0
+    with pytest.raises(ValueError):
+        S.seek_pages(df, order, None, S.MAX_PAGE + 1)
+
+
+def test_the_paged_query_runs_no_job_a_page(spark, monkeypatch):
+    from hearth import registry
+
+    rows = spark.range(300).select(F.col("id").alias("listing_id"), F.lit(None).cast("timestamp_ntz").alias("change_date"), F.lit(True).alias("has_garden"))
+    monkeypatch.setattr(registry, "listing", lambda *_: rows)
+    monkeypatch.setattr(S, "MAX_PAGE", 5)
+    calls = []
+    page = S.seek_page
+    monkeypatch.setattr(S, "seek_page", lambda *a: calls.append(a) or page(*a))
+    got = registry._seek_pages(None, {"has_garden": True})(spark, "")
+    assert len(calls) == 1  # of 60 pages
+    assert sorted((r.listing_id, r.page) for r in got.collect()) == [(i, i // 5) for i in range(300)]
+    monkeypatch.setattr(registry, "listing", lambda *_: rows.limit(0))
+    assert registry._seek_pages(None, {"has_garden": True})(spark, "").count() == 0
