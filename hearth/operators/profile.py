@@ -12,13 +12,16 @@ from __future__ import annotations
 import math
 
 from pyspark import StorageLevel
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from hearth.functions.columns import parent_path
 from hearth.operators import quantiles as Q
 from hearth.operators.clean import latest_order
+from hearth.operators.ordered import placed, run_numbers
 from hearth.session import scratch_path
+from hearth.sources.footers import footer_counts
 
 QUARTILES = (0.25, 0.5, 0.75)
 
@@ -300,9 +303,8 @@ def key_duplicates(
     """Second and later rows of each key (the rows keep-latest drops).
 
     The rows whose occurrence number (W2, in the keep-latest order) is above
-    one: keys up to ``hot_rows`` rows are numbered by one window shuffle,
-    hot keys by range partitions, so no key's rows are ever gathered in one
-    task.
+    one: by one window shuffle if no key has over ``hot_rows`` rows, else by
+    range partitions, so no hot key's rows are ever gathered in one task.
     """
     return occurrence_number(df, keys, order, hot_rows, "__occ").filter(F.col("__occ") > 1).drop("__occ")
 
@@ -329,45 +331,43 @@ def occurrence_number(
     """``occurrence`` = 1, 2, ... inside each key, in a declared order
     (default: the keep-latest order, so occurrence 1 is the survivor).
 
-    Keys (null ones too) with at most ``hot_rows`` rows are numbered by a
-    window. Rows of the other keys are range-partitioned on (key, order) and a
-    salt, numbered inside each range partition, and shifted by the row counts
-    of the key's earlier partitions: a hot key, and copies of one row, are
-    spread over many tasks. ``df`` is evaluated once, when this is called, and
-    written to the shared folder; the count of its keys, the hot keys' rows and
-    the others are read from there, with the columns each needs.
+    If every key (null ones too) has at most ``hot_rows`` rows, a window
+    numbers them. Otherwise the rows are range-partitioned on (key, order) and
+    a salt, and numbered inside each partition as they come: one shuffle of
+    the rows, and a hot key, and copies of one row, are spread over many
+    tasks. Only the key that a partition begins with may have rows in earlier
+    ones; its numbers are shifted by their count, from a table of a row or two
+    a partition. ``df`` is evaluated once, when this is called, and written to
+    the shared folder; counts and numbers are taken from there. (An ``order``
+    of columns bound to ``df`` is only known to ``df``, which is then evaluated
+    again; the numbers still come from one evaluation.)
     """
     keys = list(keys)
     order = order or latest_order(df, tuple(keys))
     spark = df.sparkSession
     path = scratch_path(spark, "occurrences")
-    df.write.parquet(f"{path}/rows")
-    df = spark.read.schema(df.schema).parquet(f"{path}/rows")
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__cnt")).filter(F.col("__cnt") > hot_rows)
-    counts.select(*[F.col(k).alias(f"__h_{k}") for k in keys]).write.parquet(f"{path}/hot")
-    hot = spark.read.parquet(f"{path}/hot")
-    if hot.isEmpty():
-        return df.withColumn(name, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
-    cond = [df[k].eqNullSafe(hot[f"__h_{k}"]) for k in keys]
-    cold = df.join(hot, cond, "left_anti").withColumn(name, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
-
-    nparts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    # The salt parts copies of one row, which are interchangeable. Partition
-    # sizes and positions below come from the written rows, so from one evaluation.
+    try:
+        spark.createDataFrame([], df.schema).orderBy(*order)
+        df.write.parquet(f"{path}/rows")
+        rows = spark.read.schema(df.schema).parquet(f"{path}/rows")
+        partitions = -(-footer_counts(rows)["rows"] // HOT_KEY_ROWS)
+    except AnalysisException:
+        rows, partitions = df, 0
+    if rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("__cnt")).filter(F.col("__cnt") > hot_rows).isEmpty():
+        return rows.withColumn(name, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
+
+    # The salt parts copies of one row, which are interchangeable.
+    salted = rows.withColumn("__salt", F.rand(0))
     spread = [*[F.col(k).asc_nulls_first() for k in keys], *order, F.col("__salt").asc()]
-    dealt = df.join(hot, cond, "left_semi").withColumn("__salt", F.rand(0)).repartitionByRange(nparts, *spread).sortWithinPartitions(*spread)
-    dealt.withColumn("__mid", F.monotonically_increasing_id()).withColumn("__pid", F.spark_partition_id()).write.parquet(f"{path}/ranged")
-    ranged = spark.read.parquet(f"{path}/ranged")
-    starts = ranged.groupBy(*keys, "__pid").agg(F.min("__mid").alias("__start"), F.count(F.lit(1)).alias("__size"))
-    before = F.sum("__size").over(Window.partitionBy(*keys).orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1))
-    offsets = starts.select(
-        *[F.col(k).alias(f"__o_{k}") for k in keys], F.col("__pid").alias("__opid"), "__start", F.coalesce(before, F.lit(0)).alias("__offset")
-    )
-    same = [ranged[k].eqNullSafe(offsets[f"__o_{k}"]) for k in keys] + [ranged["__pid"] == offsets["__opid"]]
-    numbered = ranged.join(offsets, same).select(
-        *[ranged[c] for c in df.columns], (F.col("__mid") - F.col("__start") + 1 + F.col("__offset")).cast("int").alias(name)
-    )
-    return cold.unionByName(numbered)
+    ranged = placed(salted, spread, f"{path}/ranged", partitions, lambda x: run_numbers(x.drop("__salt"), keys))
+    named = lambda x, p: x.select(*[F.col(k).alias(f"{p}{k}") for k in keys], *[c for c in x.columns if c not in keys])
+    match = lambda x, p: [ranged[k].eqNullSafe(x[f"{p}{k}"]) for k in keys]
+    begun = named(ranged.filter(F.col("__at") == 0).select(*keys).distinct(), "__b_")
+    sizes = ranged.join(F.broadcast(begun), match(begun, "__b_"), "left_semi").groupBy(*keys, "__part").agg(F.max("__number").alias("__size"))
+    before = F.sum("__size").over(Window.partitionBy(*keys).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1))
+    offsets = named(sizes.select(*keys, F.col("__part").alias("__opart"), before.alias("__offset")), "__o_")
+    numbered = ranged.join(F.broadcast(offsets), match(offsets, "__o_") + [ranged["__part"] == offsets["__opart"]], "left")
+    return numbered.select(*[ranged[c] for c in df.columns], (F.col("__number") + F.coalesce("__offset", F.lit(0))).cast("int").alias(name))
 
 
 # ------------------------------------------------------------------ A17

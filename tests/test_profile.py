@@ -354,6 +354,37 @@ def test_occurrences_come_from_one_evaluation(spark):
         assert sorted((r.k, r.v, r.occurrence) for r in got) == sorted((v % 3, v, v // 3 + 1) for v in range(900))
 
 
+@pytest.mark.parametrize("kind", ["long", "string", "double", "date", "decimal(20,3)", "array<int>"])
+def test_hot_keys_of_any_type_are_numbered_without_a_join_of_rows(spark, kind):
+    """Every key over two rows, several keys and columns a partition; only tables of a row a partition are joined."""
+    number = F.col("id") % 40
+    values = {"double": F.when(number == 3, float("nan")).otherwise(number.cast("double")), "date": F.date_add(F.lit("2024-01-01"), number.cast("int")), "array<int>": F.array(number.cast("int"))}
+    key = F.when(number != 5, values.get(kind, number.cast(kind)))
+    df = spark.range(2000).select(key.alias("a.b"), (F.col("id") % 2).alias("k2"), (F.col("id") * 7919 % 1000).alias("v"), F.lit("x").alias("s"))
+    df = df.withColumnRenamed("a.b", "k")
+    order = [F.col("v").desc()]
+    got = PR.occurrence_number(df, ["k", "k2"], order, hot_rows=2)
+    assert "SortMergeJoin" not in got._jdf.queryExecution().toString() and "ShuffledHashJoin" not in got._jdf.queryExecution().toString()
+    from pyspark.sql import Window
+
+    ref = df.withColumn("occurrence", F.row_number().over(Window.partitionBy("k", "k2").orderBy(*order)))
+    assert got.dtypes == ref.dtypes
+    assert sorted(map(str, got.collect())) == sorted(map(str, ref.collect()))
+
+
+def test_runs_are_numbered_across_batches(spark):
+    from hearth.operators.ordered import run_numbers
+
+    size = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "3")
+    try:
+        keys = [None, None, 1, 1, 1, 1, 1, 2, 3, 3, 3]
+        got = [r["__number"] for r in run_numbers(spark.createDataFrame([(k,) for k in keys], "k int").coalesce(1), ["k"]).collect()]
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
+    assert got == [1, 2, 1, 2, 3, 4, 5, 1, 1, 2, 3]
+
+
 def test_only_values_between_the_ends_of_a_bracket_are_read_again(spark, monkeypatch):
     """Hot values are the ends of their brackets and counted there; no pass counts them one by one."""
     rows = [(1.0 if i % 10 else 2.0, float(i % 3), None if i % 7 else -0.0) for i in range(1000)]
