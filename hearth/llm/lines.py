@@ -21,7 +21,8 @@ three counters at once. That holds for lines of up to half a million words;
 the hash of a longer line is still the same for the same words.
 
 Edit distances are taken of what is left between the first and the last words
-that differ, which doesn't change them.
+that differ, which doesn't change them. Where so few words differ that the
+longest of them would still be near enough, letters are not compared.
 """
 
 from __future__ import annotations
@@ -43,6 +44,8 @@ LANE = 21
 _EVERY_LANE = 1 | 1 << LANE | 1 << 2 * LANE
 _HALF_LANES = ((1 << LANE - 2) - 1) * _EVERY_LANE
 FILTER_BITS = 22
+# Letters that stand for the words of a pair, to count the words that differ.
+LETTERS = [chr(0x4E00 + i) for i in range(1000)]
 
 
 def normal_words(line: Column) -> Column:
@@ -51,7 +54,8 @@ def normal_words(line: Column) -> Column:
 
 def _lines(docs: DataFrame) -> DataFrame:
     """(id, th, pos, k1, k2, words) of the lines of (id, text) with a word; k1, k2: two hashes of the words."""
-    rows = docs.select("id", F.xxhash64("text").alias("th"), F.posexplode(F.split("text", "\n", -1)).alias("pos", "line"))
+    # the text's hash comes first: beside the generator it would be taken again for each line
+    rows = docs.select("id", F.xxhash64("text").alias("th"), "text").select("id", "th", F.posexplode(F.split("text", "\n", -1)).alias("pos", "line"))
     rows = rows.select("id", "th", "pos", once(normal_words(F.col("line"))).alias("words")).where(F.size("words") > 0)
     return rows.select("id", "th", "pos", F.xxhash64("words").alias("k1"), F.xxhash64(F.lit(1), "words").alias("k2"), "words")
 
@@ -127,12 +131,12 @@ def _spaced(words: Column) -> Column:
 
 
 def verified(pairs: DataFrame, forms: DataFrame, similarity: float) -> DataFrame:
-    """The pairs whose words (k1, words), joined by spaces, have at least the edit similarity 1 - distance / longer length."""
-    forms = forms.select("k1", "words", F.length(F.array_join("words", " ")).alias("length"))
-    a = forms.select(F.col("k1").alias("a"), F.col("words").alias("wa"), F.col("length").alias("la"))
-    b = forms.select(F.col("k1").alias("b"), F.col("words").alias("wb"), F.col("length").alias("lb"))
+    """The pairs whose forms (k1, form: words joined by spaces, length) have at least the edit similarity 1 - distance / longer length."""
+    a = forms.select(F.col("k1").alias("a"), F.col("form").alias("fa"), F.col("length").alias("la"))
+    b = forms.select(F.col("k1").alias("b"), F.col("form").alias("fb"), F.col("length").alias("lb"))
     both = pairs.join(a, "a").join(b, "b").withColumn("most", F.floor(F.greatest("la", "lb") * (1 - similarity) + 1e-9).cast("int"))
     both = both.where("abs(la - lb) <= most")
+    both = both.select("a", "b", "most", once(F.split("fa", " ")).alias("wa"), "fb").select("a", "b", "most", "wa", once(F.split("fb", " ")).alias("wb"))
     same = lambda x, y: F.array_position(F.zip_with(x, y, lambda u, v: u.eqNullSafe(v)), F.lit(False))
     fewer = F.least(F.size("wa"), F.size("wb"))
     # the first word that differs (0: none), from the front and from behind
@@ -147,16 +151,22 @@ def verified(pairs: DataFrame, forms: DataFrame, similarity: float) -> DataFrame
     # word for word replacement is no shorter than the distance: where it is short enough, that is all
     letters = F.zip_with("ma", "mb", lambda x, y: F.when(x == y, 0).otherwise(F.greatest(F.length(x), F.length(y))))
     replaced = F.when(F.size("ma") == F.size("mb"), F.aggregate(letters, F.lit(0), lambda n, x: n + x))
-    both = both.select("*", once(replaced).alias("replaced"), _spaced(F.col("ma")).alias("ta"), _spaced(F.col("mb")).alias("tb"))
-    # the band's width is the work: most links are found in a quarter of it
-    narrow = both.select("*", once(F.when(F.col("replaced") <= F.col("most"), F.col("replaced")).otherwise(F.expr("levenshtein(ta, tb, most div 4)"))).alias("near"))
-    both, distance = narrow, F.when(F.col("near") >= 0, F.col("near")).otherwise(F.expr("levenshtein(ta, tb, most)"))
-    both = both.select("a", "b", "most", once(distance).alias("distance"))
-    return both.where("distance >= 0 AND distance <= most").select("a", "b")
+    both = both.select("*", once(replaced).alias("replaced"))
+    enough = F.coalesce(F.col("replaced") <= F.col("most"), F.lit(False))
+    # a word more, less or replaced is no further than the longest word with its space
+    both = both.select("a", "b", "most", "ma", "mb", once(enough).alias("enough"), once(F.when(~enough, F.array_union("ma", "mb"))).alias("known"))
+    letter = lambda x: F.get(F.array(*map(F.lit, LETTERS)), F.array_position(F.col("known"), x).cast("int") - 1)
+    few = F.size("known").between(1, len(LETTERS))  # beyond, letters are compared at once
+    spelt = lambda w: once(F.when(few, F.array_join(F.transform(w, letter), "")))
+    both = both.select("*", spelt("ma").alias("sa"), F.array_max(F.transform("known", F.length)).alias("longest")).select("*", spelt("mb").alias("sb"))
+    both = both.select("*", once(F.coalesce(F.expr("levenshtein(sa, sb, most div (longest + 1))") >= 0, F.lit(False))).alias("alike"))
+    both = both.select("a", "b", "most", "enough", "alike", _spaced(F.col("ma")).alias("ta"), _spaced(F.col("mb")).alias("tb"))
+    distance = F.when(F.col("enough") | F.col("alike"), 0).otherwise(F.expr("levenshtein(ta, tb, most)"))
+    return both.select("a", "b", "most", once(distance).alias("distance")).where("distance >= 0 AND distance <= most").select("a", "b")
 
 
 def _in_documents(docs: DataFrame, needed: DataFrame) -> DataFrame:
-    """(k1, words) of ``needed`` (k1, id, th, pos), from their documents.
+    """(k1, form, length) of ``needed`` (k1, id, th, pos), from their documents, each of which is split once.
 
     Documents first pass a bit table of the hashes asked for, of
     2^FILTER_BITS bits whatever the input, so that most others are not
@@ -168,8 +178,11 @@ def _in_documents(docs: DataFrame, needed: DataFrame) -> DataFrame:
     texts = docs.select("id", "text", F.xxhash64("text").alias("th")).withColumn("word", F.shiftright(at(F.col("th")), 6))
     asked = F.col("bits").bitwiseAND(F.expr("shiftleft(1L, cast(pmod(th, 64) AS int))")) != 0
     texts = texts.join(F.broadcast(bits), "word").where(asked).select("id", "text", "th")
+    needed = needed.groupBy("id", "th").agg(F.collect_list(F.struct("k1", "pos")).alias("places"))
     found = texts.join(needed, texts["id"].eqNullSafe(needed["id"]) & (texts["th"] == needed["th"]))
-    return found.select("k1", F.split("text", "\n", -1)[F.col("pos")].alias("line")).groupBy("k1").agg(F.max("line").alias("line")).select("k1", normal_words(F.col("line")).alias("words"))
+    found = found.select("places", once(F.split("text", "\n", -1)).alias("lines")).select("lines", F.explode("places").alias("place"))
+    found = found.select("place.k1", F.get("lines", F.col("place.pos")).alias("line")).groupBy("k1").agg(F.max("line").alias("line"))
+    return found.select("k1", once(F.array_join(normal_words(F.col("line")), " ")).alias("form")).select("k1", "form", F.length("form").alias("length"))
 
 
 def fuzzy_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = 0.8) -> DataFrame:
@@ -196,19 +209,19 @@ def fuzzy_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     shared = held.select("sim").union(distinct.groupBy("sim").count().where("count > 1").select("sim")).distinct()
     distinct.join(shared, "sim").select("k1", "sim", "place.id", "place.th", "place.pos").write.parquet(f"{path}/asked")
     asked = spark.read.parquet(f"{path}/asked")
-    _in_documents(docs, asked).write.parquet(f"{path}/words")
-    words = spark.read.parquet(f"{path}/words")
+    _in_documents(docs, asked).write.parquet(f"{path}/forms")
+    forms = spark.read.parquet(f"{path}/forms")
     # groups from two pairs a hash; then the pairs between different groups that were not compared
     ordered = lambda pairs: pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     ordered(first_pairs(asked, held)).write.parquet(f"{path}/pairs-1")
     tried = spark.read.parquet(f"{path}/pairs-1")
-    verified(tried, words, similarity).write.parquet(f"{path}/links-1")
+    verified(tried, forms, similarity).write.parquet(f"{path}/links-1")
     found = spark.read.parquet(f"{path}/links-1")
     components(found).write.parquet(f"{path}/members-1")
     members = spark.read.parquet(f"{path}/members-1")
     grouped = asked.join(members, asked["k1"] == members["node"], "left").select("k1", "sim", F.coalesce("component", "k1").alias("component"))
     ordered(other_pairs(grouped, held)).join(tried, ["a", "b"], "left_anti").write.parquet(f"{path}/pairs-2")
-    verified(spark.read.parquet(f"{path}/pairs-2"), words, similarity).write.parquet(f"{path}/links-2")
+    verified(spark.read.parquet(f"{path}/pairs-2"), forms, similarity).write.parquet(f"{path}/links-2")
     more = spark.read.parquet(f"{path}/links-2")
     if not more.isEmpty():
         members = components(found.unionByName(more))

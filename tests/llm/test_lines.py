@@ -2,6 +2,7 @@ import random
 from itertools import combinations
 
 import regex
+from pyspark.sql import functions as F
 
 from hearth.llm import lines
 from tests.llm.helpers import documents, frame, groups
@@ -109,3 +110,27 @@ def test_plan_has_no_python(spark):
 def test_empty_table(spark):
     assert lines.fuzzy_lines(frame(spark, [])).count() == 0
     assert lines.drop_repeated_lines(frame(spark, [])).count() == 0
+
+
+def test_pairs_by_words_or_letters(spark):
+    """A pair is linked by its edit distance, whichever way it is decided: by words replaced, by few words that differ, or by letters."""
+    rnd = random.Random(2)
+    base = [f"word{i}" for i in range(30)]
+    lines_ = [base, base[3:], base[:10] + ["new", "ones"] + base[10:], base[1:15] + ["long" * 20] + base[15:], base[::-1], ["x"], ["x", "y"]]
+    lines_ += [[w[::-1] if rnd.random() < p else w for w in base if rnd.random() > p / 4] for p in (0.1, 0.2, 0.3, 0.5) for _ in range(4)]
+    lines_ += [[f"{w}{i}" for i in range(n) for w in "ab"] for n in (600, 603)]  # more words than letters stand for
+    texts = [" ".join(x) for x in lines_]
+    forms = spark.createDataFrame([(i, t, len(t)) for i, t in enumerate(texts)], "k1 long, form string, length int")
+    pairs = [(i, j) for i, j in combinations(range(len(texts)), 2) if abs(len(texts[i]) - len(texts[j])) < 100]
+    got = {tuple(r) for r in lines.verified(spark.createDataFrame(pairs, "a long, b long"), forms, 0.8).collect()}
+    near = {(i, j) for i, j in pairs if len(texts[i]) < 1000 and distance(texts[i], texts[j]) <= int(max(len(texts[i]), len(texts[j])) * 0.2 + 1e-9)}
+    assert got == near | {(len(texts) - 2, len(texts) - 1)} and len(near) > 20 and len(near) < len(pairs) - 20
+
+
+def test_text_is_hashed_and_split_once_a_document(spark):
+    plan = lines._lines(frame(spark).select(F.col("doc_id").alias("id"), "text"))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("posexplode") < plan.index("xxhash64(text")  # below the generator, not once a line above
+    needed = spark.createDataFrame([(k, 1, 0, k) for k in range(3)], "k1 long, id long, th long, pos int")
+    docs = spark.createDataFrame([(1, "One, two\nTHREE\n4 five")], "id long, text string")
+    found = lines._in_documents(docs, needed.withColumn("th", F.lit(docs.select(F.xxhash64("text")).first()[0])))
+    assert sorted(map(tuple, found.collect())) == [(0, "one two", 7), (1, "three", 5), (2, "4 five", 6)]
