@@ -4,8 +4,10 @@ Each round sends every node the smallest name among itself and its
 neighbours (large star: larger neighbours are linked to it; small star:
 smaller neighbours are). Links stay a table of (a, b) pairs: nothing is
 gathered per node beyond a minimum, which Spark aggregates before the
-shuffle. Rounds grow with the logarithm of a component's size. Each round is
-written to the shared folder, so a lost executor costs one round at most.
+shuffle. Rounds grow with the logarithm of a component's size, and end once
+every node is linked to a root and nothing else; links that are so from the
+start take none. Each round is written to the shared folder, so a lost
+executor costs one round at most.
 """
 
 from __future__ import annotations
@@ -27,6 +29,13 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     return out.select(F.col("b").alias("x"), "m").unionByName(out.select(F.col("a").alias("x"), "m")).where("x > m").select(F.col("x").alias("a"), F.col("m").alias("b"))
 
 
+def _settled(edges: DataFrame) -> bool:
+    """Whether each node has one link to a smaller one, or is such a smaller one only. ``edges``: distinct, a > b."""
+    ends = edges.select(F.col("a").alias("node"), F.lit(1).alias("up")).unionByName(edges.select(F.col("b").alias("node"), F.lit(0).alias("up")))
+    links = ends.groupBy("node").agg(F.sum("up").alias("up"), F.min("up").alias("least"))
+    return links.where("up > 1 OR up = 1 AND least = 0").isEmpty()
+
+
 def components(links: DataFrame, max_rounds: int = 60) -> DataFrame:
     """(node, component) for every node of ``links`` (a, b: any orderable type).
 
@@ -39,16 +48,13 @@ def components(links: DataFrame, max_rounds: int = 60) -> DataFrame:
     links = links.where("a IS NOT NULL AND b IS NOT NULL")
     edges = links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
     edges.write.parquet(f"{path}/0")
-    edges, state = spark.read.parquet(f"{path}/0"), None
-    for k in range(1, max_rounds + 1):
-        step = _star(_star(edges, True).distinct(), False).distinct()
-        step.write.parquet(f"{path}/{k}")
-        edges = spark.read.parquet(f"{path}/{k}")
-        now = edges.agg(F.count("*"), F.coalesce(F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")), F.lit(0))).first()
-        if tuple(now) == state:
+    edges = spark.read.parquet(f"{path}/0")
+    for k in range(1, max_rounds + 2):
+        if _settled(edges):
             break
-        state = tuple(now)
-    else:
-        raise RuntimeError(f"components not settled after {max_rounds} rounds")
+        if k > max_rounds:
+            raise RuntimeError(f"components not settled after {max_rounds} rounds")
+        _star(_star(edges, True).distinct(), False).distinct().write.parquet(f"{path}/{k}")
+        edges = spark.read.parquet(f"{path}/{k}")
     roots = edges.select(F.col("b").alias("node")).distinct()
     return edges.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(roots.select("node", F.col("node").alias("component")))

@@ -22,7 +22,8 @@ the hash of a longer line is still the same for the same words.
 
 Edit distances are taken of what is left between the first and the last words
 that differ, which doesn't change them. Where so few words differ that the
-longest of them would still be near enough, letters are not compared.
+longest of them would still be near enough, or so few pieces of CHUNK letters,
+letters are not compared.
 """
 
 from __future__ import annotations
@@ -44,7 +45,9 @@ LANE = 21
 _EVERY_LANE = 1 | 1 << LANE | 1 << 2 * LANE
 _HALF_LANES = ((1 << LANE - 2) - 1) * _EVERY_LANE
 FILTER_BITS = 22
-# Letters that stand for the words of a pair, to count the words that differ.
+# Letters of a piece of a word; the last piece of a word has its space.
+CHUNK = 3
+# Letters that stand for the words or pieces of a pair, to count those that differ.
 LETTERS = [chr(0x4E00 + i) for i in range(1000)]
 
 
@@ -130,6 +133,12 @@ def _spaced(words: Column) -> Column:
     return F.concat(F.array_join(words, " "), F.lit(" "))
 
 
+def _spelt(parts: str, known: str) -> Column:
+    """A text with one letter for each of ``parts``, by its place in ``known``; null if that is null, empty or has more than there are LETTERS."""
+    letter = lambda x: F.get(F.array(*map(F.lit, LETTERS)), F.array_position(F.col(known), x).cast("int") - 1)
+    return F.when(F.size(known).between(1, len(LETTERS)), F.array_join(F.transform(parts, letter), ""))
+
+
 def verified(pairs: DataFrame, forms: DataFrame, similarity: float) -> DataFrame:
     """The pairs whose forms (k1, form: words joined by spaces, length) have at least the edit similarity 1 - distance / longer length."""
     a = forms.select(F.col("k1").alias("a"), F.col("form").alias("fa"), F.col("length").alias("la"))
@@ -155,13 +164,17 @@ def verified(pairs: DataFrame, forms: DataFrame, similarity: float) -> DataFrame
     enough = F.coalesce(F.col("replaced") <= F.col("most"), F.lit(False))
     # a word more, less or replaced is no further than the longest word with its space
     both = both.select("a", "b", "most", "ma", "mb", once(enough).alias("enough"), once(F.when(~enough, F.array_union("ma", "mb"))).alias("known"))
-    letter = lambda x: F.get(F.array(*map(F.lit, LETTERS)), F.array_position(F.col("known"), x).cast("int") - 1)
-    few = F.size("known").between(1, len(LETTERS))  # beyond, letters are compared at once
-    spelt = lambda w: once(F.when(few, F.array_join(F.transform(w, letter), "")))
-    both = both.select("*", spelt("ma").alias("sa"), F.array_max(F.transform("known", F.length)).alias("longest")).select("*", spelt("mb").alias("sb"))
-    both = both.select("*", once(F.coalesce(F.expr("levenshtein(sa, sb, most div (longest + 1))") >= 0, F.lit(False))).alias("alike"))
-    both = both.select("a", "b", "most", "enough", "alike", _spaced(F.col("ma")).alias("ta"), _spaced(F.col("mb")).alias("tb"))
-    distance = F.when(F.col("enough") | F.col("alike"), 0).otherwise(F.expr("levenshtein(ta, tb, most)"))
+    both = both.select("*", once(_spelt("ma", "known")).alias("sa"), F.array_max(F.transform("known", F.length)).alias("longest")).select("*", once(_spelt("mb", "known")).alias("sb"))
+    both = both.select("*", once(F.col("enough") | F.coalesce(F.expr("levenshtein(sa, sb, most div (longest + 1))") >= 0, F.lit(False))).alias("alike"))
+    both = both.select("a", "b", "most", "alike", once(_spaced(F.col("ma"))).alias("ta"), "mb").select("a", "b", "most", "alike", "ta", once(_spaced(F.col("mb"))).alias("tb"))
+    # nor is a piece of a word further than its letters
+    pieces = lambda t: once(F.when(~F.col("alike"), F.regexp_extract_all(t, F.lit(rf"[^ ]{{0,{CHUNK - 1}}} |[^ ]{{1,{CHUNK}}}"), F.lit(0))))
+    both = both.select("*", pieces("ta").alias("pa")).select("*", pieces("tb").alias("pb"))
+    both = both.select("*", once(F.array_union("pa", "pb")).alias("known"))
+    both = both.select("*", once(_spelt("pa", "known")).alias("sa")).select("*", once(_spelt("pb", "known")).alias("sb"))
+    alike = F.col("alike") | F.coalesce(F.expr(f"levenshtein(sa, sb, most div {CHUNK})") >= 0, F.lit(False))
+    both = both.select("a", "b", "most", "ta", "tb", once(alike).alias("alike"))
+    distance = F.when(F.col("alike"), 0).otherwise(F.expr("levenshtein(ta, tb, most)"))
     return both.select("a", "b", "most", once(distance).alias("distance")).where("distance >= 0 AND distance <= most").select("a", "b")
 
 
@@ -223,8 +236,11 @@ def fuzzy_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     ordered(other_pairs(grouped, held)).join(tried, ["a", "b"], "left_anti").write.parquet(f"{path}/pairs-2")
     verified(spark.read.parquet(f"{path}/pairs-2"), forms, similarity).write.parquet(f"{path}/links-2")
     more = spark.read.parquet(f"{path}/links-2")
-    if not more.isEmpty():
-        members = components(found.unionByName(more))
+    if not more.isEmpty():  # links between groups join groups, whose names are those of their least lines
+        end = lambda x: grouped.select(F.col("k1").alias(x), F.col("component").alias(f"c{x}"))
+        joined = components(more.join(end("a"), "a").join(end("b"), "b").select(F.col("ca").alias("a"), F.col("cb").alias("b")))
+        joined = joined.select(F.col("node").alias("old"), F.col("component").alias("new"))
+        members = grouped.join(joined, F.col("component") == F.col("old"), "left").select(F.col("k1").alias("node"), F.coalesce("new", "component").alias("component"))
     # lines that are alone, once, are their own groups; the others have a first occurrence
     named = distinct.join(members, distinct["k1"] == members["node"], "left").where("component IS NOT NULL OR n > 1")
     named = named.select("k1", "k2", "place", F.coalesce("component", "k1").alias("group"))
